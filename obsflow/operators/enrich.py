@@ -24,20 +24,33 @@ def site_lookup(sites: DataFrame, overrides: DataFrame | None = None) -> DataFra
     exactly as an override applied to joined rows would behave.
     Keys are made unique first so the join cannot fan out (m17).
     """
-    dim = unique_by(sites.select("site_id", *SITE_COLUMNS), ["site_id"]).withColumn(_IN_DIM, F.lit(True))
     if overrides is None:
-        return dim
-    ovr = unique_by(overrides.select("site_id", F.col("zone").alias("__override_zone")), ["site_id"])
-    return dim.join(ovr, "site_id", "full").select(
+        dim = unique_by(sites.select("site_id", *SITE_COLUMNS), ["site_id"])
+        return dim.withColumn(_IN_DIM, F.lit(True))
+    # One union and one aggregate (one shuffle) instead of two dedups and a
+    # full outer join: the greatest dimension record and the greatest
+    # override per key, both deterministic.
+    rec = F.struct(*[F.col(c) for c in SITE_COLUMNS])
+    none = F.lit(None)
+    both = sites.select("site_id", rec.alias("__rec"), none.cast("string").alias("__ovr")).unionByName(
+        overrides.select("site_id", none.cast(rec_type(sites)).alias("__rec"), F.col("zone").alias("__ovr"))
+    )
+    agg = both.groupBy("site_id").agg(F.max("__rec").alias("__rec"), F.max("__ovr").alias("__ovr"))
+    return agg.select(
         "site_id",
-        "site_name",
-        F.coalesce(F.col("zone"), F.col("__override_zone")).alias("zone"),
-        "lat",
-        "lon",
-        _IN_DIM,
+        F.col("__rec.site_name").alias("site_name"),
+        F.coalesce(F.col("__rec.zone"), F.col("__ovr")).alias("zone"),
+        F.col("__rec.lat").alias("lat"),
+        F.col("__rec.lon").alias("lon"),
+        F.when(F.col("__rec").isNotNull(), F.lit(True)).alias(_IN_DIM),
     )
 
 
+def rec_type(sites: DataFrame) -> str:
+    """DDL of the struct of SITE_COLUMNS as typed in ``sites``."""
+    return sites.select(F.struct(*SITE_COLUMNS).alias("r")).schema["r"].dataType.simpleString()
+
+
 def attach_sites(
     obs: DataFrame,
     sites: DataFrame,

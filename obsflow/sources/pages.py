@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from obsflow.operators.reshape import explode_records, non_empty_pages, sites_from_records
 from obsflow.schemas import SITE_PAGE
@@ -18,7 +19,8 @@ def read_pages(spark: SparkSession, path: str, schema=SITE_PAGE, keep_corrupt: b
     set instead of failing the read.
     """
     if keep_corrupt:
-        schema = schema.add(CORRUPT_COL, "string")
+        # A new StructType: ``StructType.add`` would modify the shared schema.
+        schema = StructType([*schema.fields, StructField(CORRUPT_COL, StringType())])
     return (
         spark.read.schema(schema)
         .option("mode", "PERMISSIVE")

@@ -1,0 +1,112 @@
+"""AGG2, SRT1-SRT3, AGG8, SNK3, INC1-INC3 (traps m8, m10, m11, m20-m22)."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from obsflow.operators.incremental import backfill_plan, resume_point, weekly_windows
+from obsflow.operators.merge import keyed_merge, merge_counts
+from obsflow.operators.rollup import hourly_rollup, latest_row, latest_time, top_n
+
+D = dt.date
+T = dt.datetime
+ROLL = (
+    "site_id bigint, site_name string, zone string, year int, month int, day int, hour int, "
+    "available int, free int, fill_rate double, temperature_2m_c double"
+)
+
+
+def test_agg2_counts_all_rows_means_skip_nulls(spark):
+    rows = [
+        (1, "A", "Z", 2024, 1, 1, 10, 1, None, 10.0, None),
+        (1, "A", "Z", 2024, 1, 1, 10, 2, 4, 20.0, None),
+        (1, "A", "Z", 2024, 1, 1, 10, None, 5, None, None),
+    ]
+    r = hourly_rollup(spark.createDataFrame(rows, ROLL)).first()
+    assert r.n_obs == 3  # m11
+    assert r.avg_available == 1.5 and r.avg_free == 4.5 and r.avg_fill_rate == 15.0
+    assert r.avg_temperature is None
+
+
+def test_agg2_rounding_is_exact_half_up(spark):
+    # 1.005 cannot be represented in binary; the exact mean rounds up.
+    rows = [(1, "A", "Z", 2024, 1, 1, 10, 1, 1, 1.0, 1.0), (1, "A", "Z", 2024, 1, 1, 10, 1, 1, 1.01, 1.01)]
+    r = hourly_rollup(spark.createDataFrame(rows, ROLL)).first()
+    assert r.avg_fill_rate == 1.01 and r.avg_temperature == 1.01
+
+
+def test_srt_top_n_and_latest(spark):
+    df = spark.createDataFrame([(i % 3, T(2024, 1, 1, i)) for i in range(10)], "site_id int, obs_ts timestamp_ntz")
+    top = top_n(df, ["site_id", "obs_ts"], 2).collect()
+    assert [(r.site_id, r.obs_ts.hour) for r in top] == [(0, 0), (0, 3)]
+    assert latest_row(df, "obs_ts").first().obs_ts == T(2024, 1, 1, 9)
+    assert latest_time(df).first().latest_ts == T(2024, 1, 1, 9)
+
+
+STORED = "k int, a string, b int, part string"
+
+
+def test_snk3_merge_field_semantics(spark):
+    existing = spark.createDataFrame(
+        [(1, "x", 10, "p1"), (2, "y", 20, "p1"), (3, "z", 30, "p2"), (4, "w", 40, "p2")], STORED
+    )
+    incoming = spark.createDataFrame(
+        [(1, "x", "n1"), (2, "Y", "n2"), (3, None, "n3"), (5, "v", "n5")], "k int, a string, c string"
+    )
+    out = {r.k: r for r in keyed_merge(existing, incoming, ["k"]).collect()}
+    assert out[1].change == "updated"  # new column c supplied
+    assert out[2].a == "Y" and out[2].b == 20 and out[2].change == "updated"
+    assert out[3].a is None and out[3].b == 30  # changed to NULL; b not supplied, kept
+    assert out[4].change == "kept" and out[4].c is None
+    assert out[5].change == "inserted" and out[5].b is None and out[5].a == "v"
+
+
+def test_snk3_unchanged_idempotent_and_counts(spark):
+    existing = spark.createDataFrame([(1, "x", 10, "p1"), (2, "y", 20, "p1")], STORED)
+    incoming = spark.createDataFrame([(1, "x"), (2, "q"), (2, "r"), (6, "n")], "k int, a string")
+    merged = keyed_merge(existing, incoming, ["k"])
+    c = merge_counts(merged).first()
+    assert (c.n_inserted, c.n_updated, c.n_unchanged, c.n_kept, c.n_rows) == (1, 1, 1, 0, 3)
+    assert {r.k: r.a for r in merged.collect()}[2] == "r"  # deterministic batch winner
+    again = keyed_merge(merged.drop("change"), incoming, ["k"])
+    assert {r.change for r in again.collect()} == {"unchanged"}
+
+
+@pytest.mark.parametrize(
+    "start,end,include_end,expected",
+    [
+        (D(2026, 9, 1), D(2026, 9, 1), False, []),
+        (D(2026, 9, 1), D(2026, 9, 2), False, [(D(2026, 9, 1), D(2026, 9, 2))]),
+        (D(2026, 9, 1), D(2026, 9, 7), False, [(D(2026, 9, 1), D(2026, 9, 7))]),
+        (D(2026, 9, 1), D(2026, 9, 8), False, [(D(2026, 9, 1), D(2026, 9, 7))]),  # m22
+        (D(2026, 9, 1), D(2026, 9, 8), True, [(D(2026, 9, 1), D(2026, 9, 7)), (D(2026, 9, 8), D(2026, 9, 8))]),
+        (D(2026, 9, 1), D(2026, 9, 9), False, [(D(2026, 9, 1), D(2026, 9, 7)), (D(2026, 9, 8), D(2026, 9, 9))]),
+    ],
+)
+def test_inc2_weekly_windows(spark, start, end, include_end, expected):
+    r = spark.createDataFrame([(start, end)], "start_date date, end_date date")
+    got = [(x.window_start, x.window_end) for x in weekly_windows(r, include_end=include_end).orderBy("window_start").collect()]
+    assert got == expected
+
+
+def test_inc3_backfill_plan_is_zones_times_windows(spark):
+    zones = spark.createDataFrame([("A b",), ("C/d",), ("É_f",)], "zone string")
+    r = spark.createDataFrame([(D(2026, 9, 1), D(2026, 9, 20))], "start_date date, end_date date")
+    plan = backfill_plan(zones, r)
+    assert plan.count() == 3 * 3
+    assert "CartesianProduct" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_inc1_resume_point(spark):
+    stored = spark.createDataFrame(
+        [(T(2026, 9, 3, 22, 30),), (T(2026, 9, 2, 10, 0),)], "obs_ts timestamp_ntz"
+    )
+    r = resume_point(stored, tz="Europe/Paris", today=D(2026, 9, 10)).first()
+    # Local date of the latest instant (m21): 22:30Z is already the 4th in Paris.
+    assert (r.start_date, r.end_date, r.start_source) == (D(2026, 9, 4), D(2026, 9, 10), "stored")
+    r = resume_point(stored, start="2026-08-01", end="2026-08-05").first()
+    assert (r.start_date, r.end_date, r.start_source) == (D(2026, 8, 1), D(2026, 8, 5), "explicit")
+    empty = stored.filter(F.lit(False))
+    r = resume_point(empty, today=D(2026, 9, 10)).first()
+    assert (r.start_date, r.start_source) == (D(2026, 9, 3), "default")
