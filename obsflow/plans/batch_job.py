@@ -41,7 +41,7 @@ from obsflow.operators.quality import gate_verdict
 from obsflow.operators.rollup import SITE_HOUR_KEYS, hourly_rollup
 from obsflow.operators.rules import CONSISTENCY_RULES, GATE_RULES, Rule, rule_counts
 from obsflow.session import new_work_path
-from obsflow.sinks.parquet import write_partitioned
+from obsflow.sinks.parquet import table_exists, write_partitioned
 
 OK, ANOMALY, ORPHAN, KEY_NULL = "ok", "anomaly", "orphan", "key_null"
 
@@ -215,7 +215,7 @@ def run_batch(
 
     accepted = spark.read.parquet(staging).filter(F.col("disposition") == OK).select(*row_columns(s))
     touched = accepted.select("year", "month").distinct()
-    if s.publish_mode == "merge" and _exists(spark, rows_path):
+    if s.publish_mode == "merge" and table_exists(spark, rows_path):
         current = spark.read.parquet(rows_path).join(touched, ["year", "month"], "left_semi")
         merged = keyed_merge(current, accepted, ["site_id", "obs_ts"]).drop("change")
         # Never overwrite a path the same plan reads: stage the merged months.
@@ -237,10 +237,3 @@ def run_batch(
         result.verification = {"expected": metrics["n_final"], "read_back": n, "ok": n == metrics["n_final"]}
     return result
 
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).limit(0).collect()
-        return True
-    except Exception:  # noqa: BLE001 - absence is reported as an analysis error
-        return False

@@ -326,7 +326,10 @@ def q_pages_roundtrip(spark, d):
 
 
 def _raw_items(spark, d) -> DataFrame:
-    ob = roles.observation_base(spark, d)
+    return _raw_items_from(roles.observation_base(spark, d)).drop("batch")
+
+
+def _raw_items_from(ob: DataFrame) -> DataFrame:
     item = F.struct(
         F.concat(F.date_format("obs_ts", "yyyy-MM-dd HH:mm:ss"), F.lit("+00:00")).alias("horodate"),
         F.col("site_id").alias("number"),
@@ -336,7 +339,8 @@ def _raw_items(spark, d) -> DataFrame:
             F.struct(F.col("available").alias("bikes"), F.col("free").alias("stands")).alias("availabilities"),
         ).alias("main_stands"),
     )
-    return ob.select("event_id", F.to_json(item).alias("raw"))
+    batch = F.col("batch") if "batch" in ob.columns else F.lit(1)
+    return ob.select("event_id", F.to_json(item).alias("raw"), batch.alias("batch"))
 
 
 def q_raw_payload(spark, d):
@@ -432,6 +436,46 @@ def q_batch_hours(spark, d):
     return spark.read.parquet(_batch(spark, d).hours_path)
 
 
+def q_stream_landing_merge(spark, d):
+    """STR1: raw items land in two drops; each run merges only new files."""
+    from obsflow.streaming.jobs import landing_stream
+
+    base = new_work_path(spark, "stream-landing")
+    src, table_path, ckpt = f"{base}/source", f"{base}/table", f"{base}/checkpoint"
+    items = _raw_items_from(roles.observations(spark, d))
+    items.filter(F.col("batch") == 1).select(F.col("raw").alias("value")).write.mode("append").text(src)
+    landing_stream(spark, src, table_path, ckpt).awaitTermination()
+    # The re-fetched window arrives later; the checkpoint skips the first drop.
+    items.filter(F.col("batch") == 2).select(F.col("raw").alias("value")).write.mode("append").text(src)
+    landing_stream(spark, src, table_path, ckpt).awaitTermination()
+    return spark.read.parquet(table_path)
+
+
+def q_stream_dedup_enrich(spark, d):
+    """STR2: watermark dedup of a file stream, then the stream-static site join."""
+    from obsflow.streaming.jobs import dedup_enrich_stream
+
+    base = new_work_path(spark, "stream-dedup")
+    src, out, ckpt = f"{base}/source", f"{base}/out", f"{base}/checkpoint"
+    obs = roles.observations(spark, d)
+    obs.filter(F.col("batch") == 1).write.mode("append").parquet(src)
+    obs.filter(F.col("batch") == 2).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(obs.schema).parquet(src).drop("event_id", "batch")
+    lookup_sites = roles.sites(spark, d)
+    enriched_stream = dedup_enrich_stream(
+        stream, lookup_sites, watermark="40 days", overrides=roles.zone_overrides(spark, d)
+    )
+    q = (
+        enriched_stream.writeStream.format("parquet")
+        .option("checkpointLocation", ckpt)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start(out)
+    )
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_latest": q_dedup_latest,
     "dedup_plain_count": q_dedup_plain_count,
@@ -478,5 +522,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partitioned_roundtrip": q_partitioned_roundtrip,
     "batch_rows": q_batch_rows,
     "batch_hours": q_batch_hours,
+    "stream_landing_merge": q_stream_landing_merge,
+    "stream_dedup_enrich": q_stream_dedup_enrich,
 }
 

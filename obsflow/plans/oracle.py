@@ -102,6 +102,10 @@ _REASONS = """concat_ws(',',
   CASE WHEN available < 0 THEN 'available_negative' END,
   CASE WHEN available > capacity THEN 'available_above_capacity' END)"""
 
+_RAW = """to_json({'horodate': strftime(obs_ts, '%Y-%m-%d %H:%M:%S') || '+00:00',
+       'number': site_id, 'status': status,
+       'main_stands': {'capacity': capacity, 'availabilities': {'bikes': available, 'stands': free}}})"""
+
 _BATCH_ROWS = (
     "site_id, site_name, zone, lat, lon, obs_ts, slot_ts, status, capacity, available, free, "
     f"{MEASURES}, fill_rate, obs_local, year, month, day, hour"
@@ -184,11 +188,7 @@ FROM ({_MERGE})""",
     "key_quarantine": f"SELECT event_id, site_id, obs_text FROM {PARSED} WHERE site_id IS NULL OR obs_ts IS NULL",
     "pages_explode": W("sites") + SITES_WITH_SLOTS,
     "pages_roundtrip": W("sites") + SITES_WITH_SLOTS,
-    "raw_payload": W("obs_base")
-    + """SELECT event_id, to_json({'horodate': strftime(obs_ts, '%Y-%m-%d %H:%M:%S') || '+00:00',
-       'number': site_id, 'status': status,
-       'main_stands': {'capacity': capacity, 'availabilities': {'bikes': available, 'stands': free}}}) AS raw
-FROM obs_base""",
+    "raw_payload": W("obs_base") + f"SELECT event_id, {_RAW} AS raw FROM obs_base",
     "nested_flatten": W("obs_base")
     + """SELECT site_id, strftime(obs_ts, '%Y-%m-%d %H:%M:%S') || '+00:00' AS obs_text,
        date_trunc('second', obs_ts) AS obs_ts, status, capacity, available, free FROM obs_base""",
@@ -200,4 +200,12 @@ FROM obs_base""",
     "partitioned_roundtrip": W("final_all") + f"SELECT * FROM {FINAL} WHERE month = 1",
     "batch_rows": W("final_all") + f"SELECT {_BATCH_ROWS} FROM {FINAL}",
     "batch_hours": W("final_all") + _rollup(SITE_HOUR, FINAL),
+    "stream_landing_merge": W("obs_base")
+    + f"""SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY site_id, obs_ts
+           ORDER BY obs_text DESC, status DESC, capacity DESC, available DESC, free DESC) AS rn
+  FROM (SELECT site_id, strftime(obs_ts, '%Y-%m-%d %H:%M:%S') || '+00:00' AS obs_text,
+               date_trunc('second', obs_ts) AS obs_ts, status, capacity, available, free,
+               CAST(obs_ts AS DATE) AS obs_date, {_RAW} AS raw FROM obs_base)) WHERE rn = 1""",
+    "stream_dedup_enrich": W("enriched") + "SELECT * EXCLUDE (event_id, batch) FROM enriched",
 }

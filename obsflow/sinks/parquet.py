@@ -46,6 +46,17 @@ def read_back(spark: SparkSession, path: str, partition_filter: F.Column | None
     return df if partition_filter is None else df.filter(partition_filter)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a Parquet dataset can be resolved at ``path`` (no data read)."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.read.parquet(path).schema  # noqa: B018 - resolves files only
+        return True
+    except AnalysisException:
+        return False
+
+
 def verify_count(spark: SparkSession, path: str, expected: int) -> dict:
     """Read-back row count compared with the count observed at write time (SNK8).
 
