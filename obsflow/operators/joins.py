@@ -6,11 +6,50 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A side is broadcast only when it has at most this many rows. Dimension
-# and context rows are narrow (< 200 bytes), so this bounds the broadcast
-# at a few hundred MB even in the worst case.
+# A side is broadcast only when its counted rows times its estimated row
+# width stay under both bounds; beyond them Spark plans a shuffle join.
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+DEFAULT_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+
+
+# Default size in bytes per type, as Spark's own estimates use.
+_TYPE_SIZES = {
+    T.BooleanType: 1,
+    T.ByteType: 1,
+    T.ShortType: 2,
+    T.IntegerType: 4,
+    T.DateType: 4,
+    T.FloatType: 4,
+    T.LongType: 8,
+    T.DoubleType: 8,
+    T.TimestampType: 8,
+    T.TimestampNTZType: 8,
+    T.StringType: 20,
+    T.BinaryType: 100,
+}
+
+
+def _type_size(dt: T.DataType) -> int:
+    if isinstance(dt, T.StructType):
+        return sum(_type_size(f.dataType) for f in dt.fields)
+    if isinstance(dt, T.ArrayType):
+        return _type_size(dt.elementType)
+    if isinstance(dt, T.MapType):
+        return _type_size(dt.keyType) + _type_size(dt.valueType)
+    if isinstance(dt, T.DecimalType):
+        return 8 if dt.precision <= 18 else 16
+    return _TYPE_SIZES.get(type(dt), 20)
+
+
+def row_width(schema: T.StructType) -> int:
+    """Estimated bytes per row from the column types.
+
+    Strings count 20 bytes, as Spark's own size estimates do; dimension and
+    context text columns (names, zone names) are of that order.
+    """
+    return 8 + _type_size(schema)
 
 
 def bounded_row_count(df: DataFrame, limit: int) -> int:
@@ -23,14 +62,21 @@ def bounded_row_count(df: DataFrame, limit: int) -> int:
     return df.limit(limit + 1).count()
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
+def broadcast_if_small(
+    df: DataFrame,
+    max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
+) -> tuple[DataFrame, bool]:
     """Hint a broadcast only after proving the side's size.
 
-    Returns the (possibly hinted) frame and whether it was hinted. Beyond the
-    bound the plain frame is returned and Spark plans a shuffle join, with
-    AQE splitting skewed partitions at run time.
+    The row bound is checked by counting (an action on the small side only),
+    the byte bound from that count and the schema's row width. Returns the
+    (possibly hinted) frame and whether it was hinted. Beyond the bounds the
+    plain frame is returned and Spark plans a shuffle join, with AQE
+    splitting skewed partitions at run time.
     """
-    if bounded_row_count(df, max_rows) <= max_rows:
+    cap = min(max_rows, max(1, max_bytes // row_width(df.schema)))
+    if bounded_row_count(df, cap) <= cap:
         return F.broadcast(df), True
     return df, False
 

@@ -359,7 +359,7 @@ def q_geo_point(spark, d):
 
 
 def _context_texts(spark, d) -> DataFrame:
-    """Context rows rendered as provider CSV texts, one per zone and local day."""
+    """Context rows rendered as provider CSV texts, one per zone and local week."""
     from obsflow.schemas import CONTEXT_CSV_COLUMNS
 
     ctx = roles.context(spark, d)
@@ -369,8 +369,9 @@ def _context_texts(spark, d) -> DataFrame:
         cells.append(F.coalesce(F.col(name).cast("string"), F.lit("")) if name in MEASURES else F.lit(""))
     line = F.concat_ws(",", *cells)
     header = ",".join(h for h, _, _ in CONTEXT_CSV_COLUMNS)
-    day = F.to_date(local).alias("start")
-    grouped = ctx.groupBy("zone", day).agg(F.sort_array(F.collect_list(F.struct(local.alias("t"), line.alias("l")))).alias("ls"))
+    # One text per zone and local week (at most 7 x 96 lines: a bounded group).
+    week = F.to_date(F.date_trunc("week", local)).alias("start")
+    grouped = ctx.groupBy("zone", week).agg(F.sort_array(F.collect_list(F.struct(local.alias("t"), line.alias("l")))).alias("ls"))
     text = F.concat_ws(
         "\n",
         F.lit("latitude,longitude,elevation"),
@@ -379,7 +380,7 @@ def _context_texts(spark, d) -> DataFrame:
         F.lit(header),
         F.array_join(F.transform("ls", lambda s: s["l"]), "\n"),
     )
-    return grouped.select("zone", "start", F.col("start").alias("end"), F.concat(text, F.lit("\n")).alias("value"))
+    return grouped.select("zone", "start", F.date_add("start", 6).alias("end"), F.concat(text, F.lit("\n")).alias("value"))
 
 
 def q_typed_cells(spark, d):
