@@ -157,3 +157,23 @@ def test_snk1_dynamic_overwrite_touches_one_month(spark, tmp_dir):
     back = read_back(spark, tmp_dir, F.col("month") == 2)
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and back.count() == 1
+
+
+def test_src2_src4_format_neutral_loader_and_append(spark, tmp_dir):
+    from obsflow.sinks.parquet import append, preview, verify_count
+    from obsflow.sources.store import load_table
+
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    append(df, tmp_dir)
+    append(df, tmp_dir)  # SNK4: no key, rows accumulate
+    back = load_table(spark, "parquet", df.schema, tmp_dir, {"mergeSchema": "false"})
+    assert back.count() == 4
+    assert verify_count(spark, tmp_dir, 4)["ok"]
+    assert [r.k for r in preview(back, 3, ["k"]).collect()] == [1, 1, 2]
+
+
+def test_layout_names(spark):
+    from obsflow.plans.layouts import HOUR_NAMES, publish_as
+
+    df = spark.createDataFrame([(1, "A", 3)], "site_id int, site_name string, n_obs int")
+    assert publish_as(df, HOUR_NAMES).columns == ["station_id", "station_nom", "nb_observations"]
