@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 from obsflow.functions.numeric import pct_rate
 from obsflow.functions.time import calendar_columns, slot_start, utc_to_local
-from obsflow.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small, unique_by
+from obsflow.operators.joins import (
+    DEFAULT_BROADCAST_MAX_ROWS,
+    DEFAULT_SALT_BUCKETS,
+    many_to_one_join,
+    unique_by,
+)
 
 SITE_COLUMNS = ("site_name", "zone", "lat", "lon")
 _IN_DIM = "__in_dimension"
@@ -57,16 +62,18 @@ def attach_sites(
     overrides: DataFrame | None = None,
     orphan_on: str = "site_key",
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    salt_buckets: int = DEFAULT_SALT_BUCKETS,
 ) -> DataFrame:
     """Left join observations to the site dimension; flag orphans (JON1, FLT1, ENR1).
 
     ``orphan_on="site_key"`` (default): orphan = no dimension row matched.
     ``orphan_on="site_name"``: the reference's test, orphan = joined name is
     NULL, so a known site without a name is an orphan too (m3).
-    The dimension is broadcast only when its row count is proven small.
+    The dimension is broadcast only when its size is proven small;
+    otherwise the join is salted so a hot site is split over tasks.
     """
-    lookup, _ = broadcast_if_small(site_lookup(sites, overrides), broadcast_max_rows)
-    joined = obs.join(lookup, "site_id", "left")
+    lookup = site_lookup(sites, overrides).withColumnRenamed("site_id", "__site_key")
+    joined = many_to_one_join(obs, lookup, ["site_id"], ["__site_key"], "left", broadcast_max_rows, salt_buckets)
     if orphan_on == "site_name":
         orphan = F.col("site_name").isNull()
     elif orphan_on == "site_key":
@@ -93,13 +100,14 @@ def attach_context(
     zone_col: str = "zone",
     slot_col: str = "slot_ts",
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    salt_buckets: int = DEFAULT_SALT_BUCKETS,
 ) -> DataFrame:
     """Left join on (zone, slot) to the context series (JON2, ENR2).
 
     The context is made unique on (zone, ctx_ts) so the join is many-to-one,
     then broadcast if proven small; otherwise both sides shuffle on
-    (zone, slot), which spreads a hot zone over its slots, and AQE splits
-    any remaining skewed partition. NULL zones match nothing (m5).
+    (zone, slot, salt), which spreads a hot zone over its slots and a hot
+    slot over the salt buckets. NULL zones match nothing (m5).
     Adds ``has_context`` (a context row matched), separate from whether its
     measures are NULL (m16).
     """
@@ -110,9 +118,9 @@ def attach_context(
         *measures,
         F.lit(True).alias("has_context"),
     )
-    ctx, _ = broadcast_if_small(ctx, broadcast_max_rows)
-    cond = (F.col(zone_col) == F.col("__ctx_zone")) & (F.col(slot_col) == F.col("__ctx_ts"))
-    out = df.join(ctx, cond, "left").drop("__ctx_zone", "__ctx_ts")
+    out = many_to_one_join(
+        df, ctx, [zone_col, slot_col], ["__ctx_zone", "__ctx_ts"], "left", broadcast_max_rows, salt_buckets
+    )
     return out.withColumn("has_context", F.coalesce(F.col("has_context"), F.lit(False)))
 
 

@@ -96,3 +96,43 @@ def unique_by(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) ->
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their multiplicity."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > 1)
+
+
+# Salt buckets for a many-to-one join whose small side is too big to
+# broadcast: a hot key is spread over this many tasks, at the cost of
+# replicating the (unique-keyed) small side this many times.
+DEFAULT_SALT_BUCKETS = 16
+
+
+def many_to_one_join(
+    facts: DataFrame,
+    side: DataFrame,
+    fact_keys: Sequence[str],
+    side_keys: Sequence[str],
+    how: str = "left",
+    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+) -> DataFrame:
+    """Join facts to a side that is unique on ``side_keys``.
+
+    Broadcast when the side is proven small. Otherwise a salted shuffle
+    join: each fact row gets a deterministic salt in [0, n) from a hash of
+    its own columns (stable across task retries), and every side row is
+    replicated once per salt, so one key holding a third of all fact rows
+    is split over ``n`` tasks instead of landing on one. Each fact row
+    meets exactly one replica, so no row is duplicated or lost. The side's
+    key columns are dropped from the result (the fact keys remain).
+    """
+    side_b, hinted = broadcast_if_small(side, broadcast_max_rows)
+    if hinted or salt_buckets <= 1:
+        cond = [F.col(f) == side_b[s] for f, s in zip(fact_keys, side_keys)]
+        out = facts.join(side_b, cond, how)
+        return out.drop(*[side_b[s] for s in side_keys])
+    renamed = {s: f"__side_{i}" for i, s in enumerate(side_keys)}
+    r = side.withColumnsRenamed(renamed)
+    r = r.withColumn("__side_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    f = facts.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salt_buckets)))
+    cond = [F.col(fk) == F.col(renamed[sk]) for fk, sk in zip(fact_keys, side_keys)]
+    cond.append(F.col("__salt") == F.col("__side_salt"))
+    out = f.join(r, cond, how)
+    return out.drop("__salt", "__side_salt", *renamed.values())

@@ -35,7 +35,7 @@ from obsflow.operators.enrich import (
     with_local_calendar,
     with_slot,
 )
-from obsflow.operators.joins import DEFAULT_BROADCAST_MAX_ROWS
+from obsflow.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, DEFAULT_SALT_BUCKETS
 from obsflow.operators.merge import keyed_merge
 from obsflow.operators.quality import gate_verdict
 from obsflow.operators.rollup import SITE_HOUR_KEYS, hourly_rollup
@@ -68,6 +68,8 @@ class BatchSettings:
     gate_rules: Sequence[Rule] = GATE_RULES
     enforce_gate: bool = True
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
+    # Used only when a side is too big to broadcast: splits hot keys.
+    salt_buckets: int = DEFAULT_SALT_BUCKETS
     # Inclusive UTC date range [start, end]; pushed to both inputs' scans.
     time_range: tuple[str, str] | None = None
     # "replace": the run owns every month it touches (full backfill).
@@ -132,9 +134,11 @@ def build_rows(
     obs = obs.withColumn("__nk", F.when(~keyed, F.to_json(F.struct(*others))))
     dedup = dedup_latest(obs, ["site_id", "obs_ts", "__nk"], s.dedup_order).drop("__nk")
 
-    df = attach_sites(dedup, sites, overrides, s.orphan_on, s.broadcast_max_rows)
+    df = attach_sites(dedup, sites, overrides, s.orphan_on, s.broadcast_max_rows, s.salt_buckets)
     df = with_slot(df, "obs_ts", "slot_ts", s.slot_minutes)
-    df = attach_context(df, context, s.measures, broadcast_max_rows=s.broadcast_max_rows)
+    df = attach_context(
+        df, context, s.measures, broadcast_max_rows=s.broadcast_max_rows, salt_buckets=s.salt_buckets
+    )
     df = with_fill_rate(df)
     df = with_local_calendar(df, s.time_zone)
 

@@ -105,3 +105,30 @@ def test_plan_single_dedup_exchange_and_broadcast_dimension(spark):
     import re
 
     assert len(re.findall(r"hashpartitioning\(site_id#\d+L?, obs_ts", plan)) == 1
+
+
+def test_salted_shuffle_joins_equal_broadcast_joins(spark):
+    import dataclasses
+
+    args = (
+        roles.observations(spark, SMOKE),
+        roles.sites(spark, SMOKE),
+        roles.context(spark, SMOKE),
+    )
+    ovr = roles.zone_overrides(spark, SMOKE)
+    cols = ["site_id", "obs_ts", "zone", "is_orphan", "temperature_2m_c", "has_context", "disposition"]
+    small = build_rows(*args, catalog.DRIVER_SETTINGS, ovr).select(*cols)
+    forced = dataclasses.replace(catalog.DRIVER_SETTINGS, broadcast_max_rows=0, salt_buckets=4)
+    salted = build_rows(*args, forced, ovr).select(*cols)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = salted._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(tuple, salted.collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    left_joins = [ln for ln in plan.splitlines() if "LeftOuter" in ln]
+    assert len(left_joins) == 2 and not any("BroadcastHashJoin" in ln for ln in left_joins)
+    assert "xxhash64" in plan
+    assert got == sorted(map(tuple, small.collect()), key=repr)
