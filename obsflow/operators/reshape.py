@@ -69,3 +69,26 @@ def concat_frames(frames: Iterable[DataFrame]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
+
+
+def context_from_landed(landed: DataFrame, measures: Iterable[str] | None = None) -> DataFrame:
+    """Landed context (commune, location, datetime instant, measures) -> canonical.
+
+    The landed time is an instant; it becomes the UTC wall clock (NTZ) the
+    library joins on.
+    """
+    from obsflow.functions.time import instant_to_utc_ntz
+    from obsflow.schemas import CONTEXT_MEASURES
+
+    declared = {f.name: f.dataType for f in CONTEXT_MEASURES.fields}
+    names = list(measures) if measures is not None else list(declared)
+    ts = F.col("datetime")
+    ts = instant_to_utc_ntz(ts) if dict(landed.dtypes).get("datetime") == "timestamp" else ts.cast("timestamp_ntz")
+    # Measures missing from the landed documents are NULL of their declared type.
+    cols = [F.col(c) if c in landed.columns else F.lit(None).cast(declared[c]).alias(c) for c in names]
+    return landed.select(
+        F.col("commune").alias("zone"),
+        *(["location"] if "location" in landed.columns else []),
+        ts.alias("ctx_ts"),
+        *cols,
+    )

@@ -40,6 +40,7 @@ from obsflow.operators.merge import keyed_merge
 from obsflow.operators.quality import gate_verdict
 from obsflow.operators.rollup import SITE_HOUR_KEYS, hourly_rollup
 from obsflow.operators.rules import CONSISTENCY_RULES, GATE_RULES, Rule, rule_counts
+from obsflow.plans.layouts import HOUR_NAMES, ROW_NAMES, publish_as, read_as_library
 from obsflow.session import new_work_path
 from obsflow.sinks.parquet import table_exists, write_partitioned
 
@@ -75,6 +76,9 @@ class BatchSettings:
     # "replace": the run owns every month it touches (full backfill).
     # "merge": rows are upserted by (site_id, obs_ts) into touched months.
     publish_mode: str = "replace"
+    # "neutral": library column names; "reference": the reference's
+    # published names (station_id, horodate_ts, ..., partitions annee/mois).
+    layout: str = "neutral"
     extra_columns: Sequence[str] = field(default_factory=tuple)
 
 
@@ -102,6 +106,14 @@ def row_columns(settings: BatchSettings) -> list[str]:
     ]
 
 
+def _layout(s: BatchSettings) -> tuple[dict, dict]:
+    if s.layout == "reference":
+        return dict(ROW_NAMES), dict(HOUR_NAMES)
+    if s.layout == "neutral":
+        return {}, {}
+    raise ValueError(f"layout must be 'neutral' or 'reference', not {s.layout!r}")
+
+
 def _in_range(col: str, time_range: tuple[str, str] | None) -> Column | None:
     if not time_range:
         return None
@@ -217,10 +229,13 @@ def run_batch(
     if s.enforce_gate and not verdict["passed"]:
         return result
 
+    row_names, hour_names = _layout(s)
+    parts = [row_names.get(c, c) for c in ("year", "month")]
     accepted = spark.read.parquet(staging).filter(F.col("disposition") == OK).select(*row_columns(s))
     touched = accepted.select("year", "month").distinct()
     if s.publish_mode == "merge" and table_exists(spark, rows_path):
-        current = spark.read.parquet(rows_path).join(touched, ["year", "month"], "left_semi")
+        current = read_as_library(spark.read.parquet(rows_path), row_names)
+        current = current.join(touched, ["year", "month"], "left_semi")
         merged = keyed_merge(current, accepted, ["site_id", "obs_ts"]).drop("change")
         # Never overwrite a path the same plan reads: stage the merged months.
         merged_path = new_work_path(spark, "merged")
@@ -229,11 +244,12 @@ def run_batch(
     elif s.publish_mode not in ("replace", "merge"):
         raise ValueError(f"publish_mode must be 'replace' or 'merge', not {s.publish_mode!r}")
     # Staged files are already grouped by month: no shuffle needed to publish.
-    write_partitioned(accepted, rows_path, ["year", "month"], rebalance=False)
+    write_partitioned(publish_as(accepted, row_names), rows_path, parts, rebalance=False)
 
-    published = spark.read.parquet(rows_path).join(F.broadcast(touched), ["year", "month"], "left_semi")
+    published = read_as_library(spark.read.parquet(rows_path), row_names)
+    published = published.join(F.broadcast(touched), ["year", "month"], "left_semi")
     hours = hourly_rollup(published, SITE_HOUR_KEYS, s.temperature_col)
-    write_partitioned(hours, hours_path, ["year", "month"])
+    write_partitioned(publish_as(hours, hour_names), hours_path, parts)
 
     result.published = True
     if s.publish_mode == "replace":

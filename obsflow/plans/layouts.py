@@ -72,5 +72,11 @@ PARTITIONS = ("annee", "mois")
 
 
 def publish_as(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
-    """Select the mapped columns present in ``df`` under their published names."""
-    return df.select(*[F.col(src).alias(dst) for src, dst in names.items() if src in df.columns])
+    """Rename mapped columns to their published names; others keep theirs."""
+    return df.select(*[F.col(c).alias(names.get(c, c)) for c in df.columns])
+
+
+def read_as_library(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
+    """Inverse of ``publish_as``: published names back to library names."""
+    back = {dst: src for src, dst in names.items()}
+    return df.select(*[F.col(c).alias(back.get(c, c)) for c in df.columns])

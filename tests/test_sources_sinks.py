@@ -175,5 +175,9 @@ def test_src2_src4_format_neutral_loader_and_append(spark, tmp_dir):
 def test_layout_names(spark):
     from obsflow.plans.layouts import HOUR_NAMES, publish_as
 
-    df = spark.createDataFrame([(1, "A", 3)], "site_id int, site_name string, n_obs int")
-    assert publish_as(df, HOUR_NAMES).columns == ["station_id", "station_nom", "nb_observations"]
+    from obsflow.plans.layouts import read_as_library
+
+    df = spark.createDataFrame([(1, "A", 3, 0)], "site_id int, site_name string, n_obs int, other int")
+    pub = publish_as(df, HOUR_NAMES)
+    assert pub.columns == ["station_id", "station_nom", "nb_observations", "other"]
+    assert read_as_library(pub, HOUR_NAMES).columns == df.columns
