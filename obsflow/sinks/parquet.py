@@ -47,14 +47,15 @@ def read_back(spark: SparkSession, path: str, partition_filter: F.Column | None
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a Parquet dataset can be resolved at ``path`` (no data read)."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves files only
-        return True
-    except AnalysisException:
-        return False
+    """Whether ``path`` exists, asked of the path's own Hadoop file system.
+
+    Works for any scheme the cluster is configured for (hdfs, s3a, abfs,
+    file) and plans no query, so a missing table is not an analysis error.
+    """
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p))
 
 
 def verify_count(spark: SparkSession, path: str, expected: int) -> dict:
