@@ -65,6 +65,10 @@ class BatchSettings:
     temperature_col: str = "temperature_2m_c"
     orphan_on: str = "site_key"
     dedup_order: Sequence[str] = ()
+    # False when the observations come from the keyed landing table (one
+    # row per key by construction): the fact side is then never shuffled
+    # before the staged write.
+    dedup_input: bool = True
     consistency_rules: Sequence[Rule] = CONSISTENCY_RULES
     gate_rules: Sequence[Rule] = GATE_RULES
     enforce_gate: bool = True
@@ -141,10 +145,13 @@ def build_rows(
     if rng is not None:
         obs = obs.filter(rng)
         context = context.filter(_in_range("ctx_ts", s.time_range))
-    keyed = F.col("site_id").isNotNull() & F.col("obs_ts").isNotNull()
-    others = [c for c in obs.columns if c not in ("site_id", "obs_ts")]
-    obs = obs.withColumn("__nk", F.when(~keyed, F.to_json(F.struct(*others))))
-    dedup = dedup_latest(obs, ["site_id", "obs_ts", "__nk"], s.dedup_order).drop("__nk")
+    if s.dedup_input:
+        keyed = F.col("site_id").isNotNull() & F.col("obs_ts").isNotNull()
+        others = [c for c in obs.columns if c not in ("site_id", "obs_ts")]
+        obs = obs.withColumn("__nk", F.when(~keyed, F.to_json(F.struct(*others))))
+        dedup = dedup_latest(obs, ["site_id", "obs_ts", "__nk"], s.dedup_order).drop("__nk")
+    else:
+        dedup = obs
 
     df = attach_sites(dedup, sites, overrides, s.orphan_on, s.broadcast_max_rows, s.salt_buckets)
     df = with_slot(df, "obs_ts", "slot_ts", s.slot_minutes)

@@ -72,3 +72,41 @@ def new_work_path(spark: SparkSession, label: str) -> str:
         local = path.removeprefix("file:")
         os.makedirs(os.path.dirname(local), exist_ok=True)
     return path
+
+
+def cluster_conf(
+    input_bytes: int,
+    executor_cores: int = 4,
+    executors: int = 1000,
+    shuffle_ratio: float = 0.5,
+    target_partition_bytes: int = 256 * 1024 * 1024,
+) -> dict[str, str]:
+    """Sizing for a large run, to pass to spark-submit or the session builder.
+
+    - Scan splits of 512 MB keep the task count near input / 512 MB
+      (200k tasks for 100 TB) while each split fits an executor core.
+    - The initial shuffle partition count covers the expected shuffle volume
+      at ``target_partition_bytes`` each, and is at least 3x the cores so
+      every wave is full; AQE then coalesces small partitions and splits
+      skewed ones (a skewed partition is 5x the median and over 1 GB).
+    - Broadcast sides are decided by the library's own proven-size checks,
+      so Spark's estimate-based automatic broadcast is capped low.
+    """
+    cores = executor_cores * executors
+    shuffle_bytes = int(input_bytes * shuffle_ratio)
+    partitions = max(3 * cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -132,3 +132,27 @@ def test_salted_shuffle_joins_equal_broadcast_joins(spark):
     assert len(left_joins) == 2 and not any("BroadcastHashJoin" in ln for ln in left_joins)
     assert "xxhash64" in plan
     assert got == sorted(map(tuple, small.collect()), key=repr)
+
+
+def test_keyed_input_skips_the_fact_shuffle(spark):
+    import dataclasses
+    import re
+
+    s = dataclasses.replace(catalog.DRIVER_SETTINGS, dedup_input=False)
+    base = roles.observation_base(spark, SMOKE)
+    rows = build_rows(base, roles.sites(spark, SMOKE), roles.context(spark, SMOKE), s, roles.zone_overrides(spark, SMOKE))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert not re.findall(r"hashpartitioning\(site_id#\d+L?, obs_ts", plan)
+    assert rows.count() == base.count()
+
+
+def test_cluster_conf_sizes_for_100_tb():
+    from obsflow.session import cluster_conf
+
+    conf = cluster_conf(100 * 1024**4)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 200 * 1024
+    assert conf["spark.sql.adaptive.enabled"] == "true"
