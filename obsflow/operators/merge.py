@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsflow.operators.dedup import dedup_latest
+from obsflow.operators.rules import quarantine_null_keys
 
 _IN = "__in_"
 _E = "__exists"
@@ -22,6 +23,7 @@ def keyed_merge(
     incoming: DataFrame,
     keys: Sequence[str],
     batch_order: Sequence[str] = (),
+    on_null_key: str = "quarantine",
 ) -> DataFrame:
     """Upsert ``incoming`` into ``existing`` by ``keys``; label every row.
 
@@ -31,13 +33,18 @@ def keyed_merge(
     - Incoming rows are first reduced to one per key, deterministically
       (greatest by ``batch_order`` then by all columns), so the result never
       depends on arrival order.
-    - Rows with a NULL key part cannot be matched: filter them first with
-      ``rules.quarantine_null_keys`` (m19).
+    - Incoming rows with a NULL key part cannot be matched (m19). With
+      ``on_null_key="quarantine"`` they are left out of the merge (get them
+      with ``rules.quarantine_null_keys``); with ``"raise"`` the job fails
+      as the reference's loader does.
     The result has every column of ``existing`` followed by the new columns
     of ``incoming``, plus ``change`` in {inserted, updated, unchanged, kept}.
     One full outer join, shuffling both sides on the key.
     """
     keys = list(keys)
+    if on_null_key not in ("quarantine", "raise"):
+        raise ValueError(f"on_null_key must be 'quarantine' or 'raise', not {on_null_key!r}")
+    incoming, _ = quarantine_null_keys(incoming, keys, strict=on_null_key == "raise")
     inc = dedup_latest(incoming, keys, batch_order)
     supplied = [c for c in inc.columns if c not in keys]
     new_cols = [c for c in supplied if c not in existing.columns]

@@ -110,3 +110,24 @@ def test_inc1_resume_point(spark):
     empty = stored.filter(F.lit(False))
     r = resume_point(empty, today=D(2026, 9, 10)).first()
     assert (r.start_date, r.start_source) == (D(2026, 9, 3), "default")
+
+
+def test_snk3_null_key_in_batch_quarantined_or_raised(spark):
+    existing = spark.createDataFrame([(1, "x", 10, "p1")], STORED)
+    incoming = spark.createDataFrame([(1, "y"), (None, "z")], "k int, a string")
+    out = keyed_merge(existing, incoming, ["k"]).collect()
+    assert [(r.k, r.a, r.change) for r in out] == [(1, "y", "updated")]
+    with pytest.raises(Exception, match="NULL key part"):
+        keyed_merge(existing, incoming, ["k"], on_null_key="raise").collect()
+
+
+def test_agg2_autumn_change_merges_two_utc_hours(spark):
+    from obsflow.operators.enrich import with_local_calendar
+
+    rows = [(1, "A", "Z", T(2024, 10, 27, 0, 30), 1, 1, 10.0, 1.0), (1, "A", "Z", T(2024, 10, 27, 1, 30), 3, 1, 30.0, 2.0)]
+    df = spark.createDataFrame(
+        rows, "site_id int, site_name string, zone string, obs_ts timestamp_ntz, available int, free int, "
+        "fill_rate double, temperature_2m_c double"
+    )
+    out = hourly_rollup(with_local_calendar(df, "Europe/Paris")).collect()
+    assert len(out) == 1 and out[0].hour == 2 and out[0].n_obs == 2 and out[0].avg_available == 2.0  # m8
