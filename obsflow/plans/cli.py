@@ -5,12 +5,12 @@ store options and ``spark.checkpoint.dir`` come from spark-submit. Example:
 
     {
       "observations": {"kind": "landed", "format": "mongodb",
-                       "options": {"database": "lake", "collection": "velov_availabilities"}},
-      "sites": {"pages": "s3a://raw/velov/stations/"},
+                       "options": {"database": "lake", "collection": "observations"}},
+      "sites": {"pages": "s3a://raw/sites/pages/"},
       "context": {"kind": "landed", "format": "mongodb",
-                  "options": {"database": "lake", "collection": "lyon_meteo"}},
-      "overrides": [[17006, "Saint-Fons"]],
-      "out": "s3a://analytics/velov_meteo",
+                  "options": {"database": "lake", "collection": "context"}},
+      "overrides": [[4242, "North Quay"]],
+      "out": "s3a://analytics/observations",
       "time_zone": "Europe/Paris",
       "time_range": ["2026-08-27", "2026-09-02"],
       "layout": "reference",

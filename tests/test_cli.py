@@ -13,8 +13,8 @@ def test_cli_runs_job_in_reference_layout(spark, tmp_dir):
     base = tmp_dir.removeprefix("file:")
     os.makedirs(f"{base}/pages/ingested_at=20240120T000000000000Z")
     page = {"values": [
-        {"idstation": 1, "nom": "Place A", "commune": "Lyon 1er", "lat": 45.7, "lon": 4.8, "nbbornettes": 20},
-        {"idstation": 17006, "nom": "Gare", "commune": None, "lat": 45.7, "lon": 4.86, "nbbornettes": 10},
+        {"idstation": 1, "nom": "Place A", "commune": "Centre 1er", "lat": 45.7, "lon": 4.8, "nbbornettes": 20},
+        {"idstation": 4242, "nom": "Gare", "commune": None, "lat": 45.7, "lon": 4.86, "nbbornettes": 10},
     ]}
     with open(f"{base}/pages/ingested_at=20240120T000000000000Z/p.json", "w", encoding="utf-8") as f:
         f.write(json.dumps(page) + "\n")
@@ -22,7 +22,7 @@ def test_cli_runs_job_in_reference_layout(spark, tmp_dir):
         [
             ("2024-01-15 14:05:00+01:00", 1, "OPEN", 20, 5, 15, None),
             ("2024-01-15 13:05:00Z", 1, "OPEN", 20, 5, 15, None),  # same instant, other offset
-            ("2024-01-15 14:10:00+01:00", 17006, "OPEN", 10, 2, 8, None),
+            ("2024-01-15 14:10:00+01:00", 4242, "OPEN", 10, 2, 8, None),
             ("2024-01-15 14:10:00+01:00", 42, "OPEN", 10, 2, 8, None),  # orphan
             ("2024-01-15 14:10", 1, "OPEN", 10, 2, 8, None),  # unparsed time
         ],
@@ -31,7 +31,7 @@ def test_cli_runs_job_in_reference_layout(spark, tmp_dir):
     )
     landed.write.parquet(f"{tmp_dir}/obs")
     ctx = spark.createDataFrame(
-        [("Lyon 1er", T(2024, 1, 15, 13, 0), 4.5), ("Saint-Fons", T(2024, 1, 15, 13, 0), 5.5)],
+        [("Centre 1er", T(2024, 1, 15, 13, 0), 4.5), ("North Quay", T(2024, 1, 15, 13, 0), 5.5)],
         "commune string, datetime timestamp, temperature_2m_c double",
     )
     ctx.write.parquet(f"{tmp_dir}/ctx")
@@ -39,7 +39,7 @@ def test_cli_runs_job_in_reference_layout(spark, tmp_dir):
         "observations": {"kind": "landed", "format": "parquet", "path": f"{tmp_dir}/obs"},
         "sites": {"pages": f"{tmp_dir}/pages"},
         "context": {"kind": "landed", "format": "parquet", "path": f"{tmp_dir}/ctx"},
-        "overrides": [[17006, "Saint-Fons"]],
+        "overrides": [[4242, "North Quay"]],
         "out": f"{tmp_dir}/out",
         "time_zone": "Europe/Paris",
         "layout": "reference",
@@ -51,8 +51,8 @@ def test_cli_runs_job_in_reference_layout(spark, tmp_dir):
     rows = spark.read.parquet(f"{tmp_dir}/out/rows")
     assert {"station_id", "horodate_ts", "commune", "taux_velos_disponibles", "annee", "mois"} <= set(rows.columns)
     got = {r.station_id: r for r in rows.collect()}
-    assert set(got) == {1, 17006}
-    assert got[17006].commune == "Saint-Fons" and got[17006].temperature_2m_c == 5.5
+    assert set(got) == {1, 4242}
+    assert got[4242].commune == "North Quay" and got[4242].temperature_2m_c == 5.5
     assert got[1].temperature_2m_c == 4.5 and got[1].heure == 14
     hours = spark.read.parquet(f"{tmp_dir}/out/hours")
     assert {"nb_observations", "moy_velos_disponibles", "temperature_moyenne_c"} <= set(hours.columns)

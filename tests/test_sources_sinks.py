@@ -46,7 +46,7 @@ def test_src1_src7_json_pages_corrupt_lines_and_latest_snapshot(spark, tmp_dir):
     new = os.path.join(_local(tmp_dir), "ingested_at=20240201T000000000000Z")
     os.makedirs(old)
     os.makedirs(new)
-    page = {"values": [{"idstation": 1, "nom": "Vélo Place", "commune": "Lyon 1er", "lat": 45.7, "lon": 4.8, "nbbornettes": 20}]}
+    page = {"values": [{"idstation": 1, "nom": "Grand Place", "commune": "Centre 1er", "lat": 45.7, "lon": 4.8, "nbbornettes": 20}]}
     with open(os.path.join(old, "p.json"), "w", encoding="utf-8") as f:
         f.write(json.dumps({"values": [{"idstation": 9, "nom": "Old"}]}) + "\n")
     with open(os.path.join(new, "p.json"), "w", encoding="utf-8") as f:
@@ -56,7 +56,7 @@ def test_src1_src7_json_pages_corrupt_lines_and_latest_snapshot(spark, tmp_dir):
     bad = [r for r in raw.select("values", "_corrupt_record").collect() if r._corrupt_record]
     assert len(bad) == 1
     sites = read_sites(spark, tmp_dir).collect()
-    assert [(r.site_id, r.site_name) for r in sites] == [(1, "Vélo Place")]
+    assert [(r.site_id, r.site_name) for r in sites] == [(1, "Grand Place")]
 
 
 def test_snk5_page_snapshot_roundtrip(spark, tmp_dir):
@@ -95,9 +95,9 @@ def test_prj10_concat_frames(spark):
 
 
 def test_fn18_zone_path_key(spark):
-    df = spark.createDataFrame([("Lyon 1er Arrondissement",), ("A/B",), ("Sainte-Foy-lès-Lyon",), ("x_y",)], "z string")
+    df = spark.createDataFrame([("Centre 1er Quartier",), ("A/B",), ("Sainte-Anne-lès-Bois",), ("x_y",)], "z string")
     got = [r.k for r in df.select(zone_path_key("z").alias("k")).collect()]
-    assert got == ["Lyon_1er_Arrondissement", "A-B", "Sainte-Foy-lès-Lyon", "x_y"]
+    assert got == ["Centre_1er_Quartier", "A-B", "Sainte-Anne-lès-Bois", "x_y"]
 
 
 def _csv(lines, crlf=False):
@@ -135,15 +135,15 @@ def test_src5_csv_preamble_header_blank_crlf_empty_cell(spark):
 def test_snk6_src6_archive_roundtrip_with_lossy_zone_key(spark, tmp_dir):
     text = _csv(["meta", HEADER, "2024-01-15T14:00,5.5,80,3.1,0.0,0.0,0.0,3,10.2,20.1,1,24000.0"]) + "\n"
     texts = spark.createDataFrame(
-        [("Lyon 1er Arrondissement", dt.date(2024, 1, 15), dt.date(2024, 1, 21), text)],
+        [("Centre 1er Quartier", dt.date(2024, 1, 15), dt.date(2024, 1, 21), text)],
         "zone string, start date, end date, value string",
     )
     write_context_archive(texts, tmp_dir, "20240122T000000000000Z")
-    zones = spark.createDataFrame([("Lyon 1er Arrondissement", 45.77, 4.83)], "zone string, lat double, lon double")
+    zones = spark.createDataFrame([("Centre 1er Quartier", 45.77, 4.83)], "zone string, lat double, lon double")
     ctx = context_from_texts(read_texts(spark, tmp_dir), "Europe/Paris", zones).collect()
     assert len(ctx) == 1
     r = ctx[0]
-    assert r.zone == "Lyon 1er Arrondissement" and r.ctx_ts == T(2024, 1, 15, 13, 0)
+    assert r.zone == "Centre 1er Quartier" and r.ctx_ts == T(2024, 1, 15, 13, 0)
     assert r.location.coordinates == [4.83, 45.77]
     assert r.start == dt.date(2024, 1, 15) and r.ingested_at == "20240122T000000000000Z" and r.row_ok
 
