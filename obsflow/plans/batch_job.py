@@ -40,7 +40,7 @@ from obsflow.operators.merge import keyed_merge
 from obsflow.operators.quality import gate_verdict
 from obsflow.operators.rollup import SITE_HOUR_KEYS, hourly_rollup
 from obsflow.operators.rules import CONSISTENCY_RULES, GATE_RULES, Rule, rule_counts
-from obsflow.plans.layouts import HOUR_NAMES, ROW_NAMES, publish_as, read_as_library
+from obsflow.plans.layouts import HOUR_NAMES, QUALITY_NAMES, ROW_NAMES, publish_as, read_as_library
 from obsflow.session import new_work_path
 from obsflow.sinks.parquet import table_exists, write_partitioned
 
@@ -110,6 +110,27 @@ def row_columns(settings: BatchSettings) -> list[str]:
     ]
 
 
+def _append_quality(spark: SparkSession, path: str, run_id: str, metrics: dict, verdict: dict, s: BatchSettings) -> None:
+    """One row per run: the gate figures after the filters and the verdict (DQ6).
+
+    Built from the observed metrics (a handful of numbers on the driver),
+    appended so the table keeps the history of runs.
+    """
+    names = [r.name for r in s.gate_rules]
+    fields = ["run_id string", "n_rows bigint", *[f"{n} bigint" for n in names], "passed boolean", "failed_rules string"]
+    values = (
+        run_id,
+        int(metrics["n_final"]),
+        *[int(metrics.get(f"final_{n}", 0) or 0) for n in names],
+        bool(verdict["passed"]),
+        ",".join(verdict["failed_rules"]),
+    )
+    row = spark.createDataFrame([values], ", ".join(fields))
+    if s.layout == "reference":
+        row = publish_as(row, QUALITY_NAMES)
+    row.write.mode("append").parquet(path)
+
+
 def _layout(s: BatchSettings) -> tuple[dict, dict]:
     if s.layout == "reference":
         return dict(ROW_NAMES), dict(HOUR_NAMES)
@@ -233,10 +254,12 @@ def run_batch(
 
     rows_path, hours_path = f"{out_dir.rstrip('/')}/rows", f"{out_dir.rstrip('/')}/hours"
     result = BatchResult(metrics, verdict, False, staging, rows_path, hours_path)
+    row_names, hour_names = _layout(s)
+    # The quality table gets its row whether or not the gate lets the data through.
+    _append_quality(spark, f"{out_dir.rstrip('/')}/quality", staging.rsplit("/", 1)[-1], metrics, verdict, s)
     if s.enforce_gate and not verdict["passed"]:
         return result
 
-    row_names, hour_names = _layout(s)
     parts = [row_names.get(c, c) for c in ("year", "month")]
     accepted = spark.read.parquet(staging).filter(F.col("disposition") == OK).select(*row_columns(s))
     touched = accepted.select("year", "month").distinct()

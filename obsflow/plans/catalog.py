@@ -437,6 +437,11 @@ def q_batch_hours(spark, d):
     return spark.read.parquet(_batch(spark, d).hours_path)
 
 
+def q_batch_quality(spark, d):
+    res = _batch(spark, d)
+    return spark.read.parquet(res.rows_path.rsplit("/", 1)[0] + "/quality").drop("run_id")
+
+
 def q_stream_landing_merge(spark, d):
     """STR1: raw items land in two drops; each run merges only new files."""
     from obsflow.streaming.jobs import landing_stream
@@ -523,6 +528,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partitioned_roundtrip": q_partitioned_roundtrip,
     "batch_rows": q_batch_rows,
     "batch_hours": q_batch_hours,
+    "batch_quality": q_batch_quality,
     "stream_landing_merge": q_stream_landing_merge,
     "stream_dedup_enrich": q_stream_dedup_enrich,
 }

@@ -200,6 +200,7 @@ FROM ({_MERGE})""",
     "partitioned_roundtrip": W("final_all") + f"SELECT * FROM {FINAL} WHERE month = 1",
     "batch_rows": W("final_all") + f"SELECT {_BATCH_ROWS} FROM {FINAL}",
     "batch_hours": W("final_all") + _rollup(SITE_HOUR, FINAL),
+    "batch_quality": W("final_all") + f"SELECT *, '' AS failed_rules FROM ({_gate(FINAL)})",
     "stream_landing_merge": W("obs_base")
     + f"""SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY site_id, obs_ts

@@ -55,6 +55,8 @@ def test_run_batch_publishes_and_rolls_up(spark, tmp_dir):
     hours = spark.read.parquet(res.hours_path).collect()
     assert len(hours) == 1 and hours[0].n_obs == 2 and hours[0].avg_temperature == 4.63
     assert hours[0].hour == 11  # local hour in Paris
+    q = spark.read.parquet(f"{tmp_dir}/quality").collect()
+    assert len(q) == 1 and q[0].n_rows == 2 and q[0].passed and q[0].time_null == 0
 
 
 def test_gate_refuses_publication(spark, tmp_dir):
@@ -62,6 +64,8 @@ def test_gate_refuses_publication(spark, tmp_dir):
     sites = sites.withColumn("zone", F.lit(None).cast("string"))
     res = run_batch(spark, obs, sites, ctx, tmp_dir, SETTINGS)  # zone_null blocks by default
     assert not res.published and "zone_null" in res.verdict["failed_rules"]
+    q = spark.read.parquet(f"{tmp_dir}/quality").first()
+    assert q.passed is False and "zone_null" in q.failed_rules  # recorded even when refused
     with pytest.raises(Exception):
         spark.read.parquet(res.rows_path).count()
 

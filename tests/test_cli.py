@@ -57,3 +57,6 @@ def test_cli_runs_job_in_reference_layout(spark, tmp_dir):
     hours = spark.read.parquet(f"{tmp_dir}/out/hours")
     assert {"nb_observations", "moy_velos_disponibles", "temperature_moyenne_c"} <= set(hours.columns)
     assert sorted(r.nb_observations for r in hours.collect()) == [1, 1]
+    quality = spark.read.parquet(f"{tmp_dir}/out/quality")
+    assert {"nb_lignes", "horodate_null", "station_null", "commune_null", "capacity_non_positive",
+            "bikes_negatifs", "meteo_null", "taux_hors_limites"} <= set(quality.columns)
