@@ -18,6 +18,9 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
+# Fixed values below: the field names of the landed documents and feed
+# items (they must equal the data's), in the order the data carries them.
+
 # --- landed site pages (JSON lines, one page per line) -------------------
 SITE_RECORD = StructType(
     [

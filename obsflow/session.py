@@ -51,12 +51,18 @@ def ensure_shared_dir(spark: SparkSession) -> str:
     Intermediate tables (staging, merge output, archives written by the
     round-trip queries) go under it so that every executor sees them and a
     lost executor does not lose them. A local temporary folder is created and
-    registered only when the session names none, as in tests.
+    registered only in local mode when the session names none, as in tests;
+    on a cluster a missing setting is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         shared = spark.sparkContext.getCheckpointDir()
     if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder every executor can reach "
+                "(hdfs://, s3a://, abfs://, ...) for staged tables"
+            )
         shared = tempfile.mkdtemp(prefix="obsflow-")
         spark.conf.set("spark.checkpoint.dir", shared)
     if spark.sparkContext.getCheckpointDir() is None:
