@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from obsflow.functions.text import record_json
 from obsflow.functions.time import parse_instant
 from obsflow.schemas import SITE_FIELDS
 
@@ -45,7 +46,7 @@ def flatten_items(items: DataFrame, keep_raw: bool = True) -> DataFrame:
         F.col("main_stands.availabilities.stands").alias("free"),
     ]
     if keep_raw:
-        cols.append(F.to_json(F.struct(*[F.col(c) for c in items.columns])).alias("raw"))
+        cols.append(record_json(*[F.col(c) for c in items.columns]).alias("raw"))
     return items.select(*cols)
 
 

@@ -141,3 +141,10 @@ def test_session_zone_does_not_change_results(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert before == after
+
+
+def test_fn19_ingest_stamp(spark):
+    from obsflow.functions.time import ingest_stamp
+
+    df = spark.createDataFrame([(T(2024, 9, 1, 12, 5, 0, 123456),)], "ts timestamp_ntz")
+    assert df.select(ingest_stamp("ts").alias("s")).first().s == "20240901T120500123456Z"
