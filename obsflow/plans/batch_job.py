@@ -248,8 +248,13 @@ def run_batch(
     figures = Observation(f"obsflow_figures_{uuid.uuid4().hex[:8]}")
     staging = new_work_path(spark, "staging")
     staged = rows.select(*row_columns(s), "has_context", "is_orphan", "reasons", "disposition")
-    write_partitioned(staged.observe(figures, *observed_figures(s)), staging, ["disposition", "year", "month"])
+    write_partitioned(staged, staging, ["disposition", "year", "month"], observe=(figures, observed_figures(s)))
     metrics = dict(figures.get)
+    # Cross-check against the durable staged table (a footer-only count). On
+    # a mismatch the figures are recomputed exactly from the staged rows.
+    if spark.read.parquet(staging).count() != metrics["n_rows"]:
+        metrics = spark.read.parquet(staging).agg(*observed_figures(s)).first().asDict()
+        metrics["recomputed"] = True
     verdict = gate_verdict(metrics, s.gate_rules, prefix="final_")
 
     rows_path, hours_path = f"{out_dir.rstrip('/')}/rows", f"{out_dir.rstrip('/')}/hours"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -15,6 +15,7 @@ def write_partitioned(
     mode: str = "overwrite",
     dynamic: bool = True,
     rebalance: bool = True,
+    observe: tuple[Observation, Sequence[Column]] | None = None,
 ) -> None:
     """Write Parquet partitioned by ``partition_cols`` (SNK1, SNK2).
 
@@ -26,6 +27,12 @@ def write_partitioned(
     partition.
     """
     out = df.hint("rebalance", *partition_cols) if rebalance and partition_cols else df
+    if observe is not None:
+        # Above the exchange: the metrics are collected by the write's result
+        # tasks, which update accumulators once per partition even when a
+        # lost executor forces earlier stages to run again.
+        obs, cols = observe
+        out = out.observe(obs, *cols)
     writer = out.write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)

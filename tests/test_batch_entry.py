@@ -160,3 +160,22 @@ def test_cluster_conf_sizes_for_100_tb():
     conf = cluster_conf(100 * 1024**4)
     assert int(conf["spark.sql.shuffle.partitions"]) == 200 * 1024
     assert conf["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_overcounted_metrics_are_recomputed_from_staged_rows(spark, tmp_dir, monkeypatch):
+    from pyspark.sql import Observation
+
+    from obsflow.plans import batch_job
+
+    class Doubled(Observation):
+        """Simulates a stage re-run that counted some partitions twice."""
+
+        @property
+        def get(self):
+            return {k: 2 * v for k, v in super().get.items()}
+
+    monkeypatch.setattr(batch_job, "Observation", Doubled)
+    obs, sites, ctx = _inputs(spark)
+    res = run_batch(spark, obs, sites, ctx, tmp_dir, SETTINGS)
+    assert res.metrics.get("recomputed") is True
+    assert res.metrics["n_rows"] == 6 and res.metrics["n_final"] == 2 and res.verification["ok"]
