@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from obsflow.functions.numeric import try_cast, try_flag
 from obsflow.functions.text import geo_point, zone_path_key
 from obsflow.functions.time import parse_local_text
+from obsflow.operators.joins import broadcast_if_small, unique_by
 from obsflow.schemas import CONTEXT_CSV_COLUMNS, CONTEXT_CSV_HEADER_PREFIX
 
 # Path layout: .../commune=<key>/start=<date>/end=<date>/ingested_at=<stamp>[.csv | /part-...]
@@ -99,7 +100,8 @@ def context_from_texts(texts: DataFrame, tz: str, zones: DataFrame | None = None
         z = zones.select(
             zone_path_key("zone").alias("commune_key"), "zone", geo_point("lon", "lat").alias("location")
         )
-        rows = rows.join(F.broadcast(z), "commune_key", "left")
+        z, _ = broadcast_if_small(unique_by(z, ["commune_key"]))
+        rows = rows.join(z, "commune_key", "left")
     else:
         rows = rows.withColumns({"zone": F.col("commune_key"), "location": F.lit(None).cast("struct<type:string,coordinates:array<double>>")})
     measure_names = [name for _, name, _ in CONTEXT_CSV_COLUMNS[1:]]
