@@ -90,8 +90,9 @@ def context_from_texts(texts: DataFrame, tz: str, zones: DataFrame | None = None
 
     ``zones`` (zone, lat, lon) recovers the exact zone name from the lossy
     path key (m24) and the GeoJSON point (PRJ7); without it the path key is
-    used as the zone. Rows whose time or any cell cannot be read keep NULLs
-    and ``row_ok = FALSE``.
+    used as the zone. Rows whose time or a non-empty cell cannot be read
+    keep NULLs, list the columns in ``bad_cells`` and have ``row_ok =
+    FALSE``; empty cells are missing values (NULL) in an otherwise ok row.
     """
     rows = split_text(texts)
     rows = rows.withColumns(typed_measures("cells"))
@@ -105,7 +106,29 @@ def context_from_texts(texts: DataFrame, tz: str, zones: DataFrame | None = None
     else:
         rows = rows.withColumns({"zone": F.col("commune_key"), "location": F.lit(None).cast("struct<type:string,coordinates:array<double>>")})
     measure_names = [name for _, name, _ in CONTEXT_CSV_COLUMNS[1:]]
-    ok = F.col("cells").isNotNull() & F.col("ctx_ts").isNotNull()
+    # A cell that holds text but does not parse makes the row inconsistent
+    # (quarantined, m23); an empty cell is a missing value and stays NULL.
+    bad = F.array_compact(
+        F.array(
+            *[
+                F.when(
+                    (F.trim(F.element_at("cells", F.lit(header))) != "") & F.col(name).isNull(), F.lit(name)
+                )
+                for header, name, _ in CONTEXT_CSV_COLUMNS[1:]
+            ]
+        )
+    )
+    rows = rows.withColumn("bad_cells", bad)
+    ok = F.col("cells").isNotNull() & F.col("ctx_ts").isNotNull() & (F.size("bad_cells") == 0)
     return rows.select(
-        "zone", "location", "ctx_ts", *measure_names, "start", "end", "ingested_at", "line_no", ok.alias("row_ok")
+        "zone",
+        "location",
+        "ctx_ts",
+        *measure_names,
+        "start",
+        "end",
+        "ingested_at",
+        "line_no",
+        "bad_cells",
+        ok.alias("row_ok"),
     )

@@ -181,3 +181,19 @@ def test_layout_names(spark):
     pub = publish_as(df, HOUR_NAMES)
     assert pub.columns == ["station_id", "station_nom", "nb_observations", "other"]
     assert read_as_library(pub, HOUR_NAMES).columns == df.columns
+
+
+def test_m23_bad_cell_quarantines_row_empty_cell_does_not(spark):
+    text = _csv(
+        [
+            HEADER,
+            "2024-01-15T14:00,,80,3.1,0.0,0.0,0.0,3,10.2,20.1,1,24000.0",  # empty temperature: ok, NULL
+            "2024-01-15T14:15,5.0,81,3.0,0.1,0.1,0.0,bad,10.0,19.0,0,23000.0",  # malformed code
+            "not-a-time,5.0,81,3.0,0.1,0.1,0.0,3,10.0,19.0,0,23000.0",
+        ]
+    )
+    texts = spark.createDataFrame([("Z", None, None, None, text)], "commune_key string, start date, end date, ingested_at string, value string")
+    rows = sorted(context_from_texts(texts, "Europe/Paris").collect(), key=lambda r: r.line_no)
+    assert [r.row_ok for r in rows] == [True, False, False]
+    assert rows[0].temperature_2m_c is None and rows[0].bad_cells == []
+    assert rows[1].bad_cells == ["weather_code"]
