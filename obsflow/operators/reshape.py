@@ -30,11 +30,12 @@ def sites_from_records(records: DataFrame) -> DataFrame:
     return records.select(*[F.col(src).alias(dst) for src, dst in SITE_FIELDS.items()])
 
 
-def flatten_items(items: DataFrame, keep_raw: bool = True) -> DataFrame:
+def flatten_items(items: DataFrame, keep_raw: bool = True, raw_as_variant: bool = False) -> DataFrame:
     """Raw feed items -> canonical observations (PRJ5, PRJ6).
 
     Nested counts two levels down; a missing or NULL ``main_stands`` gives
-    NULL counts (m18). ``raw`` keeps the whole item as JSON text.
+    NULL counts (m18). ``raw`` keeps the whole item as JSON text, or as a
+    VARIANT with ``raw_as_variant`` (queried with ``variant_get``).
     """
     cols = [
         F.col("number").alias("site_id"),
@@ -46,7 +47,8 @@ def flatten_items(items: DataFrame, keep_raw: bool = True) -> DataFrame:
         F.col("main_stands.availabilities.stands").alias("free"),
     ]
     if keep_raw:
-        cols.append(record_json(*[F.col(c) for c in items.columns]).alias("raw"))
+        raw = record_json(*[F.col(c) for c in items.columns])
+        cols.append((F.parse_json(raw) if raw_as_variant else raw).alias("raw"))
     return items.select(*cols)
 
 

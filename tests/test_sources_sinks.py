@@ -197,3 +197,18 @@ def test_m23_bad_cell_quarantines_row_empty_cell_does_not(spark):
     assert [r.row_ok for r in rows] == [True, False, False]
     assert rows[0].temperature_2m_c is None and rows[0].bad_cells == []
     assert rows[1].bad_cells == ["weather_code"]
+
+
+def test_prj6_raw_as_variant(spark):
+    items = spark.createDataFrame([("2024-09-01 14:00:00+02:00", 7, "OPEN", (20, (5, 15)))], RAW_OBSERVATION_ITEM)
+    out = flatten_items(items, raw_as_variant=True)
+    assert out.schema["raw"].dataType.simpleString() == "variant"
+    got = out.select(F.variant_get("raw", "$.main_stands.availabilities.bikes", "int").alias("b")).first().b
+    assert got == 5
+
+
+def test_src5_quoted_comma_cell_is_quarantined_not_misread(spark):
+    text = _csv([HEADER, '2024-01-15T14:00,"5,5",80,3.1,0.0,0.0,0.0,3,10.2,20.1,1,24000.0'])
+    texts = spark.createDataFrame([("Z", None, None, None, text)], "commune_key string, start date, end date, ingested_at string, value string")
+    r = context_from_texts(texts, "Europe/Paris").first()
+    assert r.row_ok is False and r.temperature_2m_c is None
