@@ -20,7 +20,9 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ())
 
     Deterministic: ties on ``order`` are broken by the remaining columns, so
     every run and every action sees the same survivor. Column order of the
-    input is kept.
+    input is kept. Measured against ``row_number`` and ``dropDuplicates`` on
+    equal input (tools/dedup_strategies.py) it costs the same; unlike the
+    window it keeps the map-side partial aggregate.
     """
     keys = list(keys)
     order = [c for c in order if c not in keys]

@@ -86,7 +86,8 @@ def unique_by(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) ->
 
     Used on dimension and context inputs before a many-to-one join so that a
     duplicated key cannot multiply fact rows (m17). Map-side partial
-    aggregation collapses copies before the shuffle.
+    aggregation collapses copies before the shuffle. These sides are small,
+    so the survivor is the plainly explainable greatest row.
     """
     from obsflow.operators.dedup import dedup_latest
 
