@@ -179,3 +179,18 @@ def test_overcounted_metrics_are_recomputed_from_staged_rows(spark, tmp_dir, mon
     res = run_batch(spark, obs, sites, ctx, tmp_dir, SETTINGS)
     assert res.metrics.get("recomputed") is True
     assert res.metrics["n_rows"] == 6 and res.metrics["n_final"] == 2 and res.verification["ok"]
+
+
+def test_run_reports_from_staged_table(spark, tmp_dir):
+    from obsflow.plans.reports import quarantine, run_reports
+
+    obs, sites, ctx = _inputs(spark)
+    res = run_batch(spark, obs, sites, ctx, tmp_dir, SETTINGS)
+    reps = run_reports(spark, res, ctx)
+    jq = reps["join_quality"].first()
+    assert (jq.n_rows, jq.n_matched, jq.n_orphans) == (6, 3, 1)
+    assert reps["rate_out_of_range"].count() == 1
+    reasons = {r.reason: r["count"] for r in reps["quarantine_by_reason"].collect()}
+    assert reasons == {"key_part_null": 2, "orphan": 1, "available_above_capacity": 1}
+    assert reps["site_hour_top"].count() == 1 and reps["zones_without_context"].count() == 0
+    assert quarantine(spark, res).count() == 4
