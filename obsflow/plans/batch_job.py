@@ -242,7 +242,7 @@ def run_batch(
     settings: BatchSettings = BatchSettings(),
     overrides: DataFrame | None = None,
 ) -> BatchResult:
-    """Stage, measure, gate, publish, roll up. Three jobs, one source scan."""
+    """Stage (one pass over the sources), measure, gate, publish, roll up."""
     s = settings
     rows = build_rows(obs, sites, context, s, overrides)
     figures = Observation(f"obsflow_figures_{uuid.uuid4().hex[:8]}")
