@@ -55,9 +55,9 @@ def row_width(schema: T.StructType) -> int:
 def bounded_row_count(df: DataFrame, limit: int) -> int:
     """Row count of ``df`` capped at ``limit + 1``.
 
-    ``limit`` lets the scan stop early when the side is large, so checking a
-    side that turns out to be big costs little. The frame is only counted,
-    never collected.
+    Each partition stops contributing after ``limit + 1`` rows, so a check
+    costs at most one computation of the side being checked (a dimension or
+    context side, never the facts). Only the count reaches the driver.
     """
     return df.limit(limit + 1).count()
 
