@@ -54,22 +54,32 @@ def ensure_shared_dir(spark: SparkSession) -> str:
     registered only in local mode when the session names none, as in tests;
     on a cluster a missing setting is an error.
     """
+    sc = spark_context(spark)
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and sc is not None:
+        shared = sc.getCheckpointDir()
     if not shared:
-        shared = spark.sparkContext.getCheckpointDir()
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: name a folder every executor can reach "
                 "(hdfs://, s3a://, abfs://, ...) for staged tables"
             )
         shared = tempfile.mkdtemp(prefix="obsflow-")
         spark.conf.set("spark.checkpoint.dir", shared)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(shared)
     return shared.rstrip("/")
 
 
+def spark_context(spark: SparkSession):
+    """The session's SparkContext, or None on a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions expose no SparkContext
+        return None
+
+
 def new_work_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused folder under the shared folder."""
     base = ensure_shared_dir(spark)

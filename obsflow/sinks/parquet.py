@@ -59,9 +59,19 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     Works for any scheme the cluster is configured for (hdfs, s3a, abfs,
     file) and plans no query, so a missing table is not an analysis error.
     """
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    from obsflow.session import spark_context
+
+    sc = spark_context(spark)
+    if sc is None:  # Spark Connect: ask the reader instead
+        from pyspark.errors import AnalysisException
+
+        try:
+            spark.read.parquet(path).schema  # noqa: B018
+            return True
+        except AnalysisException:
+            return False
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
     return bool(fs.exists(p))
 
 
