@@ -482,6 +482,36 @@ def q_stream_dedup_enrich(spark, d):
     return spark.read.parquet(out)
 
 
+def q_store_load(spark, d):
+    """SRC2/SRC4: the format-neutral loader with a declared schema and options."""
+    from obsflow.sources.store import load_table
+
+    path = f"{d.rstrip('/')}/events.parquet"
+    ev = load_table(spark, "parquet", roles.DRIVER_SCHEMAS["events"], path, {"mergeSchema": "false"})
+    return ev.select("event_id", "user_id", "ts", "event_type")
+
+
+def q_landed_concat(spark, d):
+    """PRJ10: two landing drops with different columns, concatenated by name."""
+    from obsflow.operators.reshape import concat_frames
+
+    obs = roles.observations(spark, d)
+    first = obs.filter(F.col("batch") == 1).drop("free")  # an older drop without the column
+    again = obs.filter(F.col("batch") == 2)
+    return concat_frames([first, again])
+
+
+def q_append_roundtrip(spark, d):
+    """SNK4: keyless appends accumulate; read back whole."""
+    from obsflow.sinks.parquet import append
+
+    path = new_work_path(spark, "append")
+    base = roles.observation_base(spark, d)
+    append(base.withColumn("drop_no", F.lit(1)), path)
+    append(base.withColumn("drop_no", F.lit(2)), path)
+    return spark.read.parquet(path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_latest": q_dedup_latest,
     "dedup_plain_count": q_dedup_plain_count,
@@ -531,5 +561,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_quality": q_batch_quality,
     "stream_landing_merge": q_stream_landing_merge,
     "stream_dedup_enrich": q_stream_dedup_enrich,
+    "store_load": q_store_load,
+    "landed_concat": q_landed_concat,
+    "append_roundtrip": q_append_roundtrip,
 }
 

@@ -209,4 +209,10 @@ FROM ({_MERGE})""",
                date_trunc('second', obs_ts) AS obs_ts, status, capacity, available, free,
                CAST(obs_ts AS DATE) AS obs_date, {_RAW} AS raw FROM obs_base)) WHERE rn = 1""",
     "stream_dedup_enrich": W("enriched") + "SELECT * EXCLUDE (event_id, batch) FROM enriched",
+    "store_load": "SELECT event_id, user_id, ts, event_type FROM events",
+    "landed_concat": W("obs")
+    + "SELECT * REPLACE (CAST(NULL AS INTEGER) AS free) FROM obs WHERE batch = 1 "
+    "UNION ALL SELECT * FROM obs WHERE batch = 2",
+    "append_roundtrip": W("obs_base")
+    + "SELECT *, 1 AS drop_no FROM obs_base UNION ALL SELECT *, 2 AS drop_no FROM obs_base",
 }
