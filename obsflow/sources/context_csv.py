@@ -66,7 +66,9 @@ def split_text(texts: DataFrame, text_col: str = "value") -> DataFrame:
             "__body": F.when(F.col("__hdr") > 0, body).otherwise(F.array(F.lit(None).cast("string"))),
         }
     )
-    t = t.select("*", F.posexplode_outer("__body").alias("line_no", "__line"))
+    # A text without a header keeps one sentinel row (NULL line) so that it
+    # is quarantined; a header with no data lines simply yields no rows.
+    t = t.select("*", F.posexplode("__body").alias("line_no", "__line"))
     cells = F.split("__line", ",")
     cell_map = F.when(
         F.col("__line").isNotNull() & (F.size(cells) == F.size("__header")),

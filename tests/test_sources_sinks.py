@@ -212,3 +212,9 @@ def test_src5_quoted_comma_cell_is_quarantined_not_misread(spark):
     texts = spark.createDataFrame([("Z", None, None, None, text)], "commune_key string, start date, end date, ingested_at string, value string")
     r = context_from_texts(texts, "Europe/Paris").first()
     assert r.row_ok is False and r.temperature_2m_c is None
+
+
+def test_src5_header_only_text_yields_no_rows(spark):
+    texts = spark.createDataFrame([("h", _csv(["preamble", HEADER, ""])), ("n", "no header here")], "name string, value string")
+    rows = split_text(texts).collect()
+    assert [r.name for r in rows] == ["n"] and rows[0].cells is None
