@@ -26,6 +26,15 @@ _PATH_FIELDS = {
 }
 
 
+def _unescape(value: Column) -> Column:
+    """Path segment -> its text: undo the file URI encoding, then Spark's
+    partition-folder escaping (``:`` is written ``%3A``, so ``%253A`` in the
+    URI). A literal ``+`` is kept (URL decoding would turn it into a space).
+    """
+    once = F.try_url_decode(F.regexp_replace(value, r"\+", "%2B"))
+    return F.try_url_decode(F.regexp_replace(once, r"\+", "%2B"))
+
+
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: its whole text and its path (SRC5, SRC6).
 
@@ -39,7 +48,7 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
         .text(path, wholetext=True)
         .select("value", F.col("_metadata.file_path").alias("file_path"))
     )
-    fields = {k: F.regexp_extract("file_path", rx, 1) for k, rx in _PATH_FIELDS.items()}
+    fields = {k: _unescape(F.regexp_extract("file_path", rx, 1)) for k, rx in _PATH_FIELDS.items()}
     fields["start"] = F.try_to_date(fields["start"], "yyyy-MM-dd")
     fields["end"] = F.try_to_date(fields["end"], "yyyy-MM-dd")
     return df.withColumns(fields)

@@ -218,3 +218,15 @@ def test_src5_header_only_text_yields_no_rows(spark):
     texts = spark.createDataFrame([("h", _csv(["preamble", HEADER, ""])), ("n", "no header here")], "name string, value string")
     rows = split_text(texts).collect()
     assert [r.name for r in rows] == ["n"] and rows[0].cells is None
+
+
+def test_snk6_src6_zone_names_with_escaped_characters_roundtrip(spark, tmp_dir):
+    zones = ["Écully Nord: A+B", "Champagne-au-Mont-d'Or", "Ville 50%"]
+    text = _csv([HEADER, "2024-01-15T14:00,5.5,80,3.1,0.0,0.0,0.0,3,10.2,20.1,1,24000.0"]) + "\n"
+    texts = spark.createDataFrame(
+        [(z, dt.date(2024, 1, 15), dt.date(2024, 1, 21), text) for z in zones], "zone string, start date, end date, value string"
+    )
+    write_context_archive(texts, tmp_dir, "20240122T000000000000Z")
+    table = spark.createDataFrame([(z, 45.0, 4.0) for z in zones], "zone string, lat double, lon double")
+    got = sorted(r.zone for r in context_from_texts(read_texts(spark, tmp_dir), "Europe/Paris", table).collect())
+    assert got == sorted(zones)
