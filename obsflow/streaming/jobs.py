@@ -68,19 +68,29 @@ def landing_stream(
     schema: StructType = RAW_OBSERVATION_ITEM,
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
+    quarantine_path: str | None = None,
 ) -> StreamingQuery:
-    """Start STR1: raw JSON items under ``source_path`` -> merged table."""
+    """Start STR1: raw JSON items under ``source_path`` -> merged table.
+
+    Items whose key cannot be read (unparsed time, missing site) cannot be
+    merged by key; they are appended, with their raw payload, to
+    ``quarantine_path`` (default: the table path + ``_quarantine``).
+    """
+    quarantine_path = quarantine_path or table_path.rstrip("/") + "_quarantine"
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     items = reader.json(source_path)
     flat = flatten_items(items).withColumn(LANDING_PARTITION, F.to_date("obs_ts"))
-    # Rows whose key cannot be read would merge under a NULL key: keep them
-    # out of the keyed table (they stay in the raw files for inspection).
-    flat = flat.filter(F.col("site_id").isNotNull() & F.col("obs_ts").isNotNull())
+    keyed = F.col("site_id").isNotNull() & F.col("obs_ts").isNotNull()
 
     def each_batch(df: DataFrame, epoch_id: int) -> None:
-        merge_into_table(df.sparkSession, df, table_path)
+        session = df.sparkSession
+        merge_into_table(session, df.filter(keyed), table_path)
+        # Appended per epoch under its own folder, so a replayed epoch
+        # overwrites its own rows instead of adding them twice.
+        bad = df.filter(~keyed).withColumn("epoch_id", F.lit(epoch_id))
+        bad.write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/epoch_id={epoch_id}")
 
     writer = flat.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint_path)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
@@ -102,6 +112,12 @@ def dedup_enrich_stream(
     """
     ts_key = "__event_time"
     other = [k for k in keys if k != "obs_ts"]
-    s = observations.withColumn(ts_key, utc_ntz_to_instant("obs_ts"))
-    s = s.withWatermark(ts_key, watermark).dropDuplicatesWithinWatermark([*other, ts_key])
-    return attach_sites(s.drop(ts_key), sites, overrides)
+    keyed = F.col("obs_ts").isNotNull()
+    for k in other:
+        keyed = keyed & F.col(k).isNotNull()
+    s = observations.filter(keyed).withColumn(ts_key, utc_ntz_to_instant("obs_ts"))
+    s = s.withWatermark(ts_key, watermark).dropDuplicatesWithinWatermark([*other, ts_key]).drop(ts_key)
+    # Rows without a full key cannot be deduplicated by it: they pass through
+    # unmerged rather than being lost to a NULL event time.
+    s = s.unionByName(observations.filter(~keyed))
+    return attach_sites(s, sites, overrides)

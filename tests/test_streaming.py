@@ -27,12 +27,14 @@ def test_str1_each_drop_merged_once_and_replay_is_idempotent(spark, tmp_dir):
             ("2024-01-01 10:00:00+01:00", 1, "OPEN", 10, 4, 6),
             ("2024-01-01 09:00:00Z", 1, "OPEN", 10, 4, 6),  # same key: one row
             ("2024-01-01 10:15:00+01:00", 2, "OPEN", 10, 1, 9),
-            ("bad time", 3, "OPEN", 10, 1, 9),  # no key: kept out of the table
+            ("bad time", 3, "OPEN", 10, 1, 9),  # no key: quarantined, not merged
         ],
     ).write.mode("append").text(src)
     landing_stream(spark, src, table, ckpt).awaitTermination()
     first = {(r.site_id, r.obs_ts): r for r in spark.read.parquet(table).collect()}
     assert set(first) == {(1, T(2024, 1, 1, 9, 0)), (2, T(2024, 1, 1, 9, 15))}
+    bad = spark.read.parquet(table + "_quarantine").collect()
+    assert [(r.site_id, r.obs_text) for r in bad] == [(3, "bad time")]  # kept, not dropped
 
     # A later drop revises one key and adds another; the checkpoint skips the first drop.
     _items(
@@ -58,7 +60,13 @@ def test_str2_watermark_dedup_then_site_join(spark, tmp_dir):
     src, out, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
     schema = "site_id bigint, obs_ts timestamp_ntz, status string"
     spark.createDataFrame(
-        [(1, T(2024, 1, 1, 9), "OPEN"), (1, T(2024, 1, 1, 9), "OPEN"), (2, T(2024, 1, 1, 9), "OPEN"), (9, T(2024, 1, 1, 9), "OPEN")],
+        [
+            (1, T(2024, 1, 1, 9), "OPEN"),
+            (1, T(2024, 1, 1, 9), "OPEN"),
+            (2, T(2024, 1, 1, 9), "OPEN"),
+            (9, T(2024, 1, 1, 9), "OPEN"),
+            (2, None, "OPEN"),  # no time: passes through, not lost
+        ],
         schema,
     ).write.mode("append").parquet(src)
     sites = spark.createDataFrame([(1, "A", "Z", 45.0, 4.0), (2, "B", None, 45.0, 4.0)], "site_id bigint, site_name string, zone string, lat double, lon double")
@@ -71,7 +79,8 @@ def test_str2_watermark_dedup_then_site_join(spark, tmp_dir):
         .start(out)
     )
     q.awaitTermination()
-    got = {r.site_id: r for r in spark.read.parquet(out).collect()}
+    got = {r.site_id: r for r in spark.read.parquet(out).filter("obs_ts IS NOT NULL").collect()}
     assert set(got) == {1, 2, 9}
+    assert spark.read.parquet(out).filter("obs_ts IS NULL").count() == 1
     assert got[9].is_orphan and not got[1].is_orphan and got[1].zone == "Z"
     assert spark.read.parquet(out).filter(F.col("site_id") == 1).count() == 1
