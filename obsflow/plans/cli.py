@@ -15,9 +15,13 @@ store options and ``spark.checkpoint.dir`` come from spark-submit. Example:
       "time_range": ["2026-08-27", "2026-09-02"],
       "layout": "reference",
       "orphan_on": "site_name",
-      "enforce_gate": true
+      "enforce_gate": true,
+      "dedup_input": true
     }
 
+``dedup_input: false`` when the observations come from the keyed landing
+table (the streaming landing merge), which holds one row per key.
+
 ``kind`` of observations: ``landed`` (station_id, horodate text, ...),
 ``raw_items`` (feed items with nested counts) or ``canonical``. Context:
 ``landed`` (commune, datetime instant, measures), ``csv_archive`` (raw CSV
@@ -80,8 +84,19 @@ def context(spark: SparkSession, spec: Mapping, tz: str) -> DataFrame:
 
 
 def settings_from(cfg: Mapping) -> BatchSettings:
-    keys = ("time_zone", "slot_minutes", "orphan_on", "enforce_gate", "publish_mode", "layout", "salt_buckets")
+    keys = (
+        "time_zone",
+        "slot_minutes",
+        "orphan_on",
+        "enforce_gate",
+        "publish_mode",
+        "layout",
+        "salt_buckets",
+        "dedup_input",
+    )
     kw = {k: cfg[k] for k in keys if k in cfg}
+    if "dedup_order" in cfg:
+        kw["dedup_order"] = tuple(cfg["dedup_order"])
     if "time_range" in cfg:
         kw["time_range"] = tuple(cfg["time_range"])
     if "broadcast_max_rows" in cfg:
