@@ -131,6 +131,17 @@ def _append_quality(spark: SparkSession, path: str, run_id: str, metrics: dict,
     row.write.mode("append").parquet(path)
 
 
+def touched_months(spark: SparkSession, rows_path: str, touched: DataFrame, names: dict) -> DataFrame:
+    """Published rows of the months a run touched, in library names.
+
+    The semi-join on the partition columns with the broadcast month list
+    (one row per touched month: bounded by the run's date range) becomes
+    dynamic partition pruning: history months are never listed or read.
+    """
+    published = read_as_library(spark.read.parquet(rows_path), names)
+    return published.join(F.broadcast(touched), ["year", "month"], "left_semi")
+
+
 def _layout(s: BatchSettings) -> tuple[dict, dict]:
     if s.layout == "reference":
         return dict(ROW_NAMES), dict(HOUR_NAMES)
@@ -281,8 +292,7 @@ def run_batch(
     # Staged files are already grouped by month: no shuffle needed to publish.
     write_partitioned(publish_as(accepted, row_names), rows_path, parts, rebalance=False)
 
-    published = read_as_library(spark.read.parquet(rows_path), row_names)
-    published = published.join(F.broadcast(touched), ["year", "month"], "left_semi")
+    published = touched_months(spark, rows_path, touched, row_names)
     hours = hourly_rollup(published, SITE_HOUR_KEYS, s.temperature_col)
     write_partitioned(publish_as(hours, hour_names), hours_path, parts)
 

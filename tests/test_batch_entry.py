@@ -194,3 +194,20 @@ def test_run_reports_from_staged_table(spark, tmp_dir):
     assert reasons == {"key_part_null": 2, "orphan": 1, "available_above_capacity": 1}
     assert reps["site_hour_top"].count() == 1 and reps["zones_without_context"].count() == 0
     assert quarantine(spark, res).count() == 4
+
+
+def test_rollup_input_is_pruned_to_touched_months(spark, tmp_dir):
+    from obsflow.plans.batch_job import touched_months
+
+    rows = spark.range(240).select(
+        (F.col("id") % 2 + 2023).cast("int").alias("year"), (F.col("id") % 12 + 1).cast("int").alias("month"), "id"
+    )
+    rows.write.partitionBy("year", "month").parquet(f"{tmp_dir}/rows")
+    spark.createDataFrame([(2024, 3, "ok", 1)], "year int, month int, disposition string, v int").write.partitionBy(
+        "disposition", "year", "month"
+    ).parquet(f"{tmp_dir}/staged")
+    touched = spark.read.parquet(f"{tmp_dir}/staged").filter("disposition = 'ok'").select("year", "month").distinct()
+    df = touched_months(spark, f"{tmp_dir}/rows", touched, {})
+    assert df.count() == 10
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruningexpression" in plan
