@@ -280,8 +280,7 @@ def run_batch(
     accepted = spark.read.parquet(staging).filter(F.col("disposition") == OK).select(*row_columns(s))
     touched = accepted.select("year", "month").distinct()
     if s.publish_mode == "merge" and table_exists(spark, rows_path):
-        current = read_as_library(spark.read.parquet(rows_path), row_names)
-        current = current.join(touched, ["year", "month"], "left_semi")
+        current = touched_months(spark, rows_path, touched, row_names)
         merged = keyed_merge(current, accepted, ["site_id", "obs_ts"]).drop("change")
         # Never overwrite a path the same plan reads: stage the merged months.
         merged_path = new_work_path(spark, "merged")
