@@ -8,6 +8,8 @@ pre-1970 values floor correctly, and no text round trip is involved (m6).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,14 +51,17 @@ def utc_ntz_to_instant(col: str | Column) -> Column:
     return F.timestamp_micros(epoch_micros_ntz(col))
 
 
-def parse_instant(col: str | Column, pattern: str = OBS_TIME_PATTERN) -> Column:
+def parse_instant(col: str | Column, pattern: str = OBS_TIME_PATTERN, also: Sequence[str] = ()) -> Column:
     """Time text with an explicit offset -> UTC NTZ (FN1, m1).
 
     ``try_to_timestamp`` gives NULL for text that does not match the pattern
     (missing offset, ``+02``, fractional seconds, garbage) instead of failing
     the whole job under ANSI mode; callers count and quarantine the NULLs.
+    ``also`` lists further patterns tried in order (e.g. with fractional
+    seconds) for feeds that are known to vary.
     """
-    return instant_to_utc_ntz(F.try_to_timestamp(_c(col), F.lit(pattern)))
+    parsed = [F.try_to_timestamp(_c(col), F.lit(p)) for p in (pattern, *also)]
+    return instant_to_utc_ntz(F.coalesce(*parsed) if len(parsed) > 1 else parsed[0])
 
 
 def slot_start(col: str | Column, minutes: int = 15) -> Column:

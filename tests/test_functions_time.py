@@ -148,3 +148,9 @@ def test_fn19_ingest_stamp(spark):
 
     df = spark.createDataFrame([(T(2024, 9, 1, 12, 5, 0, 123456),)], "ts timestamp_ntz")
     assert df.select(ingest_stamp("ts").alias("s")).first().s == "20240901T120500123456Z"
+
+
+def test_fn1_extra_patterns_tried_in_order(spark):
+    df = one_col(spark, ["2024-03-31 01:30:00.123+00:00", "2024-03-31 01:30:00Z", "bad"], "t string")
+    got = [r.ts for r in df.select(parse_instant("t", also=["yyyy-MM-dd HH:mm:ss.SSSXXX"]).alias("ts")).collect()]
+    assert got == [T(2024, 3, 31, 1, 30, 0, 123000), T(2024, 3, 31, 1, 30), None]
