@@ -21,6 +21,8 @@ store options and ``spark.checkpoint.dir`` come from spark-submit. Example:
 
 ``dedup_input: false`` when the observations come from the keyed landing
 table (the streaming landing merge), which holds one row per key.
+``"mode": "incremental"`` (with optional ``start``/``end`` dates) resumes
+from the published table instead of taking ``time_range``.
 
 ``kind`` of observations: ``landed`` (station_id, horodate text, ...),
 ``raw_items`` (feed items with nested counts) or ``canonical``. Context:
@@ -40,7 +42,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from obsflow.operators.reshape import context_from_landed, flatten_items, from_landed
-from obsflow.plans.batch_job import BatchSettings, run_batch
+from obsflow.plans.batch_job import BatchSettings, run_batch, run_incremental
 from obsflow.schemas import LANDED_OBSERVATION, RAW_OBSERVATION_ITEM, SITE_RECORD
 from obsflow.sources.context_csv import context_from_texts, read_texts
 from obsflow.sources.pages import read_sites
@@ -115,7 +117,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     overrides = None
     if cfg.get("overrides"):
         overrides = spark.createDataFrame([tuple(p) for p in cfg["overrides"]], "site_id bigint, zone string")
-    res = run_batch(
+    args = (
         spark,
         observations(spark, cfg["observations"]),
         sites(spark, cfg["sites"]),
@@ -124,6 +126,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         s,
         overrides,
     )
+    if cfg.get("mode", "batch") == "incremental":
+        res = run_incremental(*args, start=cfg.get("start"), end=cfg.get("end"))
+    else:
+        res = run_batch(*args)
     print(json.dumps(res.as_dict(), default=str))
     return 0 if res.published or not s.enforce_gate else 2
 

@@ -60,3 +60,26 @@ def test_cli_runs_job_in_reference_layout(spark, tmp_dir):
     quality = spark.read.parquet(f"{tmp_dir}/out/quality")
     assert {"nb_lignes", "horodate_null", "station_null", "commune_null", "capacity_non_positive",
             "bikes_negatifs", "meteo_null", "taux_hors_limites"} <= set(quality.columns)
+
+
+def test_cli_incremental_mode(spark, tmp_dir):
+    base = tmp_dir.removeprefix("file:")
+    spark.createDataFrame(
+        [("2024-01-15 14:05:00+01:00", 1, "OPEN", 20, 5, 15, None)],
+        "horodate string, station_id bigint, status string, capacity int, bikes_available int, stands_available int, raw string",
+    ).write.parquet(f"{tmp_dir}/obs")
+    spark.createDataFrame([(1, "A", "Z", 45.0, 4.0, 3)], "idstation bigint, nom string, commune string, lat double, lon double, nbbornettes int").write.parquet(f"{tmp_dir}/sites")
+    spark.createDataFrame([("Z", T(2024, 1, 15, 13, 0), 4.5)], "commune string, datetime timestamp, temperature_2m_c double").write.parquet(f"{tmp_dir}/ctx")
+    cfg = {
+        "observations": {"kind": "landed", "format": "parquet", "path": f"{tmp_dir}/obs"},
+        "sites": {"format": "parquet", "path": f"{tmp_dir}/sites"},
+        "context": {"kind": "landed", "format": "parquet", "path": f"{tmp_dir}/ctx"},
+        "out": f"{tmp_dir}/out",
+        "mode": "incremental",
+        "start": "2024-01-15",
+        "end": "2024-01-15",
+    }
+    with open(f"{base}/job.json", "w", encoding="utf-8") as f:
+        json.dump(cfg, f)
+    assert cli.main(["--config", f"{base}/job.json"], spark=spark) == 0
+    assert spark.read.parquet(f"{tmp_dir}/out/rows").count() == 1
