@@ -87,6 +87,13 @@ def matched(spark: SparkSession, d: str) -> DataFrame:
     return split_orphans(enriched(spark, d))[0].drop("is_orphan")
 
 
+def matched_sites_only(spark: SparkSession, d: str) -> DataFrame:
+    """Matched observations without the dedup: for questions about which
+    sites and zones occur, which copies cannot change (no fact shuffle)."""
+    obs = roles.observations(spark, d)
+    return split_orphans(attach_sites(obs, roles.sites(spark, d), roles.zone_overrides(spark, d)))[0]
+
+
 def joined(spark: SparkSession, d: str) -> DataFrame:
     return attach_context(with_slot(matched(spark, d)), roles.context(spark, d), MEASURES)
 
@@ -164,15 +171,15 @@ def q_context_match_report(spark, d):
 
 
 def q_zones_without_context(spark, d):
-    return zones_without_context(matched(spark, d), roles.context(spark, d))
+    return zones_without_context(matched_sites_only(spark, d), roles.context(spark, d))
 
 
 def q_zone_coverage(spark, d):
-    return quality.zone_coverage(matched(spark, d), roles.context(spark, d))
+    return quality.zone_coverage(matched_sites_only(spark, d), roles.context(spark, d))
 
 
 def q_null_zone_sites(spark, d):
-    return quality.null_attribute_sites(matched(spark, d), "zone")
+    return quality.null_attribute_sites(matched_sites_only(spark, d), "zone")
 
 
 def q_null_zone_counts(spark, d):
