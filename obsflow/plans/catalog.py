@@ -453,22 +453,22 @@ def q_batch_quality(spark, d):
 
 def q_stream_landing_merge(spark, d):
     """STR1: raw items land in two drops; each run merges only new files."""
-    from obsflow.streaming.jobs import landing_stream
+    from obsflow.streaming.jobs import await_available_now, landing_stream
 
     base = new_work_path(spark, "stream-landing")
     src, table_path, ckpt = f"{base}/source", f"{base}/table", f"{base}/checkpoint"
     items = _raw_items_from(roles.observations(spark, d))
     items.filter(F.col("batch") == 1).select(F.col("raw").alias("value")).write.mode("append").text(src)
-    landing_stream(spark, src, table_path, ckpt).awaitTermination()
+    await_available_now(landing_stream(spark, src, table_path, ckpt))
     # The re-fetched window arrives later; the checkpoint skips the first drop.
     items.filter(F.col("batch") == 2).select(F.col("raw").alias("value")).write.mode("append").text(src)
-    landing_stream(spark, src, table_path, ckpt).awaitTermination()
+    await_available_now(landing_stream(spark, src, table_path, ckpt))
     return spark.read.parquet(table_path)
 
 
 def q_stream_dedup_enrich(spark, d):
     """STR2: watermark dedup of a file stream, then the stream-static site join."""
-    from obsflow.streaming.jobs import dedup_enrich_stream
+    from obsflow.streaming.jobs import await_available_now, dedup_enrich_stream
 
     base = new_work_path(spark, "stream-dedup")
     src, out, ckpt = f"{base}/source", f"{base}/out", f"{base}/checkpoint"
@@ -487,7 +487,7 @@ def q_stream_dedup_enrich(spark, d):
         .trigger(availableNow=True)
         .start(out)
     )
-    q.awaitTermination()
+    await_available_now(q)
     return spark.read.parquet(out)
 
 

@@ -97,6 +97,15 @@ def landing_stream(
     return writer.start()
 
 
+def await_available_now(query: StreamingQuery, timeout_s: int = 1800) -> None:
+    """Wait for an ``availableNow`` stream to drain; stop it and fail if it does not."""
+    if not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"stream {query.name or query.id} did not drain within {timeout_s}s")
+    if query.exception() is not None:
+        raise RuntimeError(f"stream failed: {query.exception()}")
+
+
 def dedup_enrich_stream(
     observations: DataFrame,
     sites: DataFrame,
