@@ -132,26 +132,32 @@ def _parsed_events(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_dedup_latest(spark, d):
+    """AGG7, m2: one row per (site, instant), latest landing batch wins."""
     return dedup(spark, d)
 
 
 def q_dedup_plain_count(spark, d):
+    """AGG7: the reference's plain dropDuplicates, counted."""
     return dedup_any(roles.observations(spark, d), OBS_KEYS).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def q_enrich_site_left(spark, d):
+    """JON1, PRJ2, PRJ3, ENR1: left join to the site dimension, orphans flagged."""
     return enriched(spark, d)
 
 
 def q_orphan_split(spark, d):
+    """FLT1: the orphan side of the split."""
     return split_orphans(enriched(spark, d))[1].drop("is_orphan")
 
 
 def q_join_quality(spark, d):
+    """DQ1: rows read, matched, orphaned."""
     return quality.join_quality(enriched(spark, d))
 
 
 def q_zone_override(spark, d):
+    """FN10-FN12, FLT6: zone taken from the override only where NULL."""
     lk = site_lookup(roles.sites(spark, d), roles.zone_overrides(spark, d))
     return lk.select(
         "site_id", "site_name", "zone", F.coalesce(F.col("__in_dimension"), F.lit(False)).alias("in_dimension")
@@ -159,67 +165,82 @@ def q_zone_override(spark, d):
 
 
 def q_slot_15min(spark, d):
+    """FN2-FN5: 15-minute slot of each observation."""
     return dedup(spark, d).select("site_id", "obs_ts", slot_start("obs_ts", 15).alias("slot_ts"))
 
 
 def q_enrich_context(spark, d):
+    """JON2, ENR2: left join on (zone, slot) to the context series."""
     return joined(spark, d)
 
 
 def q_context_match_report(spark, d):
+    """DQ4, m16: rows, rows without a context match, rows with a NULL measure."""
     return quality.context_match_report(joined(spark, d), "temperature_2m_c")
 
 
 def q_zones_without_context(spark, d):
+    """JON3, AGG4, DQ2: fact zones absent from the context."""
     return zones_without_context(matched_sites_only(spark, d), roles.context(spark, d))
 
 
 def q_zone_coverage(spark, d):
+    """DQ2: distinct fact zones and how many lack context."""
     return quality.zone_coverage(matched_sites_only(spark, d), roles.context(spark, d))
 
 
 def q_null_zone_sites(spark, d):
+    """FLT5, AGG5, DQ3: distinct sites whose zone is NULL."""
     return quality.null_attribute_sites(matched_sites_only(spark, d), "zone")
 
 
 def q_null_zone_counts(spark, d):
+    """AGG6, DQ3, m12: rows and distinct sites with a NULL zone."""
     return quality.null_attribute_report(matched(spark, d), "zone")
 
 
 def q_capacity_anomalies(spark, d):
+    """FLT2, DQ5: rows breaking the consistency rules, with reasons."""
     _, broken = split_by_rules(joined(spark, d), CONSISTENCY_RULES)
     out = with_reasons(broken, CONSISTENCY_RULES)
     return out.select("site_id", "obs_ts", "capacity", "available", "free", F.array_join("reasons", ",").alias("reasons"))
 
 
 def q_capacity_valid(spark, d):
+    """FLT3: the exact complement of the anomalies."""
     kept, _ = split_by_rules(joined(spark, d), CONSISTENCY_RULES)
     return kept.select("site_id", "obs_ts", "status", "capacity", "available", "free")
 
 
 def q_fill_rate(spark, d):
+    """FN8, FN9, ENR3: guarded percentage, 2 decimals."""
     return final(spark, d).select("site_id", "obs_ts", "capacity", "available", "fill_rate")
 
 
 def q_rate_out_of_range(spark, d):
+    """FLT4, DQ7: rows whose rate is outside 0-100."""
     # Measured before the consistency filter, where the rule can fire (m15).
     _, broken = split_by_rules(final_all(spark, d), RATE_RULES)
     return broken.select("site_id", "site_name", "obs_ts", "capacity", "available", "free", "fill_rate")
 
 
 def q_local_calendar(spark, d):
+    """FN6, FN7, ENR4: local wall clock and calendar fields."""
     return final(spark, d).select("site_id", "obs_ts", "obs_local", "year", "month", "day", "hour")
 
 
 def q_quality_gate(spark, d):
+    """AGG1, DQ6: gate figures after the filters, with the verdict."""
     return quality.quality_gate(final(spark, d), DRIVER_GATE_RULES)
 
 
 def q_quality_gate_matched(spark, d):
+    """DQ6, m15: the same figures before the filters."""
     return quality.quality_gate(final_all(spark, d), DRIVER_GATE_RULES)
 
 
 def q_reconciliation(spark, d):
+    """DQ8, AGG3: read = matched + orphans, final = matched - anomalies."""
     from obsflow.plans.batch_job import build_rows
 
     rows = build_rows(
@@ -242,31 +263,38 @@ def q_reconciliation(spark, d):
 
 
 def q_site_hour_rollup(spark, d):
+    """AGG2, ENR5: site x local hour roll-up."""
     return rollup.hourly_rollup(final(spark, d))
 
 
 def q_site_hour_top20(spark, d):
+    """SRT1: first 20 groups of the roll-up (a top-k report)."""
     return rollup.top_n(rollup.hourly_rollup(final(spark, d)), ["site_id", "year", "month", "day", "hour"], 20)
 
 
 def q_zone_hour_rollup(spark, d):
+    """AGG2: the roll-up at zone x local hour."""
     return rollup.hourly_rollup(final(spark, d), rollup.ZONE_HOUR_KEYS)
 
 
 def q_latest_observation(spark, d):
+    """SRT3: the latest observation (top 1)."""
     return rollup.latest_row(dedup(spark, d), "obs_ts", ["site_id"])
 
 
 def q_latest_time(spark, d):
+    """AGG8: the latest observation time."""
     # Dedup cannot change the set of times: no shuffle of the facts needed.
     return rollup.latest_time(roles.observations(spark, d))
 
 
 def q_resume_point(spark, d):
+    """INC1, m21: next load's start and end dates."""
     return resume_point(roles.observations(spark, d), "obs_ts", end="2024-02-15", tz=TZ)
 
 
 def q_date_range_scan(spark, d):
+    """FLT7: inclusive date-range scan, pushed to Parquet."""
     lo, hi = F.lit("2024-01-05").cast("timestamp_ntz"), F.lit("2024-01-08").cast("timestamp_ntz")
     base = roles.observation_base(spark, d)
     return base.filter((F.col("obs_ts") >= lo) & (F.col("obs_ts") < hi)).select("site_id", "obs_ts", "status")
@@ -280,27 +308,33 @@ def _obs_range(spark, d) -> DataFrame:
 
 
 def q_weekly_windows(spark, d):
+    """INC2, m22: 7-day windows over the observed range."""
     return weekly_windows(_obs_range(spark, d))
 
 
 def q_backfill_plan(spark, d):
+    """INC3, JON4: every zone x every window."""
     zones = roles.sites(spark, d).select("zone").where(F.col("zone").isNotNull()).distinct()
     return backfill_plan(zones, _obs_range(spark, d))
 
 
 def q_keyed_merge(spark, d):
+    """SNK3, INC4, m20: upsert of a reload window with change labels."""
     return keyed_merge(roles.stored_orders(spark, d), roles.reloaded_orders(spark, d), ["o_orderkey"])
 
 
 def q_merge_counts(spark, d):
+    """SNK3: inserted / updated / unchanged / kept counts."""
     return merge_counts(q_keyed_merge(spark, d))
 
 
 def q_time_text_parse(spark, d):
+    """FN1, m1: time text in several landed forms, parsed strictly."""
     return _parsed_events(spark, d)
 
 
 def q_key_quarantine(spark, d):
+    """FLT9, m19: rows whose key has a NULL part."""
     _, rejected = quarantine_null_keys(_parsed_events(spark, d), OBS_KEYS)
     return rejected.select("event_id", "site_id", "obs_text")
 
@@ -321,10 +355,12 @@ def _site_pages(spark, d) -> DataFrame:
 
 
 def q_pages_explode(spark, d):
+    """PRJ1, FN21, FLT8: pages of records exploded back to sites."""
     return sites_from_records(explode_records(non_empty_pages(_site_pages(spark, d))))
 
 
 def q_pages_roundtrip(spark, d):
+    """SNK5, SRC1, SRC7: page snapshots written and the latest read back."""
     path = new_work_path(spark, "site-pages")
     pages = _site_pages(spark, d)
     # An older snapshot without the zone fix, then the current one.
@@ -353,16 +389,19 @@ def _raw_items_from(ob: DataFrame) -> DataFrame:
 
 
 def q_raw_payload(spark, d):
+    """PRJ6, FN20: the whole feed item kept as JSON."""
     return _raw_items(spark, d)
 
 
 def q_nested_flatten(spark, d):
+    """PRJ5, m18: nested feed items flattened."""
     items = _raw_items(spark, d).select("event_id", F.from_json("raw", RAW_OBSERVATION_ITEM).alias("item"))
     flat = flatten_items(items.select("item.*"), keep_raw=False)
     return flat
 
 
 def q_geo_point(spark, d):
+    """PRJ7: GeoJSON point, longitude first."""
     s = roles.sites(spark, d)
     return s.select("site_id", F.to_json(geo_point("lon", "lat")).alias("location"))
 
@@ -393,6 +432,7 @@ def _context_texts(spark, d) -> DataFrame:
 
 
 def q_typed_cells(spark, d):
+    """SRC5, PRJ8, FN14, FN17: CSV texts parsed by header name."""
     texts = _context_texts(spark, d)
     rows = split_text(texts).withColumns(typed_measures("cells"))
     from obsflow.functions.time import parse_local_text
@@ -402,6 +442,7 @@ def q_typed_cells(spark, d):
 
 
 def q_context_csv_roundtrip(spark, d):
+    """SNK6, SRC6, FN18, m24: CSV archive written and read back by path."""
     path = new_work_path(spark, "context-archive")
     write_context_archive(_context_texts(spark, d), path, "20240201T000000000000Z")
     zones = roles.table(spark, d, "nation").select(
@@ -412,11 +453,13 @@ def q_context_csv_roundtrip(spark, d):
 
 
 def q_local_to_instant(spark, d):
+    """FN13, m9: local wall clock to UTC."""
     ev = roles.table(spark, d, "events")
     return ev.select("event_id", F.col("ts").alias("local_ts"), local_to_utc("ts", TZ).alias("utc_ts"))
 
 
 def q_partitioned_roundtrip(spark, d):
+    """SNK1, SRC3, SNK8: partitioned write, pruned read-back."""
     path = new_work_path(spark, "rows")
     write_partitioned(final(spark, d), path, ["year", "month"])
     return read_back(spark, path, F.col("month") == 1)
@@ -439,14 +482,17 @@ def _batch(spark, d):
 
 
 def q_batch_rows(spark, d):
+    """ENR6, SNK1: the published row grain of the whole job."""
     return spark.read.parquet(_batch(spark, d).rows_path)
 
 
 def q_batch_hours(spark, d):
+    """ENR6, SNK2: the published hour grain of the whole job."""
     return spark.read.parquet(_batch(spark, d).hours_path)
 
 
 def q_batch_quality(spark, d):
+    """DQ6: the job's quality-table row."""
     res = _batch(spark, d)
     return spark.read.parquet(res.rows_path.rsplit("/", 1)[0] + "/quality").drop("run_id")
 
