@@ -55,7 +55,7 @@ def ensure_shared_dir(spark: SparkSession) -> str:
     on a cluster a missing setting is an error.
     """
     sc = spark_context(spark)
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_SHARED.get(id(spark))
     if not shared and sc is not None:
         shared = sc.getCheckpointDir()
     if not shared:
@@ -65,13 +65,19 @@ def ensure_shared_dir(spark: SparkSession) -> str:
                 "spark.checkpoint.dir is not set: name a folder every executor can reach "
                 "(hdfs://, s3a://, abfs://, ...) for staged tables"
             )
+        # spark.checkpoint.dir cannot be changed at run time; the context's
+        # checkpoint folder can, and is what later calls find.
         shared = tempfile.mkdtemp(prefix="obsflow-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        _LOCAL_SHARED[id(spark)] = shared
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared)
     return shared.rstrip("/")
 
 
+# Local-mode fallback folders, per session, when none was configured.
+_LOCAL_SHARED: dict[int, str] = {}
+
+
 def spark_context(spark: SparkSession):
     """The session's SparkContext, or None on a Spark Connect session."""
     try:
