@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import SparkSession
 
@@ -55,7 +56,7 @@ def ensure_shared_dir(spark: SparkSession) -> str:
     on a cluster a missing setting is an error.
     """
     sc = spark_context(spark)
-    shared = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_SHARED.get(id(spark))
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_SHARED.get(spark)
     if not shared and sc is not None:
         shared = sc.getCheckpointDir()
     if not shared:
@@ -68,14 +69,15 @@ def ensure_shared_dir(spark: SparkSession) -> str:
         # spark.checkpoint.dir cannot be changed at run time; the context's
         # checkpoint folder can, and is what later calls find.
         shared = tempfile.mkdtemp(prefix="obsflow-")
-        _LOCAL_SHARED[id(spark)] = shared
+        _LOCAL_SHARED[spark] = shared
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared)
     return shared.rstrip("/")
 
 
-# Local-mode fallback folders, per session, when none was configured.
-_LOCAL_SHARED: dict[int, str] = {}
+# Local-mode fallback folders, per live session, when none was configured
+# (weak keys: an id() could be reused by a later session).
+_LOCAL_SHARED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
 def spark_context(spark: SparkSession):
