@@ -242,3 +242,17 @@ def test_run_incremental_resumes_and_reloads_idempotently(spark, tmp_dir):
     assert sorted(r.obs_ts.day for r in rows) == [1, 2, 3]  # day 2 reloaded, not doubled
     third = run_incremental(spark, obs, sites, ctx, tmp_dir, s, today=dt.date(2024, 1, 3))
     assert third.published and len(spark.read.parquet(f"{tmp_dir}/rows").collect()) == 3
+
+
+def test_reference_layout_with_merge_publish_is_idempotent(spark, tmp_dir):
+    import dataclasses
+
+    obs, sites, ctx = _inputs(spark)
+    s = dataclasses.replace(SETTINGS, layout="reference", publish_mode="merge")
+    run_batch(spark, obs, sites, ctx, tmp_dir, s)
+    first = sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/rows").collect()), key=repr)
+    res = run_batch(spark, obs, sites, ctx, tmp_dir, s)
+    rows = spark.read.parquet(f"{tmp_dir}/rows")
+    assert {"station_id", "horodate_ts", "annee", "mois"} <= set(rows.columns)
+    assert sorted(map(tuple, rows.collect()), key=repr) == first and res.published
+    assert {"nb_observations", "annee"} <= set(spark.read.parquet(f"{tmp_dir}/hours").columns)
