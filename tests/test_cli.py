@@ -83,3 +83,36 @@ def test_cli_incremental_mode(spark, tmp_dir):
         json.dump(cfg, f)
     assert cli.main(["--config", f"{base}/job.json"], spark=spark) == 0
     assert spark.read.parquet(f"{tmp_dir}/out/rows").count() == 1
+
+
+def test_cli_with_csv_archive_context(spark, tmp_dir):
+    import datetime as dt
+
+    from obsflow.sinks.archive import write_context_archive
+
+    base = tmp_dir.removeprefix("file:")
+    header = (
+        "time,temperature_2m (°C),relative_humidity_2m (%),apparent_temperature (°C),precipitation (mm),"
+        "rain (mm),snowfall (cm),weather_code (wmo code),wind_speed_10m (km/h),wind_gusts_10m (km/h),"
+        "is_day (),visibility (m)"
+    )
+    text = "\n".join(["lat,lon", "45.7,4.8", "", header, "2024-01-15T14:00,6.5,80,3.1,0.0,0.0,0.0,3,10.2,20.1,1,24000.0"]) + "\n"
+    texts = spark.createDataFrame([("Centre 1er", dt.date(2024, 1, 15), dt.date(2024, 1, 21), text)], "zone string, start date, end date, value string")
+    write_context_archive(texts, f"{tmp_dir}/archive", "20240122T000000000000Z")
+    spark.createDataFrame([("Centre 1er", 45.7, 4.8)], "zone string, lat double, lon double").write.parquet(f"{tmp_dir}/zones")
+    spark.createDataFrame(
+        [("2024-01-15 14:05:00+01:00", 1, "OPEN", 20, 5, 15, None)],
+        "horodate string, station_id bigint, status string, capacity int, bikes_available int, stands_available int, raw string",
+    ).write.parquet(f"{tmp_dir}/obs")
+    spark.createDataFrame([(1, "A", "Centre 1er", 45.0, 4.0, 3)], "idstation bigint, nom string, commune string, lat double, lon double, nbbornettes int").write.parquet(f"{tmp_dir}/sites")
+    cfg = {
+        "observations": {"kind": "landed", "format": "parquet", "path": f"{tmp_dir}/obs"},
+        "sites": {"format": "parquet", "path": f"{tmp_dir}/sites"},
+        "context": {"kind": "csv_archive", "path": f"{tmp_dir}/archive", "zones": {"format": "parquet", "path": f"{tmp_dir}/zones"}},
+        "out": f"{tmp_dir}/out",
+    }
+    with open(f"{base}/job.json", "w", encoding="utf-8") as f:
+        json.dump(cfg, f)
+    assert cli.main(["--config", f"{base}/job.json"], spark=spark) == 0
+    row = spark.read.parquet(f"{tmp_dir}/out/rows").first()
+    assert row.temperature_2m_c == 6.5 and row.zone == "Centre 1er"
