@@ -131,3 +131,16 @@ def test_agg2_autumn_change_merges_two_utc_hours(spark):
     )
     out = hourly_rollup(with_local_calendar(df, "Europe/Paris")).collect()
     assert len(out) == 1 and out[0].hour == 2 and out[0].n_obs == 2 and out[0].avg_available == 2.0  # m8
+
+
+def test_inc2_other_window_lengths(spark):
+    r = spark.createDataFrame([(D(2026, 9, 1), D(2026, 9, 7))], "start_date date, end_date date")
+    got = [(x.window_start, x.window_end) for x in weekly_windows(r, days=3).orderBy("window_start").collect()]
+    assert got == [(D(2026, 9, 1), D(2026, 9, 3)), (D(2026, 9, 4), D(2026, 9, 6))]  # 09-07 is the excluded end
+
+
+def test_agg7_keys_only_frame_is_a_distinct(spark):
+    from obsflow.operators.dedup import dedup_latest
+
+    df = spark.createDataFrame([(1, 2), (1, 2), (3, 4)], "a int, b int")
+    assert sorted(map(tuple, dedup_latest(df, ["a", "b"]).collect())) == [(1, 2), (3, 4)]
