@@ -13,6 +13,7 @@ from obsflow.operators.joins import (
     DEFAULT_BROADCAST_MAX_ROWS,
     DEFAULT_SALT_BUCKETS,
     many_to_one_join,
+    require_unique,
     unique_by,
 )
 
@@ -63,6 +64,7 @@ def attach_sites(
     orphan_on: str = "site_key",
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    on_duplicate: str = "dedup",
 ) -> DataFrame:
     """Left join observations to the site dimension; flag orphans (JON1, FLT1, ENR1).
 
@@ -71,7 +73,13 @@ def attach_sites(
     NULL, so a known site without a name is an orphan too (m3).
     The dimension is broadcast only when its size is proven small;
     otherwise the join is salted so a hot site is split over tasks.
+    ``on_duplicate="raise"`` fails on a repeated site key instead of keeping
+    the greatest record (m17).
     """
+    if on_duplicate == "raise":
+        require_unique(sites, ["site_id"], "site dimension")
+    elif on_duplicate != "dedup":
+        raise ValueError(f"on_duplicate must be 'dedup' or 'raise', not {on_duplicate!r}")
     lookup = site_lookup(sites, overrides).withColumnRenamed("site_id", "__site_key")
     joined = many_to_one_join(obs, lookup, ["site_id"], ["__site_key"], "left", broadcast_max_rows, salt_buckets)
     if orphan_on == "site_name":
@@ -101,6 +109,7 @@ def attach_context(
     slot_col: str = "slot_ts",
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    on_duplicate: str = "dedup",
 ) -> DataFrame:
     """Left join on (zone, slot) to the context series (JON2, ENR2).
 
@@ -111,6 +120,10 @@ def attach_context(
     Adds ``has_context`` (a context row matched), separate from whether its
     measures are NULL (m16).
     """
+    if on_duplicate == "raise":
+        require_unique(context, ["zone", "ctx_ts"], "context series")
+    elif on_duplicate != "dedup":
+        raise ValueError(f"on_duplicate must be 'dedup' or 'raise', not {on_duplicate!r}")
     ctx = unique_by(context.select("zone", "ctx_ts", *measures), ["zone", "ctx_ts"])
     ctx = ctx.select(
         F.col("zone").alias("__ctx_zone"),

@@ -99,6 +99,16 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > 1)
 
 
+def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
+    """Fail when ``keys`` repeat in ``df`` (m17, strict mode).
+
+    One aggregate over the (small) side; only whether a duplicate exists
+    reaches the driver.
+    """
+    if duplicate_keys(df, keys).limit(1).count() > 0:
+        raise ValueError(f"{what}: duplicate keys on {list(keys)}; joining would multiply fact rows")
+
+
 # Salt buckets for a many-to-one join whose small side is too big to
 # broadcast: a hot key is spread over this many tasks, at the cost of
 # replicating the (unique-keyed) small side this many times.

@@ -75,6 +75,8 @@ class BatchSettings:
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
     # Used only when a side is too big to broadcast: splits hot keys.
     salt_buckets: int = DEFAULT_SALT_BUCKETS
+    # Repeated dimension/context keys: "dedup" (greatest record) or "raise" (m17).
+    on_duplicate: str = "dedup"
     # Inclusive UTC date range [start, end]; pushed to both inputs' scans.
     time_range: tuple[str, str] | None = None
     # "replace": the run owns every month it touches (full backfill).
@@ -185,10 +187,15 @@ def build_rows(
     else:
         dedup = obs
 
-    df = attach_sites(dedup, sites, overrides, s.orphan_on, s.broadcast_max_rows, s.salt_buckets)
+    df = attach_sites(dedup, sites, overrides, s.orphan_on, s.broadcast_max_rows, s.salt_buckets, s.on_duplicate)
     df = with_slot(df, "obs_ts", "slot_ts", s.slot_minutes)
     df = attach_context(
-        df, context, s.measures, broadcast_max_rows=s.broadcast_max_rows, salt_buckets=s.salt_buckets
+        df,
+        context,
+        s.measures,
+        broadcast_max_rows=s.broadcast_max_rows,
+        salt_buckets=s.salt_buckets,
+        on_duplicate=s.on_duplicate,
     )
     df = with_fill_rate(df)
     df = with_local_calendar(df, s.time_zone)

@@ -95,6 +95,7 @@ def settings_from(cfg: Mapping) -> BatchSettings:
         "layout",
         "salt_buckets",
         "dedup_input",
+        "on_duplicate",
     )
     kw = {k: cfg[k] for k in keys if k in cfg}
     if "dedup_order" in cfg:

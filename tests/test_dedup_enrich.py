@@ -153,3 +153,18 @@ def test_broadcast_only_under_bound(spark):
 
 def test_duplicate_keys_report(spark):
     assert [r.site_id for r in duplicate_keys(_sites(spark), ["site_id"]).collect()] == [5]
+
+
+def test_m17_strict_mode_refuses_duplicate_keys(spark):
+    import pytest
+
+    with pytest.raises(ValueError, match="site dimension: duplicate keys"):
+        attach_sites(_obs(spark), _sites(spark), on_duplicate="raise")
+    unique_sites = _sites(spark).dropDuplicates(["site_id"])
+    assert attach_sites(_obs(spark), unique_sites, on_duplicate="raise").count() == 6
+    ctx = spark.createDataFrame(
+        [("Zone A", T(2024, 1, 1, 10, 0), 1.0), ("Zone A", T(2024, 1, 1, 10, 0), 2.0)],
+        "zone string, ctx_ts timestamp_ntz, temperature_2m_c double",
+    )
+    with pytest.raises(ValueError, match="context series"):
+        attach_context(with_slot(_obs(spark)), ctx, ["temperature_2m_c"], on_duplicate="raise")
