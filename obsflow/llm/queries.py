@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_counts
+from . import language_id, packing, pieces, token_counts
 from .common import PIECE_BPE_FILE, WORD_BPE_FILE, table, tokenizer_path
 
 
@@ -16,16 +16,28 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), tokenizer_path(WORD_BPE_FILE))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text, and whether decoding gives the text back."""
+    return pieces.encoded_documents(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_BPE_FILE))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text, as the library counts them."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(WORD_BPE_FILE))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text, learned from the rows not held out."""
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_best_fit_packing,
+        op2_sentencepiece,
         op6_token_counts,
+        op9_language_id,
     )
 }
 
