@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, packing, pieces, token_counts
+from . import language_id, packing, pieces, sharding, token_counts
 from .common import PIECE_BPE_FILE, WORD_BPE_FILE, table, tokenizer_path
 
 
@@ -21,6 +21,11 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded_documents(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_BPE_FILE))
 
 
+def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of eight k-d tree leaves of nearly equal bytes."""
+    return sharding.document_shards(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text, as the library counts them."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(WORD_BPE_FILE))
@@ -36,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_best_fit_packing,
         op2_sentencepiece,
+        op5_kd_shards,
         op6_token_counts,
         op9_language_id,
     )
