@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import imatch, language_id, packing, pieces, sharding, token_counts
+from . import imatch, language_id, packing, pieces, sanitise, sharding, token_counts
 from .common import PIECE_BPE_FILE, WORD_BPE_FILE, table, tokenizer_path
 
 
@@ -31,6 +31,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(WORD_BPE_FILE))
 
 
+def op8_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data, and terms that disclose it, in every whole text."""
+    return sanitise.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every whole text, learned from the rows not held out."""
     return language_id.identify(table(spark, sf_dir, "documents"))
@@ -48,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_sentencepiece,
         op5_kd_shards,
         op6_token_counts,
+        op8_sanitise,
         op9_language_id,
         op10_imatch_fingerprints,
     )
