@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import imatch, language_id, packing, pieces, sanitise, sharding, token_counts
+from . import imatch, language_id, near_dedup, packing, pieces, sanitise, sharding, token_counts
 from .common import PIECE_BPE_FILE, WORD_BPE_FILE, table, tokenizer_path
 
 
@@ -21,6 +21,11 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded_documents(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_BPE_FILE))
 
 
+def op3_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of eight k-d tree leaves of nearly equal bytes."""
     return sharding.document_shards(table(spark, sf_dir, "documents"))
@@ -51,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_best_fit_packing,
         op2_sentencepiece,
+        op3_minhash_forest,
         op5_kd_shards,
         op6_token_counts,
         op8_sanitise,
