@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import imatch, language_id, near_dedup, packing, pieces, sanitise, sharding, token_counts
+from . import imatch, language_id, line_dedup, near_dedup, packing, pieces, sanitise, sharding, token_counts
 from .common import PIECE_BPE_FILE, WORD_BPE_FILE, table, tokenizer_path
 
 
@@ -36,6 +36,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(WORD_BPE_FILE))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines they repeat from earlier ones."""
+    return line_dedup.deduplicated_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data, and terms that disclose it, in every whole text."""
     return sanitise.personal_data(table(spark, sf_dir, "documents"))
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_minhash_forest,
         op5_kd_shards,
         op6_token_counts,
+        op7_line_dedup,
         op8_sanitise,
         op9_language_id,
         op10_imatch_fingerprints,
