@@ -115,13 +115,16 @@ def _blocks(a: Sequence[int], b: Sequence[int], words: Sequence[int], least: int
 def common_blocks(a: Sequence[int], b: Sequence[int], words: Sequence[int], least: int = BLOCK_WORDS) -> list[int]:
     """Positions in ``b`` of the aligned blocks, runs of neighbours in both,
     that have at least ``least`` words (``words``: of each line of ``b``). What
-    is left of ``b`` is aligned again, for lines it repeats itself, until
-    nothing more goes."""
+    is left of ``b`` is aligned again, for lines that it repeats itself or that
+    moved, until nothing more goes; at last without the short lines, so that
+    these do not stand in the way."""
     left, gone = list(range(len(b))), []
-    while found := _blocks(a, [b[k] for k in left], [words[k] for k in left], least):
-        gone += [left[k] for k in found]
-        drop = set(found)
-        left = [x for k, x in enumerate(left) if k not in drop]
+    for shortest in (0, least):
+        left = [k for k in left if words[k] >= shortest]
+        while found := _blocks(a, [b[k] for k in left], [words[k] for k in left], least):
+            gone += [left[k] for k in found]
+            drop = set(found)
+            left = [x for k, x in enumerate(left) if k not in drop]
     return sorted(gone)
 
 
