@@ -67,13 +67,14 @@ class PieceModel:
         if any(p.type not in (1, 2, 3, 5, 6) or re.search(f"[^{MARK}]{MARK}", p.piece) for p in model.pieces):
             raise ValueError("pieces that span words or are user-defined are not supported")
         self.byte_ids = {int(p.piece[1:-1], 16): k for k, p in enumerate(model.pieces) if p.type == BYTE}
-        self.longest = max(map(len, self.ids), default=1)
         self.alphabet = {p for p in self.ids if len(p) == 1}
+        if not self.unigram:  # pieces that no merge yields are never used
+            self.ids = {p: k for p, k in self.ids.items() if self._merge(list(p)) == [p]}
+        self._lengths = self._by_tail()
         byte_of = {k: bytes([b]) for b, k in self.byte_ids.items()}
         shown = {1: lambda k: self.text[k].encode(), UNKNOWN: lambda k: " ⁇ ".encode(), BYTE: byte_of.__getitem__}
         self.bytes_of = [shown[p.type](k) if p.type in shown else b"" for k, p in enumerate(model.pieces)]
         self._pairs: dict[tuple[int, int], bool] = {}
-        self._alone: dict[int, bool] = {}
         self._words: dict[str, bytes] = {}
 
     # BPE admissibility
@@ -90,33 +91,46 @@ class PieceModel:
                 return chars
             chars[at : at + 2] = [chars[at] + chars[at + 1]]
 
-    def _is_merged(self, piece: int) -> bool:
-        if piece not in self._alone:
-            self._alone[piece] = self._merge(list(self.text[piece])) == [self.text[piece]]
-        return self._alone[piece]
-
     def _neighbours(self, left: int, right: int) -> bool:
-        known = self._pairs.get((left, right))
-        if known is None:
-            if len(self._pairs) >= CACHED_PAIRS:
-                self._pairs.clear()
-            a, b = self.text[left], self.text[right]
-            known = self._pairs[left, right] = self._merge(list(a + b)) == [a, b]
-        return known
+        if len(self._pairs) >= CACHED_PAIRS:
+            self._pairs.clear()
+        a, b = self.text[left], self.text[right]
+        good = self._pairs[left, right] = self._merge(list(a + b)) == [a, b]
+        return good
 
     # The forward pass; a state is (last piece, where it starts, score)
 
+    def _by_tail(self) -> dict[str, tuple[int, ...]]:
+        """Lengths, longest first, of the pieces that end in three given
+        characters or, for shorter ones, in the last of them."""
+        found: dict[str, set[int]] = {}
+        for piece in self.ids:
+            if len(piece) >= 3:
+                found.setdefault(piece[-3:], set()).add(len(piece))
+        for tail, lengths in found.items():
+            lengths.update(n for n in (1, 2) if tail[3 - n :] in self.ids)
+        return {tail: tuple(sorted(lengths, reverse=True)) for tail, lengths in found.items()}
+
     def _next_bpe(self, word: str, states: list[tuple[int, int, float]], end: int) -> tuple[int, int, float]:
-        for start in range(max(0, end - self.longest), end):
-            piece = self.ids.get(word[start:end])
-            if piece is not None and self._is_merged(piece) and (not start or self._neighbours(states[start][0], piece)):
-                return piece, start, 0.0
+        ids, pairs = self.ids, self._pairs
+        for length in self._lengths.get(word[end - 3 : end], (2, 1)) if end >= 3 else (2, 1):
+            start = end - length
+            if start >= 0 and (piece := ids.get(word[start:end])) is not None:
+                if not start:
+                    return piece, 0, 0.0
+                left = states[start][0]
+                good = pairs.get((left, piece))
+                if good is None:
+                    good = self._neighbours(left, piece)
+                if good:
+                    return piece, start, 0.0
         raise AssertionError("each prefix of known characters has a segmentation")
 
     def _next_unigram(self, word: str, states: list[tuple[int, int, float]], end: int) -> tuple[int, int, float]:
         best = None
-        for start in range(max(0, end - self.longest), end):
-            piece = self.ids.get(word[start:end])
+        for length in self._lengths.get(word[end - 3 : end], (2, 1)) if end >= 3 else (2, 1):
+            start = end - length
+            piece = self.ids.get(word[start:end]) if start >= 0 else None
             if piece is not None and (best is None or states[start][2] + self.score[piece] > best[2]):
                 best = piece, start, states[start][2] + self.score[piece]
         return best
@@ -127,7 +141,9 @@ class PieceModel:
         step = self._next_unigram if self.unigram else self._next_bpe
         states, before = [(-1, 0, 0.0)], ""
         for word in words:
-            shared = next((k for k, (a, b) in enumerate(zip(before, word)) if a != b), min(len(before), len(word)))  # noqa: B905
+            shared, most = 0, min(len(before), len(word))
+            while shared < most and before[shared] == word[shared]:
+                shared += 1
             del states[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
                 states.append(step(word, states, end))
@@ -160,16 +176,17 @@ class PieceModel:
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as native 32-bit integers; null is empty."""
         split = [self.marked_words(t) for t in texts]
-        new = {w for words in split for w in words}
-        if len(self._words) > CACHED_WORDS:
-            self._words.clear()
-        new.difference_update(self._words)
+        used = set().union(*split)
+        new = used.difference(self._words)
         runs = {w: self._known_runs(w) for w in new}
         found = dict(self.segment(sorted({r for rs in runs.values() for r in rs if len(r) > 1 or r in self.alphabet})))
-        here = {w: array("i", [i for r in rs for i in (found[r] if r in found else self._outside(r))]).tobytes() for w, rs in runs.items()}
-        here |= {w: self._words[w] for words in split for w in words if w not in here}
-        self._words.update((w, here[w]) for w in new)
-        return [b"".join(map(here.__getitem__, words)) for words in split]
+        for w, rs in runs.items():
+            ids = found[w] if len(rs) == 1 and w in found else [i for r in rs for i in (found[r] if r in found else self._outside(r))]
+            self._words[w] = array("i", ids).tobytes()
+        out = [b"".join(map(self._words.__getitem__, words)) for words in split]
+        if len(self._words) > CACHED_WORDS:  # frequent words are among those of the last texts
+            self._words = {w: self._words[w] for w in used}
+        return out
 
     def decode(self, ids: Iterable[int]) -> str:
         text = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")
@@ -186,10 +203,11 @@ def _fields(df: DataFrame) -> str:
     return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema)
 
 
-def encode(df: DataFrame, model: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+def encode(df: DataFrame, model: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
     """``df`` with the ids of each whole text (an array; null and empty texts
-    get the empty one). A column of that name is replaced. No shuffle."""
-    rows = df.drop(ids_col)
+    get the empty one) and, if asked for, their decoding in the same pass.
+    Columns of these names are replaced. No shuffle."""
+    rows = df.drop(ids_col, *([decoded_col] if decoded_col else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = piece_model(model)
@@ -199,9 +217,13 @@ def encode(df: DataFrame, model: str, text_col: str = "text", ids_col: str = "id
                 packed = pieces.encode_batch(list(values(batch, text_col)))
                 ends = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), np.int32)))
-                yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, ids_col])
+                columns, names = [*batch.columns, ids], [*batch.schema.names, ids_col]
+                if decoded_col:
+                    columns.append(pa.array([pieces.decode(array("i", p)) for p in packed], pa.string()))
+                    names.append(decoded_col)
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return rows.mapInArrow(run, f"{_fields(rows)}`{ids_col}` array<int>")
+    return rows.mapInArrow(run, f"{_fields(rows)}`{ids_col}` array<int>" + f", `{decoded_col}` string" * bool(decoded_col))
 
 
 def decode(df: DataFrame, model: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -224,7 +246,7 @@ def encoded_documents(df: DataFrame, model: str) -> DataFrame:
     round_trip``; ``round_trip`` tells whether decoding gives the text back (the mark itself
     in a text comes back as a space; a null text counts as empty)."""
     rows = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    both = decode(encode(rows, model), model)
+    both = encode(rows, model, decoded_col="decoded")
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
