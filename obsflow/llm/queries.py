@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import imatch, language_id, line_dedup, near_dedup, packing, pieces, sanitise, sharding, token_counts
+from . import cap_filters, imatch, language_id, line_dedup, near_dedup, packing, pieces, sanitise, sharding, token_counts
 from .common import PIECE_BPE_FILE, WORD_BPE_FILE, table, tokenizer_path
 
 
@@ -26,6 +26,11 @@ def op3_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all embeddings of a label."""
+    return cap_filters.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of eight k-d tree leaves of nearly equal bytes."""
     return sharding.document_shards(table(spark, sf_dir, "documents"))
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_best_fit_packing,
         op2_sentencepiece,
         op3_minhash_forest,
+        op4_cap_filters,
         op5_kd_shards,
         op6_token_counts,
         op7_line_dedup,
