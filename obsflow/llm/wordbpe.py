@@ -87,7 +87,7 @@ class WordBpe:
                 word = bytes(back[c] for c in piece[: len(piece) - len(self.suffix)]).decode()
             except (KeyError, UnicodeDecodeError):
                 continue
-            if word and _PRE.findall(word) == [word] and not _ODD.search(word) and self._merge(word) == [token]:
+            if word == word.lower() and _PRE.findall(word) == [word] and not _ODD.search(word) and self._merge(word) == [token]:
                 proven[word] = token
         return proven
 

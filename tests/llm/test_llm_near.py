@@ -1,0 +1,133 @@
+"""Near-duplicates of texts and vectors against all pairs."""
+
+import math
+import random
+import re
+
+import numpy as np
+
+from conftest_helpers import Sets
+from obsflow.llm import cap_filters, near_dedup
+from obsflow.llm.components import components
+
+
+def shingles(text):
+    low = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    return frozenset(tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def brute(rows):
+    sets, comp = [(r.doc_id, shingles(r.text)) for r in rows if r.doc_id is not None], Sets()
+    for k, (a, s) in enumerate(sets):
+        comp.find(a)
+        for b, t in sets[:k]:
+            if s and t and 100 * len(s & t) >= 75 * len(s | t):
+                comp.join(a, b)
+    return {a: (len(s), comp.find(a)) for a, s in sets}
+
+
+def test_components(spark):
+    rng = random.Random(5)
+    links = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 160)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(50)]
+    links += [(7, 7), (1, 0)]
+    want = Sets()
+    for a, b in links:
+        want.join(a, b)
+    got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {x: want.find(x) for x in {x for a, b in links if a != b for x in (a, b)}}
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_near_duplicates(documents, nothing):
+    rows = documents.collect()
+    want = brute(rows)
+    got = near_dedup.near_duplicates(documents).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r.doc_id is None:
+            assert r.component_id is None and r.kept
+        else:
+            assert (r.n_shingles, r.component_id) == want[r.doc_id] and r.kept == (r.doc_id == r.component_id)
+    assert near_dedup.near_duplicates(nothing).collect() == []
+
+
+def test_long_text_is_hashed_in_blocks(monkeypatch):
+    text = " ".join(f"w{k % 977}" for k in range(20_000))
+    whole = near_dedup.shingle_set(text)
+    monkeypatch.setattr(near_dedup, "BLOCK", 1000)
+    assert (near_dedup.shingle_set(text) == whole).all() and len(whole) == len(shingles(text))
+
+
+def test_hot_group_of_near_copies(spark):
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for _ in range(rng.randint(0, 2)):
+            words[rng.randrange(120)] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = brute(spark.createDataFrame(rows, "doc_id long, text string").collect())
+    assert {r.doc_id: r.component_id for r in got} == {k: c for k, (_, c) in want.items()}
+
+
+def test_near_vectors(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(300):
+        v = rng.standard_normal(24)
+        rows.append((len(rows), v.tolist(), int(i % 3)))
+        for _ in range(int(rng.integers(0, 4))):
+            w = v + rng.standard_normal(24) * rng.uniform(0, 0.6)
+            rows.append((len(rows), (w * rng.uniform(0.1, 9)).tolist(), int(i % 3) if rng.random() < 0.9 else 7))
+    rows += [(len(rows) + k, rows[0][1], 0) for k in range(5)]  # copies
+    n = len(rows)
+    odd = [None, [], [0.0] * 24, [float("nan")] + [1.0] * 23, [float("inf")] + [1.0] * 23, [None] + [1.0] * 23, [1.0, 2.0], [1e300] * 24, [1e-300] * 24]
+    rows += [(n + k, v, 0) for k, v in enumerate(odd)] + [(n + 20, rows[0][1], None)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, label int, n_links string")
+    comp, links = Sets(), dict.fromkeys([r[0] for r in rows], 0)
+
+    def unit(v):
+        if not v or any(x is None or not math.isfinite(x) for x in v) or not any(v):
+            return None
+        v = np.array(v) / max(map(abs, v))
+        return v / np.linalg.norm(v)
+
+    units = [(i, unit(v), lab) for i, v, lab in rows]
+    for k, (a, u, x) in enumerate(units):
+        comp.find(a)
+        for b, w, y in units[:k]:
+            if u is not None and w is not None and x is not None and x == y and len(u) == len(w) and u @ w >= 0.93:
+                links[a], links[b] = links[a] + 1, links[b] + 1
+                comp.join(a, b)
+    got = cap_filters.near_vectors(df).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {i: (links[i], comp.find(i)) for i in links}
+    assert all(r.kept == (r.vec_id == r.component_id) for r in got)
+    assert cap_filters.near_vectors(df.where("false")).collect() == []
+
+
+def test_codes_reach_the_recall():
+    rng = np.random.default_rng(9)
+    for dim in (3, 24, 64):
+        codes = cap_filters.product_codes(dim)
+        met = 0
+        for _ in range(300):
+            x, z = rng.standard_normal((2, dim))
+            x /= np.linalg.norm(x)
+            z -= (z @ x) * x
+            y = 0.93 * x + math.sqrt(1 - 0.93**2) * z / np.linalg.norm(z)
+            met += bool(np.intersect1d(cap_filters.decode(codes, x), cap_filters.decode(codes, y)).size)
+        assert met >= 296
+
+
+def test_list_decoding_is_exact():
+    rng = np.random.default_rng(2)
+    code = cap_filters.product_codes(64)[0]
+    unit = rng.standard_normal(64)
+    unit /= np.linalg.norm(unit)
+    blocks, n, _ = code.words.shape
+    parts = np.einsum("bnd,bd->bn", code.words, (unit @ code.rotation).reshape(blocks, -1)) / np.sqrt(blocks)
+    scores = (parts[0][:, None] + parts[1]).ravel()
+    assert sorted(code.decode(unit)) == list(np.flatnonzero(scores >= code.threshold))
