@@ -7,6 +7,7 @@ from obsflow.functions.time import (
     date_of_text,
     ingest_stamp,
     instant_to_utc_ntz,
+    local_day_bounds,
     local_to_utc,
     parse_instant,
     parse_local_text,
@@ -23,6 +24,7 @@ __all__ = [
     "geo_point",
     "ingest_stamp",
     "instant_to_utc_ntz",
+    "local_day_bounds",
     "local_to_utc",
     "parse_instant",
     "parse_local_text",

@@ -91,6 +91,15 @@ def local_to_utc(col: str | Column, tz: str) -> Column:
     return F.convert_timezone(F.lit(tz), F.lit("UTC"), _c(col))
 
 
+def local_day_bounds(start: str, end: str, tz: str) -> tuple[Column, Column]:
+    """UTC NTZ instants [first, last) of the inclusive local dates
+    ``start``..``end`` in ``tz``. Both fold to literals, so a filter on them
+    reaches the scan."""
+    first = F.lit(str(start)).cast("date").cast("timestamp_ntz")
+    after = F.date_add(F.lit(str(end)).cast("date"), 1).cast("timestamp_ntz")
+    return local_to_utc(first, tz), local_to_utc(after, tz)
+
+
 def parse_wallclock(col: str | Column, pattern: str) -> Column:
     """Time text without offset -> the same wall clock as TIMESTAMP_NTZ.
 

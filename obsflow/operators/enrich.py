@@ -9,38 +9,43 @@ from pyspark.sql import functions as F
 
 from obsflow.functions.numeric import pct_rate
 from obsflow.functions.time import calendar_columns, slot_start, utc_to_local
-from obsflow.operators.joins import (
-    DEFAULT_BROADCAST_MAX_ROWS,
-    DEFAULT_SALT_BUCKETS,
-    many_to_one_join,
-    require_unique,
-    unique_by,
-)
+from obsflow.operators.joins import many_to_one_join, require_unique, unique_by
 
 SITE_COLUMNS = ("site_name", "zone", "lat", "lon")
 _IN_DIM = "__in_dimension"
+# Where a key was fetched more than once, the latest fetch wins.
+FETCH_ORDER = ("ingested_at",)
 
 
-def site_lookup(sites: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
+def fetch_order(df: DataFrame, order: Sequence[str] = FETCH_ORDER) -> list[str]:
+    """The columns of ``order`` that ``df`` has: where a key repeats, the
+    record with the greatest of these, the last fetch, wins."""
+    return [c for c in order if c in df.columns]
+
+
+def site_lookup(sites: DataFrame, overrides: DataFrame | None = None, order: Sequence[str] = FETCH_ORDER) -> DataFrame:
     """Site dimension with zone overrides folded in (FN12, m4).
 
-    ``sites``: site_id plus SITE_COLUMNS. ``overrides``: (site_id, zone)
-    used only where the dimension's zone is NULL; an override for a site the
-    dimension lacks still provides a zone, but the site stays an orphan,
-    exactly as an override applied to joined rows would behave.
-    Keys are made unique first so the join cannot fan out (m17).
+    ``sites``: site_id plus SITE_COLUMNS, and optionally the columns of
+    ``order``. ``overrides``: (site_id, zone) used only where the dimension's
+    zone is NULL; an override for a site the dimension lacks still provides a
+    zone, but the site stays an orphan, exactly as an override applied to
+    joined rows would behave. Keys are made unique first so the join cannot
+    fan out (m17): the last fetch wins, then the greatest record.
     """
-    if overrides is None:
-        dim = unique_by(sites.select("site_id", *SITE_COLUMNS), ["site_id"])
-        return dim.withColumn(_IN_DIM, F.lit(True))
-    # One union and one aggregate (one shuffle) instead of two dedups and a
-    # full outer join: the greatest dimension record and the greatest
-    # override per key, both deterministic.
-    rec = F.struct(*[F.col(c) for c in SITE_COLUMNS])
+    order = fetch_order(sites, order)
+    # One union and one aggregate (one shuffle): the last dimension record
+    # and the greatest override per key, both deterministic.
+    rec = F.struct(*[F.col(c) for c in [*order, *SITE_COLUMNS]])
+    both = sites.select("site_id", rec.alias("__rec"))
     none = F.lit(None)
-    both = sites.select("site_id", rec.alias("__rec"), none.cast("string").alias("__ovr")).unionByName(
-        overrides.select("site_id", none.cast(rec_type(sites)).alias("__rec"), F.col("zone").alias("__ovr"))
-    )
+    if overrides is not None:
+        rec_type = both.schema["__rec"].dataType.simpleString()
+        both = both.withColumn("__ovr", none.cast("string")).unionByName(
+            overrides.select("site_id", none.cast(rec_type).alias("__rec"), F.col("zone").alias("__ovr"))
+        )
+    else:
+        both = both.withColumn("__ovr", none.cast("string"))
     agg = both.groupBy("site_id").agg(F.max("__rec").alias("__rec"), F.max("__ovr").alias("__ovr"))
     return agg.select(
         "site_id",
@@ -52,18 +57,11 @@ def site_lookup(sites: DataFrame, overrides: DataFrame | None = None) -> DataFra
     )
 
 
-def rec_type(sites: DataFrame) -> str:
-    """DDL of the struct of SITE_COLUMNS as typed in ``sites``."""
-    return sites.select(F.struct(*SITE_COLUMNS).alias("r")).schema["r"].dataType.simpleString()
-
-
 def attach_sites(
     obs: DataFrame,
     sites: DataFrame,
     overrides: DataFrame | None = None,
     orphan_on: str = "site_key",
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-    salt_buckets: int = DEFAULT_SALT_BUCKETS,
     on_duplicate: str = "dedup",
 ) -> DataFrame:
     """Left join observations to the site dimension; flag orphans (JON1, FLT1, ENR1).
@@ -71,17 +69,17 @@ def attach_sites(
     ``orphan_on="site_key"`` (default): orphan = no dimension row matched.
     ``orphan_on="site_name"``: the reference's test, orphan = joined name is
     NULL, so a known site without a name is an orphan too (m3).
-    The dimension is broadcast only when its size is proven small;
-    otherwise the join is salted so a hot site is split over tasks.
     ``on_duplicate="raise"`` fails on a repeated site key instead of keeping
-    the greatest record (m17).
+    the last fetched record (m17). ``sites`` may also be a lookup made by
+    ``site_lookup`` beforehand.
     """
-    if on_duplicate == "raise":
+    prepared = _IN_DIM in sites.columns
+    if on_duplicate == "raise" and not prepared:
         require_unique(sites, ["site_id"], "site dimension")
-    elif on_duplicate != "dedup":
+    elif on_duplicate not in ("dedup", "raise"):
         raise ValueError(f"on_duplicate must be 'dedup' or 'raise', not {on_duplicate!r}")
-    lookup = site_lookup(sites, overrides).withColumnRenamed("site_id", "__site_key")
-    joined = many_to_one_join(obs, lookup, ["site_id"], ["__site_key"], "left", broadcast_max_rows, salt_buckets)
+    lookup = sites if prepared else site_lookup(sites, overrides)
+    joined = many_to_one_join(obs, lookup, ["site_id"], ["site_id"])
     if orphan_on == "site_name":
         orphan = F.col("site_name").isNull()
     elif orphan_on == "site_key":
@@ -101,39 +99,38 @@ def with_slot(df: DataFrame, ts_col: str = "obs_ts", out: str = "slot_ts", minut
     return df.withColumn(out, slot_start(ts_col, minutes))
 
 
+def context_lookup(context: DataFrame, measures: Sequence[str], order: Sequence[str] = FETCH_ORDER) -> DataFrame:
+    """One row per (zone, ctx_ts), the last fetched, marked ``has_context``."""
+    order = fetch_order(context, order)
+    ctx = unique_by(context.select("zone", "ctx_ts", *measures, *order), ["zone", "ctx_ts"], order)
+    return ctx.select("zone", "ctx_ts", *measures, F.lit(True).alias("has_context"))
+
+
 def attach_context(
     df: DataFrame,
     context: DataFrame,
     measures: Sequence[str],
     zone_col: str = "zone",
     slot_col: str = "slot_ts",
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-    salt_buckets: int = DEFAULT_SALT_BUCKETS,
     on_duplicate: str = "dedup",
+    order: Sequence[str] = FETCH_ORDER,
 ) -> DataFrame:
     """Left join on (zone, slot) to the context series (JON2, ENR2).
 
-    The context is made unique on (zone, ctx_ts) so the join is many-to-one,
-    then broadcast if proven small; otherwise both sides shuffle on
-    (zone, slot, salt), which spreads a hot zone over its slots and a hot
-    slot over the salt buckets. NULL zones match nothing (m5).
+    The context is made unique on (zone, ctx_ts) so the join is many-to-one;
+    of several fetches of a slot the last one (by ``order``) wins. It may also
+    be a lookup made by ``context_lookup`` beforehand. NULL zones match
+    nothing (m5).
     Adds ``has_context`` (a context row matched), separate from whether its
     measures are NULL (m16).
     """
-    if on_duplicate == "raise":
+    prepared = "has_context" in context.columns
+    if on_duplicate == "raise" and not prepared:
         require_unique(context, ["zone", "ctx_ts"], "context series")
-    elif on_duplicate != "dedup":
+    elif on_duplicate not in ("dedup", "raise"):
         raise ValueError(f"on_duplicate must be 'dedup' or 'raise', not {on_duplicate!r}")
-    ctx = unique_by(context.select("zone", "ctx_ts", *measures), ["zone", "ctx_ts"])
-    ctx = ctx.select(
-        F.col("zone").alias("__ctx_zone"),
-        F.col("ctx_ts").alias("__ctx_ts"),
-        *measures,
-        F.lit(True).alias("has_context"),
-    )
-    out = many_to_one_join(
-        df, ctx, [zone_col, slot_col], ["__ctx_zone", "__ctx_ts"], "left", broadcast_max_rows, salt_buckets
-    )
+    ctx = context if prepared else context_lookup(context, measures, order)
+    out = many_to_one_join(df, ctx, [zone_col, slot_col], ["zone", "ctx_ts"])
     return out.withColumn("has_context", F.coalesce(F.col("has_context"), F.lit(False)))
 
 

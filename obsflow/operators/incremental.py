@@ -12,7 +12,33 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsflow.functions.time import utc_to_local
+from obsflow.functions.time import local_day_bounds, utc_to_local
+
+
+def in_date_range(
+    df: DataFrame,
+    start: str,
+    end: str,
+    tz: str = "UTC",
+    ts_col: str = "obs_ts",
+    date_col: str | None = None,
+    widen: str = "0 minutes",
+) -> DataFrame:
+    """Rows whose UTC time falls on the local dates ``start``..``end``, both
+    included (FLT7).
+
+    The bounds are literals, pushed down to the scan. ``date_col`` names a
+    partition column with the row's UTC date (or landing date): it is bounded
+    too, a day wider on each side, so that only those folders are listed.
+    ``widen`` moves the lower bound back, for a series looked up by slot.
+    """
+    lo, hi = local_day_bounds(start, end, tz)
+    lo = lo - F.expr(f"INTERVAL '{widen.split()[0]}' {widen.split()[1].rstrip('s').upper()}")
+    out = df.filter((F.col(ts_col) >= lo) & (F.col(ts_col) < hi))
+    if date_col is not None:
+        first, last = F.date_sub(F.lit(str(start)).cast("date"), 2), F.date_add(F.lit(str(end)).cast("date"), 2)
+        out = out.filter(F.col(date_col).cast("date").between(first, last))
+    return out
 
 
 def resume_point(

@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast and the fan-out guard (m17)."""
+"""Many-to-one joins and the fan-out guard (m17)."""
 
 from __future__ import annotations
 
@@ -6,79 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# A side is broadcast only when its counted rows times its estimated row
-# width stay under both bounds; beyond them Spark plans a shuffle join.
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
-DEFAULT_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
-
-
-# Default size in bytes per type, as Spark's own estimates use.
-_TYPE_SIZES = {
-    T.BooleanType: 1,
-    T.ByteType: 1,
-    T.ShortType: 2,
-    T.IntegerType: 4,
-    T.DateType: 4,
-    T.FloatType: 4,
-    T.LongType: 8,
-    T.DoubleType: 8,
-    T.TimestampType: 8,
-    T.TimestampNTZType: 8,
-    T.StringType: 20,
-    T.BinaryType: 100,
-}
-
-
-def _type_size(dt: T.DataType) -> int:
-    if isinstance(dt, T.StructType):
-        return sum(_type_size(f.dataType) for f in dt.fields)
-    if isinstance(dt, T.ArrayType):
-        return _type_size(dt.elementType)
-    if isinstance(dt, T.MapType):
-        return _type_size(dt.keyType) + _type_size(dt.valueType)
-    if isinstance(dt, T.DecimalType):
-        return 8 if dt.precision <= 18 else 16
-    return _TYPE_SIZES.get(type(dt), 20)
-
-
-def row_width(schema: T.StructType) -> int:
-    """Estimated bytes per row from the column types.
-
-    Strings count 20 bytes, as Spark's own size estimates do; dimension and
-    context text columns (names, zone names) are of that order.
-    """
-    return 8 + _type_size(schema)
-
-
-def bounded_row_count(df: DataFrame, limit: int) -> int:
-    """Row count of ``df`` capped at ``limit + 1``.
-
-    Each partition stops contributing after ``limit + 1`` rows, so a check
-    costs at most one computation of the side being checked (a dimension or
-    context side, never the facts). Only the count reaches the driver.
-    """
-    return df.limit(limit + 1).count()
-
-
-def broadcast_if_small(
-    df: DataFrame,
-    max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-    max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
-) -> tuple[DataFrame, bool]:
-    """Hint a broadcast only after proving the side's size.
-
-    The row bound is checked by counting (an action on the small side only),
-    the byte bound from that count and the schema's row width. Returns the
-    (possibly hinted) frame and whether it was hinted. Beyond the bounds the
-    plain frame is returned and Spark plans a shuffle join, with AQE
-    splitting skewed partitions at run time.
-    """
-    cap = min(max_rows, max(1, max_bytes // row_width(df.schema)))
-    if bounded_row_count(df, cap) <= cap:
-        return F.broadcast(df), True
-    return df, False
 
 
 def unique_by(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
@@ -109,41 +36,19 @@ def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
         raise ValueError(f"{what}: duplicate keys on {list(keys)}; joining would multiply fact rows")
 
 
-# Salt buckets for a many-to-one join whose small side is too big to
-# broadcast: a hot key is spread over this many tasks, at the cost of
-# replicating the (unique-keyed) small side this many times.
-DEFAULT_SALT_BUCKETS = 16
-
-
 def many_to_one_join(
-    facts: DataFrame,
-    side: DataFrame,
-    fact_keys: Sequence[str],
-    side_keys: Sequence[str],
-    how: str = "left",
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    facts: DataFrame, side: DataFrame, fact_keys: Sequence[str], side_keys: Sequence[str], how: str = "left"
 ) -> DataFrame:
     """Join facts to a side that is unique on ``side_keys``.
 
-    Broadcast when the side is proven small. Otherwise a salted shuffle
-    join: each fact row gets a deterministic salt in [0, n) from a hash of
-    its own columns (stable across task retries), and every side row is
-    replicated once per salt, so one key holding a third of all fact rows
-    is split over ``n`` tasks instead of landing on one. Each fact row
-    meets exactly one replica, so no row is duplicated or lost. The side's
-    key columns are dropped from the result (the fact keys remain).
+    No hint and no size check of our own: building the frame runs no job and
+    reads nothing. Spark broadcasts the side when its size, known from the
+    files of a written table or measured by AQE once the side's stage has run,
+    is below ``spark.sql.autoBroadcastJoinThreshold``; else both sides are
+    shuffled and AQE splits a partition that a hot key makes too large. The
+    side's key columns are dropped from the result (the fact keys remain).
     """
-    side_b, hinted = broadcast_if_small(side, broadcast_max_rows)
-    if hinted or salt_buckets <= 1:
-        cond = [F.col(f) == side_b[s] for f, s in zip(fact_keys, side_keys)]
-        out = facts.join(side_b, cond, how)
-        return out.drop(*[side_b[s] for s in side_keys])
     renamed = {s: f"__side_{i}" for i, s in enumerate(side_keys)}
     r = side.withColumnsRenamed(renamed)
-    r = r.withColumn("__side_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    f = facts.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salt_buckets)))
-    cond = [F.col(fk) == F.col(renamed[sk]) for fk, sk in zip(fact_keys, side_keys)]
-    cond.append(F.col("__salt") == F.col("__side_salt"))
-    out = f.join(r, cond, how)
-    return out.drop("__salt", "__side_salt", *renamed.values())
+    cond = [F.col(fk) == F.col(renamed[sk]) for fk, sk in zip(fact_keys, side_keys, strict=True)]
+    return facts.join(r, cond, how).drop(*renamed.values())

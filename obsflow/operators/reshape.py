@@ -6,10 +6,11 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from obsflow.functions.text import record_json
 from obsflow.functions.time import parse_instant
-from obsflow.schemas import SITE_FIELDS
+from obsflow.schemas import RAW_OBSERVATION_ITEM, SITE_FIELDS
 
 
 def non_empty_pages(pages: DataFrame, array_col: str = "values") -> DataFrame:
@@ -30,12 +31,26 @@ def sites_from_records(records: DataFrame) -> DataFrame:
     return records.select(*[F.col(src).alias(dst) for src, dst in SITE_FIELDS.items()])
 
 
+def items_from_lines(lines: DataFrame, line_col: str = "value", schema: StructType = RAW_OBSERVATION_ITEM) -> DataFrame:
+    """Text lines -> items with their declared fields, and the line as ``raw`` (PRJ6).
+
+    The received text stays whole: fields the schema does not declare are in
+    ``raw``, and so is a line that is no JSON object, whose fields are NULL.
+    Other columns of ``lines`` are carried along. Blank lines are no items.
+    """
+    parsed = lines.filter(F.trim(F.col(line_col)) != "").withColumn("__item", F.from_json(F.col(line_col), schema))
+    others = [c for c in lines.columns if c != line_col]
+    return parsed.select(*others, *[F.col("__item")[f.name].alias(f.name) for f in schema.fields], F.col(line_col).alias("raw"))
+
+
 def flatten_items(items: DataFrame, keep_raw: bool = True, raw_as_variant: bool = False) -> DataFrame:
     """Raw feed items -> canonical observations (PRJ5, PRJ6).
 
     Nested counts two levels down; a missing or NULL ``main_stands`` gives
     NULL counts (m18). ``raw`` keeps the whole item as JSON text, or as a
-    VARIANT with ``raw_as_variant`` (queried with ``variant_get``).
+    VARIANT with ``raw_as_variant`` (queried with ``variant_get``). Where the
+    items have a ``raw`` column (see ``items_from_lines``) it is kept as it is,
+    undeclared fields included; else it is rebuilt from the declared fields.
     """
     cols = [
         F.col("number").alias("site_id"),
@@ -47,8 +62,8 @@ def flatten_items(items: DataFrame, keep_raw: bool = True, raw_as_variant: bool
         F.col("main_stands.availabilities.stands").alias("free"),
     ]
     if keep_raw:
-        raw = record_json(*[F.col(c) for c in items.columns])
-        cols.append((F.parse_json(raw) if raw_as_variant else raw).alias("raw"))
+        raw = F.col("raw") if "raw" in items.columns else record_json(*[F.col(c) for c in items.columns])
+        cols.append((F.try_parse_json(raw) if raw_as_variant else raw).alias("raw"))
     return items.select(*cols)
 
 

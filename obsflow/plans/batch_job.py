@@ -2,16 +2,18 @@
 
 Shape of the work, whatever the data size:
 
-1. one scan of the observations (date range pushed to Parquet);
-2. one shuffle for the deduplication, with partial aggregation before it;
-3. the site join and the (zone, slot) context join, each broadcast only
-   when the side's row count is proven small, otherwise shuffled with AQE
-   skew splitting;
+1. the site lookup and the context series are reduced to one row per key and
+   written once; the joins read these small tables, whose true size lets Spark
+   choose between broadcast and shuffle;
+2. one scan of the observations (the date range pushed to Parquet);
+3. one shuffle for the deduplication, with partial aggregation before it;
 4. rules, rate and calendar columns as projections in the same stage;
 5. one staged write, partitioned by (disposition, year, month), which also
    measures every figure of the quality reports through ``observe``;
-6. publication of the accepted rows only if the gate passes, then the
-   hourly roll-up read from the published rows of the touched months.
+6. the rejected rows, with reasons, are kept as ``rejects/run_id=...``;
+7. if the gate passes, the new rows of the touched months and their hourly
+   roll-up are written aside, counted, and put in place together by renames.
+   An error before that leaves the published tables as they were.
 
 The staged table is a written table in the shared folder: it cuts the
 lineage, so a lost executor after step 5 costs no recomputation from the
@@ -27,22 +29,25 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from obsflow.functions.time import local_day_bounds
 from obsflow.operators.dedup import dedup_latest
 from obsflow.operators.enrich import (
     attach_context,
     attach_sites,
+    context_lookup,
+    site_lookup,
     with_fill_rate,
     with_local_calendar,
     with_slot,
 )
-from obsflow.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, DEFAULT_SALT_BUCKETS
-from obsflow.operators.merge import keyed_merge
+from obsflow.operators.incremental import in_date_range
+from obsflow.operators.joins import require_unique
 from obsflow.operators.quality import gate_verdict
 from obsflow.operators.rollup import SITE_HOUR_KEYS, hourly_rollup
 from obsflow.operators.rules import CONSISTENCY_RULES, GATE_RULES, Rule, rule_counts
 from obsflow.plans.layouts import HOUR_NAMES, QUALITY_NAMES, ROW_NAMES, publish_as, read_as_library
 from obsflow.session import new_work_path
-from obsflow.sinks.parquet import table_exists, write_partitioned
+from obsflow.sinks.parquet import remove_folder, swap_folders, table_exists, write_partitioned
 
 OK, ANOMALY, ORPHAN, KEY_NULL = "ok", "anomaly", "orphan", "key_null"
 
@@ -72,16 +77,21 @@ class BatchSettings:
     consistency_rules: Sequence[Rule] = CONSISTENCY_RULES
     gate_rules: Sequence[Rule] = GATE_RULES
     enforce_gate: bool = True
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
-    # Used only when a side is too big to broadcast: splits hot keys.
-    salt_buckets: int = DEFAULT_SALT_BUCKETS
     # Repeated dimension/context keys: "dedup" (greatest record) or "raise" (m17).
     on_duplicate: str = "dedup"
-    # Inclusive UTC date range [start, end]; pushed to both inputs' scans.
+    # Inclusive range of local dates [start, end]; pushed to both inputs' scans.
     time_range: tuple[str, str] | None = None
-    # "replace": the run owns every month it touches (full backfill).
-    # "merge": rows are upserted by (site_id, obs_ts) into touched months.
+    # Partition column of the observations that holds the UTC (or landing)
+    # date, if there is one: the range then prunes folders too.
+    range_date_col: str | None = "obs_date"
+    # "replace": the run owns everything it covers: the whole table, or with a
+    # range the rows in it; rows outside the range stay.
+    # "merge": the run owns the keys it read: accepted ones are upserted, and
+    # ones that are rejected now leave the table.
     publish_mode: str = "replace"
+    # Keep the staged rows after a successful publication (the diagnostics of
+    # ``reports.run_reports`` read them). They are a full copy of the run.
+    keep_staging: bool = False
     # "neutral": library column names; "reference": the reference's
     # published names (station_id, horodate_ts, ..., partitions annee/mois).
     layout: str = "neutral"
@@ -133,15 +143,27 @@ def _append_quality(spark: SparkSession, path: str, run_id: str, metrics: dict,
     row.write.mode("append").parquet(path)
 
 
-def touched_months(spark: SparkSession, rows_path: str, touched: DataFrame, names: dict) -> DataFrame:
-    """Published rows of the months a run touched, in library names.
+def published_rows(spark: SparkSession, rows_path: str, months: Sequence[tuple[int, int]], names: dict) -> DataFrame:
+    """Published rows of the given months, in library names.
 
-    The semi-join on the partition columns with the broadcast month list
-    (one row per touched month: bounded by the run's date range) becomes
-    dynamic partition pruning: history months are never listed or read.
+    The months (a handful of literals) are a filter on the partition columns,
+    so other months are neither listed nor read.
     """
     published = read_as_library(spark.read.parquet(rows_path), names)
-    return published.join(F.broadcast(touched), ["year", "month"], "left_semi")
+    wanted = F.lit(False)
+    for y, m in months:
+        wanted = wanted | ((F.col("year") == y) & (F.col("month") == m))
+    return published.filter(wanted)
+
+
+def range_months(time_range: tuple[str, str]) -> list[tuple[int, int]]:
+    """Local months that an inclusive range of local dates touches."""
+    (y, m), (y1, m1) = (tuple(map(int, str(d).split("-")[:2])) for d in time_range)
+    out = []
+    while (y, m) <= (y1, m1):
+        out.append((y, m))
+        y, m = (y, m + 1) if m < 12 else (y + 1, 1)
+    return out
 
 
 def _layout(s: BatchSettings) -> tuple[dict, dict]:
@@ -152,14 +174,6 @@ def _layout(s: BatchSettings) -> tuple[dict, dict]:
     raise ValueError(f"layout must be 'neutral' or 'reference', not {s.layout!r}")
 
 
-def _in_range(col: str, time_range: tuple[str, str] | None) -> Column | None:
-    if not time_range:
-        return None
-    lo = F.lit(time_range[0]).cast("timestamp_ntz")
-    hi = F.date_add(F.lit(time_range[1]).cast("date"), 1).cast("timestamp_ntz")
-    return (F.col(col) >= lo) & (F.col(col) < hi)
-
-
 def build_rows(
     obs: DataFrame,
     sites: DataFrame,
@@ -175,10 +189,10 @@ def build_rows(
     collapse) and quarantined rather than merged by a NULL key.
     """
     s = settings
-    rng = _in_range("obs_ts", s.time_range)
-    if rng is not None:
-        obs = obs.filter(rng)
-        context = context.filter(_in_range("ctx_ts", s.time_range))
+    if s.time_range:
+        date_col = s.range_date_col if s.range_date_col in obs.columns else None
+        obs = in_date_range(obs, *s.time_range, s.time_zone, "obs_ts", date_col)
+        context = in_date_range(context, *s.time_range, s.time_zone, "ctx_ts", widen=f"{s.slot_minutes} minutes")
     if s.dedup_input:
         keyed = F.col("site_id").isNotNull() & F.col("obs_ts").isNotNull()
         others = [c for c in obs.columns if c not in ("site_id", "obs_ts")]
@@ -187,16 +201,9 @@ def build_rows(
     else:
         dedup = obs
 
-    df = attach_sites(dedup, sites, overrides, s.orphan_on, s.broadcast_max_rows, s.salt_buckets, s.on_duplicate)
+    df = attach_sites(dedup, sites, overrides, s.orphan_on, s.on_duplicate)
     df = with_slot(df, "obs_ts", "slot_ts", s.slot_minutes)
-    df = attach_context(
-        df,
-        context,
-        s.measures,
-        broadcast_max_rows=s.broadcast_max_rows,
-        salt_buckets=s.salt_buckets,
-        on_duplicate=s.on_duplicate,
-    )
+    df = attach_context(df, context, s.measures, on_duplicate=s.on_duplicate)
     df = with_fill_rate(df)
     df = with_local_calendar(df, s.time_zone)
 
@@ -245,12 +252,37 @@ class BatchResult:
     staging_path: str
     rows_path: str
     hours_path: str
+    rejects_path: str = ""
     verification: dict | None = None
 
     def as_dict(self) -> dict:
         return self.__dict__.copy()
 
 
+def _lookups(spark: SparkSession, sites: DataFrame, context: DataFrame, s: BatchSettings, overrides: DataFrame | None, work: str):
+    """Both small sides reduced to one row per key and written once."""
+    if s.on_duplicate == "raise":
+        require_unique(sites, ["site_id"], "site dimension")
+        require_unique(context, ["zone", "ctx_ts"], "context series")
+    if s.time_range:
+        context = in_date_range(context, *s.time_range, s.time_zone, "ctx_ts", widen=f"{s.slot_minutes} minutes")
+    out = []
+    for name, df in (("sites", site_lookup(sites, overrides)), ("context", context_lookup(context, s.measures))):
+        df.write.parquet(f"{work}/{name}")
+        out.append(spark.read.schema(df.schema).parquet(f"{work}/{name}"))
+    return out
+
+
+def _survivors(current: DataFrame, staged: DataFrame, s: BatchSettings) -> DataFrame:
+    """Published rows that the run does not own."""
+    if s.publish_mode == "replace":
+        lo, hi = local_day_bounds(*s.time_range, s.time_zone)
+        return current.filter(~((F.col("obs_ts") >= lo) & (F.col("obs_ts") < hi)))
+    # Every key that was read again, accepted or not, replaces what was there.
+    again = staged.filter(F.col("disposition") != KEY_NULL).select("site_id", "obs_ts")
+    return current.join(again, ["site_id", "obs_ts"], "left_anti")
+
+
 def run_batch(
     spark: SparkSession,
     obs: DataFrame,
@@ -260,55 +292,98 @@ def run_batch(
     settings: BatchSettings = BatchSettings(),
     overrides: DataFrame | None = None,
 ) -> BatchResult:
-    """Stage (one pass over the sources), measure, gate, publish, roll up."""
+    """Stage (one pass over the sources), measure, gate, publish, roll up.
+
+    Without any observation, or with nothing accepted and nothing to take out,
+    nothing is published; the quality row and the rejected rows are written in
+    any case. A wrong count raises before the published tables are touched.
+    """
     s = settings
-    rows = build_rows(obs, sites, context, s, overrides)
+    if s.publish_mode not in ("replace", "merge"):
+        raise ValueError(f"publish_mode must be 'replace' or 'merge', not {s.publish_mode!r}")
+    out_dir = out_dir.rstrip("/")
+    work = new_work_path(spark, "batch")
+    site_dim, series = _lookups(spark, sites, context, s, overrides, work)
+    rows = build_rows(obs, site_dim, series, s)
     figures = Observation(f"obsflow_figures_{uuid.uuid4().hex[:8]}")
-    staging = new_work_path(spark, "staging")
+    staging = f"{work}/staging"
     staged = rows.select(*row_columns(s), "has_context", "is_orphan", "reasons", "disposition")
     write_partitioned(staged, staging, ["disposition", "year", "month"], observe=(figures, observed_figures(s)))
     metrics = dict(figures.get)
+    # Read back with the declared schema: an empty table has no file to infer it from.
+    staged = spark.read.schema(staged.schema).parquet(staging)
     # Cross-check against the durable staged table (a footer-only count). On
     # a mismatch the figures are recomputed exactly from the staged rows.
-    if spark.read.parquet(staging).count() != metrics["n_rows"]:
-        metrics = spark.read.parquet(staging).agg(*observed_figures(s)).first().asDict()
+    if staged.count() != metrics.get("n_rows"):
+        metrics = staged.agg(*observed_figures(s)).first().asDict()
         metrics["recomputed"] = True
     verdict = gate_verdict(metrics, s.gate_rules, prefix="final_")
 
-    rows_path, hours_path = f"{out_dir.rstrip('/')}/rows", f"{out_dir.rstrip('/')}/hours"
-    result = BatchResult(metrics, verdict, False, staging, rows_path, hours_path)
-    row_names, hour_names = _layout(s)
-    # The quality table gets its row whether or not the gate lets the data through.
-    _append_quality(spark, f"{out_dir.rstrip('/')}/quality", staging.rsplit("/", 1)[-1], metrics, verdict, s)
+    run_id = work.rsplit("/", 1)[-1]
+    rows_path, hours_path = f"{out_dir}/rows", f"{out_dir}/hours"
+    rejects_path = f"{out_dir}/rejects/run_id={run_id}"
+    result = BatchResult(metrics, verdict, False, staging, rows_path, hours_path, rejects_path)
+    # The quality table gets its row whether or not the gate lets the data
+    # through, and the rejected rows are kept with their reasons (DQ5).
+    _append_quality(spark, f"{out_dir}/quality", run_id, metrics, verdict, s)
+    staged.filter(F.col("disposition") != OK).write.parquet(rejects_path)
     if s.enforce_gate and not verdict["passed"]:
         return result
-
-    parts = [row_names.get(c, c) for c in ("year", "month")]
-    accepted = spark.read.parquet(staging).filter(F.col("disposition") == OK).select(*row_columns(s))
-    touched = accepted.select("year", "month").distinct()
-    if s.publish_mode == "merge" and table_exists(spark, rows_path):
-        current = touched_months(spark, rows_path, touched, row_names)
-        merged = keyed_merge(current, accepted, ["site_id", "obs_ts"]).drop("change")
-        # Never overwrite a path the same plan reads: stage the merged months.
-        merged_path = new_work_path(spark, "merged")
-        write_partitioned(merged, merged_path, ["year", "month"])
-        accepted = spark.read.parquet(merged_path).select(*row_columns(s))
-    elif s.publish_mode not in ("replace", "merge"):
-        raise ValueError(f"publish_mode must be 'replace' or 'merge', not {s.publish_mode!r}")
-    # Staged files are already grouped by month: no shuffle needed to publish.
-    write_partitioned(publish_as(accepted, row_names), rows_path, parts, rebalance=False)
-
-    published = touched_months(spark, rows_path, touched, row_names)
-    hours = hourly_rollup(published, SITE_HOUR_KEYS, s.temperature_col)
-    write_partitioned(publish_as(hours, hour_names), hours_path, parts)
-
-    result.published = True
-    if s.publish_mode == "replace":
-        n = published.count()
-        result.verification = {"expected": metrics["n_final"], "read_back": n, "ok": n == metrics["n_final"]}
+    if _publish(spark, staged, metrics, out_dir, run_id, s, result):
+        result.published = True
+        if not s.keep_staging:
+            remove_folder(spark, work)
     return result
 
 
+def _publish(spark: SparkSession, staged: DataFrame, metrics: dict, out_dir: str, run_id: str, s: BatchSettings, result: BatchResult) -> bool:
+    """Write the new rows and hours aside and swap them in; False if there is
+    nothing to publish."""
+    row_names, hour_names = _layout(s)
+    parts = [row_names.get(c, c) for c in ("year", "month")]
+    accepted = staged.filter(F.col("disposition") == OK).select(*row_columns(s))
+    exists = table_exists(spark, result.rows_path)
+    whole = not exists or (s.publish_mode == "replace" and not s.time_range)
+    if whole:
+        if not metrics["n_final"]:
+            return False
+        new, kept = accepted, 0
+    else:
+        if s.publish_mode == "replace":
+            months = range_months(s.time_range)
+        else:  # one row per month read: a handful
+            keyed = staged.filter((F.col("disposition") != KEY_NULL) & F.col("year").isNotNull())
+            months = sorted((r["year"], r["month"]) for r in keyed.select("year", "month").distinct().collect())
+        if not months or not metrics["n_rows"]:
+            return False
+        survivors = _survivors(published_rows(spark, result.rows_path, months, row_names), staged, s).select(*row_columns(s))
+        kept = survivors.count()
+        new = survivors.unionByName(accepted)
+    aside = f"{out_dir}/_publish-{run_id}"
+    named = publish_as(new, row_names)
+    # Staged and published files are already grouped by month: no shuffle.
+    write_partitioned(named, f"{aside}/rows", parts, rebalance=False)
+    written = spark.read.schema(named.schema).parquet(f"{aside}/rows")
+    expected, n = kept + metrics["n_final"], written.count()
+    result.verification = {"expected": expected, "read_back": n, "ok": n == expected}
+    if n != expected:
+        remove_folder(spark, aside)
+        raise RuntimeError(f"{n} rows were written for publication, {expected} were expected; nothing was published")
+    hours = publish_as(hourly_rollup(read_as_library(written, row_names), SITE_HOUR_KEYS, s.temperature_col), hour_names)
+    write_partitioned(hours, f"{aside}/hours", parts)
+    if whole:
+        moves = [(f"{aside}/rows", result.rows_path), (f"{aside}/hours", result.hours_path)]
+    else:
+        folders = ["/".join(f"{p}={v}" for p, v in zip(parts, ym, strict=True)) for ym in months]
+        moves = []
+        for table in ("rows", "hours"):
+            for f in folders:
+                new_folder = f"{aside}/{table}/{f}"
+                moves.append((new_folder if table_exists(spark, new_folder) else None, f"{out_dir}/{table}/{f}"))
+    swap_folders(spark, moves, f"{out_dir}/_before-{run_id}")
+    remove_folder(spark, aside)
+    return True
+
 
 def run_incremental(
     spark: SparkSession,
@@ -325,8 +400,8 @@ def run_incremental(
 ) -> BatchResult:
     """Load from where the published table stops (INC1 + INC4).
 
-    The start is the explicit date, else the local date of the latest
-    published observation, else ``today - lookback_days``; the end is the
+    All dates are local dates of the business zone. The start is the explicit
+    date, else the date of the latest published observation, else ``today - lookback_days``; the end is the
     explicit date, else today. The run covers [start, end] (pushed to both
     inputs' scans) and is published with the keyed merge, so the day it
     resumes on, already partly loaded, is reloaded idempotently.

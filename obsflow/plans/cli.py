@@ -28,13 +28,19 @@ from the published table instead of taking ``time_range``.
 ``raw_items`` (feed items with nested counts) or ``canonical``. Context:
 ``landed`` (commune, datetime instant, measures), ``csv_archive`` (raw CSV
 texts; needs ``zones``: a table of zone, lat, lon) or ``canonical``.
+Dates are local dates of ``time_zone``. ``measures``, ``extra_columns`` and
+``temperature_col`` choose the context figures and observation columns carried
+along; ``gate_rules`` lists the rules that block publication (by default all;
+``[]`` counts everything and blocks nothing). ``keep_staging`` keeps the staged
+rows for the diagnostics.
 Prints the metrics and verdict as one JSON line; exit code 2 when the gate
-refused publication.
+refused publication; an error, and nothing published, when a count is wrong.
 """
 
 from __future__ import annotations
 
 import argparse
+import dataclasses
 import json
 import sys
 from collections.abc import Mapping
@@ -42,6 +48,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from obsflow.operators.reshape import context_from_landed, flatten_items, from_landed
+from obsflow.operators.rules import GATE_RULES
 from obsflow.plans.batch_job import BatchSettings, run_batch, run_incremental
 from obsflow.schemas import LANDED_OBSERVATION, RAW_OBSERVATION_ITEM, SITE_RECORD
 from obsflow.sources.context_csv import context_from_texts, read_texts
@@ -93,17 +100,26 @@ def settings_from(cfg: Mapping) -> BatchSettings:
         "enforce_gate",
         "publish_mode",
         "layout",
-        "salt_buckets",
         "dedup_input",
         "on_duplicate",
+        "keep_staging",
+        "range_date_col",
+        "temperature_col",
     )
     kw = {k: cfg[k] for k in keys if k in cfg}
     if "dedup_order" in cfg:
         kw["dedup_order"] = tuple(cfg["dedup_order"])
     if "time_range" in cfg:
         kw["time_range"] = tuple(cfg["time_range"])
-    if "broadcast_max_rows" in cfg:
-        kw["broadcast_max_rows"] = int(cfg["broadcast_max_rows"])
+    for k in ("measures", "extra_columns"):
+        if k in cfg:
+            kw[k] = tuple(cfg[k])
+    if "gate_rules" in cfg:  # the names of the rules that block; the others are only counted
+        known = {r.name: r for r in GATE_RULES}
+        unknown = [n for n in cfg["gate_rules"] if n not in known]
+        if unknown:
+            raise ValueError(f"unknown gate rules {unknown}; known: {sorted(known)}")
+        kw["gate_rules"] = tuple(dataclasses.replace(r, blocking=r.name in cfg["gate_rules"]) for r in GATE_RULES)
     return BatchSettings(**kw)
 
 

@@ -18,12 +18,13 @@ from obsflow.plans.layouts import HOUR_NAMES, read_as_library
 
 
 def staged(spark: SparkSession, result: BatchResult) -> DataFrame:
+    """The run's staged rows; a published run keeps them only with ``keep_staging``."""
     return spark.read.parquet(result.staging_path)
 
 
 def quarantine(spark: SparkSession, result: BatchResult) -> DataFrame:
     """Every row that was not published, with its disposition and reasons."""
-    return staged(spark, result).filter(F.col("disposition") != OK)
+    return spark.read.parquet(result.rejects_path)
 
 
 def matched(spark: SparkSession, result: BatchResult) -> DataFrame:

@@ -97,7 +97,7 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     j = c.filter(F.col("c_mktsegment") != EXCLUDED_SEGMENT).join(
-        F.broadcast(n), c.c_nationkey == n.n_nationkey, "inner"
+        n, c.c_nationkey == n.n_nationkey, "inner"
     )
     return j.select(
         F.col("c_custkey").alias("site_id"),
@@ -111,7 +111,7 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zone_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
-    return s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey).select(
+    return s.join(n, s.s_nationkey == n.n_nationkey).select(
         F.col("s_suppkey").alias("site_id"), F.col("n_name").alias("zone")
     )
 
@@ -122,15 +122,23 @@ def context(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region").filter(F.col("r_name") != CONTEXT_EXCLUDED_REGION)
     zones = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", F.col("n_name").alias("zone"))
-    # customer is a dimension of the events (one row per user); zones is tiny.
-    j = ev.join(c, ev.user_id == c.c_custkey).join(F.broadcast(zones), F.col("c_nationkey") == F.col("n_nationkey"))
     cents = F.round(F.col("value") * 100).cast("bigint")
-    return j.groupBy("zone", slot_start("ts", 15).alias("ctx_ts")).agg(
-        F.max("value").alias("temperature_2m_c"),
-        F.min("value").alias("apparent_temperature_c"),
-        F.count(F.lit(1)).cast("int").alias("relative_humidity_2m_pct"),
-        (F.sum(cents) / F.lit(100.0)).alias("precipitation_mm"),
-        F.min(F.get_json_object("props", "$.k").try_cast("int")).alias("weather_code"),
+    # Reduced per user and slot before the join, so that a user with very many
+    # events brings a few rows to it; every figure combines again afterwards.
+    slots = ev.groupBy("user_id", slot_start("ts", 15).alias("ctx_ts")).agg(
+        F.max("value").alias("hi"),
+        F.min("value").alias("lo"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum(cents).alias("cents"),
+        F.min(F.get_json_object("props", "$.k").try_cast("int")).alias("k"),
+    )
+    j = slots.join(c, slots.user_id == c.c_custkey).join(zones, F.col("c_nationkey") == F.col("n_nationkey"))
+    return j.groupBy("zone", "ctx_ts").agg(
+        F.max("hi").alias("temperature_2m_c"),
+        F.min("lo").alias("apparent_temperature_c"),
+        F.sum("n").cast("int").alias("relative_humidity_2m_pct"),
+        (F.sum("cents") / F.lit(100.0)).alias("precipitation_mm"),
+        F.min("k").alias("weather_code"),
     )
 
 

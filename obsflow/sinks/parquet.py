@@ -75,6 +75,51 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def _file_system(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()), sc._jvm.org.apache.hadoop.fs.Path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote, if it is there."""
+    fs, make = _file_system(spark, path)
+    fs.delete(make(path), True)
+
+
+def swap_folders(spark: SparkSession, moves: Sequence[tuple[str | None, str]], aside: str) -> None:
+    """Put new folders in the place of old ones, by renames only.
+
+    Each of ``moves`` is (new folder or None, place); None leaves the place
+    empty. What stood there is moved below ``aside`` first and deleted at the
+    end. If a rename fails, those done are undone, and the error is raised: the
+    places then hold what they held before. All paths must be on one file
+    system; ``aside`` should begin with an underscore so that readers skip it.
+    """
+    if not moves:
+        return
+    fs, make = _file_system(spark, aside)
+    done: list[tuple[str, str]] = []
+
+    def rename(src: str, dst: str) -> None:
+        fs.mkdirs(make(dst).getParent())
+        if not fs.rename(make(src), make(dst)):
+            raise OSError(f"could not move {src} to {dst}")
+        done.append((src, dst))
+
+    try:
+        for k, (new, place) in enumerate(moves):
+            if fs.exists(make(place)):
+                rename(place, f"{aside}/{k}")
+            if new is not None:
+                rename(new, place)
+    except Exception:
+        for src, dst in reversed(done):
+            fs.rename(make(dst), make(src))
+        raise
+    fs.delete(make(aside), True)
+
+
 def verify_count(spark: SparkSession, path: str, expected: int) -> dict:
     """Read-back row count compared with the count observed at write time (SNK8).
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from obsflow.functions.numeric import try_cast, try_flag
 from obsflow.functions.text import geo_point, zone_path_key
 from obsflow.functions.time import parse_local_text
-from obsflow.operators.joins import broadcast_if_small, unique_by
+from obsflow.operators.joins import unique_by
 from obsflow.schemas import CONTEXT_CSV_COLUMNS, CONTEXT_CSV_HEADER_PREFIX
 
 # Path layout: .../commune=<key>/start=<date>/end=<date>/ingested_at=<stamp>[.csv | /part-...]
@@ -54,6 +54,23 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumns(fields)
 
 
+def split_cells(line: Column) -> Column:
+    """Cells of one CSV line; a quoted cell may hold commas and doubled quotes.
+
+    A line without a quote takes the plain split. An unbalanced quote leaves
+    the wrong number of cells, so the row is quarantined.
+    """
+    # A comma is a separator if an even number of quotes follows it.
+    quoted = F.split(line, r',(?=(?:[^"]*+"[^"]*+")*+[^"]*+$)')
+    plain = F.transform(
+        quoted,
+        lambda c: F.when(
+            F.trim(c).rlike(r'(?s)^".*"$'), F.replace(F.regexp_extract(F.trim(c), r'(?s)^"(.*)"$', 1), F.lit('""'), F.lit('"'))
+        ).otherwise(c),
+    )
+    return F.when(line.contains('"'), plain).otherwise(F.split(line, ","))
+
+
 def split_text(texts: DataFrame, text_col: str = "value") -> DataFrame:
     """Whole texts -> one row per data line with a header->cell map (FN17).
 
@@ -65,7 +82,7 @@ def split_text(texts: DataFrame, text_col: str = "value") -> DataFrame:
     lines = F.split(F.col(text_col), r"\r?\n")
     hdr_pos = F.array_position(F.transform(lines, lambda l: l.startswith(CONTEXT_CSV_HEADER_PREFIX)), True)
     t = texts.withColumns({"__lines": lines, "__hdr": hdr_pos})
-    header = F.split(F.element_at("__lines", F.col("__hdr").cast("int")), ",")
+    header = split_cells(F.element_at("__lines", F.col("__hdr").cast("int")))
     body = F.slice("__lines", (F.col("__hdr") + 1).cast("int"), F.size("__lines"))
     body = F.filter(body, lambda l: F.trim(l) != "")
     t = t.withColumns(
@@ -78,7 +95,7 @@ def split_text(texts: DataFrame, text_col: str = "value") -> DataFrame:
     # A text without a header keeps one sentinel row (NULL line) so that it
     # is quarantined; a header with no data lines simply yields no rows.
     t = t.select("*", F.posexplode("__body").alias("line_no", "__line"))
-    cells = F.split("__line", ",")
+    cells = split_cells(F.col("__line"))
     cell_map = F.when(
         F.col("__line").isNotNull() & (F.size(cells) == F.size("__header")),
         F.map_from_arrays("__header", cells),
@@ -112,8 +129,7 @@ def context_from_texts(texts: DataFrame, tz: str, zones: DataFrame | None = None
         z = zones.select(
             zone_path_key("zone").alias("commune_key"), "zone", geo_point("lon", "lat").alias("location")
         )
-        z, _ = broadcast_if_small(unique_by(z, ["commune_key"]))
-        rows = rows.join(z, "commune_key", "left")
+        rows = rows.join(unique_by(z, ["commune_key"]), "commune_key", "left")
     else:
         rows = rows.withColumns({"zone": F.col("commune_key"), "location": F.lit(None).cast("struct<type:string,coordinates:array<double>>")})
     measure_names = [name for _, name, _ in CONTEXT_CSV_COLUMNS[1:]]

@@ -44,9 +44,36 @@ def sites_from_pages(pages: DataFrame) -> DataFrame:
     return sites_from_records(explode_records(non_empty_pages(pages)))
 
 
-def read_sites(spark: SparkSession, path: str, snapshot_col: str | None = "ingested_at") -> DataFrame:
-    """Site dimension from a page archive, latest snapshot when historised."""
-    pages = read_pages(spark, path, keep_corrupt=False)
+def page_report(pages: DataFrame) -> DataFrame:
+    """One row: pages read, malformed ones, well-formed ones without records,
+    and records. ``pages`` as read by ``read_pages``."""
+    bad = F.col(CORRUPT_COL).isNotNull()
+    n = F.coalesce(F.size("values"), F.lit(0))
+    return pages.select(bad.alias("bad"), F.greatest(n, F.lit(0)).alias("n")).agg(
+        F.count(F.lit(1)).alias("n_pages"),
+        F.count_if("bad").alias("n_malformed"),
+        F.count_if(~F.col("bad") & (F.col("n") == 0)).alias("n_empty"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_records"),
+    )
+
+
+def read_sites(spark: SparkSession, path: str, snapshot_col: str | None = "ingested_at", on_malformed: str = "raise") -> DataFrame:
+    """Site dimension from a page archive, latest snapshot when historised.
+
+    A malformed page would take up to a page of sites with it and turn their
+    observations into orphans, so it fails the query that reads it (no job
+    runs here). With ``on_malformed="skip"`` it is left out; count such pages
+    with ``page_report(read_pages(...))``.
+    """
+    if on_malformed not in ("raise", "skip"):
+        raise ValueError(f"on_malformed must be 'raise' or 'skip', not {on_malformed!r}")
+    pages = read_pages(spark, path)
     if snapshot_col and snapshot_col in pages.columns:
         pages = latest_snapshot(pages, snapshot_col)
+    bad = F.col(CORRUPT_COL).isNotNull()
+    if on_malformed == "raise":
+        error = F.raise_error(F.concat(F.lit("malformed site page: "), F.substring(CORRUPT_COL, 1, 200)))
+        pages = pages.filter(F.when(bad, error.cast("boolean")).otherwise(F.lit(True)))
+    else:
+        pages = pages.filter(~bad)
     return sites_from_pages(pages)

@@ -8,8 +8,9 @@ same table because the merge is idempotent.
 
 STR2: deduplication on (site, instant) inside a watermark, then a
 stream-static join to the site dimension. State is bounded by the watermark
-delay; rows later than the delay are Spark's late data, so the delay is the
-lateness the job tolerates and must be set accordingly.
+delay; rows later than the delay are dropped by Spark, so the delay is the
+lateness the job tolerates: it has no default, and ``LateRows`` counts what
+was dropped.
 """
 
 from __future__ import annotations
@@ -18,17 +19,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from obsflow.functions.time import utc_ntz_to_instant
 from obsflow.operators.dedup import dedup_latest
 from obsflow.operators.enrich import attach_sites
 from obsflow.operators.merge import keyed_merge
-from obsflow.operators.reshape import flatten_items
+from obsflow.operators.reshape import flatten_items, items_from_lines
 from obsflow.schemas import RAW_OBSERVATION_ITEM
 from obsflow.session import new_work_path
-from obsflow.sinks.parquet import table_exists, write_partitioned
+from obsflow.sinks.parquet import remove_folder, table_exists, write_partitioned
 
 LANDING_KEYS = ("site_id", "obs_ts")
 LANDING_PARTITION = "obs_date"
@@ -43,21 +44,31 @@ def merge_into_table(
 ) -> None:
     """Upsert one batch into a partitioned Parquet table (SNK3, INC4).
 
-    Only the partitions the batch touches are read, merged and rewritten
-    (dynamic overwrite). The merged partitions are staged in the shared
+    The partition must follow from the key (the date of ``obs_ts``, or a key
+    column), else a row could exist twice. Only the partitions the batch
+    touches are read, merged and rewritten (dynamic overwrite); an empty batch
+    changes nothing. The merged partitions are staged in the shared
     folder first, so the table is never overwritten by a plan reading it.
     """
+    if partition_col in keys:
+        pass
+    elif not batch.filter(~F.col(partition_col).eqNullSafe(F.to_date("obs_ts"))).isEmpty():
+        raise ValueError(f"{partition_col} must be the date of obs_ts: a key may not change its partition")
     batch = dedup_latest(batch, keys)
-    touched = batch.select(partition_col).distinct()
+    # One row per date in the batch, on the driver: the filter then prunes folders.
+    dates = [r[0] for r in batch.select(partition_col).distinct().collect()]
+    if not dates:
+        return
     if table_exists(spark, table_path):
-        # ``touched`` holds one row per date in the batch: a proven small side.
-        current = spark.read.parquet(table_path).join(F.broadcast(touched), partition_col, "left_semi")
+        current = spark.read.parquet(table_path).filter(F.col(partition_col).isin(dates))
         merged = keyed_merge(current, batch, keys).drop("change")
     else:
         merged = batch
     staged = new_work_path(spark, "merge-stage")
     write_partitioned(merged, staged, [partition_col])
-    write_partitioned(spark.read.parquet(staged).select(*merged.columns), table_path, [partition_col], rebalance=False)
+    again = spark.read.schema(merged.schema).parquet(staged)
+    write_partitioned(again, table_path, [partition_col], rebalance=False)
+    remove_folder(spark, staged)
 
 
 def landing_stream(
@@ -70,27 +81,33 @@ def landing_stream(
     available_now: bool = True,
     quarantine_path: str | None = None,
 ) -> StreamingQuery:
-    """Start STR1: raw JSON items under ``source_path`` -> merged table.
+    """Start STR1: raw JSON items under ``source_path``, one per line, -> merged table.
 
-    Items whose key cannot be read (unparsed time, missing site) cannot be
-    merged by key; they are appended, with their raw payload, to
-    ``quarantine_path`` (default: the table path + ``_quarantine``).
+    ``raw`` is the received line. Items whose key cannot be read (malformed
+    line, unparsed time, missing site) cannot be merged by key; they are
+    written, with the line, to ``quarantine_path`` (default: the table path +
+    ``_quarantine``). Each micro-batch is parsed once, into a staged table.
     """
     quarantine_path = quarantine_path or table_path.rstrip("/") + "_quarantine"
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    items = reader.json(source_path)
+    items = items_from_lines(reader.text(source_path), "value", schema)
     flat = flatten_items(items).withColumn(LANDING_PARTITION, F.to_date("obs_ts"))
     keyed = F.col("site_id").isNotNull() & F.col("obs_ts").isNotNull()
 
     def each_batch(df: DataFrame, epoch_id: int) -> None:
         session = df.sparkSession
-        merge_into_table(session, df.filter(keyed), table_path)
-        # Appended per epoch under its own folder, so a replayed epoch
+        staged = new_work_path(session, "landing-batch")
+        df.withColumn("__keyed", keyed).write.partitionBy("__keyed").parquet(staged)
+        parsed = session.read.schema(df.withColumn("__keyed", keyed).schema).parquet(staged)
+        # The quarantine first: it must not wait for a merge that may fail.
+        # Written per epoch under its own folder, so a replayed epoch
         # overwrites its own rows instead of adding them twice.
-        bad = df.filter(~keyed).withColumn("epoch_id", F.lit(epoch_id))
+        bad = parsed.filter("not __keyed").drop("__keyed").withColumn("epoch_id", F.lit(epoch_id))
         bad.write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/epoch_id={epoch_id}")
+        merge_into_table(session, parsed.filter("__keyed").drop("__keyed"), table_path)
+        remove_folder(session, staged)
 
     writer = flat.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint_path)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
@@ -106,10 +123,35 @@ def await_available_now(query: StreamingQuery, timeout_s: int = 1800) -> None:
         raise RuntimeError(f"stream failed: {query.exception()}")
 
 
+class LateRows(StreamingQueryListener):
+    """Counts, per query, the rows Spark dropped as later than the watermark.
+
+    Add it with ``spark.streams.addListener`` before starting the query;
+    ``dropped[str(query.id)]`` holds the sum over all micro-batches.
+    """
+
+    def __init__(self):
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event):
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        late = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+        self.dropped[str(p.id)] = self.dropped.get(str(p.id), 0) + late
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
 def dedup_enrich_stream(
     observations: DataFrame,
     sites: DataFrame,
-    watermark: str = "1 hour",
+    watermark: str,
     keys: Sequence[str] = LANDING_KEYS,
     overrides: DataFrame | None = None,
 ) -> DataFrame:

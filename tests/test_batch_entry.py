@@ -1,12 +1,13 @@
 """ENR6 end to end, the driver entry points, and plan shape."""
 
+import dataclasses
 import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
 
 from obsflow.plans import catalog, roles
-from obsflow.plans.batch_job import BatchSettings, build_rows, run_batch
+from obsflow.plans.batch_job import BatchSettings, _lookups, build_rows, run_batch, run_incremental
 
 T = dt.datetime
 SMOKE = "/root/testdata/sf0.001"
@@ -87,14 +88,17 @@ def test_entry_runs_on_smoke_data(spark):
     assert set(e.oracle_sql()) <= set(e.queries())
 
 
-def test_plan_single_dedup_exchange_and_broadcast_dimension(spark):
-    rows = build_rows(
-        roles.observations(spark, SMOKE),
+def test_plan_single_dedup_exchange_and_broadcast_dimension(spark, tmp_dir):
+    # The job joins its written lookups, whose size Spark knows.
+    dims = _lookups(
+        spark,
         roles.sites(spark, SMOKE),
         roles.context(spark, SMOKE),
         catalog.DRIVER_SETTINGS,
         roles.zone_overrides(spark, SMOKE),
+        tmp_dir,
     )
+    rows = build_rows(roles.observations(spark, SMOKE), *dims, catalog.DRIVER_SETTINGS)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         plan = rows._jdf.queryExecution().executedPlan().toString()
@@ -102,7 +106,8 @@ def test_plan_single_dedup_exchange_and_broadcast_dimension(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     lines = plan.splitlines()
     assert sum("BroadcastHashJoin" in ln and "LeftOuter" in ln for ln in lines) == 2
-    assert "SortMergeJoin" not in plan
+    assert "SortMergeJoin" not in plan and "SinglePartition" not in plan
+    assert sum("FileScan" in ln for ln in lines) == 4  # events in both landing batches, and the two lookups
     assert "partial_max" in plan
     # One exchange on the observation key (the dedup); the facts are never
     # shuffled again (the other site_id exchange is the dimension's own).
@@ -111,9 +116,7 @@ def test_plan_single_dedup_exchange_and_broadcast_dimension(spark):
     assert len(re.findall(r"hashpartitioning\(site_id#\d+L?, obs_ts", plan)) == 1
 
 
-def test_salted_shuffle_joins_equal_broadcast_joins(spark):
-    import dataclasses
-
+def test_shuffle_joins_equal_broadcast_joins(spark):
     args = (
         roles.observations(spark, SMOKE),
         roles.sites(spark, SMOKE),
@@ -121,21 +124,18 @@ def test_salted_shuffle_joins_equal_broadcast_joins(spark):
     )
     ovr = roles.zone_overrides(spark, SMOKE)
     cols = ["site_id", "obs_ts", "zone", "is_orphan", "temperature_2m_c", "has_context", "disposition"]
-    small = build_rows(*args, catalog.DRIVER_SETTINGS, ovr).select(*cols)
-    forced = dataclasses.replace(catalog.DRIVER_SETTINGS, broadcast_max_rows=0, salt_buckets=4)
-    salted = build_rows(*args, forced, ovr).select(*cols)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    want = sorted(map(tuple, build_rows(*args, catalog.DRIVER_SETTINGS, ovr).select(*cols).collect()), key=repr)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = salted._jdf.queryExecution().executedPlan().toString()
-        got = sorted(map(tuple, salted.collect()), key=repr)
+        shuffled = build_rows(*args, catalog.DRIVER_SETTINGS, ovr).select(*cols)
+        plan = shuffled._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(tuple, shuffled.collect()), key=repr)
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     left_joins = [ln for ln in plan.splitlines() if "LeftOuter" in ln]
-    assert len(left_joins) == 2 and not any("BroadcastHashJoin" in ln for ln in left_joins)
-    assert "xxhash64" in plan
-    assert got == sorted(map(tuple, small.collect()), key=repr)
+    assert left_joins and all("SortMergeJoin" in ln for ln in left_joins)
+    assert "SinglePartition" not in plan
+    assert got == want
 
 
 def test_keyed_input_skips_the_fact_shuffle(spark):
@@ -185,7 +185,7 @@ def test_run_reports_from_staged_table(spark, tmp_dir):
     from obsflow.plans.reports import quarantine, run_reports
 
     obs, sites, ctx = _inputs(spark)
-    res = run_batch(spark, obs, sites, ctx, tmp_dir, SETTINGS)
+    res = run_batch(spark, obs, sites, ctx, tmp_dir, dataclasses.replace(SETTINGS, keep_staging=True))
     reps = run_reports(spark, res, ctx)
     jq = reps["join_quality"].first()
     assert (jq.n_rows, jq.n_matched, jq.n_orphans) == (6, 3, 1)
@@ -196,21 +196,18 @@ def test_run_reports_from_staged_table(spark, tmp_dir):
     assert quarantine(spark, res).count() == 4
 
 
-def test_rollup_input_is_pruned_to_touched_months(spark, tmp_dir):
-    from obsflow.plans.batch_job import touched_months
+def test_published_months_are_pruned(spark, tmp_dir):
+    from obsflow.plans.batch_job import published_rows, range_months
 
     rows = spark.range(240).select(
         (F.col("id") % 2 + 2023).cast("int").alias("year"), (F.col("id") % 12 + 1).cast("int").alias("month"), "id"
     )
     rows.write.partitionBy("year", "month").parquet(f"{tmp_dir}/rows")
-    spark.createDataFrame([(2024, 4, "ok", 1)], "year int, month int, disposition string, v int").write.partitionBy(
-        "disposition", "year", "month"
-    ).parquet(f"{tmp_dir}/staged")
-    touched = spark.read.parquet(f"{tmp_dir}/staged").filter("disposition = 'ok'").select("year", "month").distinct()
-    df = touched_months(spark, f"{tmp_dir}/rows", touched, {})
+    df = published_rows(spark, f"{tmp_dir}/rows", [(2024, 4)], {})
     assert df.count() == 20  # ids 3, 15, ..., 231: year 2024, month 4
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruningexpression" in plan
+    assert "PartitionFilters: [isnotnull(year" in plan or "PartitionFilters: [((year" in plan or "(month#" in plan
+    assert range_months(("2023-11-30", "2024-02-01")) == [(2023, 11), (2023, 12), (2024, 1), (2024, 2)]
 
 
 def test_run_incremental_resumes_and_reloads_idempotently(spark, tmp_dir):
@@ -256,3 +253,119 @@ def test_reference_layout_with_merge_publish_is_idempotent(spark, tmp_dir):
     assert {"station_id", "horodate_ts", "annee", "mois"} <= set(rows.columns)
     assert sorted(map(tuple, rows.collect()), key=repr) == first and res.published
     assert {"nb_observations", "annee"} <= set(spark.read.parquet(f"{tmp_dir}/hours").columns)
+
+
+# Publishing over several months: equal to a recompute from scratch.
+
+KEEP = dataclasses.replace(SETTINGS, gate_rules=catalog.DRIVER_GATE_RULES)
+
+
+def _obs(spark, rows):
+    return spark.createDataFrame([(site, ts, "OPEN", 10, n, max(10 - n, 0)) for site, ts, n in rows], OBS)
+
+
+def _published(spark, out):
+    return sorted((r.site_id, r.obs_ts, r.available) for r in spark.read.parquet(f"{out}/rows").collect())
+
+
+def _hours(spark, out):
+    return sorted((r.site_id, r.month, r.day, r.hour, r.n_obs) for r in spark.read.parquet(f"{out}/hours").collect())
+
+
+def test_range_replace_keeps_rows_outside_the_range(spark, tmp_dir):
+    _, sites, ctx = _inputs(spark)
+    rows = [(1, T(2024, 7, d, 10), 4) for d in (3, 20)] + [(1, T(2024, 8, d, 10), 4) for d in (1, 15)] + [(1, T(2024, 7, 31, 23), 5)]
+    run_batch(spark, _obs(spark, rows), sites, ctx, tmp_dir, KEEP)
+    later = [r for r in rows if r[1] != T(2024, 7, 20, 10)] + [(1, T(2024, 7, 21, 9), 6)]
+    s = dataclasses.replace(KEEP, time_range=("2024-07-15", "2024-07-31"))
+    assert run_batch(spark, _obs(spark, later), sites, ctx, tmp_dir, s).published
+    assert [(a, b, n) for a, b, n in _published(spark, tmp_dir)] == sorted((a, b, n) for a, b, n in later)
+    run_batch(spark, _obs(spark, later), sites, ctx, f"{tmp_dir}/scratch", KEEP)
+    assert _hours(spark, tmp_dir) == _hours(spark, f"{tmp_dir}/scratch")
+
+
+def test_range_replace_takes_out_what_vanished(spark, tmp_dir):
+    _, sites, ctx = _inputs(spark)
+    rows = [(1, T(2024, 7, 3, 10), 4), (1, T(2024, 8, 3, 10), 4)]
+    run_batch(spark, _obs(spark, rows), sites, ctx, tmp_dir, KEEP)
+    s = dataclasses.replace(KEEP, time_range=("2024-08-01", "2024-08-31"))
+    only_bad = _obs(spark, [(1, T(2024, 8, 3, 10), 50)])
+    assert run_batch(spark, only_bad, sites, ctx, tmp_dir, s).published
+    assert _published(spark, tmp_dir) == [(1, T(2024, 7, 3, 10), 4)] and {h[1] for h in _hours(spark, tmp_dir)} == {7}
+
+
+def test_full_replace_drops_vanished_months(spark, tmp_dir):
+    _, sites, ctx = _inputs(spark)
+    run_batch(spark, _obs(spark, [(1, T(2024, 7, 3, 10), 4), (1, T(2024, 8, 3, 10), 4)]), sites, ctx, tmp_dir, KEEP)
+    run_batch(spark, _obs(spark, [(1, T(2024, 7, 3, 10), 4)]), sites, ctx, tmp_dir, KEEP)
+    assert _published(spark, tmp_dir) == [(1, T(2024, 7, 3, 10), 4)] and len(_hours(spark, tmp_dir)) == 1
+
+
+def test_merge_takes_out_keys_that_are_rejected_now(spark, tmp_dir):
+    _, sites, ctx = _inputs(spark)
+    merge = dataclasses.replace(KEEP, publish_mode="merge")
+    run_batch(spark, _obs(spark, [(1, T(2024, 7, 3, 10), 5), (1, T(2024, 7, 4, 10), 5)]), sites, ctx, tmp_dir, merge)
+    res = run_batch(spark, _obs(spark, [(1, T(2024, 7, 3, 10), 50), (9, T(2024, 7, 4, 10), 5)]), sites, ctx, tmp_dir, merge)
+    assert res.published and res.metrics["n_anomalies"] == 1
+    assert _published(spark, tmp_dir) == [(1, T(2024, 7, 4, 10), 5)] and len(_hours(spark, tmp_dir)) == 1
+
+
+@pytest.mark.parametrize("zone", ["Europe/Paris", "America/New_York"])
+def test_two_loads_equal_one(spark, tmp_dir, zone):
+    _, sites, ctx = _inputs(spark)
+    s = dataclasses.replace(KEEP, time_zone=zone)
+    hours = [(8, 20), (9, 3, 59), (9, 4, 1), (9, 22, 30), (9, 23, 15), (9, 23, 45), (10, 0, 15), (10, 5)]
+    rows = [(1, T(2024, 7, *h), 4) for h in hours]
+    for cut in (4, 6):
+        out = f"{tmp_dir}/{zone.split('/')[1]}-{cut}"
+        run_incremental(spark, _obs(spark, rows[:cut]), sites, ctx, out, s, start="2024-07-08", end="2024-07-11")
+        run_incremental(spark, _obs(spark, rows), sites, ctx, out, s, today=dt.date(2024, 7, 11))
+        assert _published(spark, out) == sorted(rows)
+
+
+def test_empty_and_all_rejected_runs(spark, tmp_dir):
+    _, sites, ctx = _inputs(spark)
+    for n, rows in enumerate(([], [(1, T(2024, 7, 3, 10), 50)])):
+        for mode in ("replace", "merge"):
+            out = f"{tmp_dir}/{mode}-{n}"
+            s = dataclasses.replace(KEEP, publish_mode=mode)
+            res = run_batch(spark, _obs(spark, rows), sites, ctx, out, s)
+            assert not res.published and res.metrics["n_final"] == 0
+            assert spark.read.parquet(f"{out}/quality").count() == 1 and spark.read.parquet(res.rejects_path).count() == len(rows)
+    # an empty run changes nothing that is published
+    good = [(1, T(2024, 7, 3, 10), 4)]
+    run_batch(spark, _obs(spark, good), sites, ctx, tmp_dir, KEEP)
+    assert not run_batch(spark, _obs(spark, []), sites, ctx, tmp_dir, KEEP).published
+    assert _published(spark, tmp_dir) == good
+
+
+def test_wrong_count_and_failed_swap_change_nothing(spark, tmp_dir, monkeypatch):
+    from obsflow.plans import batch_job
+    from obsflow.sinks import parquet
+
+    _, sites, ctx = _inputs(spark)
+    good = [(1, T(2024, 7, 3, 10), 4)]
+    run_batch(spark, _obs(spark, good), sites, ctx, tmp_dir, KEEP)
+    before = _hours(spark, tmp_dir)
+    write = batch_job.write_partitioned
+
+    def short(df, path, *args, **kw):
+        write(df.limit(1) if path.endswith("/rows") else df, path, *args, **kw)
+
+    monkeypatch.setattr(batch_job, "write_partitioned", short)
+    with pytest.raises(RuntimeError, match="nothing was published"):
+        run_batch(spark, _obs(spark, good + [(1, T(2024, 7, 5, 10), 4)]), sites, ctx, tmp_dir, KEEP)
+    assert _published(spark, tmp_dir) == good and _hours(spark, tmp_dir) == before
+    with pytest.raises(Exception):  # the kind depends on the file system
+        parquet.swap_folders(spark, [(None, f"{tmp_dir}/rows"), (f"{tmp_dir}/missing", f"{tmp_dir}/hours")], f"{tmp_dir}/_aside")
+    assert _published(spark, tmp_dir) == good and _hours(spark, tmp_dir) == before
+
+
+def test_staging_is_removed_and_rejects_stay(spark, tmp_dir):
+    from obsflow.sinks.parquet import table_exists
+
+    obs, sites, ctx = _inputs(spark)
+    res = run_batch(spark, obs, sites, ctx, tmp_dir, SETTINGS)
+    assert res.published and not table_exists(spark, res.staging_path)
+    rejects = spark.read.parquet(f"{tmp_dir}/rejects")
+    assert rejects.count() == 4 and all(r.reasons and r.run_id for r in rejects.collect())

@@ -13,7 +13,7 @@ from obsflow.operators.enrich import (
     with_slot,
     zones_without_context,
 )
-from obsflow.operators.joins import broadcast_if_small, duplicate_keys
+from obsflow.operators.joins import duplicate_keys, many_to_one_join
 from obsflow.operators.reshape import from_landed
 
 T = dt.datetime
@@ -130,25 +130,46 @@ def test_enr3_fill_rate_guarded(spark):
     assert got == {1: 50.0, 2: None, 3: None, 4: 33.33, 5: 3.13}
 
 
-def test_broadcast_only_under_bound(spark):
-    small = spark.range(10)
-    _, hinted = broadcast_if_small(small, 100)
-    assert hinted
-    _, hinted = broadcast_if_small(spark.range(1000), 100)
-    assert not hinted
+def _jobs(spark):
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+
+
+def test_joins_run_no_job_while_they_are_built(spark):
+    obs, sites = _obs(spark), _sites(spark)
+    before = _jobs(spark)
+    joined = attach_sites(obs, sites)
+    assert _jobs(spark) == before
+    assert "SinglePartition" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_key_gives_the_same_rows_by_either_join(spark):
+    facts = spark.range(3000).selectExpr("if(id % 3 = 0, 7, id) AS k", "id AS v")  # one key holds a third
+    side = spark.range(0, 3000, 2).selectExpr("id AS k", "id * 10 AS w")
+    want = sorted(map(tuple, many_to_one_join(facts, side, ["k"], ["k"]).collect()), key=str)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        big = spark.range(5000).withColumnRenamed("id", "k")
-        small_side, _ = broadcast_if_small(spark.range(50).withColumnRenamed("id", "k"), 100)
-        large_side, _ = broadcast_if_small(spark.range(5000).withColumnRenamed("id", "k"), 100)
-        plan_small = big.join(small_side, "k")._jdf.queryExecution().executedPlan().toString()
-        plan_large = big.join(large_side, "k")._jdf.queryExecution().executedPlan().toString()
+        shuffled = many_to_one_join(facts, side, ["k"], ["k"])
+        assert "BroadcastHashJoin" not in shuffled._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, shuffled.collect()), key=str) == want and len(want) == 3000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert "BroadcastHashJoin" in plan_small
-    assert "BroadcastHashJoin" not in plan_large
+
+
+def test_latest_fetch_wins(spark):
+    ctx = spark.createDataFrame(
+        [("Z", T(2024, 7, 1, 10, 0), 30.0, "20240701T000000Z"), ("Z", T(2024, 7, 1, 10, 0), 21.5, "20240801T000000Z")],
+        "zone string, ctx_ts timestamp_ntz, temperature_2m_c double, ingested_at string",
+    )
+    obs = spark.createDataFrame([(1, "Z", T(2024, 7, 1, 10, 0))], "site_id bigint, zone string, slot_ts timestamp_ntz")
+    row = attach_context(obs, ctx, ["temperature_2m_c"]).first()
+    assert row.temperature_2m_c == 21.5 and "ingested_at" not in row
+    sites = spark.createDataFrame(
+        [(1, "Zeta", "Z9", 1.0, 1.0, "20240101"), (1, "Alpha", "Z1", 2.0, 2.0, "20240201")],
+        "site_id bigint, site_name string, zone string, lat double, lon double, ingested_at string",
+    )
+    for ovr in (None, spark.createDataFrame([(1, "X")], "site_id bigint, zone string")):
+        got = attach_sites(obs.drop("zone"), sites, ovr).first()
+        assert (got.site_name, got.zone) == ("Alpha", "Z1")
 
 
 def test_duplicate_keys_report(spark):

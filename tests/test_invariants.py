@@ -51,10 +51,24 @@ def test_time_range_reaches_the_parquet_scan(spark):
     rows = _rows(spark, s)
     plan = rows._jdf.queryExecution().executedPlan().toString()
     scans = [ln for ln in plan.splitlines() if "events.parquet" in ln or "PushedFilters" in ln]
-    assert any("GreaterThanOrEqual(ts,2024-01-05" in ln for ln in scans)
-    assert any("LessThan(ts,2024-01-08" in ln for ln in scans)
+    # Local dates in Paris: an hour before the UTC dates.
+    assert any("GreaterThanOrEqual(ts,2024-01-04T23:00" in ln for ln in scans)
+    assert any("LessThan(ts,2024-01-07T23:00" in ln for ln in scans)
     got = rows.agg(F.min("obs_ts"), F.max("obs_ts")).first()
-    assert got[0] >= dt.datetime(2024, 1, 5) and got[1] < dt.datetime(2024, 1, 8)
+    assert got[0] >= dt.datetime(2024, 1, 4, 23) and got[1] < dt.datetime(2024, 1, 7, 23)
+
+
+def test_range_bounds_a_date_partition_too(spark, tmp_dir):
+    from obsflow.operators.incremental import in_date_range
+
+    days = spark.range(0, 24 * 40).selectExpr("timestamp_ntz'2024-03-01' + make_dt_interval(0, id) AS obs_ts")
+    days.withColumn("obs_date", F.to_date("obs_ts")).write.partitionBy("obs_date").parquet(tmp_dir)
+    df = in_date_range(spark.read.parquet(tmp_dir), "2024-03-30", "2024-03-31", "Europe/Paris", date_col="obs_date")
+    got = df.agg(F.count(F.lit(1)), F.min("obs_ts"), F.max("obs_ts")).first()
+    # the clocks go forward on the 31st: 47 hours
+    assert tuple(got) == (47, dt.datetime(2024, 3, 29, 23), dt.datetime(2024, 3, 31, 21))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(obs_date" in plan
 
 
 _TS = st.datetimes(min_value=dt.datetime(1900, 1, 1), max_value=dt.datetime(2100, 1, 1))

@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from obsflow.functions.text import geo_point, zone_path_key
@@ -12,7 +13,7 @@ from obsflow.schemas import RAW_OBSERVATION_ITEM, SITE_PAGE
 from obsflow.sinks.archive import write_context_archive, write_page_snapshot
 from obsflow.sinks.parquet import read_back, write_partitioned
 from obsflow.sources.context_csv import context_from_texts, read_texts, split_text, typed_measures
-from obsflow.sources.pages import read_pages, read_sites, sites_from_pages
+from obsflow.sources.pages import page_report, read_pages, read_sites, sites_from_pages
 
 T = dt.datetime
 HEADER = (
@@ -55,8 +56,31 @@ def test_src1_src7_json_pages_corrupt_lines_and_latest_snapshot(spark, tmp_dir):
     # Spark refuses queries over the corrupt column alone: read it with data.
     bad = [r for r in raw.select("values", "_corrupt_record").collect() if r._corrupt_record]
     assert len(bad) == 1
-    sites = read_sites(spark, tmp_dir).collect()
+    with pytest.raises(Exception, match="malformed site page"):  # not a silent loss of a page of sites
+        read_sites(spark, tmp_dir).collect()
+    sites = read_sites(spark, tmp_dir, on_malformed="skip").collect()
     assert [(r.site_id, r.site_name) for r in sites] == [(1, "Grand Place")]
+    assert page_report(raw).first().asDict() == {"n_pages": 4, "n_malformed": 1, "n_empty": 1, "n_records": 2}
+
+
+def test_src5_quoted_cells(spark):
+    from obsflow.sources.context_csv import split_text
+
+    text = 'preamble\ntime,"note, long",x\n2024-01-01T00:00,"a, ""b"" c",1\n2024-01-01T00:15,"open,2\n2024-01-01T00:30,plain,3\n'
+    rows = split_text(spark.createDataFrame([(text,)], "value string")).collect()
+    assert [r.cells for r in rows] == [
+        {"time": "2024-01-01T00:00", "note, long": 'a, "b" c', "x": "1"},
+        None,  # an unbalanced quote
+        {"time": "2024-01-01T00:30", "note, long": "plain", "x": "3"},
+    ]
+
+
+def test_prj6_the_whole_line_is_kept(spark):
+    from obsflow.operators.reshape import items_from_lines
+
+    lines = ['{"number": 7, "horodate": "2024-09-01 14:00:00+02:00", "extra": {"a": [1, 2]}}', "{not json", "  "]
+    got = flatten_items(items_from_lines(spark.createDataFrame([(x,) for x in lines], "value string"))).collect()
+    assert [(r.site_id, r.raw) for r in got] == [(7, lines[0]), (None, lines[1])]
 
 
 def test_snk5_page_snapshot_roundtrip(spark, tmp_dir):

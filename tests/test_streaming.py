@@ -84,3 +84,51 @@ def test_str2_watermark_dedup_then_site_join(spark, tmp_dir):
     assert spark.read.parquet(out).filter("obs_ts IS NULL").count() == 1
     assert got[9].is_orphan and not got[1].is_orphan and got[1].zone == "Z"
     assert spark.read.parquet(out).filter(F.col("site_id") == 1).count() == 1
+
+
+def test_str1_a_batch_without_a_readable_row(spark, tmp_dir):
+    src, table, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/table", f"{tmp_dir}/ckpt"
+    lines = ["{not json", '{"number": 5, "horodate": "??", "extra": 1}']
+    spark.createDataFrame([(x,) for x in lines], "value string").write.mode("append").text(src)
+    landing_stream(spark, src, table, ckpt).awaitTermination()
+    assert sorted(r.raw for r in spark.read.parquet(table + "_quarantine").collect()) == sorted(lines)
+    # the stream goes on with the next file
+    _items(spark, [("2024-01-02 08:00:00Z", 4, "OPEN", 5, 5, 0)]).write.mode("append").text(src)
+    landing_stream(spark, src, table, ckpt).awaitTermination()
+    assert [r.site_id for r in spark.read.parquet(table).collect()] == [4]
+
+
+def test_partition_must_follow_from_the_key(spark, tmp_dir):
+    import pytest
+
+    from obsflow.streaming.jobs import merge_into_table
+
+    df = spark.createDataFrame([(1, T(2024, 1, 1), dt.date(2024, 1, 2))], "site_id bigint, obs_ts timestamp_ntz, obs_date date")
+    with pytest.raises(ValueError, match="may not change its partition"):
+        merge_into_table(spark, df, f"{tmp_dir}/t")
+
+
+def test_str2_late_rows_are_counted(spark, tmp_dir):
+    import time
+
+    from obsflow.streaming.jobs import LateRows
+
+    src, out, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    schema = "site_id bigint, obs_ts timestamp_ntz"
+    sites = spark.createDataFrame([(1, "A", "Z", 1.0, 1.0)], "site_id bigint, site_name string, zone string, lat double, lon double")
+    late = LateRows()
+    spark.streams.addListener(late)
+    try:
+        for rows in ([(1, T(2024, 1, 1, 10)), (1, T(2024, 1, 1, 10))], [(1, T(2024, 1, 1, 14))], [(1, T(2024, 1, 1, 9)), (1, T(2024, 1, 1, 15))]):
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+            stream = dedup_enrich_stream(spark.readStream.schema(schema).parquet(src), sites, watermark="1 hour")
+            q = stream.writeStream.format("parquet").option("checkpointLocation", ckpt).trigger(availableNow=True).start(out)
+            q.awaitTermination()
+        for _ in range(50):
+            if late.dropped.get(str(q.id)):
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(late)
+    # read: 5 rows = 3 kept + 1 copy + 1 late
+    assert spark.read.parquet(out).count() == 3 and late.dropped[str(q.id)] == 1

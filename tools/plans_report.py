@@ -39,14 +39,10 @@ def main() -> None:
     args = (roles.observations(spark, d), roles.sites(spark, d), roles.context(spark, d))
     ovr = roles.zone_overrides(spark, d)
     staged = build_rows(*args, s, ovr).select(*row_columns(s), "disposition")
-    salted = build_rows(*args, dataclasses.replace(s, broadcast_max_rows=0, salt_buckets=16), ovr).select(
-        *row_columns(s), "disposition"
-    )
     keyed = build_rows(roles.observation_base(spark, d), *args[1:], dataclasses.replace(s, dedup_input=False), ovr)
     items = [
         ("Batch job, staged rows (dedup + broadcast joins)", staged),
         ("Batch job, keyed input (no dedup shuffle)", keyed.select(*row_columns(s), "disposition")),
-        ("Batch job, sides too big to broadcast (salted shuffle joins)", salted),
         ("site_hour_rollup", catalog.QUERIES["site_hour_rollup"](spark, d)),
         ("keyed_merge", catalog.QUERIES["keyed_merge"](spark, d)),
         ("date_range_scan (pushdown and pruning)", catalog.QUERIES["date_range_scan"](spark, d)),
