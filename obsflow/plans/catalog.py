@@ -8,18 +8,20 @@ whole tables; a limit appears only where it is the feature (top-k, latest).
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow.functions.text import geo_point
-from obsflow.functions.time import local_to_utc, parse_instant, slot_start
+from obsflow.functions.time import date_of_text, ingest_stamp, local_to_utc, parse_instant, slot_start
 from obsflow.operators import quality, rollup
 from obsflow.operators.dedup import dedup_any, dedup_latest
 from obsflow.operators.enrich import (
     attach_context,
     attach_sites,
+    context_lookup,
     site_lookup,
     split_orphans,
     with_fill_rate,
@@ -27,9 +29,15 @@ from obsflow.operators.enrich import (
     with_slot,
     zones_without_context,
 )
-from obsflow.operators.incremental import backfill_plan, resume_point, weekly_windows
+from obsflow.operators.incremental import backfill_plan, in_date_range, resume_point, weekly_windows
 from obsflow.operators.merge import keyed_merge, merge_counts
-from obsflow.operators.reshape import explode_records, flatten_items, non_empty_pages, sites_from_records
+from obsflow.operators.reshape import (
+    explode_records,
+    flatten_items,
+    items_from_lines,
+    non_empty_pages,
+    sites_from_records,
+)
 from obsflow.operators.rules import (
     CONSISTENCY_RULES,
     RATE_RULES,
@@ -39,11 +47,11 @@ from obsflow.operators.rules import (
     with_reasons,
 )
 from obsflow.plans import roles
-from obsflow.plans.batch_job import BatchSettings, run_batch
+from obsflow.plans.batch_job import BatchSettings, run_batch, run_incremental
 from obsflow.schemas import RAW_OBSERVATION_ITEM
 from obsflow.session import new_work_path
 from obsflow.sinks.archive import write_context_archive, write_page_snapshot
-from obsflow.sinks.parquet import read_back, write_partitioned
+from obsflow.sinks.parquet import preview, read_back, write_partitioned
 from obsflow.sources.context_csv import context_from_texts, read_texts, split_text, typed_measures
 from obsflow.sources.pages import read_sites
 
@@ -295,9 +303,8 @@ def q_resume_point(spark, d):
 
 def q_date_range_scan(spark, d):
     """FLT7: inclusive date-range scan, pushed to Parquet."""
-    lo, hi = F.lit("2024-01-05").cast("timestamp_ntz"), F.lit("2024-01-08").cast("timestamp_ntz")
-    base = roles.observation_base(spark, d)
-    return base.filter((F.col("obs_ts") >= lo) & (F.col("obs_ts") < hi)).select("site_id", "obs_ts", "status")
+    base = in_date_range(roles.observation_base(spark, d), "2024-01-05", "2024-01-08")
+    return base.select("site_id", "obs_ts", "status")
 
 
 def _obs_range(spark, d) -> DataFrame:
@@ -406,11 +413,11 @@ def q_geo_point(spark, d):
     return s.select("site_id", F.to_json(geo_point("lon", "lat")).alias("location"))
 
 
-def _context_texts(spark, d) -> DataFrame:
+def _context_texts(spark, d, ctx: DataFrame | None = None) -> DataFrame:
     """Context rows rendered as provider CSV texts, one per zone and local week."""
     from obsflow.schemas import CONTEXT_CSV_COLUMNS
 
-    ctx = roles.context(spark, d)
+    ctx = roles.context(spark, d) if ctx is None else ctx
     local = F.convert_timezone(F.lit("UTC"), F.lit(TZ), F.col("ctx_ts"))
     cells = [F.date_format(local, "yyyy-MM-dd'T'HH:mm")]
     for _, name, _ in CONTEXT_CSV_COLUMNS[1:]:
@@ -567,6 +574,128 @@ def q_append_roundtrip(spark, d):
     return spark.read.parquet(path)
 
 
+def _two_runs(spark, d, first, second, settings):
+    """Publish ``first`` with the driver settings, then ``second`` with
+    ``settings`` into the same folder; the folder."""
+    out = new_work_path(spark, "batch-two")
+    others = (roles.sites(spark, d), roles.context(spark, d), out)
+    run_batch(spark, first, *others, DRIVER_SETTINGS, roles.zone_overrides(spark, d))
+    res = run_batch(spark, second, *others, settings, roles.zone_overrides(spark, d))
+    if not res.published:
+        raise RuntimeError(f"gate refused publication: {res.verdict}")
+    return out
+
+
+FULL_REPLACE_BEFORE = "2024-05-20 00:00:00"
+RANGE_REPLACED = ("2024-03-15", "2024-04-20")
+INCREMENTAL_CUT = "2024-04-09 22:30:00"
+CORRECTED_STATUS = "view"
+
+
+def q_batch_full_replace(spark, d):
+    """SNK1, ENR6: a full run replaces the whole table; vanished months go."""
+    obs = roles.spread_observations(spark, d)
+    again = obs.filter(F.col("obs_ts") < F.lit(FULL_REPLACE_BEFORE).cast("timestamp_ntz"))
+    return spark.read.parquet(_two_runs(spark, d, obs, again, DRIVER_SETTINGS) + "/rows")
+
+
+def q_batch_full_replace_hours(spark, d):
+    """SNK2, ENR6: the roll-up after a full replacement."""
+    obs = roles.spread_observations(spark, d)
+    again = obs.filter(F.col("obs_ts") < F.lit(FULL_REPLACE_BEFORE).cast("timestamp_ntz"))
+    return spark.read.parquet(_two_runs(spark, d, obs, again, DRIVER_SETTINGS) + "/hours")
+
+
+def q_batch_range_replace(spark, d):
+    """SNK1, INC4: a run over local dates replaces these and keeps the others."""
+    obs = roles.spread_observations(spark, d)
+    revised = obs.withColumn("status", F.lit("revised"))
+    settings = dataclasses.replace(DRIVER_SETTINGS, time_range=RANGE_REPLACED)
+    return spark.read.parquet(_two_runs(spark, d, obs, revised, settings) + "/rows")
+
+
+def q_batch_merge_correction(spark, d):
+    """INC4: keys that are read again and rejected leave the published table."""
+    obs = roles.spread_observations(spark, d)
+    wrong = obs.filter(F.col("status") == CORRECTED_STATUS).withColumn("available", F.col("capacity") + 1)
+    settings = dataclasses.replace(DRIVER_SETTINGS, publish_mode="merge")
+    return spark.read.parquet(_two_runs(spark, d, obs, wrong, settings) + "/rows")
+
+
+def q_batch_incremental(spark, d):
+    """INC1, INC4: two loads, cut late on a summer evening, equal one."""
+    obs = roles.spread_observations(spark, d)
+    early = obs.filter(F.col("obs_ts") < F.lit(INCREMENTAL_CUT).cast("timestamp_ntz"))
+    out = new_work_path(spark, "batch-incremental")
+    args = (roles.sites(spark, d), roles.context(spark, d), out, DRIVER_SETTINGS, roles.zone_overrides(spark, d))
+    run_incremental(spark, early, *args, start="2023-12-31", end="2024-12-31")
+    run_incremental(spark, obs, *args, end="2024-12-31")
+    return spark.read.parquet(out + "/rows")
+
+
+def q_batch_rejects(spark, d):
+    """DQ5: the durable table of rejected rows with their reasons."""
+    rejects = spark.read.parquet(_batch(spark, d).rejects_path)
+    return rejects.select("site_id", "obs_ts", "disposition", F.array_join("reasons", ",").alias("reasons"))
+
+
+def q_context_csv_refetch(spark, d):
+    """SRC6, INC4: of two fetches of a slot the later one wins, though it is lower."""
+    path = new_work_path(spark, "context-refetch")
+    ctx = roles.context(spark, d)
+    warmer = ctx.withColumn("temperature_2m_c", F.col("temperature_2m_c") + 10)
+    write_context_archive(_context_texts(spark, d, warmer), path, "20240201T000000000000Z")
+    write_context_archive(_context_texts(spark, d, ctx), path, "20240301T000000000000Z")
+    zones = roles.table(spark, d, "nation").select(
+        F.col("n_name").alias("zone"), F.col("n_nationkey").cast("double").alias("lat"), F.lit(0.0).alias("lon")
+    )
+    return context_lookup(context_from_texts(read_texts(spark, path), TZ, zones), MEASURES)
+
+
+def _event_lines(spark, d) -> DataFrame:
+    """Feed lines with a field the schema does not declare; errors are no JSON."""
+    ev = roles.table(spark, d, "events")
+    good = F.concat(
+        F.lit('{"horodate":"'),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
+        F.lit('+00:00","number":'),
+        F.col("user_id").cast("string"),
+        F.lit(',"note":{"event":'),
+        F.col("event_id").cast("string"),
+        F.lit("}}"),
+    )
+    bad = F.concat(F.lit("not json "), F.col("event_id").cast("string"))
+    return ev.select(F.when(F.col("event_type") == "error", bad).otherwise(good).alias("value"))
+
+
+def q_raw_lines(spark, d):
+    """PRJ6: the received line is kept whole, undeclared fields and bad lines included."""
+    return flatten_items(items_from_lines(_event_lines(spark, d))).select("site_id", "obs_ts", "raw")
+
+
+def q_stream_landing_quarantine(spark, d):
+    """STR1: unreadable lines of the landing stream, as received."""
+    from obsflow.streaming.jobs import await_available_now, landing_stream
+
+    base = new_work_path(spark, "stream-quarantine")
+    _event_lines(spark, d).write.text(f"{base}/source")
+    await_available_now(landing_stream(spark, f"{base}/source", f"{base}/table", f"{base}/checkpoint"))
+    return spark.read.parquet(f"{base}/table_quarantine").select("raw")
+
+
+def q_preview_sites(spark, d):
+    """SNK7, SRT2: the first twenty sites by key."""
+    return preview(roles.sites(spark, d), 20, ["site_id"])
+
+
+def q_text_dates(spark, d):
+    """FN15, FN19: the date part of a time text; the ingestion stamp."""
+    ev = roles.table(spark, d, "events")
+    return ev.select(
+        "event_id", date_of_text(obs_text()).alias("text_date"), ingest_stamp("ts").alias("stamp")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_latest": q_dedup_latest,
     "dedup_plain_count": q_dedup_plain_count,
@@ -619,5 +748,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "store_load": q_store_load,
     "landed_concat": q_landed_concat,
     "append_roundtrip": q_append_roundtrip,
+    "batch_full_replace": q_batch_full_replace,
+    "batch_full_replace_hours": q_batch_full_replace_hours,
+    "batch_range_replace": q_batch_range_replace,
+    "batch_merge_correction": q_batch_merge_correction,
+    "batch_incremental": q_batch_incremental,
+    "batch_rejects": q_batch_rejects,
+    "context_csv_refetch": q_context_csv_refetch,
+    "raw_lines": q_raw_lines,
+    "stream_landing_quarantine": q_stream_landing_quarantine,
+    "preview_sites": q_preview_sites,
+    "text_dates": q_text_dates,
 }
 

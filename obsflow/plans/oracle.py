@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from obsflow.plans import roles
 from obsflow.plans.roles import SQL_CONSISTENCY_BROKEN as BROKEN
+from obsflow.plans.roles import sql_spread as S
 from obsflow.plans.roles import sql_with as W
 
 TZ = roles.TIME_ZONE
@@ -106,6 +107,13 @@ _RAW = """to_json({'horodate': strftime(obs_ts, '%Y-%m-%d %H:%M:%S') || '+00:00'
        'number': site_id, 'status': status,
        'main_stands': {'capacity': capacity, 'availabilities': {'bikes': available, 'stands': free}}})"""
 
+_LINE = """CASE WHEN event_type = 'error' THEN 'not json ' || event_id
+       ELSE '{"horodate":"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '+00:00","number":' || user_id
+            || ',"note":{"event":' || event_id || '}}' END"""
+
+# The instant of the registered full replacement.
+FULL_REPLACE_BEFORE = "2024-05-20 00:00:00"
+
 _BATCH_ROWS = (
     "site_id, site_name, zone, lat, lon, obs_ts, slot_ts, status, capacity, available, free, "
     f"{MEASURES}, fill_rate, obs_local, year, month, day, hour"
@@ -172,7 +180,7 @@ FROM (SELECT count(*) AS n_read, count(*) FILTER (WHERE NOT is_orphan) AS n_matc
     "DATE '2024-02-15' AS end_date, 'stored' AS start_source FROM dedup",
     "date_range_scan": W("obs_base")
     + "SELECT site_id, obs_ts, status FROM obs_base "
-    "WHERE obs_ts >= TIMESTAMP '2024-01-05' AND obs_ts < TIMESTAMP '2024-01-08'",
+    "WHERE obs_ts >= TIMESTAMP '2024-01-05' AND obs_ts < TIMESTAMP '2024-01-09'",
     "weekly_windows": W("dedup") + f"SELECT * FROM {WINDOWS}",
     "backfill_plan": W("dedup", "sites")
     + f"SELECT z.zone, w.window_start, w.window_end FROM (SELECT DISTINCT zone FROM sites WHERE zone IS NOT NULL) z "
@@ -215,4 +223,30 @@ FROM ({_MERGE})""",
     "UNION ALL SELECT * FROM obs WHERE batch = 2",
     "append_roundtrip": W("obs_base")
     + "SELECT *, 1 AS drop_no FROM obs_base UNION ALL SELECT *, 2 AS drop_no FROM obs_base",
+    "batch_full_replace": S("final_all")
+    + f"SELECT {_BATCH_ROWS} FROM {FINAL} WHERE obs_ts < TIMESTAMP '{FULL_REPLACE_BEFORE}'",
+    "batch_full_replace_hours": S("final_all")
+    + _rollup(SITE_HOUR, f"(SELECT * FROM {FINAL} WHERE obs_ts < TIMESTAMP '{FULL_REPLACE_BEFORE}')"),
+    "batch_range_replace": S("final_all")
+    + f"SELECT {_BATCH_ROWS} FROM (SELECT * REPLACE (CASE WHEN CAST(obs_local AS DATE) BETWEEN DATE '2024-03-15' "
+    f"AND DATE '2024-04-20' THEN 'revised' ELSE status END AS status) FROM {FINAL})",
+    "batch_merge_correction": S("final_all")
+    + f"SELECT {_BATCH_ROWS} FROM {FINAL} WHERE (site_id, obs_ts) NOT IN "
+    "(SELECT (site_id, obs_ts) FROM obs_base WHERE status = 'view')",
+    "batch_incremental": S("final_all") + f"SELECT {_BATCH_ROWS} FROM {FINAL}",
+    "batch_rejects": W("enriched")
+    + f"""SELECT site_id, obs_ts, CASE WHEN is_orphan THEN 'orphan' ELSE 'anomaly' END AS disposition,
+       concat_ws(',', CASE WHEN is_orphan THEN 'orphan' END, CASE WHEN capacity IS NULL THEN 'capacity_null' END,
+                 CASE WHEN available IS NULL THEN 'available_null' END,
+                 CASE WHEN capacity <= 0 THEN 'capacity_non_positive' END,
+                 CASE WHEN available < 0 THEN 'available_negative' END,
+                 CASE WHEN available > capacity THEN 'available_above_capacity' END) AS reasons
+FROM enriched WHERE is_orphan OR {BROKEN}""",
+    "context_csv_refetch": W("ctx") + f"SELECT zone, ctx_ts, {MEASURES}, true AS has_context FROM ctx",
+    "raw_lines": f"""SELECT CASE WHEN event_type <> 'error' THEN user_id END AS site_id,
+       CASE WHEN event_type <> 'error' THEN date_trunc('second', ts) END AS obs_ts, {_LINE} AS raw FROM events""",
+    "stream_landing_quarantine": f"SELECT {_LINE} AS raw FROM events WHERE event_type = 'error'",
+    "preview_sites": W("sites") + "SELECT * FROM sites ORDER BY site_id LIMIT 20",
+    "text_dates": f"""SELECT event_id, CASE WHEN event_type <> 'purchase' THEN CAST(substr({_TEXT}, 1, 10) AS DATE) END AS text_date,
+       strftime(ts, '%Y%m%dT%H%M%S%f') || 'Z' AS stamp FROM events""",
 }

@@ -93,6 +93,18 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(again)
 
 
+# Months over which the spread observations reach (across both clock changes).
+SPREAD = "INTERVAL 30 DAY"
+
+
+def spread_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All observations, moved by 0 to 6 times 30 days depending on the site,
+    so that they cover seven months and a clock change."""
+    base = observation_base(spark, sf_dir)
+    days = (F.col("site_id") % 7 * 30).cast("int")
+    return base.withColumn("obs_ts", F.col("obs_ts") + F.make_dt_interval(days)).withColumn("batch", F.lit(1))
+
+
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
@@ -248,6 +260,13 @@ SELECT o_orderkey, o_orderdate, o_orderstatus,
 FROM orders WHERE o_orderdate >= TIMESTAMP '{MERGE_RELOAD_FROM}'"""
 
 
+def sql_spread(*names: str) -> str:
+    """``sql_with`` over the spread observations."""
+    return sql_with(*names).replace(
+        "user_id AS site_id, ts AS obs_ts", f"user_id AS site_id, ts + (user_id % 7) * {SPREAD} AS obs_ts"
+    )
+
+
 def sql_with(*names: str) -> str:
     """A WITH clause holding the named CTEs, in dependency order."""
     bodies = {
