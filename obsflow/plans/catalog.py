@@ -683,6 +683,45 @@ def q_stream_landing_quarantine(spark, d):
     return spark.read.parquet(f"{base}/table_quarantine").select("raw")
 
 
+LATE_BEFORE = "2024-01-20 00:00:00"
+
+
+def q_stream_late_rows(spark, d):
+    """STR2: rows later than the watermark are counted: kept + late = read."""
+    import time
+
+    from obsflow.streaming.jobs import LateRows, await_available_now, dedup_enrich_stream
+
+    base = new_work_path(spark, "stream-late")
+    obs = roles.observation_base(spark, d).drop("event_id")
+    late_part = F.col("obs_ts") < F.lit(LATE_BEFORE).cast("timestamp_ntz")
+    late = LateRows()
+    spark.streams.addListener(late)
+    try:
+        # The recent rows first: their watermark makes the older ones late.
+        for part in (obs.filter(~late_part), obs.filter(late_part)):
+            part.write.mode("append").parquet(f"{base}/source")
+            stream = dedup_enrich_stream(
+                spark.readStream.schema(obs.schema).parquet(f"{base}/source"), roles.sites(spark, d), watermark="1 day"
+            )
+            q = (
+                stream.writeStream.format("parquet")
+                .option("checkpointLocation", f"{base}/checkpoint")
+                .trigger(availableNow=True)
+                .start(f"{base}/out")
+            )
+            await_available_now(q)
+        # Progress events arrive a little after the query has ended.
+        n_read, n_kept = obs.count(), spark.read.parquet(f"{base}/out").count()
+        for _ in range(100):
+            if n_kept + late.dropped.get(str(q.id), 0) >= n_read:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(late)
+    return spark.createDataFrame([(n_read, n_kept, late.dropped.get(str(q.id), 0))], "n_read bigint, n_kept bigint, n_late bigint")
+
+
 def q_preview_sites(spark, d):
     """SNK7, SRT2: the first twenty sites by key."""
     return preview(roles.sites(spark, d), 20, ["site_id"])
@@ -757,6 +796,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "context_csv_refetch": q_context_csv_refetch,
     "raw_lines": q_raw_lines,
     "stream_landing_quarantine": q_stream_landing_quarantine,
+    "stream_late_rows": q_stream_late_rows,
     "preview_sites": q_preview_sites,
     "text_dates": q_text_dates,
 }

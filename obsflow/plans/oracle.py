@@ -246,6 +246,9 @@ FROM enriched WHERE is_orphan OR {BROKEN}""",
     "raw_lines": f"""SELECT CASE WHEN event_type <> 'error' THEN user_id END AS site_id,
        CASE WHEN event_type <> 'error' THEN date_trunc('second', ts) END AS obs_ts, {_LINE} AS raw FROM events""",
     "stream_landing_quarantine": f"SELECT {_LINE} AS raw FROM events WHERE event_type = 'error'",
+    "stream_late_rows": W("obs_base")
+    + "SELECT count(*) AS n_read, count(*) FILTER (WHERE obs_ts >= TIMESTAMP '2024-01-20') AS n_kept, "
+    "count(*) FILTER (WHERE obs_ts < TIMESTAMP '2024-01-20') AS n_late FROM obs_base",
     "preview_sites": W("sites") + "SELECT * FROM sites ORDER BY site_id LIMIT 20",
     "text_dates": f"""SELECT event_id, CASE WHEN event_type <> 'purchase' THEN CAST(substr({_TEXT}, 1, 10) AS DATE) END AS text_date,
        strftime(ts, '%Y%m%dT%H%M%S%f') || 'Z' AS stamp FROM events""",

@@ -41,19 +41,18 @@ def merge_into_table(
     table_path: str,
     keys: Sequence[str] = LANDING_KEYS,
     partition_col: str = LANDING_PARTITION,
+    partition_expr: str = "to_date(obs_ts)",
 ) -> None:
     """Upsert one batch into a partitioned Parquet table (SNK3, INC4).
 
-    The partition must follow from the key (the date of ``obs_ts``, or a key
-    column), else a row could exist twice. Only the partitions the batch
+    The partition must follow from the key (be ``partition_expr`` over key
+    columns, or one of them), else a row could exist twice. Only the partitions the batch
     touches are read, merged and rewritten (dynamic overwrite); an empty batch
     changes nothing. The merged partitions are staged in the shared
     folder first, so the table is never overwritten by a plan reading it.
     """
-    if partition_col in keys:
-        pass
-    elif not batch.filter(~F.col(partition_col).eqNullSafe(F.to_date("obs_ts"))).isEmpty():
-        raise ValueError(f"{partition_col} must be the date of obs_ts: a key may not change its partition")
+    if partition_col not in keys and not batch.filter(~F.col(partition_col).eqNullSafe(F.expr(partition_expr))).isEmpty():
+        raise ValueError(f"{partition_col} must be {partition_expr}: a key may not change its partition")
     batch = dedup_latest(batch, keys)
     # One row per date in the batch, on the driver: the filter then prunes folders.
     dates = [r[0] for r in batch.select(partition_col).distinct().collect()]
