@@ -6,7 +6,8 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ensure_shared_dir, new_work_path
+from ..session import new_work_path
+from ..sinks.parquet import remove_folder
 
 WORD_BPE_FILE = "word_bpe_49k.json"
 PIECE_BPE_FILE = "piece_bpe_32k.model"
@@ -29,12 +30,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_work_path(spark, f"llm-{label}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_path = path
+    return out
 
 
-def checkpoints(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` write below ``spark.checkpoint.dir``."""
-    ensure_shared_dir(spark)
+def forget(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` that no later result reads."""
+    for df in tables:
+        remove_folder(df.sparkSession, df._written_path)
 
 
 def values(batch, column: str) -> Iterator:

@@ -8,25 +8,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import forget, written
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, label: str) -> DataFrame:
     """Every larger neighbour of a node is linked to the least of its
     neighbourhood. The minima are written first, so that both sides of the
     join are plain exchanges and a hub's rows can be split."""
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = written(both.groupBy("a").agg(F.min("b").alias("m")), "components-least")
     near = both.join(least, "a").where("b > a")
-    return near.select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
+    out = written(near.select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct(), label)
+    forget(least)
+    return out
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, label: str) -> DataFrame:
     """Of links from larger to smaller nodes, each node and its smaller
     neighbours are linked to the least of them."""
     least = written(links.groupBy("a").agg(F.min("b").alias("m")), "components-least")
     moved = links.join(least, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
+    out = written(moved.union(least.select("a", F.col("m").alias("b"))).distinct(), label)
+    forget(least)
+    return out
 
 
 def components(links: DataFrame, label: str = "components") -> DataFrame:
@@ -39,8 +43,10 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
         state = tuple(current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_000_007)).first())
         if state == before or state[0] == 0:
             break
-        before = state
-        current = written(_small_star(_large_star(current)), label)
+        before, last = state, current
+        stars = _large_star(last, label)
+        current = _small_star(stars, label)
+        forget(last, stars)
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

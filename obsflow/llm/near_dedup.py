@@ -6,7 +6,8 @@ another place of the signature. Neighbours in an order share the longest
 prefix with each other; they are candidates as soon as they share the first
 value. So the depth adapts to the region: where few sets share a prefix, one
 common value is enough; where many do, only those that agree much deeper stand
-side by side. Candidates are confirmed on the full sets.
+side by side, and the sets of such a region are sorted in further orders.
+Candidates are confirmed on the full sets.
 
 Equal sets are one class. Links inside what is already known to be one
 component need no check, so a large group of near copies costs a few checks
@@ -23,22 +24,26 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import values, written
+from .common import forget, values, written
 from .components import components
 
 WORDS = 5
 THRESHOLD = 75  # per cent of the union
 VALUES = 128  # MinHash values of a signature
-ORDERS = 32
-STEP = VALUES // ORDERS  # an order begins this many values after the one before
-# Key of an order: two whole values, then halves of the next ones.
-WHOLE, HALVES = 2, 10
+ORDERS = 32  # sorted orders of all sets
+STEP = VALUES // ORDERS  # first values of an order that are not the first of another
+MORE_ORDERS = 128  # further orders of the sets in dense regions
+# Key of an order: a whole value, then one byte of each of the next ones.
+DEPTH = 25
 NEIGHBOURS = 2  # predecessors compared in each order
-# First round: partners that are neighbours in so many orders, the best so many per set.
-SURE, BEST = ORDERS // 4, 3
+# First round: partners with which a set shares prefixes of so many values, over
+# all orders in which they are neighbours; the best so many per set.
+SURE, BEST = 12, 3
 # Second round: candidates whose signatures agree in at least this share are
 # confirmed. Five standard deviations (0.038) below the threshold.
 LEAST_AGREEMENT = 0.56
+# A component of this many sets is a dense region.
+DENSE = 8
 # Ids of sets to be confirmed are broadcast below this number (8 bytes each).
 BROADCAST_IDS = 500_000
 BLOCK = 1 << 22  # bytes of text hashed at once
@@ -50,6 +55,10 @@ _BYTES = _rng.integers(0, 1 << 63, 256, dtype=np.uint64)
 _PLACES = _rng.integers(0, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+# Places of the signature that make up each order: those of the first set of
+# orders begin with values of their own, the rest is drawn at random.
+_ORDERS = [np.r_[k * STEP : (k + 1) * STEP, _rng.permutation(np.delete(np.arange(VALUES), np.s_[k * STEP : (k + 1) * STEP]))][:DEPTH] for k in range(ORDERS)]
+_MORE = [_rng.permutation(VALUES)[:DEPTH] for _ in range(MORE_ORDERS)]
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -115,14 +124,19 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
-def order_keys(sig: np.ndarray) -> list[bytes]:
-    """Sort key of the signature in each order."""
-    twice = np.concatenate((sig, sig))
-    whole = twice.astype(">u4")
-    halves = (twice & np.uint32(0xFFFF)).astype(">u2")
-    return [
-        whole[at : at + WHOLE].tobytes() + halves[at + WHOLE : at + WHOLE + HALVES].tobytes() for at in range(0, VALUES, STEP)
-    ]
+def order_keys(sig: np.ndarray, orders: list[np.ndarray]) -> list[bytes]:
+    """Sort key of the signature in each order: the order's number, a whole
+    value, and the low bytes of the next ones."""
+    whole, low = sig.astype(">u4"), sig.astype(np.uint8)
+    return [bytes([k]) + whole[at[:1]].tobytes() + low[at[1:]].tobytes() for k, at in enumerate(orders)]
+
+
+def common_depth(a: bytes, b: bytes) -> int:
+    """Number of values at the beginning of two keys that agree; 0 in
+    different orders."""
+    differ = int.from_bytes(a) ^ int.from_bytes(b)
+    same = len(a) - (differ.bit_length() + 7) // 8
+    return max(0, same - 4)
 
 
 def signatures(df: DataFrame) -> DataFrame:
@@ -150,40 +164,42 @@ def signatures(df: DataFrame) -> DataFrame:
     return df.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, sig binary")
 
 
-def neighbours(sigs: DataFrame) -> DataFrame:
-    """Candidate pairs ``a < b`` with the number of orders in which they are
-    neighbours. The orders are sorted by range partitions, whose sizes do not
-    depend on how many sets share a prefix."""
+def neighbours(sets: DataFrame, orders: list[np.ndarray]) -> DataFrame:
+    """Candidate pairs ``a < b`` of ``sets`` (``id, part, sig``) that differ in
+    ``part``, with their ``depth``: the values of the common prefixes, summed
+    over the orders in which they are neighbours.
+
+    The orders are sorted by range partitions, whose sizes do not depend on how
+    many sets share a prefix.
+    """
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                ids = batch.column("doc_id")
-                made = [order_keys(np.frombuffer(s, np.uint32)) for s in values(batch, "sig")]
+            for at in range(0, whole.num_rows, 200):
+                batch = whole.slice(at, 200)
+                made = [k for s in values(batch, "sig") for k in order_keys(np.frombuffer(s, np.uint32), orders)]
+                again = pa.array(np.repeat(np.arange(batch.num_rows), len(orders)))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([bytes([t]) + k for row in made for t, k in enumerate(row)], pa.binary()),
-                        ids.take(pa.array(np.repeat(np.arange(len(made)), ORDERS))),
-                    ],
-                    names=["key", "id"],
+                    [pa.array(made, pa.binary()), batch.column("id").take(again), batch.column("part").take(again)], names=["key", "id", "part"]
                 )
 
     def adjacent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: list[tuple[bytes, int]] = []  # the order and the first value, and the id
+        last: list[tuple[bytes, int, int]] = []
         for batch in batches:
-            a, b = [], []
-            for key, node in zip(batch.column("key").to_pylist(), batch.column("id").to_pylist(), strict=True):
-                head = key[:5]
-                for other, before in last:
-                    if other == head and before != node:
+            a, b, depth = [], [], []
+            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "id", "part")), strict=True):
+                key, node, part = row
+                for other, before, its_part in last:
+                    if its_part != part and other[:5] == key[:5]:
                         a.append(min(before, node))
                         b.append(max(before, node))
-                last = [*last[1 - NEIGHBOURS :], (head, node)] if NEIGHBOURS > 1 else [(head, node)]
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                        depth.append(common_depth(other, key))
+                last = [*last, row][-NEIGHBOURS:]
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(depth, pa.int32())], names=["a", "b", "depth"])
 
-    sorted_keys = sigs.select("doc_id", "sig").mapInArrow(keys, "key binary, id long").repartitionByRange("key", "id").sortWithinPartitions("key", "id")
-    return sorted_keys.mapInArrow(adjacent, "a long, b long").groupBy("a", "b").agg(F.count(F.lit(1)).alias("orders"))
+    rows = sets.select("id", "part", "sig").mapInArrow(keys, "key binary, id long, part long")
+    in_order = rows.repartitionByRange("key", "id").sortWithinPartitions("key", "id")
+    return in_order.mapInArrow(adjacent, "a long, b long, depth int").groupBy("a", "b").agg(F.sum("depth").alias("depth"))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -226,31 +242,54 @@ def agreeing(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
 
 
 def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """The ``pairs`` whose ends are not in one component yet."""
+    """The ``pairs`` whose ends are not in one component yet, with their
+    components ``c_a, c_b`` (null: in none)."""
     mark = lambda side: found.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
-    joined = pairs.join(mark("a"), "a", "left").join(mark("b"), "b", "left")
-    return joined.where("c_a is null or c_b is null or c_a <> c_b").select(*pairs.columns)
+    joined = pairs.select("a", "b").join(mark("a"), "a", "left").join(mark("b"), "b", "left")
+    return joined.where("c_a is null or c_b is null or c_a <> c_b").select("a", "b", "c_a", "c_b")
+
+
+def _dense_regions(rest: DataFrame, found: DataFrame, sigs: DataFrame) -> DataFrame:
+    """``id, part, sig`` of the sets in dense components and of those beside
+    one (``rest``: the candidates across components); the part is the component.
+
+    In a large group of near copies, a set with many changes may be similar
+    enough to a few members only, and these need not be next to it in any of
+    the first orders. More orders of these sets alone bring them together.
+    """
+    sizes = written(found.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= DENSE).select("component"), "near-dense")
+    inside = found.join(sizes, "component").select("node", "component")
+    ends = rest.select(F.col("a").alias("node"), "c_a", "c_b").union(rest.select("b", "c_b", "c_a"))
+    beside = ends.join(sizes, F.col("c_b") == F.col("component")).select("node", F.coalesce("c_a", "node").alias("component"))
+    chosen = written(inside.union(beside).groupBy("node").agg(F.min("component").alias("part")), "near-chosen")
+    return chosen.join(sigs, chosen["node"] == sigs["doc_id"]).select(F.col("node").alias("id"), "part", "sig")
 
 
 def class_links(sigs: DataFrame, texts: DataFrame) -> DataFrame:
     """Components of the classes: ``node, component``."""
-    pairs = written(neighbours(sigs), "near-pairs")
+    pairs = written(neighbours(sigs.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("part"), "sig"), _ORDERS), "near-pairs")
     # Only sets with a candidate are looked at again, by their texts.
     ids = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "near-ids")
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     some = written(texts.join(wanted, "doc_id").dropDuplicates(["doc_id"]), "near-texts")
-    rank = Window.partitionBy("x").orderBy(F.desc("orders"), "y")
-    sure = pairs.where(F.col("orders") >= SURE)
-    ends = sure.select(F.col("a").alias("x"), F.col("b").alias("y"), "orders").union(sure.select("b", "a", "orders"))
+    rank = Window.partitionBy("x").orderBy(F.desc("depth"), "y")
+    sure = pairs.where(F.col("depth") >= SURE)
+    ends = sure.select(F.col("a").alias("x"), F.col("b").alias("y"), "depth").union(sure.select("b", "a", "depth"))
     best = ends.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= BEST)
     first = best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    links = written(confirmed(written(first, "near-first"), some), "near-links")
+    first = written(first, "near-first")
+    links = written(confirmed(first, some), "near-links")
     found = written(components(links), "near-found")
-    rest = agreeing(written(_across(pairs, found), "near-rest"), sigs)
-    more = written(confirmed(written(rest, "near-second"), some), "near-links")
+    rest = written(_across(pairs, found), "near-rest")
+    dense = neighbours(_dense_regions(rest, found, sigs), _MORE)
+    more_pairs = written(rest.select("a", "b").union(dense.select("a", "b")).distinct(), "near-pairs")
+    second = written(agreeing(more_pairs, sigs), "near-second")
+    more = written(confirmed(second, some), "near-links")
     # Components of the first round stand in for their members.
     merged = found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
-    return components(merged)
+    out = components(merged)
+    forget(pairs, ids, some, first, links, found, rest, more_pairs, second, more)
+    return out
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
