@@ -24,15 +24,19 @@ LEAST_SCORE = 0.5
 
 
 def _boxed(docs: DataFrame) -> DataFrame:
-    """``doc_id, text`` and the whole row in one column, so that no operator
-    meets a column whose name it uses itself."""
-    return docs.select("doc_id", "text", F.struct("*").alias("row"))
+    """``doc_id, text`` and all other columns in one, so that no operator meets
+    a column whose name it uses itself. The text is not held twice."""
+    return docs.select("doc_id", "text", F.struct(*[c for c in docs.columns if c != "text"]).alias("row"))
 
 
-def _unboxed(boxed: DataFrame, docs: DataFrame, text: Column | None = None) -> DataFrame:
-    """The rows again, with the columns of ``docs``; ``text`` replaces theirs."""
-    new = {} if text is None else {"text": text, "n_chars": F.char_length(text).cast("long")}
-    return boxed.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
+def _unboxed(boxed: DataFrame, docs: DataFrame, **new: Column) -> DataFrame:
+    """The rows again, with the columns of ``docs``; ``new`` replaces some."""
+    new = {"text": F.col("text")} | new
+    return boxed.select(*[(new[c] if c in new else F.col("row")[c]).alias(c) for c in docs.columns])
+
+
+def _n_chars() -> Column:
+    return F.char_length("text").cast("long")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +52,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         good = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     kept = marked.where(good)
     filled = F.coalesce(F.col("row")["lang"], F.when(F.col("lang_pred") != lid.UNDETERMINED, F.col("lang_pred")))
-    return kept.select(*[filled.alias(c) if c == "lang" else F.col("row")[c].alias(c) for c in docs.columns])
+    return _unboxed(kept, docs, lang=filled)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +60,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     word goes with them."""
     clean = line_dedup.dedup_lines(_boxed(docs))
     empty = (F.size("gone_lines") > 0) & ~F.col("text").rlike(r"\S")
-    return _unboxed(clean.where(~F.coalesce(empty, F.lit(False))), docs, F.col("text"))
+    return _unboxed(clean.where(~F.coalesce(empty, F.lit(False))), docs, n_chars=_n_chars())
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,7 +75,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and the terms that disclose it are replaced."""
-    return _unboxed(sanitise.sanitised(_boxed(docs)), docs, F.col("text"))
+    return _unboxed(sanitise.sanitised(_boxed(docs)), docs, n_chars=_n_chars())
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
