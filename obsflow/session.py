@@ -113,8 +113,8 @@ def cluster_conf(
       at ``target_partition_bytes`` each, and is at least 3x the cores so
       every wave is full; AQE then coalesces small partitions and splits
       skewed ones (a skewed partition is 5x the median and over 1 GB).
-    - Broadcast sides are decided by the library's own proven-size checks,
-      so Spark's estimate-based automatic broadcast is capped low.
+    - Sides of up to 64 MB, by the size of their written files or as AQE
+      measures it, are broadcast.
     """
     cores = executor_cores * executors
     shuffle_bytes = int(input_bytes * shuffle_ratio)
