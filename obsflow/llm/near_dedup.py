@@ -7,7 +7,9 @@ prefix with each other; they are candidates as soon as they share the first
 value. So the depth adapts to the region: where few sets share a prefix, one
 common value is enough; where many do, only those that agree much deeper stand
 side by side, and the sets of such a region are sorted in further orders.
-Candidates are confirmed on the full sets.
+Sets that stand in a crowd in many orders, where two places may all go to
+others, are at last compared exactly with each other, by a prefix filter on
+their full sets. Candidates are confirmed on the full sets.
 
 Equal sets are one class. Links inside what is already known to be one
 component need no check, so a large group of near copies costs a few checks
@@ -44,6 +46,13 @@ SURE, BEST = 12, 3
 LEAST_AGREEMENT = 0.56
 # A component of this many sets is a dense region.
 DENSE = 8
+# In an order, a set is crowded if more sets share its first value than are all
+# compared with each other. Two similar sets share the first values of fewer
+# than CROWDED of the 32 orders with probability 4e-8, so a link can only be
+# missed between two sets that are crowded in so many orders.
+CROWDED = 10
+# Sets with one shingle in their prefixes that are compared in one piece.
+BLOCK_SETS = 2_000
 # Ids of sets to be confirmed are broadcast below this number (8 bytes each).
 BROADCAST_IDS = 500_000
 BLOCK = 1 << 22  # bytes of text hashed at once
@@ -167,7 +176,9 @@ def signatures(df: DataFrame) -> DataFrame:
 def neighbours(sets: DataFrame, orders: list[np.ndarray]) -> DataFrame:
     """Candidate pairs ``a < b`` of ``sets`` (``id, part, sig``) that differ in
     ``part``, with their ``depth``: the values of the common prefixes, summed
-    over the orders in which they are neighbours.
+    over the orders in which they are neighbours. Rows without ``b`` have the
+    number of orders in which ``a`` is crowded, or may be, beside a partition's
+    edge.
 
     The orders are sorted by range partitions, whose sizes do not depend on how
     many sets share a prefix.
@@ -183,8 +194,12 @@ def neighbours(sets: DataFrame, orders: list[np.ndarray]) -> DataFrame:
                     [pa.array(made, pa.binary()), batch.column("id").take(again), batch.column("part").take(again)], names=["key", "id", "part"]
                 )
 
+    def met(a: list, b: list, depth: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(depth, pa.int32())], names=["a", "b", "depth"])
+
     def adjacent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: list[tuple[bytes, int, int]] = []
+        first, run, crowded = None, [], False  # sets of the present first value that are not marked
         for batch in batches:
             a, b, depth = [], [], []
             for row in zip(*(batch.column(c).to_pylist() for c in ("key", "id", "part")), strict=True):
@@ -195,7 +210,17 @@ def neighbours(sets: DataFrame, orders: list[np.ndarray]) -> DataFrame:
                         b.append(max(before, node))
                         depth.append(common_depth(other, key))
                 last = [*last, row][-NEIGHBOURS:]
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(depth, pa.int32())], names=["a", "b", "depth"])
+                if key[:5] != first:
+                    first, run, crowded = key[:5], [], first is None
+                run.append(node)
+                crowded = crowded or len(run) > NEIGHBOURS + 1
+                if crowded:
+                    a += run
+                    b += [None] * len(run)
+                    depth += [1] * len(run)
+                    run = []
+            yield met(a, b, depth)
+        yield met(run, [None] * len(run), [1] * len(run))
 
     rows = sets.select("id", "part", "sig").mapInArrow(keys, "key binary, id long, part long")
     in_order = rows.repartitionByRange("key", "id").sortWithinPartitions("key", "id")
@@ -265,11 +290,74 @@ def _dense_regions(rest: DataFrame, found: DataFrame, sigs: DataFrame) -> DataFr
     return chosen.join(sigs, chosen["node"] == sigs["doc_id"]).select(F.col("node").alias("id"), "part", "sig")
 
 
+def _shingle_rows(texts: DataFrame) -> DataFrame:
+    """``id, h``: the full sets of ``doc_id, text``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 100):
+                batch = whole.slice(at, 100)
+                sets = [shingle_set(text).view(np.int64) for text in values(batch, "text")]
+                ids = batch.column("doc_id").take(pa.array(np.repeat(np.arange(batch.num_rows), [len(s) for s in sets])))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(sets))], names=["id", "h"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, "id long, h long")
+
+
+def exact_candidates(texts: DataFrame, parts: DataFrame) -> DataFrame:
+    """All pairs ``a < b`` of ``texts`` (``doc_id, text``) in different
+    ``parts`` (``id, part``) that a prefix filter cannot tell to be unlike.
+
+    Each set is ordered by how many sets have a shingle, rare ones first. Two
+    similar sets share a shingle in their prefixes, a quarter of each, and the
+    first one they share leaves room for the overlap they need behind its
+    places. Sets with a common shingle are dealt into blocks, and each pair of
+    blocks is compared as a whole.
+    """
+    counts = written(_shingle_rows(texts).groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "near-counts")
+    ordered = _shingle_rows(texts).join(counts, "h", "left").groupBy("id").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "h"))).alias("s"))
+    prefix = F.slice("s", F.lit(1), F.floor(F.size("s") * (100 - THRESHOLD) / 100).cast("int") + 1)
+    rows = ordered.select("id", F.size("s").cast("long").alias("n"), F.posexplode(prefix).alias("pos", "x")).where("x.df > 1")
+    rows = written(rows.join(parts, "id").select("id", "part", "n", F.col("pos").cast("long").alias("pos"), "x.h"), "near-prefixes")
+    shared = rows.groupBy("h").agg(F.count(F.lit(1)).alias("m"), F.min("part").alias("p"), F.max("part").alias("q")).where("p < q")
+    blocks = shared.select("h", F.ceil(F.col("m") / BLOCK_SETS).cast("int").alias("blocks"))
+    dealt = rows.join(blocks, "h").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    groups = dealt.groupBy("h", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")).agg(
+        F.collect_list(F.struct((F.col("block") > F.least("block", "other")).cast("long").alias("side"), "id", "part", "n", "pos")).alias("members")
+    )
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            members = batch.column("members")
+            at = members.offsets.to_numpy() - members.offsets[0].as_py()
+            side, node, part, n, pos = (c.to_numpy() for c in members.flatten().flatten())
+            room = (100 + THRESHOLD) * (n - pos) - THRESHOLD * n  # partners of more than this / THRESHOLD need more overlap
+            need = THRESHOLD * n
+            for k, same in enumerate(x == y for x, y in zip(batch.column("low"), batch.column("high"), strict=True)):
+                own = np.arange(at[k], at[k + 1])
+                left, right = (own, own) if same else (own[side[own] == 0], own[side[own] == 1])
+                for start in range(0, len(left), 256):
+                    x = left[start : start + 256]
+                    fit = (room[x, None] >= need[right]) & (room[right] >= need[x, None]) & (part[x, None] != part[right])
+                    if same:
+                        fit &= node[x, None] < node[right]
+                    i, j = np.nonzero(fit)
+                    if len(i):
+                        a, b = node[x[i]], node[right[j]]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    found = written(groups.select("low", "high", "members").mapInArrow(compare, "a long, b long").distinct(), "near-exact")
+    forget(counts, rows)
+    return found
+
+
 def class_links(sigs: DataFrame, texts: DataFrame) -> DataFrame:
     """Components of the classes: ``node, component``."""
-    pairs = written(neighbours(sigs.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("part"), "sig"), _ORDERS), "near-pairs")
+    met = written(neighbours(sigs.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("part"), "sig"), _ORDERS), "near-pairs")
+    pairs, crowd = met.where("b is not null"), met.where((F.col("b").isNull()) & (F.col("depth") >= CROWDED)).select(F.col("a").alias("doc_id"))
     # Only sets with a candidate are looked at again, by their texts.
-    ids = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "near-ids")
+    ids = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(crowd).distinct(), "near-ids")
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     some = written(texts.join(wanted, "doc_id").dropDuplicates(["doc_id"]), "near-texts")
     rank = Window.partitionBy("x").orderBy(F.desc("depth"), "y")
@@ -281,14 +369,24 @@ def class_links(sigs: DataFrame, texts: DataFrame) -> DataFrame:
     links = written(confirmed(first, some), "near-links")
     found = written(components(links), "near-found")
     rest = written(_across(pairs, found), "near-rest")
-    dense = neighbours(_dense_regions(rest, found, sigs), _MORE)
+    dense = neighbours(_dense_regions(rest, found, sigs), _MORE).where("b is not null")
     more_pairs = written(rest.select("a", "b").union(dense.select("a", "b")).distinct(), "near-pairs")
     second = written(agreeing(more_pairs, sigs), "near-second")
     more = written(confirmed(second, some), "near-links")
     # Components of the first round stand in for their members.
     merged = found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
     out = components(merged)
-    forget(pairs, ids, some, first, links, found, rest, more_pairs, second, more)
+    crowded = written(some.join(crowd, "doc_id"), "near-crowd")
+    if not crowded.isEmpty():
+        out = written(out, "near-found")
+        parts = crowded.join(out, crowded["doc_id"] == out["node"], "left").select(F.col("doc_id").alias("id"), F.coalesce("component", "doc_id").alias("part"))
+        exact = exact_candidates(crowded, parts)
+        third = written(agreeing(exact, sigs).join(second, ["a", "b"], "left_anti"), "near-third")
+        last = written(confirmed(third, some), "near-links")
+        before = out
+        out = components(before.select(F.col("node").alias("a"), F.col("component").alias("b")).union(last))
+        forget(before, exact, third, last)
+    forget(met, ids, some, first, links, found, rest, more_pairs, second, more, crowded)
     return out
 
 

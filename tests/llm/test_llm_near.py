@@ -73,6 +73,35 @@ def test_hot_group_of_near_copies(spark):
     assert {r.doc_id: r.component_id for r in got} == {k: c for k, (_, c) in want.items()}
 
 
+def test_links_in_a_crowd_of_unlike_sets(spark):
+    """Documents of one template, alike at 0.70 to 0.74, with links at 0.75 to
+    0.77 between some of them."""
+    rng = random.Random(12)
+    template = [f"w{k}" for k in range(300)]
+    rows = []
+    for i in range(1500):
+        if i % 30 == 1:  # linked with the one before
+            rows.append((i, " ".join([*template, *own[: rng.randint(9, 12)], *(f"y{i}.{k}" for k in range(50))])))
+            continue
+        own = [f"x{i}.{k}" for k in range(rng.randint(54, 58))]
+        rows.append((i, " ".join([*template, *own])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sets = [near_dedup.shingle_set(t) for _, t in rows]
+    comp, links = Sets(), 0
+    rare = [set(s.tolist()) - set(sets[2].tolist()) for s in sets]
+    common = len(template) - 4
+    for a in range(len(rows)):
+        comp.find(a)
+        for b in range(a):
+            both = common + len(rare[a] & rare[b]) if a - b == 1 else common
+            if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                comp.join(a, b)
+                links += 1
+    assert links == 50
+    got = near_dedup.near_duplicates(df).collect()
+    assert {r.doc_id: r.component_id for r in got} == {a: comp.find(a) for a in range(len(rows))}
+
+
 def test_near_vectors(spark):
     rng = np.random.default_rng(4)
     rows = []
