@@ -1,8 +1,10 @@
 """Line deduplication by pairwise alignment (operator 7).
 
-Documents that share a line of some length overlap. For each such line, every
-document that holds it is paired with the first one that does, so the number of
-pairs is at most the number of lines, however many documents share one. Each
+Documents that share a run of neighbouring lines of some length overlap: from
+each line on, the shortest run that has enough words, often that line alone.
+For each such run, every document that holds it is paired with the first one
+that does, so the number of pairs is at most the number of lines, however many
+documents share one. Each
 pair is aligned with patience diff: lines that are rare, occurring once in
 either document, anchor the alignment, and the gaps are aligned in turn. The
 common blocks are deleted from the later document. A line that is deleted has
@@ -15,16 +17,19 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import values, written
 
-# Least words of a line that brings two documents together, and of a common
-# block that is deleted.
-LINE_WORDS = 5
+# Least words of a run of lines that brings two documents together, and of a
+# common block that is deleted.
 BLOCK_WORDS = 5
+# Scripts without spaces between words: each character counts as a word.
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}"
 
 DOC = ["doc_id", "t1", "t2"]  # a document: its id and a 128-bit hash of its text
 
@@ -125,7 +130,28 @@ def common_blocks(a: Sequence[int], b: Sequence[int], words: Sequence[int], leas
             gone += [left[k] for k in found]
             drop = set(found)
             left = [x for k, x in enumerate(left) if k not in drop]
-    return sorted(gone)
+    # Runs that the alignment passed over, as other lines anchored it.
+    known = dict(zip(b, words, strict=True))
+    there = {tuple(a[i:j]) for i, j in runs([known.get(x, 0) for x in a], least)}
+    passed = [k for i, j in runs(words, least) if tuple(b[i:j]) in there for k in range(i, j)]
+    return sorted({*gone, *passed})
+
+
+def runs(words: Sequence[int], least: int = BLOCK_WORDS) -> list[tuple[int, int]]:
+    """From each line with words on, the shortest run (begin, end) of at least
+    ``least`` words; none where the text ends before."""
+    n = np.asarray(words, np.int64)
+    total = np.cumsum(n)
+    begin = np.flatnonzero(n)
+    end = np.searchsorted(total, total[begin] - n[begin] + least) + 1
+    return [(i, j) for i, j in zip(begin.tolist(), end.tolist(), strict=True) if j <= len(n)]
+
+
+def _run_keys(lines: list[int], words: list[int]) -> np.ndarray:
+    """Distinct keys of a document's runs; that of a single line is its hash."""
+    data = np.array(lines, np.int64).tobytes()
+    keys = [lines[i] if j == i + 1 else xxhash.xxh3_64_intdigest(data[8 * i : 8 * j]) - (1 << 63) for i, j in runs(words)]
+    return np.unique(np.array(keys, np.int64))
 
 
 def _lines(text: Column) -> Column:
@@ -136,7 +162,8 @@ def _profile(df: DataFrame) -> DataFrame:
     """``doc_id, t1, t2, lines, words``: hashes of a document's lines (without
     spaces at the ends) and their numbers of words."""
     trimmed = F.transform(_lines(F.col("text")), lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))
-    counted = lambda x: F.when(x == "", 0).otherwise(F.size(F.split(x, r"\s+")))
+    pieces = lambda x: F.size(F.regexp_extract_all(x, F.lit(rf"[{UNSPACED}]|[^\s{UNSPACED}]+"), F.lit(0)))
+    counted = lambda x: F.when(x == "", 0).when(F.char_length(x) == F.octet_length(x), F.size(F.split(x, r"\s+"))).otherwise(pieces(x))
     return (
         df.withColumn("trimmed", trimmed)
         .select(*DOC, F.transform("trimmed", lambda x: F.xxhash64(x)).alias("lines"), F.transform("trimmed", counted).alias("words"))
@@ -166,7 +193,14 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     distinct = written(
         profile.where(F.col("doc_id").eqNullSafe(F.col("first_id"))).select(doc.alias("doc"), "lines", "words").dropDuplicates(["doc"]), "lines-distinct"
     )
-    held = distinct.select("doc", F.explode(F.arrays_zip("lines", "words")).alias("x")).where(F.col("x.words") >= LINE_WORDS).select("doc", F.col("x.lines").alias("line"))
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [_run_keys(x, n) for x, n in zip(values(batch, "lines"), values(batch, "words"), strict=True)]
+            docs = batch.column("doc").take(pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys])))
+            yield pa.RecordBatch.from_arrays([docs, pa.array(np.concatenate(keys), pa.int64())], names=["doc", "line"])
+
+    held = distinct.mapInArrow(keyed, f"doc {distinct.schema['doc'].dataType.simpleString()}, line long")
     holders = written(
         held.groupBy("line").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").select("line", "first"), "lines-holders"
     )

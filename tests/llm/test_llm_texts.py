@@ -77,6 +77,30 @@ def test_line_dedup(documents, nothing):
     assert line_dedup.dedup_lines(nothing).collect() == []
 
 
+def test_blocks_of_short_lines(spark):
+    verse = ["one two", "three", "four five", "six"]
+    rows = [
+        (1, "\n".join(["begin here", *verse, "own end"])),
+        (2, "\n".join(["other", *verse, "else"])),
+        (3, "\n".join(["one two", "x", "three"])),  # no block
+        (4, "甲\n这是一个很长的句子没有空格\n乙"),
+        (5, "这是一个很长的句子没有空格\n丙"),
+        (6, "one two\n\nthree\nlast line"),
+        (7, "first\none two\n\nthree\nlast line"),
+    ]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.gone_lines for r in got} == {1: [], 2: [1, 2, 3, 4], 3: [], 4: [], 5: [0], 6: [], 7: [1, 2, 3, 4]}
+
+
+def test_runs():
+    assert line_dedup.runs([2, 1, 0, 2, 7, 1]) == [(0, 4), (1, 5), (3, 5), (4, 5)]
+    a, b = [1, 2, 3, 9, 8, 7, 6], [9, 8, 7, 6, 1, 2, 3]
+    assert line_dedup.common_blocks(a, b, [1, 1, 1, 2, 2, 2, 2]) == list(range(7))
+    # the lines around hold the alignment at its ends
+    a, b = [1, 2, 3, 4, 5, 6], [1, 7, 5, 6, 2, 3, 4]
+    assert line_dedup.common_blocks(a, b, [1, 1, 2, 2, 2, 2, 2])[-3:] == [4, 5, 6]
+
+
 def test_patience():
     a, b = [1, 2, 3, 4, 5, 6], [9, 1, 2, 7, 4, 5, 8]
     assert line_dedup.patience(a, b) == [(0, 1), (1, 2), (3, 4), (4, 5)]
