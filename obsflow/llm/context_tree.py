@@ -42,12 +42,12 @@ DEPTH = 4
 # Contexts of so many bytes are the roots of the subtrees that tasks weigh.
 CUT = 2
 END = 255
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 8 << 20
 # Positions worked through at once; grams weighed at once (whole subtrees).
-WINDOW = 1 << 20
-WEIGHED = 1 << 20
+WINDOW = 1 << 19
+WEIGHED = 1 << 18
 # Distinct words of a group that a task holds before it writes them out.
-WORDS_HELD = 500_000
+WORDS_HELD = 200_000
 
 LN2 = math.log(2)
 
@@ -107,22 +107,22 @@ def grams_of(pieces: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Subtrees:
-    """The part of the tree below the cut for some whole subtrees: ``gram``
-    ascending and distinct, ``n`` their training counts."""
-
-    def __init__(self, gram: np.ndarray, n: np.ndarray, depth: int, cut: int):
-        gram = gram.astype(np.uint64)
-        byte, context = gram & np.uint64(255), gram >> np.uint64(8) << np.uint64(8)
-        keys = np.empty((8, len(gram)), np.uint64)
-        self.bits = np.empty((8, len(gram)), bool)
-        for k in range(8):
-            keys[k] = context | np.uint64(1 << k) | byte >> np.uint64(8 - k)
-            self.bits[k] = byte >> np.uint64(7 - k) & np.uint64(1)
-        key, self.at = np.unique(keys, return_inverse=True)
-        self.at = self.at.reshape(keys.shape)
-        weight = np.broadcast_to(n.astype(float), keys.shape)
-        ones = np.bincount(self.at.ravel(), (weight * self.bits).ravel(), len(key))
-        zeros = np.bincount(self.at.ravel(), weight.ravel(), len(key)) - ones
+    """The nodes of one bit of the byte, below the cut, for some whole subtrees.
+
+    ``gram`` ascending and distinct, ``n`` their training counts. Decisions about
+    different bits share no node, so each bit is a tree of its own.
+    """
+
+    def __init__(self, gram: np.ndarray, n: np.ndarray, bit: int, depth: int, cut: int):
+        byte = gram & np.uint64(255)
+        key = gram >> np.uint64(8) << np.uint64(8) | np.uint64(1 << bit) | byte >> np.uint64(8 - bit)
+        self.bits = (byte >> np.uint64(7 - bit) & np.uint64(1)).astype(bool)
+        # grams that share a node follow each other
+        first = np.flatnonzero(np.diff(key, prepend=~key[:1]))
+        self.at = np.repeat(np.arange(len(first)), np.diff(first, append=len(key)))
+        key = key[first]
+        ones = np.add.reduceat(n * self.bits, first).astype(float)
+        zeros = np.add.reduceat(n, first) - ones
         self.leaf = kt_one(zeros, ones)
         log_w = ln_kt(zeros, ones)
         # levels from deep to shallow: (place of each child's parent, weight, estimate)
@@ -135,21 +135,26 @@ class Subtrees:
         self.key, self.zeros, self.ones, self.log_w = key, zeros, ones, log_w
 
     def log10_probabilities(self, above: np.ndarray, rest: np.ndarray) -> np.ndarray:
-        """Log10 probability of each gram's byte after its context. ``above``
+        """Log10 probability of each gram's bit after its context. ``above``
         and ``rest`` give, for each node at the cut, what the depths above it
         add to the probability of a one, and the weight they leave."""
         for up, own, estimate in reversed(self.levels):
             above = (above + rest * own * estimate)[up]
             rest = (rest * (1 - own))[up]
-        one = above + rest * self.leaf
-        return np.log10(np.where(self.bits, one[self.at], 1 - one[self.at])).sum(0)
+        one = (above + rest * self.leaf)[self.at]
+        return np.log10(np.where(self.bits, one, 1 - one))
 
 
-def _whole_subtrees(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Grams and counts of whole subtrees, about WEIGHED grams at a time; the
-    batches come in the order of the subtree, then of the gram."""
+def _whole_subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Grams (ascending) and counts of whole subtrees, about WEIGHED grams at a
+    time; the batches come in the order of the subtree."""
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     size = 0
+
+    def ordered(gram, n):
+        order = np.argsort(gram)
+        return gram[order].astype(np.uint64), n[order]
+
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -160,11 +165,11 @@ def _whole_subtrees(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[t
             r, gram, n = (np.concatenate(x) for x in zip(*held, strict=True))
             last = int(np.searchsorted(r, r[-1]))
             if last:
-                yield gram[:last], n[:last]
+                yield ordered(gram[:last], n[:last])
             held, size = [(r[last:], gram[last:], n[last:])], len(r) - last
     if size:
         _, gram, n = (np.concatenate(x) for x in zip(*held, strict=True))
-        yield gram, n
+        yield ordered(gram, n)
 
 
 def _flags(doc_id: Column) -> tuple[Column, Column]:
@@ -178,9 +183,22 @@ def _gathered(rows: DataFrame, depth: int) -> DataFrame:
     only in texts not learned from). The empty word stands for the ends."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams: dict[tuple[int, bool], list[bytes]] = {}
+        pieces: dict[tuple[int, bool], list[bytes]] = {}
         waiting: Counter = Counter()
-        words: dict[tuple[int, bool], Counter] = {}
+        grams: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        words: dict[int, Counter] = {}
+
+        def reduce_pieces(key) -> None:
+            gram, n = np.unique(grams_of(pieces.pop(key), depth)[0], return_counts=True)
+            waiting.pop(key)
+            held = grams.setdefault(key[0], [])
+            held.append((gram, n if key[1] else np.zeros(len(n), np.int64)))
+            if len(held) > 8:
+                grams[key[0]] = [merged(held)]
+
+        def merged(held):
+            gram, at = np.unique(np.concatenate([g for g, _ in held]), return_inverse=True)
+            return gram, np.bincount(at, np.concatenate([n for _, n in held]), len(gram)).astype(np.int64)
 
         def out(g, gram, word, n):
             size = len(n)
@@ -194,32 +212,30 @@ def _gathered(rows: DataFrame, depth: int) -> DataFrame:
                 names=["g", "gram", "word", "n"],
             )
 
-        def flush_grams(key):
-            gram, n = np.unique(grams_of(grams.pop(key), depth)[0], return_counts=True)
-            waiting.pop(key)
-            return out(key[0], gram, None, n if key[1] else np.zeros(len(n), np.int64))
-
-        def flush_words(key):
-            seen = words.pop(key)
-            return out(key[0], None, list(seen), list(seen.values()) if key[1] else [0] * len(seen))
+        def flush_words():
+            for g, seen in words.items():
+                yield out(g, None, list(seen), list(seen.values()))
+            words.clear()
 
         for batch in batches:
             for g, learn, text in zip(*(batch.column(c).to_pylist() for c in ("g", "learn")), batch.column("text"), strict=True):
                 key, text = (g, learn), text.as_py()
                 for piece in pieces_of(text, depth):
-                    grams.setdefault(key, []).append(piece)
+                    pieces.setdefault(key, []).append(piece)
                     waiting[key] += len(piece)
-                    if waiting[key] >= 4 * WINDOW:
-                        yield flush_grams(key)
-                seen = words.setdefault(key, Counter())
-                seen.update(text.lower().split())
-                seen[b""] += 1
-                if len(seen) >= WORDS_HELD:
-                    yield flush_words(key)
-        for key in list(grams):
-            yield flush_grams(key)
-        for key in list(words):
-            yield flush_words(key)
+                    if waiting[key] >= 2 * WINDOW:
+                        reduce_pieces(key)
+                found = text.lower().split()
+                found.append(b"")
+                words.setdefault(g, Counter()).update(found if learn else dict.fromkeys(found, 0))
+            if sum(map(len, words.values())) >= WORDS_HELD:
+                yield from flush_words()
+        for key in list(pieces):
+            reduce_pieces(key)
+        for g in list(grams):
+            gram, n = merged(grams.pop(g))
+            yield out(g, gram, None, n)
+        yield from flush_words()
 
     return rows.select("g", "learn", "text").repartition("g").mapInArrow(gather, "g int, gram long, word binary, n long")
 
@@ -247,28 +263,29 @@ def gram_scores(totals: DataFrame, depth: int = DEPTH) -> DataFrame:
     by_subtree = (
         totals.withColumn("r", F.shiftright("gram", 8).bitwiseAND((1 << 8 * CUT) - 1))
         .repartition("r")
-        .sortWithinPartitions("r", "gram")
+        .sortWithinPartitions("r")
         .select("r", "gram", "n")
     )
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for gram, n in _whole_subtrees(batches, depth):
-            order = np.argsort(gram)
-            t = Subtrees(gram[order], n[order], depth, CUT)
-            key, up = np.unique(t.key & np.uint64(0xFFFF), return_inverse=True)
-            sums = [np.bincount(up, x, len(key)) for x in (t.zeros, t.ones, t.log_w)]
-            yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), *map(pa.array, sums)], names=["key", "zeros", "ones", "below"])
+        for gram, n in _whole_subtrees(batches):
+            for bit in range(8):
+                t = Subtrees(gram, n, bit, depth, CUT)
+                key, up = np.unique(t.key & np.uint64(0xFFFF), return_inverse=True)
+                sums = [np.bincount(up, x, len(key)) for x in (t.zeros, t.ones, t.log_w)]
+                yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), *map(pa.array, sums)], names=["key", "zeros", "ones", "below"])
 
     shared = totals.sparkSession.sparkContext.broadcast(_top_of_tree(by_subtree.mapInArrow(weigh, "key long, zeros double, ones double, below double")))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         above, rest = shared.value
-        for gram, n in _whole_subtrees(batches, depth):
-            order = np.argsort(gram)
-            t = Subtrees(gram[order], n[order], depth, CUT)
-            up = (t.key & np.uint64(0xFFFF)).astype(np.int64)
-            log10_p = t.log10_probabilities(above[up], rest[up])
-            yield pa.RecordBatch.from_arrays([pa.array(gram[order]), pa.array(log10_p)], names=["gram", "log10_p"])
+        for gram, n in _whole_subtrees(batches):
+            log10_p = np.zeros(len(gram))
+            for bit in range(8):
+                t = Subtrees(gram, n, bit, depth, CUT)
+                up = (t.key & np.uint64(0xFFFF)).astype(np.int64)
+                log10_p += t.log10_probabilities(above[up], rest[up])
+            yield pa.RecordBatch.from_arrays([pa.array(gram.astype(np.int64)), pa.array(log10_p)], names=["gram", "log10_p"])
 
     return by_subtree.mapInArrow(score, "gram long, log10_p double")
 
