@@ -8,6 +8,7 @@ flow, and it can be joined or written like any other table.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,24 +24,55 @@ def in_date_range(
     ts_col: str = "obs_ts",
     date_col: str | None = None,
     widen: str = "0 minutes",
+    date_is: str = "landing",
 ) -> DataFrame:
     """Rows whose UTC time falls on the local dates ``start``..``end``, both
     included (FLT7).
 
     The bounds are literals, pushed down to the scan. ``date_col`` names a
-    partition column with the row's UTC date (or landing date): it is bounded
-    too, a day wider on each side, so that only those folders are listed.
+    partition column that prunes folders too; ``date_is`` says what it holds:
+
+    - ``"landing"``: the UTC date the row arrived, on or after its own time. Folders
+      before the range are skipped; a row may arrive any time later.
+    - ``"utc"``: the UTC date of ``ts_col`` itself. Folders on both sides are
+      skipped; a row that is read and has another date raises, since rows like it
+      may lie in skipped folders.
+
     ``widen`` moves the lower bound back, for a series looked up by slot.
     """
+    if date_is not in ("landing", "utc"):
+        raise ValueError(f"date_is must be 'landing' or 'utc', not {date_is!r}")
     lo, hi = local_day_bounds(start, end, tz)
     lo = lo - F.expr(f"INTERVAL '{widen.split()[0]}' {widen.split()[1].rstrip('s').upper()}")
     out = df.filter((F.col(ts_col) >= lo) & (F.col(ts_col) < hi))
     if date_col is not None:
-        first, last = F.date_sub(F.lit(str(start)).cast("date"), 2), F.date_add(F.lit(str(end)).cast("date"), 2)
-        out = out.filter(F.col(date_col).cast("date").between(first, last))
+        date = F.col(date_col).cast("date")
+        out = out.filter(date >= F.to_date(lo))
+        if date_is == "utc":
+            wrong = F.raise_error(F.concat(F.lit(f"{date_col} is not the UTC date of {ts_col}: "), date.cast("string")))
+            out = out.filter(date <= F.to_date(hi)).filter(
+                F.when(date == F.to_date(ts_col), F.lit(True)).otherwise(wrong.cast("boolean"))
+            )
     return out
 
 
+def newest_partition(df: DataFrame, ts_col: str, partitions: Sequence[Mapping[str, object]]) -> DataFrame:
+    """Rows of the newest partition that holds a time (INC1, AGG8).
+
+    ``partitions`` are partition values in ascending order, from a listing of
+    folders. They are tried from the newest down: a folder without a row or without a
+    time is passed over, so the latest time is that of the whole table, but only the
+    newest folders are read. The partition columns must ascend with the time.
+    """
+    for values in reversed(partitions):
+        part = df
+        for name, value in values.items():
+            part = part.filter(F.col(name) == value)
+        if not part.filter(F.col(ts_col).isNotNull()).isEmpty():
+            return part
+    return df.filter(F.lit(False))
+
+
 def resume_point(
     stored: DataFrame,
     ts_col: str = "obs_ts",

@@ -74,12 +74,17 @@ def keyed_merge(
     return j.select(*cols, change.alias("change"))
 
 
-def merge_counts(merged: DataFrame) -> DataFrame:
-    """One row: inserted, updated, unchanged, kept and total rows."""
-    return merged.agg(
+def change_counts() -> list[Column]:
+    """Inserted, updated, unchanged, kept and total rows, as aggregates."""
+    return [
         F.count_if(F.col("change") == INSERTED).alias("n_inserted"),
         F.count_if(F.col("change") == UPDATED).alias("n_updated"),
         F.count_if(F.col("change") == UNCHANGED).alias("n_unchanged"),
         F.count_if(F.col("change") == KEPT).alias("n_kept"),
         F.count(F.lit(1)).alias("n_rows"),
-    )
+    ]
+
+
+def merge_counts(merged: DataFrame) -> DataFrame:
+    """One row: inserted, updated, unchanged, kept and total rows."""
+    return merged.agg(*change_counts())

@@ -12,8 +12,9 @@ Shape of the work, whatever the data size:
    measures every figure of the quality reports through ``observe``;
 6. the rejected rows, with reasons, are kept as ``rejects/run_id=...``;
 7. if the gate passes, the new rows of the touched months and their hourly
-   roll-up are written aside, counted, and put in place together by renames.
-   An error before that leaves the published tables as they were.
+   roll-up are written aside, counted, and put in place together: by renames, or
+   (``snapshots``) by one new pointer file that readers resolve. An error before
+   that leaves the published tables as they were.
 
 The staged table is a written table in the shared folder: it cuts the
 lineage, so a lost executor after step 5 costs no recomputation from the
@@ -40,14 +41,22 @@ from obsflow.operators.enrich import (
     with_local_calendar,
     with_slot,
 )
-from obsflow.operators.incremental import in_date_range
+from obsflow.operators.incremental import in_date_range, newest_partition
 from obsflow.operators.joins import require_unique
 from obsflow.operators.quality import gate_verdict
 from obsflow.operators.rollup import SITE_HOUR_KEYS, hourly_rollup
 from obsflow.operators.rules import CONSISTENCY_RULES, GATE_RULES, Rule, rule_counts
 from obsflow.plans.layouts import HOUR_NAMES, QUALITY_NAMES, ROW_NAMES, publish_as, read_as_library
 from obsflow.session import new_work_path
-from obsflow.sinks.parquet import remove_folder, swap_folders, table_exists, write_partitioned
+from obsflow.sinks import versions
+from obsflow.sinks.parquet import (
+    partition_folders,
+    remove_folder,
+    swap_folders,
+    table_exists,
+    write_empty,
+    write_partitioned,
+)
 
 OK, ANOMALY, ORPHAN, KEY_NULL = "ok", "anomaly", "orphan", "key_null"
 
@@ -81,14 +90,27 @@ class BatchSettings:
     on_duplicate: str = "dedup"
     # Inclusive range of local dates [start, end]; pushed to both inputs' scans.
     time_range: tuple[str, str] | None = None
-    # Partition column of the observations that holds the UTC (or landing)
-    # date, if there is one: the range then prunes folders too.
+    # Partition column of the observations that holds a date, if there is one:
+    # the range then prunes folders too. "landing": the date of arrival (bounds
+    # below only); "utc": the UTC date of the observation, as the landing merge
+    # keeps it (bounds both sides, checked).
     range_date_col: str | None = "obs_date"
+    range_date_is: str = "landing"
     # "replace": the run owns everything it covers: the whole table, or with a
     # range the rows in it; rows outside the range stay.
     # "merge": the run owns the keys it read: accepted ones are upserted, and
     # ones that are rejected now leave the table.
     publish_mode: str = "replace"
+    # A run that reads no observation raises before it publishes. Without this,
+    # "replace" leaves the table, or the range, empty: the run owns it.
+    require_observations: bool = False
+    # False: year/month folders below rows and hours, swapped in by renames.
+    # True: folders of the run's own behind one pointer (``sinks.versions``); read
+    # such tables with ``published_table``.
+    snapshots: bool = False
+    # Columns by which the published rows lie in order inside a month, so that a
+    # filter on them skips row groups; () leaves them as they were staged.
+    cluster_by: Sequence[str] = ()
     # Keep the staged rows after a successful publication (the diagnostics of
     # ``reports.run_reports`` read them). They are a full copy of the run.
     keep_staging: bool = False
@@ -143,17 +165,38 @@ def _append_quality(spark: SparkSession, path: str, run_id: str, metrics: dict,
     row.write.mode("append").parquet(path)
 
 
-def published_rows(spark: SparkSession, rows_path: str, months: Sequence[tuple[int, int]], names: dict) -> DataFrame:
-    """Published rows of the given months, in library names.
+def published_table(spark: SparkSession, out_dir: str, table: str, months: Sequence[tuple[int, int]] | None = None, parts: Sequence[str] = ("year", "month")) -> DataFrame:
+    """A published table (``rows`` or ``hours``), whichever way it is published.
 
-    The months (a handful of literals) are a filter on the partition columns,
-    so other months are neither listed nor read.
+    With ``months`` (a handful of literals) other months are neither listed nor
+    read.
     """
-    published = read_as_library(spark.read.parquet(rows_path), names)
+    at = versions.snapshot(spark, out_dir)
+    if at is not None:
+        folders = None if months is None else ["/".join(f"{p}={v}" for p, v in zip(parts, ym, strict=True)) for ym in months]
+        return versions.read_table(spark, out_dir, table, at, folders)
+    df = spark.read.parquet(f"{out_dir.rstrip('/')}/{table}")
+    if months is None:
+        return df
     wanted = F.lit(False)
-    for y, m in months:
-        wanted = wanted | ((F.col("year") == y) & (F.col("month") == m))
-    return published.filter(wanted)
+    for ym in months:
+        wanted = wanted | ((F.col(parts[0]) == ym[0]) & (F.col(parts[1]) == ym[1]))
+    return df.filter(wanted)
+
+
+def published_rows(spark: SparkSession, rows_path: str, months: Sequence[tuple[int, int]], names: dict) -> DataFrame:
+    """Published rows of the given months, in library names."""
+    parts = [names.get(c, c) for c in ("year", "month")]
+    return read_as_library(published_table(spark, rows_path.rsplit("/", 1)[0], "rows", months, parts), names)
+
+
+def published_months(spark: SparkSession, out_dir: str, names: dict) -> list[tuple[int, int]]:
+    """Months that have a folder, in order; found by listing folders."""
+    parts = [names.get(c, c) for c in ("year", "month")]
+    at = versions.snapshot(spark, out_dir)
+    found = at.tables["rows"].folders if at is not None else partition_folders(spark, f"{out_dir.rstrip('/')}/rows", parts)
+    values = [[v.split("=", 1)[1] for v in f.split("/")] for f in found]
+    return sorted((int(y), int(m)) for y, m in values if y.isdigit() and m.isdigit())
 
 
 def range_months(time_range: tuple[str, str]) -> list[tuple[int, int]]:
@@ -191,7 +234,7 @@ def build_rows(
     s = settings
     if s.time_range:
         date_col = s.range_date_col if s.range_date_col in obs.columns else None
-        obs = in_date_range(obs, *s.time_range, s.time_zone, "obs_ts", date_col)
+        obs = in_date_range(obs, *s.time_range, s.time_zone, "obs_ts", date_col, date_is=s.range_date_is)
         context = in_date_range(context, *s.time_range, s.time_zone, "ctx_ts", widen=f"{s.slot_minutes} minutes")
     if s.dedup_input:
         keyed = F.col("site_id").isNotNull() & F.col("obs_ts").isNotNull()
@@ -294,9 +337,11 @@ def run_batch(
 ) -> BatchResult:
     """Stage (one pass over the sources), measure, gate, publish, roll up.
 
-    Without any observation, or with nothing accepted and nothing to take out,
-    nothing is published; the quality row and the rejected rows are written in
-    any case. A wrong count raises before the published tables are touched.
+    A run owns what it says (``publish_mode``): if nothing is accepted, the table,
+    the range or the keys it read are empty afterwards. Nothing is published if
+    there is no table yet and nothing was accepted, or if a merge read no key. The
+    quality row and the rejected rows are written in any case. A wrong count raises
+    before the published tables are touched.
     """
     s = settings
     if s.publish_mode not in ("replace", "merge"):
@@ -329,6 +374,8 @@ def run_batch(
     staged.filter(F.col("disposition") != OK).write.parquet(rejects_path)
     if s.enforce_gate and not verdict["passed"]:
         return result
+    if s.require_observations and not metrics["n_rows"]:
+        raise RuntimeError("no observation was read; nothing was published")
     if _publish(spark, staged, metrics, out_dir, run_id, s, result):
         result.published = True
         if not s.keep_staging:
@@ -337,54 +384,81 @@ def run_batch(
 
 
 def _publish(spark: SparkSession, staged: DataFrame, metrics: dict, out_dir: str, run_id: str, s: BatchSettings, result: BatchResult) -> bool:
-    """Write the new rows and hours aside and swap them in; False if there is
+    """Write the new rows and hours aside and switch to them; False if there is
     nothing to publish."""
     row_names, hour_names = _layout(s)
     parts = [row_names.get(c, c) for c in ("year", "month")]
     accepted = staged.filter(F.col("disposition") == OK).select(*row_columns(s))
-    exists = table_exists(spark, result.rows_path)
-    whole = not exists or (s.publish_mode == "replace" and not s.time_range)
-    if whole:
-        if not metrics["n_final"]:
+    before = versions.snapshot(spark, out_dir)
+    exists = before is not None or table_exists(spark, result.rows_path)
+    if exists and s.snapshots != (before is not None):
+        raise ValueError(f"{out_dir} is published {'by' if before else 'without'} snapshots; keep to one way")
+    present = published_months(spark, out_dir, row_names) if exists else []
+    if not exists and not metrics["n_final"]:
+        return False
+    if s.publish_mode == "replace":
+        months = range_months(s.time_range) if s.time_range else None
+    else:  # one row per month read: a handful
+        keyed = staged.filter((F.col("disposition") != KEY_NULL) & F.col("year").isNotNull())
+        months = sorted((r["year"], r["month"]) for r in keyed.select("year", "month").distinct().collect())
+        if not months:
             return False
+    # Nothing of the present table stays: then it is replaced whole.
+    whole = months is None or not set(present) - set(months)
+    if months is None or not present:
         new, kept = accepted, 0
     else:
-        if s.publish_mode == "replace":
-            months = range_months(s.time_range)
-        else:  # one row per month read: a handful
-            keyed = staged.filter((F.col("disposition") != KEY_NULL) & F.col("year").isNotNull())
-            months = sorted((r["year"], r["month"]) for r in keyed.select("year", "month").distinct().collect())
-        if not months or not metrics["n_rows"]:
-            return False
         survivors = _survivors(published_rows(spark, result.rows_path, months, row_names), staged, s).select(*row_columns(s))
         kept = survivors.count()
         new = survivors.unionByName(accepted)
+
     aside = f"{out_dir}/_publish-{run_id}"
+    paths = {t: versions.new_version_path(out_dir, t, run_id) if s.snapshots else f"{aside}/{t}" for t in ("rows", "hours")}
     named = publish_as(new, row_names)
     # Staged and published files are already grouped by month: no shuffle.
-    write_partitioned(named, f"{aside}/rows", parts, rebalance=False)
-    written = spark.read.schema(named.schema).parquet(f"{aside}/rows")
+    cluster = [row_names.get(c, c) for c in s.cluster_by]
+    write_partitioned(named, paths["rows"], parts, rebalance=False, cluster_by=cluster)
+    written = spark.read.schema(named.schema).parquet(paths["rows"])
     expected, n = kept + metrics["n_final"], written.count()
     result.verification = {"expected": expected, "read_back": n, "ok": n == expected}
     if n != expected:
-        remove_folder(spark, aside)
+        for path in (*paths.values(), aside):
+            remove_folder(spark, path)
         raise RuntimeError(f"{n} rows were written for publication, {expected} were expected; nothing was published")
     hours = publish_as(hourly_rollup(read_as_library(written, row_names), SITE_HOUR_KEYS, s.temperature_col), hour_names)
-    write_partitioned(hours, f"{aside}/hours", parts)
+    write_partitioned(hours, paths["hours"], parts)
+
+    folders = None if whole else ["/".join(f"{p}={v}" for p, v in zip(parts, ym, strict=True)) for ym in months]
+    if s.snapshots:
+        versions.switch(spark, out_dir, before, run_id, {"rows": named.schema, "hours": hours.schema}, parts, folders)
+        return True
     if whole:
-        moves = [(f"{aside}/rows", result.rows_path), (f"{aside}/hours", result.hours_path)]
+        if not n:
+            for table, df in (("rows", named), ("hours", hours)):
+                write_empty(df, paths[table])
+        moves = [(paths["rows"], result.rows_path), (paths["hours"], result.hours_path)]
     else:
-        folders = ["/".join(f"{p}={v}" for p, v in zip(parts, ym, strict=True)) for ym in months]
         moves = []
         for table in ("rows", "hours"):
             for f in folders:
-                new_folder = f"{aside}/{table}/{f}"
+                new_folder = f"{paths[table]}/{f}"
                 moves.append((new_folder if table_exists(spark, new_folder) else None, f"{out_dir}/{table}/{f}"))
     swap_folders(spark, moves, f"{out_dir}/_before-{run_id}")
     remove_folder(spark, aside)
     return True
 
 
+def latest_published(spark: SparkSession, out_dir: str, settings: BatchSettings = BatchSettings()) -> DataFrame:
+    """Published times (``obs_ts``) of the newest month that holds a row: enough
+    for the latest one, and only that month is read."""
+    row_names, _ = _layout(settings)
+    if versions.snapshot(spark, out_dir) is None and not table_exists(spark, f"{out_dir.rstrip('/')}/rows"):
+        return spark.createDataFrame([], "obs_ts timestamp_ntz")
+    months = [{"year": y, "month": m} for y, m in published_months(spark, out_dir, row_names)]
+    rows = read_as_library(published_table(spark, out_dir, "rows"), row_names)
+    return newest_partition(rows, "obs_ts", months).select("obs_ts")
+
+
 def run_incremental(
     spark: SparkSession,
     obs: DataFrame,
@@ -410,12 +484,7 @@ def run_incremental(
 
     from obsflow.operators.incremental import resume_point
 
-    rows_path = f"{out_dir.rstrip('/')}/rows"
-    row_names, _ = _layout(settings)
-    if table_exists(spark, rows_path):
-        stored = read_as_library(spark.read.parquet(rows_path), row_names).select("obs_ts")
-    else:
-        stored = spark.createDataFrame([], "obs_ts timestamp_ntz")
+    stored = latest_published(spark, out_dir, settings)
     rng = resume_point(
         stored, "obs_ts", start=start, end=end, today=today, tz=settings.time_zone, lookback_days=lookback_days
     ).first()

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from obsflow.operators.enrich import zones_without_context
 from obsflow.operators.quality import null_attribute_sites
 from obsflow.operators.rollup import top_n
-from obsflow.plans.batch_job import ANOMALY, OK, BatchResult
+from obsflow.plans.batch_job import ANOMALY, OK, BatchResult, published_table
 from obsflow.plans.layouts import HOUR_NAMES, read_as_library
 
 
@@ -54,7 +54,7 @@ def run_reports(
         .count(),
     }
     if result.published:
-        hours = read_as_library(spark.read.parquet(result.hours_path), HOUR_NAMES)
+        hours = read_as_library(published_table(spark, result.hours_path.rsplit("/", 1)[0], "hours"), HOUR_NAMES)
         out["site_hour_top"] = top_n(hours, ["site_id", "year", "month", "day", "hour"], top)
     if context is not None:
         out["zones_without_context"] = zones_without_context(rows, context)

@@ -10,14 +10,16 @@ STR2: deduplication on (site, instant) inside a watermark, then a
 stream-static join to the site dimension. State is bounded by the watermark
 delay; rows later than the delay are dropped by Spark, so the delay is the
 lateness the job tolerates: it has no default, and ``LateRows`` counts what
-was dropped.
+was dropped. ``streaming.late`` is the form that keeps late rows in a table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
@@ -25,16 +27,20 @@ from pyspark.sql.types import StructType
 from obsflow.functions.time import utc_ntz_to_instant
 from obsflow.operators.dedup import dedup_latest
 from obsflow.operators.enrich import attach_sites
-from obsflow.operators.merge import keyed_merge
+from obsflow.operators.merge import INSERTED, change_counts, keyed_merge
 from obsflow.operators.reshape import flatten_items, items_from_lines
 from obsflow.schemas import RAW_OBSERVATION_ITEM
 from obsflow.session import new_work_path
+from obsflow.sinks import bucketed
 from obsflow.sinks.parquet import remove_folder, table_exists, write_partitioned
 
 LANDING_KEYS = ("site_id", "obs_ts")
 LANDING_PARTITION = "obs_date"
 
 
+COUNTS = "n_inserted bigint, n_updated bigint, n_unchanged bigint, n_kept bigint, n_rows bigint"
+
+
 def merge_into_table(
     spark: SparkSession,
     batch: DataFrame,
@@ -42,14 +48,19 @@ def merge_into_table(
     keys: Sequence[str] = LANDING_KEYS,
     partition_col: str = LANDING_PARTITION,
     partition_expr: str = "to_date(obs_ts)",
-) -> None:
-    """Upsert one batch into a partitioned Parquet table (SNK3, INC4).
+    buckets: int | None = None,
+    on_staged: Callable[[dict], None] | None = None,
+) -> dict:
+    """Upsert one batch into a partitioned Parquet table (SNK3, INC4); the counts
+    of inserted, updated, unchanged and kept rows of the touched partitions.
 
     The partition must follow from the key (be ``partition_expr`` over key
     columns, or one of them), else a row could exist twice. Only the partitions the batch
-    touches are read, merged and rewritten (dynamic overwrite); an empty batch
-    changes nothing. The merged partitions are staged in the shared
-    folder first, so the table is never overwritten by a plan reading it.
+    touches are read, merged and rewritten; an empty batch changes nothing. The merged
+    partitions are staged first, so the table is never overwritten by a plan
+    reading it, and ``on_staged`` gets the counts before the table changes.
+    With ``buckets`` the table is laid out by key and its stored rows are not
+    shuffled (``sinks.bucketed``).
     """
     if partition_col not in keys and not batch.filter(~F.col(partition_col).eqNullSafe(F.expr(partition_expr))).isEmpty():
         raise ValueError(f"{partition_col} must be {partition_expr}: a key may not change its partition")
@@ -57,17 +68,33 @@ def merge_into_table(
     # One row per date in the batch, on the driver: the filter then prunes folders.
     dates = [r[0] for r in batch.select(partition_col).distinct().collect()]
     if not dates:
-        return
+        counts = dict.fromkeys((c.split()[0] for c in COUNTS.split(", ")), 0)
+        if on_staged is not None:
+            on_staged(counts)
+        return counts
+    if buckets is not None:
+        return bucketed.merge(spark, landing_table(table_path, batch.schema, keys, partition_col, buckets), batch, dates, on_staged)
     if table_exists(spark, table_path):
         current = spark.read.parquet(table_path).filter(F.col(partition_col).isin(dates))
-        merged = keyed_merge(current, batch, keys).drop("change")
+        merged = keyed_merge(current, batch, keys)
     else:
-        merged = batch
-    staged = new_work_path(spark, "merge-stage")
-    write_partitioned(merged, staged, [partition_col])
-    again = spark.read.schema(merged.schema).parquet(staged)
+        merged = batch.withColumn("change", F.lit(INSERTED))
+    staged, seen = new_work_path(spark, "merge-stage"), Observation(f"merge_{uuid.uuid4().hex}")
+    write_partitioned(merged, staged, [partition_col], observe=(seen, change_counts()))
+    counts = dict(seen.get)
+    if on_staged is not None:
+        on_staged(counts)
+    again = spark.read.schema(merged.schema).parquet(staged).drop("change")
     write_partitioned(again, table_path, [partition_col], rebalance=False)
     remove_folder(spark, staged)
+    return counts
+
+
+def landing_table(table_path: str, schema: StructType, keys: Sequence[str] = LANDING_KEYS, partition_col: str = LANDING_PARTITION, buckets: int = 64) -> bucketed.BucketedTable:
+    """The bucketed landing table at a path; its catalog name follows from it."""
+    name = f"obsflow_{hashlib.sha256(table_path.rstrip('/').encode()).hexdigest()[:24]}"
+    fields = sorted(schema.fields, key=lambda f: f.name == partition_col)  # the partition column last
+    return bucketed.BucketedTable(name, table_path, StructType(fields), tuple(keys), partition_col, buckets)
 
 
 def landing_stream(
@@ -79,6 +106,8 @@ def landing_stream(
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
     quarantine_path: str | None = None,
+    counts_path: str | None = None,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """Start STR1: raw JSON items under ``source_path``, one per line, -> merged table.
 
@@ -86,8 +115,14 @@ def landing_stream(
     line, unparsed time, missing site) cannot be merged by key; they are
     written, with the line, to ``quarantine_path`` (default: the table path +
     ``_quarantine``). Each micro-batch is parsed once, into a staged table.
+
+    ``counts_path`` (default: the table path + ``_counts``) gets one row a batch:
+    inserted, updated, unchanged and kept rows. It is written before the table
+    changes and not again when a batch is replayed, so the figures are those of the
+    first time.
     """
     quarantine_path = quarantine_path or table_path.rstrip("/") + "_quarantine"
+    counts_path = (counts_path or table_path.rstrip("/") + "_counts").rstrip("/")
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -105,7 +140,14 @@ def landing_stream(
         # overwrites its own rows instead of adding them twice.
         bad = parsed.filter("not __keyed").drop("__keyed").withColumn("epoch_id", F.lit(epoch_id))
         bad.write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/epoch_id={epoch_id}")
-        merge_into_table(session, parsed.filter("__keyed").drop("__keyed"), table_path)
+
+        def keep_counts(counts: dict) -> None:
+            # Spark marks a finished write; one that was cut off is done again.
+            if not table_exists(session, f"{counts_path}/epoch_id={epoch_id}/_SUCCESS"):
+                row = session.createDataFrame([tuple(counts[c.split()[0]] for c in COUNTS.split(", "))], COUNTS)
+                row.coalesce(1).write.mode("overwrite").parquet(f"{counts_path}/epoch_id={epoch_id}")
+
+        merge_into_table(session, parsed.filter("__keyed").drop("__keyed"), table_path, buckets=buckets, on_staged=keep_counts)
         remove_folder(session, staged)
 
     writer = flat.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint_path)

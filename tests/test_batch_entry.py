@@ -332,11 +332,178 @@ def test_empty_and_all_rejected_runs(spark, tmp_dir):
             res = run_batch(spark, _obs(spark, rows), sites, ctx, out, s)
             assert not res.published and res.metrics["n_final"] == 0
             assert spark.read.parquet(f"{out}/quality").count() == 1 and spark.read.parquet(res.rejects_path).count() == len(rows)
-    # an empty run changes nothing that is published
-    good = [(1, T(2024, 7, 3, 10), 4)]
-    run_batch(spark, _obs(spark, good), sites, ctx, tmp_dir, KEEP)
-    assert not run_batch(spark, _obs(spark, []), sites, ctx, tmp_dir, KEEP).published
-    assert _published(spark, tmp_dir) == good
+
+
+@pytest.mark.parametrize("snapshots", [False, True])
+def test_a_run_owns_what_it_says(spark, tmp_dir, snapshots):
+    """With nothing accepted, what the run owns is empty afterwards."""
+    from obsflow.plans.batch_job import published_table
+
+    _, sites, ctx = _inputs(spark)
+    keep = dataclasses.replace(KEEP, snapshots=snapshots)
+    july, august = (1, T(2024, 7, 3, 10), 4), (1, T(2024, 8, 3, 10), 4)
+
+    def published(out):
+        return sorted((r.site_id, r.obs_ts, r.available) for r in published_table(spark, out, "rows").collect())
+
+    for k, rejected in enumerate(([], [(1, T(2024, 7, 3, 10), 50)])):
+        out = f"{tmp_dir}/full-{k}"
+        run_batch(spark, _obs(spark, [july, august]), sites, ctx, out, keep)
+        columns = set(published_table(spark, out, "rows").columns)
+        assert run_batch(spark, _obs(spark, rejected), sites, ctx, out, keep).published
+        assert published(out) == [] and published_table(spark, out, "hours").count() == 0
+        assert set(published_table(spark, out, "rows").columns) == columns
+        # the emptied table takes later runs of any kind
+        for mode in ({}, {"time_range": ("2024-07-01", "2024-07-31")}, {"publish_mode": "merge"}):
+            run_batch(spark, _obs(spark, []), sites, ctx, out, keep)
+            run_batch(spark, _obs(spark, [july]), sites, ctx, out, dataclasses.replace(keep, **mode))
+            assert published(out) == [july]
+
+        out = f"{tmp_dir}/range-{k}"
+        run_batch(spark, _obs(spark, [july, august]), sites, ctx, out, keep)
+        in_july = dataclasses.replace(keep, time_range=("2024-07-01", "2024-07-31"))
+        assert run_batch(spark, _obs(spark, [*rejected, august]), sites, ctx, out, in_july).published
+        assert published(out) == [august]
+        in_august = dataclasses.replace(keep, time_range=("2024-08-01", "2024-08-31"))
+        run_batch(spark, _obs(spark, []), sites, ctx, out, in_august)
+        assert published(out) == []
+
+    strict = dataclasses.replace(keep, require_observations=True)
+    run_batch(spark, _obs(spark, [july]), sites, ctx, f"{tmp_dir}/strict", strict)
+    with pytest.raises(RuntimeError, match="no observation"):
+        run_batch(spark, _obs(spark, []), sites, ctx, f"{tmp_dir}/strict", strict)
+    assert published(f"{tmp_dir}/strict") == [july]
+
+
+def test_readers_see_old_or_new(spark, tmp_dir):
+    from obsflow.plans.batch_job import published_table
+    from obsflow.sinks import versions
+
+    _, sites, ctx = _inputs(spark)
+    s = dataclasses.replace(KEEP, snapshots=True)
+    july, august = (1, T(2024, 7, 3, 10), 4), (1, T(2024, 8, 3, 10), 4)
+    run_batch(spark, _obs(spark, [july, august]), sites, ctx, tmp_dir, s)
+    first = versions.snapshot(spark, tmp_dir)
+    old = published_table(spark, tmp_dir, "rows")  # resolved before the next run
+    in_july = dataclasses.replace(s, time_range=("2024-07-01", "2024-07-31"))
+    run_batch(spark, _obs(spark, [(1, T(2024, 7, 4, 10), 9)]), sites, ctx, tmp_dir, in_july)
+    assert sorted(r.available for r in old.collect()) == [4, 4]
+    second = versions.snapshot(spark, tmp_dir)
+    assert second.number == first.number + 1
+    # the month outside the range still lies where the first run put it
+    assert second.tables["rows"].folders["year=2024/month=8"] == first.tables["rows"].folders["year=2024/month=8"]
+    assert sorted((r.month, r.available) for r in published_table(spark, tmp_dir, "rows").collect()) == [(7, 9), (8, 4)]
+    assert sorted((r.month, r.n_obs) for r in published_table(spark, tmp_dir, "hours").collect()) == [(7, 1), (8, 1)]
+
+    # a run that began from an older snapshot cannot publish over a newer one
+    with pytest.raises(Exception, match="already exists|AlreadyExists"):
+        versions.switch(spark, tmp_dir, first, "late", {}, ["year", "month"], None)
+    assert versions.snapshot(spark, tmp_dir) == second
+
+    run_batch(spark, _obs(spark, [july]), sites, ctx, tmp_dir, s)
+    gone = versions.expire(spark, tmp_dir, keep=1)
+    assert len(gone) == 4 and versions.snapshot(spark, tmp_dir).number == 3
+    assert [r.month for r in published_table(spark, tmp_dir, "rows").collect()] == [7]
+    with pytest.raises(ValueError, match="keep to one way"):
+        run_batch(spark, _obs(spark, [july]), sites, ctx, tmp_dir, KEEP)
+
+
+def test_failure_before_the_switch_changes_nothing(spark, tmp_dir, monkeypatch):
+    from obsflow.plans.batch_job import published_table
+    from obsflow.sinks import versions
+
+    _, sites, ctx = _inputs(spark)
+    s = dataclasses.replace(KEEP, snapshots=True)
+    run_batch(spark, _obs(spark, [(1, T(2024, 7, 3, 10), 4)]), sites, ctx, tmp_dir, s)
+
+    def fail(*args):
+        raise OSError("lost")
+
+    monkeypatch.setattr(versions, "create_file", fail)
+    with pytest.raises(OSError, match="lost"):
+        run_batch(spark, _obs(spark, [(1, T(2024, 7, 5, 10), 8)]), sites, ctx, tmp_dir, s)
+    monkeypatch.undo()
+    assert [r.available for r in published_table(spark, tmp_dir, "rows").collect()] == [4]
+    run_batch(spark, _obs(spark, [(1, T(2024, 7, 6, 10), 6)]), sites, ctx, tmp_dir, s)
+    assert [r.available for r in published_table(spark, tmp_dir, "rows").collect()] == [6]
+
+
+def test_resume_reads_the_newest_month_only(spark, tmp_dir):
+    import os
+
+    from obsflow.plans.batch_job import latest_published, published_rows
+
+    _, sites, ctx = _inputs(spark)
+    rows = [(1, T(2023, 12, 30, 10), 4), (1, T(2024, 2, 3, 10), 4), (1, T(2024, 10, 3, 9), 4)]
+    for snapshots in (False, True):
+        out = f"{tmp_dir}/{snapshots}"
+        s = dataclasses.replace(KEEP, snapshots=snapshots)
+        assert latest_published(spark, out, s).collect() == []
+        run_batch(spark, _obs(spark, rows), sites, ctx, out, s)
+        latest = latest_published(spark, out, s)
+        assert [r.obs_ts for r in latest.collect()] == [T(2024, 10, 3, 9)]
+        plan = latest._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: []" not in plan and "2024" in plan and "10" in plan
+    # a folder without rows is passed over
+    folder = f"{tmp_dir}/False/rows/year=2025/month=1".removeprefix("file:")
+    os.makedirs(folder)
+    published_rows(spark, f"{tmp_dir}/False/rows", [(2024, 2)], {}).drop("year", "month").limit(0).coalesce(1).write.mode("overwrite").parquet(folder)
+    assert [r.obs_ts for r in latest_published(spark, f"{tmp_dir}/False", KEEP).collect()] == [T(2024, 10, 3, 9)]
+    res = run_incremental(spark, _obs(spark, rows), sites, ctx, f"{tmp_dir}/False", KEEP, end="2024-10-31")
+    assert res.metrics["resume"]["start"] == "2024-10-03" and res.metrics["n_rows"] == 1
+
+
+def test_clustered_publication_skips_row_groups(spark, tmp_dir):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from obsflow.sinks.parquet import write_partitioned
+
+    _, sites, ctx = _inputs(spark)
+    rows = spark.range(20_000).selectExpr("id % 500 as site_id", "timestamp_ntz'2024-07-01 00:00:00' + make_dt_interval(0, 0, cast(id as int)) as obs_ts", "7 as month")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else the few rows make one file
+    try:
+        for name, cluster in (("plain", ()), ("clustered", ("site_id", "obs_ts"))):
+            write_partitioned(rows.repartition(8), f"{tmp_dir}/{name}", ["month"], rebalance=False, cluster_by=cluster)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    wanted = (F.col("site_id") == 77) & (F.col("obs_ts") < F.lit("2024-07-05").cast("timestamp_ntz"))
+    read = {}
+    for name in ("plain", "clustered"):
+        df = spark.read.parquet(f"{tmp_dir}/{name}").filter(wanted)
+        n = df.count()
+        read[name] = [pq.ParquetFile(f).metadata.row_group(0).column(0).statistics for f in glob.glob(f"{tmp_dir}/{name}/month=7/*.parquet")]
+        read[name] = sum(s.min <= 77 <= s.max for s in read[name]), len(read[name]), n
+    assert read["plain"][0] == read["plain"][1] and read["plain"][2] == read["clustered"][2] > 0
+    assert read["clustered"][1] >= 4 and read["clustered"][0] <= 2
+    s = dataclasses.replace(KEEP, cluster_by=("site_id", "obs_ts"))
+    run_batch(spark, _obs(spark, [(1, T(2024, 7, 3, 10), 4), (1, T(2024, 7, 4, 10), 4)]), sites, ctx, f"{tmp_dir}/job", s)
+    assert len(_published(spark, f"{tmp_dir}/job")) == 2
+
+
+def test_landing_date_prunes_below_only(spark, tmp_dir):
+    from obsflow.operators.incremental import in_date_range
+
+    rows = [
+        (1, T(2024, 3, 5, 10), dt.date(2024, 3, 20)),  # fetched again 15 days later
+        (2, T(2024, 3, 5, 23, 30), dt.date(2024, 3, 5)),  # 6 March in Paris
+        (3, T(2024, 3, 4, 23, 30), dt.date(2024, 3, 4)),  # 5 March in Paris, the UTC day before
+        (4, T(2024, 3, 9, 10), dt.date(2024, 3, 9)),
+    ]
+    df = spark.createDataFrame(rows, "site_id bigint, obs_ts timestamp_ntz, obs_date date")
+    df.write.partitionBy("obs_date").parquet(tmp_dir + "/landed")
+    landed = spark.read.parquet(tmp_dir + "/landed")
+    got = in_date_range(landed, "2024-03-05", "2024-03-05", "Europe/Paris", date_col="obs_date")
+    assert sorted(r.site_id for r in got.collect()) == [1, 3]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "2024-03-04" in plan.split("PartitionFilters")[1].split("]")[0]
+    # a table said to hold the observation's own UTC date is checked
+    good = in_date_range(landed.filter("site_id > 1"), "2024-03-05", "2024-03-05", "Europe/Paris", date_col="obs_date", date_is="utc")
+    assert [r.site_id for r in good.collect()] == [3]
+    wrong = spark.createDataFrame([(1, T(2024, 3, 5, 10), dt.date(2024, 3, 4))], landed.schema)
+    with pytest.raises(Exception, match="is not the UTC date"):
+        in_date_range(wrong, "2024-03-05", "2024-03-05", "Europe/Paris", date_col="obs_date", date_is="utc").collect()
 
 
 def test_wrong_count_and_failed_swap_change_nothing(spark, tmp_dir, monkeypatch):
