@@ -28,12 +28,13 @@ with the corpus is broadcast or collected.
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import forget, written
@@ -325,7 +326,13 @@ def _scored(docs: pa.Table, table: pa.Table, depth: int, base_of) -> pa.Table:
     grams = table.filter(is_gram)
     known = table.filter(pa.compute.invert(is_gram))
     lookup = GramTable(grams.column("gram").to_numpy(), grams.column("value").to_numpy())
-    count = dict(zip(known.column("word").to_pylist(), known.column("value").to_pylist(), strict=True))
+    count: Counter = Counter()
+    for learn, text in zip(docs.column("learn").to_pylist(), docs.column("text"), strict=True):
+        words = text.as_py().lower().split()
+        words.append(b"")
+        count.update(words if learn else dict.fromkeys(words, 0))
+    for word, n in zip(known.column("word").to_pylist(), known.column("value").to_pylist(), strict=True):
+        count[word] = n  # words of several groups: their count in all of them
     base = {w: base_of(c) for w, c in count.items()}
     score = np.zeros(docs.num_rows)
     n_tokens, n_known, base_score = [], [], []
@@ -395,9 +402,13 @@ def scored_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     grams, words = gathered.where("gram is not null"), gathered.where("word is not null")
     totals = written(grams.groupBy("gram").agg(F.sum("n").alias("n")), "ctw-grams")
     model = written(gram_scores(totals, depth), "ctw-model")
-    counts = written(words.groupBy("word").agg(F.sum("n").alias("n")), "ctw-words")
-    known = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
-    floor = known[0] + 0.5 * (known[1] + 1)
+    seen = Observation(f"ctw_{uuid.uuid4().hex}")
+    counts = words.groupBy("word").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows"))
+    counts = counts.observe(seen, F.sum("n").alias("tokens"), F.count_if(F.col("n") > 0).alias("distinct"))
+    # A word that one group alone holds is counted there again when it is scored.
+    counts = written(counts.where(F.col("rows") > 1).select("word", "n"), "ctw-words")
+    tokens, distinct = (seen.get[c] or 0 for c in ("tokens", "distinct"))
+    floor = tokens + 0.5 * (distinct + 1)
 
     table = (
         grams.select("g", "gram").join(model, "gram").select("g", "gram", F.lit(None).cast("binary").alias("word"), F.col("log10_p").alias("value"))
@@ -415,7 +426,7 @@ def scored_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bits = -F.col("score") * math.log2(10) / (F.col("n_bytes") + 1)
     result = written(
         scored.select(
-            "doc_id", "held_out", "n_tokens", "n_known", F.lit(known[0]).cast("long").alias("train_tokens"), "base_score", "score", bits.alias("bits_per_byte")
+            "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score", bits.alias("bits_per_byte")
         ),
         "ctw-scores",
     )
