@@ -47,12 +47,20 @@ from obsflow.operators.rules import (
     with_reasons,
 )
 from obsflow.plans import roles
-from obsflow.plans.batch_job import BatchSettings, run_batch, run_incremental
+from obsflow.plans.batch_job import BatchSettings, latest_published, published_table, run_batch, run_incremental
 from obsflow.schemas import RAW_OBSERVATION_ITEM
 from obsflow.session import new_work_path
 from obsflow.sinks.archive import write_context_archive, write_page_snapshot
 from obsflow.sinks.parquet import preview, read_back, write_partitioned
-from obsflow.sources.context_csv import context_from_texts, read_texts, split_text, typed_measures
+from obsflow.sources.context_csv import (
+    accept_context,
+    context_from_lines,
+    context_from_texts,
+    read_lines,
+    read_texts,
+    split_text,
+    typed_measures,
+)
 from obsflow.sources.pages import read_sites
 
 TZ = roles.TIME_ZONE
@@ -448,13 +456,17 @@ def q_typed_cells(spark, d):
     return rows.select("zone", "ctx_ts", *MEASURES)
 
 
+def _zones(spark, d) -> DataFrame:
+    return roles.table(spark, d, "nation").select(
+        F.col("n_name").alias("zone"), F.col("n_nationkey").cast("double").alias("lat"), F.lit(0.0).alias("lon")
+    )
+
+
 def q_context_csv_roundtrip(spark, d):
     """SNK6, SRC6, FN18, m24: CSV archive written and read back by path."""
     path = new_work_path(spark, "context-archive")
     write_context_archive(_context_texts(spark, d), path, "20240201T000000000000Z")
-    zones = roles.table(spark, d, "nation").select(
-        F.col("n_name").alias("zone"), F.col("n_nationkey").cast("double").alias("lat"), F.lit(0.0).alias("lon")
-    )
+    zones = _zones(spark, d)
     ctx = context_from_texts(read_texts(spark, path), TZ, zones)
     return ctx.select("zone", "ctx_ts", *MEASURES, "row_ok")
 
@@ -646,9 +658,7 @@ def q_context_csv_refetch(spark, d):
     warmer = ctx.withColumn("temperature_2m_c", F.col("temperature_2m_c") + 10)
     write_context_archive(_context_texts(spark, d, warmer), path, "20240201T000000000000Z")
     write_context_archive(_context_texts(spark, d, ctx), path, "20240301T000000000000Z")
-    zones = roles.table(spark, d, "nation").select(
-        F.col("n_name").alias("zone"), F.col("n_nationkey").cast("double").alias("lat"), F.lit(0.0).alias("lon")
-    )
+    zones = _zones(spark, d)
     return context_lookup(context_from_texts(read_texts(spark, path), TZ, zones), MEASURES)
 
 
@@ -684,42 +694,175 @@ def q_stream_landing_quarantine(spark, d):
 
 
 LATE_BEFORE = "2024-01-20 00:00:00"
+LATE_AGAIN = "2024-01-30 12:00:00"
 
 
-def q_stream_late_rows(spark, d):
-    """STR2: rows later than the watermark are counted: kept + late = read."""
-    import time
-
-    from obsflow.streaming.jobs import LateRows, await_available_now, dedup_enrich_stream
+def _late_stream(spark, d):
+    """Recent rows first, whose watermark makes the older ones late; then the last
+    hours once more. Each drop is a new start of the stream on the same folders."""
+    from obsflow.streaming.jobs import await_available_now
+    from obsflow.streaming.late import LateTables, dedup_enrich_keep_late
 
     base = new_work_path(spark, "stream-late")
     obs = roles.observation_base(spark, d).drop("event_id")
-    late_part = F.col("obs_ts") < F.lit(LATE_BEFORE).cast("timestamp_ntz")
-    late = LateRows()
-    spark.streams.addListener(late)
-    try:
-        # The recent rows first: their watermark makes the older ones late.
-        for part in (obs.filter(~late_part), obs.filter(late_part)):
-            part.write.mode("append").parquet(f"{base}/source")
-            stream = dedup_enrich_stream(
-                spark.readStream.schema(obs.schema).parquet(f"{base}/source"), roles.sites(spark, d), watermark="1 day"
-            )
-            q = (
-                stream.writeStream.format("parquet")
-                .option("checkpointLocation", f"{base}/checkpoint")
-                .trigger(availableNow=True)
-                .start(f"{base}/out")
-            )
-            await_available_now(q)
-        # Progress events arrive a little after the query has ended.
-        n_read, n_kept = obs.count(), spark.read.parquet(f"{base}/out").count()
-        for _ in range(100):
-            if n_kept + late.dropped.get(str(q.id), 0) >= n_read:
-                break
-            time.sleep(0.1)
-    finally:
-        spark.streams.removeListener(late)
-    return spark.createDataFrame([(n_read, n_kept, late.dropped.get(str(q.id), 0))], "n_read bigint, n_kept bigint, n_late bigint")
+    tables, sites = LateTables(f"{base}/tables"), roles.sites(spark, d)
+    late = F.col("obs_ts") < F.lit(LATE_BEFORE).cast("timestamp_ntz")
+    again = F.col("obs_ts") >= F.lit(LATE_AGAIN).cast("timestamp_ntz")
+    for part in (obs.filter(~late), obs.filter(late), obs.filter(again)):
+        part.write.mode("append").parquet(f"{base}/source")
+        stream = spark.readStream.schema(obs.schema).parquet(f"{base}/source")
+        await_available_now(dedup_enrich_keep_late(stream, sites, tables.base, "1 DAY"))
+    return tables, obs
+
+
+def q_stream_late_rows(spark, d):
+    """STR2: rows later than the watermark, as received, with batch and watermark."""
+    from obsflow.streaming.late import late_rows
+
+    tables, obs = _late_stream(spark, d)
+    return late_rows(spark, tables, obs.schema)
+
+
+def q_stream_late_counts(spark, d):
+    """STR2: the durable figures of each batch: read = kept + copies + late."""
+    from obsflow.streaming.late import epochs
+
+    tables, _ = _late_stream(spark, d)
+    return epochs(spark, tables)
+
+
+LANDED_UNTIL = "2024-01-12 00:00:00"
+RELANDED_FROM = "2024-01-10 12:00:00"
+REVISED_STATUS = "error"
+
+
+def _two_drops(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Observations up to a date, and those from an earlier date on with one status
+    revised: new, changed, equal and untouched rows."""
+    base = roles.observation_base(spark, d).drop("event_id")
+    first = base.filter(F.col("obs_ts") < F.lit(LANDED_UNTIL).cast("timestamp_ntz"))
+    second = base.filter(F.col("obs_ts") >= F.lit(RELANDED_FROM).cast("timestamp_ntz"))
+    revised = F.when(F.col("status") == REVISED_STATUS, F.lit("revised")).otherwise(F.col("status"))
+    return first, second.withColumn("status", revised)
+
+
+def q_stream_landing_counts(spark, d):
+    """STR1, SNK3: inserted, updated, unchanged and kept rows of each batch."""
+    from obsflow.streaming.jobs import await_available_now, landing_stream
+
+    base = new_work_path(spark, "stream-counts")
+    for drop in _two_drops(spark, d):
+        items = _raw_items_from(drop.withColumn("event_id", F.lit(0)))
+        items.select(F.col("raw").alias("value")).write.mode("append").text(f"{base}/source")
+        await_available_now(landing_stream(spark, f"{base}/source", f"{base}/table", f"{base}/checkpoint", buckets=8))
+    return spark.read.parquet(f"{base}/table_counts")
+
+
+def q_keyed_merge_bucketed(spark, d):
+    """SNK3, INC4: merges into a table bucketed by key; stored rows are not shuffled."""
+    from obsflow.streaming.jobs import merge_into_table
+
+    path = f"{new_work_path(spark, 'bucketed')}/table"
+    for drop in _two_drops(spark, d):
+        merge_into_table(spark, drop.withColumn("obs_date", F.to_date("obs_ts")), path, buckets=8)
+    return spark.read.parquet(path)
+
+
+def q_batch_snapshot_range(spark, d):
+    """SNK1, SNK2, SNK8: a range replaced behind one pointer; a reader that came
+    before the run still reads what it saw."""
+    obs = roles.spread_observations(spark, d)
+    out = new_work_path(spark, "batch-snapshots")
+    args = (roles.sites(spark, d), roles.context(spark, d), out)
+    first = dataclasses.replace(DRIVER_SETTINGS, snapshots=True)
+    run_batch(spark, obs, *args, first, roles.zone_overrides(spark, d))
+    before = published_table(spark, out, "rows")
+    second = dataclasses.replace(first, time_range=RANGE_REPLACED)
+    run_batch(spark, obs.withColumn("status", F.lit("revised")), *args, second, roles.zone_overrides(spark, d))
+    after = published_table(spark, out, "rows")
+    return before.withColumn("seen", F.lit("before")).unionByName(after.withColumn("seen", F.lit("after")))
+
+
+def q_batch_snapshot_hours(spark, d):
+    """SNK2: the roll-up behind the same pointer, after a range was replaced by nothing."""
+    obs = roles.spread_observations(spark, d)
+    out = new_work_path(spark, "batch-snapshots")
+    args = (roles.sites(spark, d), roles.context(spark, d), out)
+    first = dataclasses.replace(DRIVER_SETTINGS, snapshots=True)
+    run_batch(spark, obs, *args, first, roles.zone_overrides(spark, d))
+    second = dataclasses.replace(first, time_range=RANGE_REPLACED)
+    run_batch(spark, obs.filter("false"), *args, second, roles.zone_overrides(spark, d))
+    return published_table(spark, out, "hours")
+
+
+def q_batch_replace_empty(spark, d):
+    """SNK1, ENR6: with nothing accepted, the range, or the whole table, is empty."""
+    obs = roles.spread_observations(spark, d)
+    rejected = obs.withColumn("capacity", F.lit(0))
+    in_range = dataclasses.replace(DRIVER_SETTINGS, time_range=RANGE_REPLACED)
+    ranged = spark.read.parquet(_two_runs(spark, d, obs, rejected, in_range) + "/rows")
+    whole = spark.read.parquet(_two_runs(spark, d, obs, rejected, DRIVER_SETTINGS) + "/rows")
+    return ranged.withColumn("replaced", F.lit("range")).unionByName(whole.withColumn("replaced", F.lit("all")))
+
+
+def q_latest_time_newest(spark, d):
+    """INC1, AGG8: the latest published time, from the newest month that holds a row."""
+    out = new_work_path(spark, "batch-latest")
+    args = (roles.sites(spark, d), roles.context(spark, d), out, DRIVER_SETTINGS, roles.zone_overrides(spark, d))
+    run_batch(spark, roles.spread_observations(spark, d), *args)
+    return latest_published(spark, out, DRIVER_SETTINGS).agg(F.max("obs_ts").alias("latest_ts"))
+
+
+SITE_DAY = ("2024-01-10", "2024-01-16")
+SITES_READ = (20, 40)
+
+
+def q_site_day_scan(spark, d):
+    """SRC3, FLT7: sites and days from rows that lie in order of both in a month."""
+    path = new_work_path(spark, "clustered")
+    obs = roles.spread_observations(spark, d).withColumns({"year": F.year("obs_ts"), "month": F.month("obs_ts")})
+    write_partitioned(obs, path, ["year", "month"], cluster_by=["site_id", "obs_ts"])
+    stored = spark.read.schema(obs.schema).parquet(path)
+    return in_date_range(stored, *SITE_DAY, TZ).filter(F.col("site_id").between(*SITES_READ)).drop("batch")
+
+
+def q_context_csv_lines(spark, d):
+    """SRC5, SRC6, SNK6: CSV files read line by line in splits."""
+    path = new_work_path(spark, "context-lines")
+    write_context_archive(_context_texts(spark, d), path, "20240201T000000000000Z")
+    ctx = context_from_lines(read_lines(spark, path), TZ, _zones(spark, d))
+    return ctx.select("zone", "ctx_ts", *MEASURES, "row_ok")
+
+
+UNREADABLE_CODE = 50
+
+
+def q_context_csv_rejects(spark, d):
+    """SRC5, DQ5: unreadable context rows are kept with their cells: read = used + quarantined."""
+    base = new_work_path(spark, "context-rejects")
+    text = F.when(F.col("weather_code") < UNREADABLE_CODE, F.lit("n/a")).otherwise(F.col("temperature_2m_c").cast("string"))
+    ctx = roles.context(spark, d).withColumn("temperature_2m_c", text)
+    write_context_archive(_context_texts(spark, d, ctx), f"{base}/archive", "20240201T000000000000Z")
+    rows = context_from_lines(read_lines(spark, f"{base}/archive"), TZ, _zones(spark, d))
+    used, n = accept_context(spark, rows, f"{base}/rejects")
+    if n["n_context_read"] != rows.count():
+        raise RuntimeError(f"the figures {n} are not those of the archive")
+    both = used.unionByName(spark.read.parquet(f"{base}/rejects"))
+    return both.select("zone", "ctx_ts", "row_ok", F.array_join("bad_cells", ",").alias("bad_cells"), "temperature_2m_c", "weather_code")
+
+
+def q_raw_variant(spark, d):
+    """PRJ6: the whole item stored as VARIANT; undeclared nested fields are read from it."""
+    path = new_work_path(spark, "raw-variant")
+    items = flatten_items(items_from_lines(_event_lines(spark, d)), raw_as_variant=True)
+    items.select("site_id", "obs_ts", "raw").write.parquet(path)
+    stored = spark.read.schema("site_id bigint, obs_ts timestamp_ntz, raw variant").parquet(path)
+    return stored.select(
+        "site_id",
+        "obs_ts",
+        F.try_variant_get("raw", "$.note.event", "bigint").alias("note_event"),
+        F.try_variant_get("raw", "$.horodate", "string").alias("horodate"),
+    )
 
 
 def q_preview_sites(spark, d):
@@ -797,6 +940,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_lines": q_raw_lines,
     "stream_landing_quarantine": q_stream_landing_quarantine,
     "stream_late_rows": q_stream_late_rows,
+    "stream_late_counts": q_stream_late_counts,
+    "stream_landing_counts": q_stream_landing_counts,
+    "keyed_merge_bucketed": q_keyed_merge_bucketed,
+    "batch_snapshot_range": q_batch_snapshot_range,
+    "batch_snapshot_hours": q_batch_snapshot_hours,
+    "batch_replace_empty": q_batch_replace_empty,
+    "latest_time_newest": q_latest_time_newest,
+    "site_day_scan": q_site_day_scan,
+    "context_csv_lines": q_context_csv_lines,
+    "context_csv_rejects": q_context_csv_rejects,
+    "raw_variant": q_raw_variant,
     "preview_sites": q_preview_sites,
     "text_dates": q_text_dates,
 }

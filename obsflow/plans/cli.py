@@ -25,14 +25,21 @@ table (the streaming landing merge), which holds one row per key.
 from the published table instead of taking ``time_range``.
 
 ``kind`` of observations: ``landed`` (station_id, horodate text, ...),
-``raw_items`` (feed items with nested counts) or ``canonical``. Context:
-``landed`` (commune, datetime instant, measures), ``csv_archive`` (raw CSV
-texts; needs ``zones``: a table of zone, lat, lon) or ``canonical``.
+``raw_items`` (feed items with nested counts), ``raw_lines`` (text files with one
+item a line: the received line is the column ``raw``, undeclared fields included;
+list it in ``extra_columns`` to publish it; lines that are no item are quarantined
+with it) or ``canonical``. Context: ``landed`` (commune, datetime instant,
+measures), ``csv_archive`` (raw CSV files of any size; needs ``zones``: a table of
+zone, lat, lon; unreadable rows are counted and kept below ``context_rejects`` of
+``out``) or ``canonical``.
 Dates are local dates of ``time_zone``. ``measures``, ``extra_columns`` and
 ``temperature_col`` choose the context figures and observation columns carried
 along; ``gate_rules`` lists the rules that block publication (by default all;
 ``[]`` counts everything and blocks nothing). ``keep_staging`` keeps the staged
-rows for the diagnostics.
+rows for the diagnostics. ``snapshots`` publishes behind one pointer,
+``cluster_by`` orders the rows of a month, ``require_observations`` fails a run that
+reads nothing, ``range_date_is`` (``landing`` or ``utc``) says what
+``range_date_col`` holds.
 Prints the metrics and verdict as one JSON line; exit code 2 when the gate
 refused publication; an error, and nothing published, when a count is wrong.
 """
@@ -47,11 +54,12 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obsflow.operators.reshape import context_from_landed, flatten_items, from_landed
+from obsflow.operators.reshape import context_from_landed, flatten_items, from_landed, items_from_lines
 from obsflow.operators.rules import GATE_RULES
 from obsflow.plans.batch_job import BatchSettings, run_batch, run_incremental
 from obsflow.schemas import LANDED_OBSERVATION, RAW_OBSERVATION_ITEM, SITE_RECORD
-from obsflow.sources.context_csv import context_from_texts, read_texts
+from obsflow.sources.context_csv import accept_context, context_from_lines, read_lines
+from obsflow.session import new_work_path
 from obsflow.sources.pages import read_sites
 from obsflow.sources.store import load_table
 
@@ -66,6 +74,8 @@ def observations(spark: SparkSession, spec: Mapping) -> DataFrame:
         return from_landed(_load(spark, spec, LANDED_OBSERVATION))
     if kind == "raw_items":
         return flatten_items(_load(spark, spec, RAW_OBSERVATION_ITEM), keep_raw=False)
+    if kind == "raw_lines":
+        return flatten_items(items_from_lines(spark.read.text(spec["path"])))
     if kind == "canonical":
         return _load(spark, spec)
     raise ValueError(f"unknown observations kind {kind!r}")
@@ -85,8 +95,7 @@ def context(spark: SparkSession, spec: Mapping, tz: str) -> DataFrame:
         return context_from_landed(_load(spark, spec))
     if kind == "csv_archive":
         zones = _load(spark, spec["zones"]) if "zones" in spec else None
-        ctx = context_from_texts(read_texts(spark, spec["path"]), tz, zones)
-        return ctx.filter("row_ok")
+        return context_from_lines(read_lines(spark, spec["path"]), tz, zones)
     if kind == "canonical":
         return _load(spark, spec)
     raise ValueError(f"unknown context kind {kind!r}")
@@ -104,6 +113,9 @@ def settings_from(cfg: Mapping) -> BatchSettings:
         "on_duplicate",
         "keep_staging",
         "range_date_col",
+        "range_date_is",
+        "require_observations",
+        "snapshots",
         "temperature_col",
     )
     kw = {k: cfg[k] for k in keys if k in cfg}
@@ -111,7 +123,7 @@ def settings_from(cfg: Mapping) -> BatchSettings:
         kw["dedup_order"] = tuple(cfg["dedup_order"])
     if "time_range" in cfg:
         kw["time_range"] = tuple(cfg["time_range"])
-    for k in ("measures", "extra_columns"):
+    for k in ("measures", "extra_columns", "cluster_by"):
         if k in cfg:
             kw[k] = tuple(cfg[k])
     if "gate_rules" in cfg:  # the names of the rules that block; the others are only counted
@@ -134,11 +146,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     overrides = None
     if cfg.get("overrides"):
         overrides = spark.createDataFrame([tuple(p) for p in cfg["overrides"]], "site_id bigint, zone string")
+    series, figures = context(spark, cfg["context"], s.time_zone), {}
+    if "row_ok" in series.columns:
+        run = new_work_path(spark, "context").rsplit("/", 1)[-1]
+        series, figures = accept_context(spark, series, f"{cfg['out'].rstrip('/')}/context_rejects/run_id={run}")
     args = (
         spark,
         observations(spark, cfg["observations"]),
         sites(spark, cfg["sites"]),
-        context(spark, cfg["context"], s.time_zone),
+        series,
         cfg["out"],
         s,
         overrides,
@@ -147,6 +163,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         res = run_incremental(*args, start=cfg.get("start"), end=cfg.get("end"))
     else:
         res = run_batch(*args)
+    res.metrics |= figures
     print(json.dumps(res.as_dict(), default=str))
     return 0 if res.published or not s.enforce_gate else 2
 

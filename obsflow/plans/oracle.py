@@ -119,6 +119,10 @@ _BATCH_ROWS = (
     f"{MEASURES}, fill_rate, obs_local, year, month, day, hour"
 )
 
+# The watermark of the late rows: a day before the latest of the first drop.
+_WATERMARK = "(SELECT max(obs_ts) - INTERVAL 1 DAY FROM obs_base)"
+_REPLACED = "CAST(obs_local AS DATE) BETWEEN DATE '2024-03-15' AND DATE '2024-04-20'"
+
 ORACLE_SQL: dict[str, str] = {
     "dedup_latest": W("dedup") + "SELECT * FROM dedup",
     "dedup_plain_count": W("obs") + "SELECT count(*) AS n_rows FROM (SELECT DISTINCT site_id, obs_ts FROM obs)",
@@ -247,8 +251,48 @@ FROM enriched WHERE is_orphan OR {BROKEN}""",
        CASE WHEN event_type <> 'error' THEN date_trunc('second', ts) END AS obs_ts, {_LINE} AS raw FROM events""",
     "stream_landing_quarantine": f"SELECT {_LINE} AS raw FROM events WHERE event_type = 'error'",
     "stream_late_rows": W("obs_base")
-    + "SELECT count(*) AS n_read, count(*) FILTER (WHERE obs_ts >= TIMESTAMP '2024-01-20') AS n_kept, "
-    "count(*) FILTER (WHERE obs_ts < TIMESTAMP '2024-01-20') AS n_late FROM obs_base",
+    + f"""SELECT * EXCLUDE (event_id), {_WATERMARK} AS late_watermark, 1 AS epoch_id FROM obs_base
+WHERE obs_ts < TIMESTAMP '2024-01-20' AND obs_ts <= {_WATERMARK}""",
+    "stream_late_counts": W("obs_base")
+    + f"""SELECT epoch_id, max_ts, CASE WHEN n_kept > 0 THEN max_ts END AS max_kept_ts, n_read, n_kept, n_read - n_kept - n_late AS n_copies, n_late
+FROM (SELECT 0 AS epoch_id, max(obs_ts) AS max_ts, count(*) AS n_read, count(DISTINCT (site_id, obs_ts)) AS n_kept, 0::BIGINT AS n_late
+      FROM obs_base WHERE obs_ts >= TIMESTAMP '2024-01-20'
+      UNION ALL
+      SELECT 1, max(obs_ts), count(*), count(DISTINCT (site_id, obs_ts)) FILTER (WHERE obs_ts > {_WATERMARK}),
+             count(*) FILTER (WHERE obs_ts <= {_WATERMARK}) FROM obs_base WHERE obs_ts < TIMESTAMP '2024-01-20'
+      UNION ALL
+      SELECT 2, max(obs_ts), count(*), 0, count(*) FILTER (WHERE obs_ts <= {_WATERMARK})
+      FROM obs_base WHERE obs_ts >= TIMESTAMP '2024-01-30 12:00:00')""",
+    "stream_landing_counts": W("obs_base")
+    + """, k AS (SELECT DISTINCT site_id, date_trunc('second', obs_ts) AS ts, status = 'error' AS revised,
+              obs_ts < TIMESTAMP '2024-01-12' AS in_first, obs_ts >= TIMESTAMP '2024-01-10 12:00:00' AS in_second FROM obs_base)
+SELECT count(*) FILTER (WHERE in_first) AS n_inserted, 0::BIGINT AS n_updated, 0::BIGINT AS n_unchanged, 0::BIGINT AS n_kept,
+       count(*) FILTER (WHERE in_first) AS n_rows, 0 AS epoch_id FROM k
+UNION ALL
+SELECT count(*) FILTER (WHERE NOT in_first), count(*) FILTER (WHERE in_first AND in_second AND revised),
+       count(*) FILTER (WHERE in_first AND in_second AND NOT revised), count(*) FILTER (WHERE NOT in_second), count(*), 1
+FROM k WHERE CAST(ts AS DATE) IN (SELECT CAST(ts AS DATE) FROM k WHERE in_second)""",
+    "keyed_merge_bucketed": W("obs_base")
+    + """SELECT * EXCLUDE (event_id) REPLACE (CASE WHEN status = 'error' AND obs_ts >= TIMESTAMP '2024-01-10 12:00:00'
+       THEN 'revised' ELSE status END AS status), CAST(obs_ts AS DATE) AS obs_date FROM obs_base""",
+    "batch_snapshot_range": S("final_all")
+    + f"""SELECT {_BATCH_ROWS}, 'before' AS seen FROM {FINAL} UNION ALL
+SELECT {_BATCH_ROWS}, 'after' AS seen FROM (SELECT * REPLACE (CASE WHEN {_REPLACED} THEN 'revised' ELSE status END AS status) FROM {FINAL})""",
+    "batch_snapshot_hours": S("final_all") + _rollup(SITE_HOUR, f"(SELECT * FROM {FINAL} WHERE NOT {_REPLACED})"),
+    "batch_replace_empty": S("final_all") + f"SELECT {_BATCH_ROWS}, 'range' AS replaced FROM {FINAL} WHERE NOT {_REPLACED}",
+    "latest_time_newest": S("final_all") + f"SELECT max(obs_ts) AS latest_ts FROM {FINAL}",
+    "site_day_scan": S("obs_base")
+    + f"""SELECT *, CAST(year(obs_ts) AS INTEGER) AS year, CAST(month(obs_ts) AS INTEGER) AS month FROM obs_base
+WHERE site_id BETWEEN 20 AND 40
+  AND CAST(timezone('{TZ}', timezone('UTC', obs_ts)) AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-16'""",
+    "context_csv_lines": W("ctx") + f"SELECT zone, ctx_ts, {MEASURES}, true AS row_ok FROM ctx",
+    "context_csv_rejects": W("ctx")
+    + """SELECT zone, ctx_ts, weather_code >= 50 AS row_ok, CASE WHEN weather_code < 50 THEN 'temperature_2m_c' ELSE '' END AS bad_cells,
+       CASE WHEN weather_code >= 50 THEN temperature_2m_c END AS temperature_2m_c, weather_code FROM ctx""",
+    "raw_variant": """SELECT CASE WHEN event_type <> 'error' THEN user_id END AS site_id,
+       CASE WHEN event_type <> 'error' THEN date_trunc('second', ts) END AS obs_ts,
+       CASE WHEN event_type <> 'error' THEN event_id END AS note_event,
+       CASE WHEN event_type <> 'error' THEN strftime(ts, '%Y-%m-%d %H:%M:%S') || '+00:00' END AS horodate FROM events""",
     "preview_sites": W("sites") + "SELECT * FROM sites ORDER BY site_id LIMIT 20",
     "text_dates": f"""SELECT event_id, CASE WHEN event_type <> 'purchase' THEN CAST(substr({_TEXT}, 1, 10) AS DATE) END AS text_date,
        strftime(ts, '%Y%m%dT%H%M%S%f') || 'Z' AS stamp FROM events""",

@@ -1,14 +1,20 @@
 """Context series from raw CSV texts with a preamble (SRC5, SRC6, PRJ8, PRJ9, FN13, FN14, FN17).
 
-Each archived file is one whole text: preamble lines, then a header line
-starting with ``time,``, then rows. The file is read whole (one row per
-file), the header is found by position, rows are exploded and each cell is
-addressed by header name, so a reordered header still maps correctly.
+An archived file is preamble lines, then a header line starting with ``time,``,
+then rows; each cell is addressed by header name, so a reordered header still
+maps correctly. There are two readers with the same rows:
+
+- ``read_lines``: files are read line by line in splits, whatever their size; only
+  the header of each file is gathered and joined to its lines;
+- ``read_texts``: one row per file with its whole text, for texts that are already
+  values of a column, and files that surely fit into a task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow.functions.numeric import try_cast, try_flag
@@ -16,6 +22,8 @@ from obsflow.functions.text import geo_point, zone_path_key
 from obsflow.functions.time import parse_local_text
 from obsflow.operators.joins import unique_by
 from obsflow.schemas import CONTEXT_CSV_COLUMNS, CONTEXT_CSV_HEADER_PREFIX
+from obsflow.session import new_work_path
+from obsflow.sinks.parquet import write_partitioned
 
 # Path layout: .../commune=<key>/start=<date>/end=<date>/ingested_at=<stamp>[.csv | /part-...]
 _PATH_FIELDS = {
@@ -35,6 +43,14 @@ def _unescape(value: Column) -> Column:
     return F.try_url_decode(F.regexp_replace(once, r"\+", "%2B"))
 
 
+def _path_fields() -> dict[str, Column]:
+    """Zone, window and ingestion stamp from ``file_path`` (SRC6)."""
+    fields = {k: _unescape(F.regexp_extract("file_path", rx, 1)) for k, rx in _PATH_FIELDS.items()}
+    fields["start"] = F.try_to_date(fields["start"], "yyyy-MM-dd")
+    fields["end"] = F.try_to_date(fields["end"], "yyyy-MM-dd")
+    return fields
+
+
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: its whole text and its path (SRC5, SRC6).
 
@@ -48,10 +64,57 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
         .text(path, wholetext=True)
         .select("value", F.col("_metadata.file_path").alias("file_path"))
     )
-    fields = {k: _unescape(F.regexp_extract("file_path", rx, 1)) for k, rx in _PATH_FIELDS.items()}
-    fields["start"] = F.try_to_date(fields["start"], "yyyy-MM-dd")
-    fields["end"] = F.try_to_date(fields["end"], "yyyy-MM-dd")
-    return df.withColumns(fields)
+    return df.withColumns(_path_fields())
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """One row per line: ``value``, ``file_path`` and ``line_at``, its place in the
+    file (SRC5).
+
+    A large file is read by many tasks. ``line_at`` orders the lines of a file: by
+    the split's first byte, then by the order of reading inside the split; it is
+    the same in every scan of the same files, since Spark plans the splits from
+    the file listing alone. A file without any line gives no row.
+    """
+    return (
+        spark.read.option("recursiveFileLookup", "true")
+        .text(path)
+        .select(
+            "value",
+            F.col("_metadata.file_path").alias("file_path"),
+            F.struct(F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("line")).alias("line_at"),
+        )
+    )
+
+
+def split_lines(lines: DataFrame) -> DataFrame:
+    """Lines of ``read_lines`` -> one row per data line, like ``split_text``.
+
+    Of each file the first line that starts with ``time,`` is its header; one row a
+    file is gathered and joined back to the lines behind it, so no file's lines meet in
+    one task unless Spark chooses to shuffle them for that join.
+    """
+    is_header = F.col("value").startswith(CONTEXT_CSV_HEADER_PREFIX)
+    first = lines.filter(is_header).groupBy("file_path").agg(F.min(F.struct("line_at", "value")).alias("first"))
+    headers = first.select(
+        F.col("file_path"), F.col("first.line_at").alias("__header_at"), split_cells(F.col("first.value")).alias("__header"), *[c.alias(n) for n, c in _path_fields().items()]
+    )
+    data = lines.join(headers, "file_path").filter((F.col("line_at") > F.col("__header_at")) & (F.trim("value") != ""))
+    cells = split_cells(F.col("value"))
+    data = data.select(
+        "file_path",
+        *_PATH_FIELDS,
+        F.lit(True).alias("header_found"),
+        F.col("line_at.line").alias("line_no"),
+        F.col("value").alias("line"),
+        F.when(F.size(cells) == F.size("__header"), F.map_from_arrays("__header", cells)).alias("cells"),
+    )
+    # A file without a header gives one row, so that it is quarantined.
+    lost = lines.select("file_path").distinct().join(first, "file_path", "left_anti").withColumns(_path_fields())
+    lost = lost.withColumns(
+        {"header_found": F.lit(False), "line_no": F.lit(0).cast("long"), "line": F.lit(None).cast("string"), "cells": F.lit(None).cast("map<string,string>")}
+    )
+    return data.unionByName(lost)
 
 
 def split_cells(line: Column) -> Column:
@@ -76,7 +139,7 @@ def split_text(texts: DataFrame, text_col: str = "value") -> DataFrame:
 
     Adds ``header_found`` (FALSE when no line starts with ``time,``: such a
     text yields one row with NULL ``cells`` so that it is quarantined, not
-    silently dropped), ``line_no`` and ``cells``. Blank lines and a trailing
+    silently dropped), ``line_no``, ``line`` and ``cells``. Blank lines and a trailing
     newline are skipped; CRLF line ends are accepted.
     """
     lines = F.split(F.col(text_col), r"\r?\n")
@@ -100,7 +163,7 @@ def split_text(texts: DataFrame, text_col: str = "value") -> DataFrame:
         F.col("__line").isNotNull() & (F.size(cells) == F.size("__header")),
         F.map_from_arrays("__header", cells),
     )
-    return t.withColumn("cells", cell_map).drop("__lines", "__hdr", "__header", "__body", "__line")
+    return t.withColumns({"cells": cell_map, "line": F.col("__line")}).drop("__lines", "__hdr", "__header", "__body", "__line")
 
 
 def typed_measures(cells: Column | str = "cells") -> dict[str, Column]:
@@ -122,7 +185,30 @@ def context_from_texts(texts: DataFrame, tz: str, zones: DataFrame | None = None
     keep NULLs, list the columns in ``bad_cells`` and have ``row_ok =
     FALSE``; empty cells are missing values (NULL) in an otherwise ok row.
     """
-    rows = split_text(texts)
+    return _typed_rows(split_text(texts), tz, zones)
+
+
+def context_from_lines(lines: DataFrame, tz: str, zones: DataFrame | None = None) -> DataFrame:
+    """``context_from_texts`` for the lines of ``read_lines``."""
+    return _typed_rows(split_lines(lines), tz, zones)
+
+
+def accept_context(spark: SparkSession, rows: DataFrame, rejects_path: str) -> tuple[DataFrame, dict]:
+    """Parsed context rows -> (the readable ones, figures), read once.
+
+    The unreadable ones are kept at ``rejects_path`` with their line, file and the
+    cells that could not be read: rows read = used + quarantined.
+    """
+    work, seen = new_work_path(spark, "context-intake"), Observation(f"context_{uuid.uuid4().hex}")
+    figures = [F.count(F.lit(1)).alias("n_context_read"), F.count_if("row_ok").alias("n_context_used")]
+    write_partitioned(rows, work, ["row_ok"], rebalance=False, observe=(seen, figures))
+    n = dict(seen.get)
+    kept = spark.read.schema(rows.schema).parquet(work)
+    kept.filter(~F.col("row_ok")).write.mode("overwrite").parquet(rejects_path)
+    return kept.filter("row_ok"), n | {"n_context_quarantined": n["n_context_read"] - n["n_context_used"]}
+
+
+def _typed_rows(rows: DataFrame, tz: str, zones: DataFrame | None) -> DataFrame:
     rows = rows.withColumns(typed_measures("cells"))
     rows = rows.withColumn("ctx_ts", parse_local_text("ctx_time_text", tz))
     if zones is not None:
@@ -156,6 +242,8 @@ def context_from_texts(texts: DataFrame, tz: str, zones: DataFrame | None = None
         "end",
         "ingested_at",
         "line_no",
+        "line",
+        *(["file_path"] if "file_path" in rows.columns else []),
         "bad_cells",
         ok.alias("row_ok"),
     )

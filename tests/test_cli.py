@@ -96,7 +96,7 @@ def test_cli_with_csv_archive_context(spark, tmp_dir):
         "rain (mm),snowfall (cm),weather_code (wmo code),wind_speed_10m (km/h),wind_gusts_10m (km/h),"
         "is_day (),visibility (m)"
     )
-    text = "\n".join(["lat,lon", "45.7,4.8", "", header, "2024-01-15T14:00,6.5,80,3.1,0.0,0.0,0.0,3,10.2,20.1,1,24000.0"]) + "\n"
+    text = "\n".join(["lat,lon", "45.7,4.8", "", header, "2024-01-15T14:00,6.5,80,3.1,0.0,0.0,0.0,3,10.2,20.1,1,24000.0", "2024-01-15T14:15,warm,80"]) + "\n"
     texts = spark.createDataFrame([("Centre 1er", dt.date(2024, 1, 15), dt.date(2024, 1, 21), text)], "zone string, start date, end date, value string")
     write_context_archive(texts, f"{tmp_dir}/archive", "20240122T000000000000Z")
     spark.createDataFrame([("Centre 1er", 45.7, 4.8)], "zone string, lat double, lon double").write.parquet(f"{tmp_dir}/zones")
@@ -116,3 +116,35 @@ def test_cli_with_csv_archive_context(spark, tmp_dir):
     assert cli.main(["--config", f"{base}/job.json"], spark=spark) == 0
     row = spark.read.parquet(f"{tmp_dir}/out/rows").first()
     assert row.temperature_2m_c == 6.5 and row.zone == "Centre 1er"
+    # rows read = used + quarantined, and the unreadable line is kept
+    rejects = spark.read.parquet(f"{tmp_dir}/out/context_rejects").collect()
+    assert [(r.line, r.zone) for r in rejects] == [("2024-01-15T14:15,warm,80", "Centre 1er")] and rejects[0].run_id
+
+
+def test_cli_with_raw_lines_and_snapshots(spark, tmp_dir, capsys):
+    from obsflow.plans.batch_job import published_table
+
+    base = tmp_dir.removeprefix("file:")
+    lines = [
+        '{"horodate": "2024-01-15 14:05:00+01:00", "number": 1, "status": "OPEN", "main_stands": {"capacity": 20, "availabilities": {"bikes": 5, "stands": 15}}, "note": "x"}',
+        "not an item",
+    ]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(f"{tmp_dir}/feed")
+    spark.createDataFrame([(1, "A", "Centre", 45.0, 4.0, 3)], "idstation bigint, nom string, commune string, lat double, lon double, nbbornettes int").write.parquet(f"{tmp_dir}/sites")
+    spark.createDataFrame([("Centre", None, 1.5)], "zone string, ctx_ts timestamp_ntz, temperature_2m_c double").write.parquet(f"{tmp_dir}/ctx")
+    cfg = {
+        "observations": {"kind": "raw_lines", "path": f"{tmp_dir}/feed"},
+        "sites": {"format": "parquet", "path": f"{tmp_dir}/sites"},
+        "context": {"kind": "canonical", "format": "parquet", "path": f"{tmp_dir}/ctx"},
+        "out": f"{tmp_dir}/out",
+        "measures": ["temperature_2m_c"],
+        "extra_columns": ["raw"],
+        "gate_rules": [],
+        "snapshots": True,
+        "cluster_by": ["site_id", "obs_ts"],
+    }
+    with open(f"{base}/job.json", "w", encoding="utf-8") as f:
+        json.dump(cfg, f)
+    assert cli.main(["--config", f"{base}/job.json"], spark=spark) == 0
+    assert [r.raw for r in published_table(spark, f"{tmp_dir}/out", "rows").collect()] == lines[:1]  # undeclared fields included
+    assert [(r.raw, r.disposition) for r in spark.read.parquet(f"{tmp_dir}/out/rejects").collect()] == [(lines[1], "key_null")]

@@ -254,3 +254,79 @@ def test_snk6_src6_zone_names_with_escaped_characters_roundtrip(spark, tmp_dir):
     table = spark.createDataFrame([(z, 45.0, 4.0) for z in zones], "zone string, lat double, lon double")
     got = sorted(r.zone for r in context_from_texts(read_texts(spark, tmp_dir), "Europe/Paris", table).collect())
     assert got == sorted(zones)
+
+
+def _csv_files(spark, folder, files):
+    import os
+
+    for zone, text in files.items():
+        at = f"{folder.removeprefix('file:')}/commune={zone}/start=2024-01-15/end=2024-01-21"
+        os.makedirs(at)
+        with open(f"{at}/ingested_at=20240122T000000000000Z.csv", "w", encoding="utf-8", newline="") as f:
+            f.write(text)
+
+
+def test_src5_files_larger_than_a_split(spark, tmp_dir):
+    """The lines of one file, read by many tasks, give the rows of the whole text."""
+    from obsflow.schemas import CONTEXT_CSV_COLUMNS
+    from obsflow.sources.context_csv import context_from_lines, context_from_texts, read_lines, read_texts
+
+    header = ",".join(h for h, _, _ in CONTEXT_CSV_COLUMNS)
+    turned = ",".join(["time", *[h for h, _, _ in reversed(CONTEXT_CSV_COLUMNS[1:])]])
+    rows = [f"2024-01-{15 + k // 96:02d}T{k // 4 % 24:02d}:{k % 4 * 15:02d},{k / 4},80,3.1,0.0,0.0,0.0,3,10.2,20.1,1,24000.0" for k in range(600)]
+    back = [",".join([r.split(",")[0], *reversed(r.split(",")[1:])]) for r in rows]
+    preamble = "\n".join(f"note {k}, " + "x" * 80 for k in range(30))  # longer than a split
+    _csv_files(
+        spark,
+        f"{tmp_dir}/a",
+        {
+            "Long": "\n".join([preamble, header, *rows, ""]),
+            "Turned": "\r\n".join(["lat,lon", "", turned, *back]),
+            "Quoted": "\n".join([header, '"2024-01-15T14:00",6.5,80,3.1,0.0,0.0,0.0,3,10.2,20.1,1,"24000.0"', "  ", "time,again", rows[0] + ",extra"]),
+            "Headless": "\n".join(rows[:40]),
+            "Bare": header,
+        },
+    )
+    whole = context_from_texts(read_texts(spark, f"{tmp_dir}/a"), "Europe/Paris")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    try:
+        lines = read_lines(spark, f"{tmp_dir}/a")
+        assert lines.rdd.getNumPartitions() > 20
+        split = context_from_lines(lines, "Europe/Paris")
+        columns = [c for c in whole.columns if c not in ("line_no", "location", "file_path")]
+        got = sorted(map(repr, split.select(*columns).collect()))
+        assert "wholetext" not in split._jdf.queryExecution().executedPlan().toString().lower()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == sorted(map(repr, whole.select(*columns).collect()))
+    n = {(r.zone, r.row_ok): r["count"] for r in split.groupBy("zone", "row_ok").count().collect()}
+    assert n == {("Long", True): 600, ("Turned", True): 600, ("Quoted", True): 1, ("Quoted", False): 2, ("Headless", False): 1}
+
+
+def test_src5_unreadable_rows_are_counted_and_kept(spark, tmp_dir):
+    from obsflow.schemas import CONTEXT_CSV_COLUMNS
+    from obsflow.sources.context_csv import accept_context, context_from_lines, read_lines
+
+    header = ",".join(h for h, _, _ in CONTEXT_CSV_COLUMNS)
+    good, bad = "2024-01-15T14:00,6.5,80,3.1,0.0,0.0,0.0,3,10.2,20.1,1,24000.0", "2024-01-15T14:15,n/a,80,3.1,0.0,0.0,0.0,3,10.2,20.1,1,24000.0"
+    _csv_files(spark, f"{tmp_dir}/a", {"A": "\n".join([header, good, bad, "short,line"]), "B": "no header"})
+    used, n = accept_context(spark, context_from_lines(read_lines(spark, f"{tmp_dir}/a"), "Europe/Paris"), f"{tmp_dir}/rejects")
+    assert n == {"n_context_read": 4, "n_context_used": 1, "n_context_quarantined": 3} and used.count() == 1
+    kept = {r.line: (r.zone, r.bad_cells) for r in spark.read.parquet(f"{tmp_dir}/rejects").collect()}
+    assert kept == {bad: ("A", ["temperature_2m_c"]), "short,line": ("A", []), None: ("B", [])}
+
+
+def test_prj6_variant_is_stored_and_only_its_paths_are_read(spark, tmp_dir):
+    from obsflow.operators.reshape import flatten_items, items_from_lines
+
+    lines = ['{"number": 5, "horodate": "2024-01-15 14:00:00Z", "note": {"event": 7, "tags": ["a", {"b": null}]}}', "no json", '{"note": {"event": "text"}}']
+    items = flatten_items(items_from_lines(spark.createDataFrame([(x,) for x in lines], "value string")), raw_as_variant=True)
+    items.write.parquet(f"{tmp_dir}/v")
+    stored = spark.read.parquet(f"{tmp_dir}/v")
+    event = stored.select("site_id", F.try_variant_get("raw", "$.note.event", "bigint").alias("event"), F.try_variant_get("raw", "$.note.tags[0]", "string").alias("tag"))
+    plan = event._jdf.queryExecution().executedPlan().toString()
+    assert "raw:variant" not in plan.replace(" ", "")  # the paths are read, not the whole value
+    assert sorted(map(tuple, event.collect()), key=repr) == [(5, 7, "a"), (None, None, None), (None, None, None)]
