@@ -47,8 +47,9 @@ GROUP_BYTES = 8 << 20
 # Positions worked through at once; grams weighed at once (whole subtrees).
 WINDOW = 1 << 19
 WEIGHED = 1 << 18
-# Distinct words of a group that a task holds before it writes them out.
-WORDS_HELD = 200_000
+# Distinct words that a task holds, over all its groups, before it writes those of
+# the largest groups out. A group written twice only has some words twice.
+WORDS_HELD = 600_000
 
 LN2 = math.log(2)
 
@@ -213,10 +214,12 @@ def _gathered(rows: DataFrame, depth: int) -> DataFrame:
                 names=["g", "gram", "word", "n"],
             )
 
-        def flush_words():
-            for g, seen in words.items():
+        def flush_words(most):
+            for g in sorted(words, key=lambda g: -len(words[g])):
+                if sum(map(len, words.values())) <= most:
+                    break
+                seen = words.pop(g)
                 yield out(g, None, list(seen), list(seen.values()))
-            words.clear()
 
         for batch in batches:
             for g, learn, text in zip(*(batch.column(c).to_pylist() for c in ("g", "learn")), batch.column("text"), strict=True):
@@ -230,13 +233,13 @@ def _gathered(rows: DataFrame, depth: int) -> DataFrame:
                 found.append(b"")
                 words.setdefault(g, Counter()).update(found if learn else dict.fromkeys(found, 0))
             if sum(map(len, words.values())) >= WORDS_HELD:
-                yield from flush_words()
+                yield from flush_words(WORDS_HELD // 2)
         for key in list(pieces):
             reduce_pieces(key)
         for g in list(grams):
             gram, n = merged(grams.pop(g))
             yield out(g, gram, None, n)
-        yield from flush_words()
+        yield from flush_words(0)
 
     return rows.select("g", "learn", "text").repartition("g").mapInArrow(gather, "g int, gram long, word binary, n long")
 
