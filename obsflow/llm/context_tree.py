@@ -43,7 +43,7 @@ DEPTH = 4
 # Contexts of so many bytes are the roots of the subtrees that tasks weigh.
 CUT = 2
 END = 255
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 12 << 20
 # Positions worked through at once; grams weighed at once (whole subtrees).
 WINDOW = 1 << 19
 WEIGHED = 1 << 18
@@ -336,7 +336,7 @@ def _scored(docs: pa.Table, table: pa.Table, depth: int, base_of) -> pa.Table:
         count.update(words if learn else dict.fromkeys(words, 0))
     for word, n in zip(known.column("word").to_pylist(), known.column("value").to_pylist(), strict=True):
         count[word] = n  # words of several groups: their count in all of them
-    base = {w: base_of(c) for w, c in count.items()}
+    base = {c: base_of(c) for c in set(count.values())}
     score = np.zeros(docs.num_rows)
     n_tokens, n_known, base_score = [], [], []
     pieces: list[bytes] = []
@@ -358,9 +358,10 @@ def _scored(docs: pa.Table, table: pa.Table, depth: int, base_of) -> pa.Table:
                 pieces, owner, waiting = [], [], 0
         words = text.lower().split()
         words.append(b"")
-        n_tokens.append(len(words))
-        n_known.append(sum(map(bool, map(count.__getitem__, words))))
-        base_score.append(math.fsum(map(base.__getitem__, words)))
+        counts = list(map(count.__getitem__, words))
+        n_tokens.append(len(counts))
+        n_known.append(sum(map(bool, counts)))
+        base_score.append(math.fsum(map(base.__getitem__, counts)))
     if pieces:
         add()
     return pa.table(
