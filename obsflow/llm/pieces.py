@@ -38,9 +38,9 @@ from .common import values
 MARK = "▁"
 # Words with no mark inside: no piece crosses their ends.
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000  # in each of two halves of the cache
 CACHED_PAIRS = 1_000_000
-SLICE = 500  # rows worked on at once
+SLICE = 2_000  # rows worked on at once: the more words are sorted together, the more prefixes they share
 # Penalty and kinds as the file format defines them (fixed values).
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 UNIGRAM, BPE = 1, 2
@@ -73,9 +73,14 @@ class PieceModel:
         self._lengths = self._by_tail()
         byte_of = {k: bytes([b]) for b, k in self.byte_ids.items()}
         shown = {1: lambda k: self.text[k].encode(), UNKNOWN: lambda k: " ⁇ ".encode(), BYTE: byte_of.__getitem__}
-        self.bytes_of = [shown[p.type](k) if p.type in shown else b"" for k, p in enumerate(model.pieces)]
+        shown_bytes = [shown[p.type](k).replace(MARK.encode(), b" ") if p.type in shown else b"" for k, p in enumerate(model.pieces)]
+        # What each piece decodes to: one run of bytes, and its place and size.
+        self._bytes = np.frombuffer(b"".join(shown_bytes), np.uint8)
+        self._sizes = np.array([len(x) for x in shown_bytes], np.int64)
+        self._starts = np.cumsum(self._sizes) - self._sizes
         self._pairs: dict[tuple[int, int], bool] = {}
         self._words: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     # BPE admissibility
 
@@ -101,34 +106,59 @@ class PieceModel:
     # The forward pass; a state is (last piece, where it starts, score)
 
     def _by_tail(self) -> dict[str, tuple[int, ...]]:
-        """Lengths, longest first, of the pieces that end in three given
-        characters or, for shorter ones, in the last of them."""
+        """Lengths, longest first, of the pieces that end in four given characters
+        or, for shorter ones, in the last of them; and the same by three
+        characters, for ends that no longer piece has."""
         found: dict[str, set[int]] = {}
         for piece in self.ids:
-            if len(piece) >= 3:
-                found.setdefault(piece[-3:], set()).add(len(piece))
+            for n in (3, 4):
+                if len(piece) >= n:
+                    found.setdefault(piece[-n:], set()).update([len(piece)] if n == 4 or len(piece) == 3 else [])
         for tail, lengths in found.items():
-            lengths.update(n for n in (1, 2) if tail[3 - n :] in self.ids)
+            lengths.update(n for n in (1, 2, 3) if n <= len(tail) and tail[len(tail) - n :] in self.ids)
         return {tail: tuple(sorted(lengths, reverse=True)) for tail, lengths in found.items()}
 
-    def _next_bpe(self, word: str, states: list[tuple[int, int, float]], end: int) -> tuple[int, int, float]:
-        ids, pairs = self.ids, self._pairs
-        for length in self._lengths.get(word[end - 3 : end], (2, 1)) if end >= 3 else (2, 1):
-            start = end - length
-            if start >= 0 and (piece := ids.get(word[start:end])) is not None:
-                if not start:
-                    return piece, 0, 0.0
-                left = states[start][0]
-                good = pairs.get((left, piece))
-                if good is None:
-                    good = self._neighbours(left, piece)
-                if good:
-                    return piece, start, 0.0
-        raise AssertionError("each prefix of known characters has a segmentation")
+    def _ends(self, word: str, end: int) -> tuple[int, ...]:
+        """Lengths that a piece that ends at a place of the word may have."""
+        get = self._lengths.get
+        return (get(word[end - 4 : end]) if end >= 4 else None) or (get(word[end - 3 : end]) if end >= 3 else None) or (2, 1)
+
+    def _segment_bpe(self, words: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
+        ids, lengths, pairs, neighbours = self.ids.get, self._lengths.get, self._pairs, self._neighbours
+        short = (2, 1)
+        last, begin, before = [-1], [0], ""  # the state of each place: its last piece and where that starts
+        for word in words:
+            shared, most = 0, min(len(before), len(word))
+            while shared < most and before[shared] == word[shared]:
+                shared += 1
+            del last[shared + 1 :], begin[shared + 1 :]
+            padded = "    " + word  # no piece holds a space: ends near a word's start have no longer key
+            for end in range(shared + 1, len(word) + 1):
+                for length in lengths(padded[end : end + 4]) or lengths(padded[end + 1 : end + 4]) or short:
+                    start = end - length
+                    if start < 0 or (piece := ids(word[start:end])) is None:
+                        continue
+                    if start:
+                        pair = last[start], piece
+                        good = pairs.get(pair)
+                        if good is None:
+                            good = neighbours(*pair)
+                        if not good:
+                            continue
+                    last.append(piece)
+                    begin.append(start)
+                    break
+                else:
+                    raise AssertionError("each prefix of known characters has a segmentation")
+            before, out, end = word, [], len(word)
+            while end:
+                out.append(last[end])
+                end = begin[end]
+            yield word, out[::-1]
 
     def _next_unigram(self, word: str, states: list[tuple[int, int, float]], end: int) -> tuple[int, int, float]:
         best = None
-        for length in self._lengths.get(word[end - 3 : end], (2, 1)) if end >= 3 else (2, 1):
+        for length in self._ends(word, end):
             start = end - length
             piece = self.ids.get(word[start:end]) if start >= 0 else None
             if piece is not None and (best is None or states[start][2] + self.score[piece] > best[2]):
@@ -138,7 +168,9 @@ class PieceModel:
     def segment(self, words: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
         """Ids of sorted distinct words of known characters; the states of the
         prefix shared with the previous word are used again."""
-        step = self._next_unigram if self.unigram else self._next_bpe
+        return self._segment_unigram(words) if self.unigram else self._segment_bpe(words)
+
+    def _segment_unigram(self, words: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
         states, before = [(-1, 0, 0.0)], ""
         for word in words:
             shared, most = 0, min(len(before), len(word))
@@ -146,7 +178,7 @@ class PieceModel:
                 shared += 1
             del states[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                states.append(step(word, states, end))
+                states.append(self._next_unigram(word, states, end))
             before, ids, end = word, [], len(word)
             while end:
                 piece, end, _ = states[end]
@@ -178,19 +210,32 @@ class PieceModel:
         split = [self.marked_words(t) for t in texts]
         used = set().union(*split)
         new = used.difference(self._words)
+        for w in new.intersection(self._older):
+            self._words[w] = self._older[w]
+        new.difference_update(self._words)
         runs = {w: self._known_runs(w) for w in new}
         found = dict(self.segment(sorted({r for rs in runs.values() for r in rs if len(r) > 1 or r in self.alphabet})))
         for w, rs in runs.items():
             ids = found[w] if len(rs) == 1 and w in found else [i for r in rs for i in (found[r] if r in found else self._outside(r))]
             self._words[w] = array("i", ids).tobytes()
         out = [b"".join(map(self._words.__getitem__, words)) for words in split]
-        if len(self._words) > CACHED_WORDS:  # frequent words are among those of the last texts
-            self._words = {w: self._words[w] for w in used}
+        if len(self._words) > CACHED_WORDS:  # words that are met again come back from the older half
+            self._words, self._older = {}, self._words
         return out
 
+    def decode_batch(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """Texts of many rows of ids at once; ``ends`` holds where each row
+        ends, after a leading 0."""
+        first, size = self._starts[ids], self._sizes[ids]
+        before = np.concatenate(([0], np.cumsum(size)))
+        data = self._bytes[np.repeat(first - before[:-1], size) + np.arange(before[-1])].tobytes()
+        cut = before[ends].tolist()
+        texts = [data[i:j].decode("utf-8", "replace") for i, j in zip(cut[:-1], cut[1:], strict=True)]
+        return [t[1:] if t.startswith(" ") else t for t in texts] if self.prefix else texts
+
     def decode(self, ids: Iterable[int]) -> str:
-        text = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")
-        return text[1:] if self.prefix and text.startswith(" ") else text
+        ids = np.fromiter(ids, np.int64)
+        return self.decode_batch(ids, np.array([0, len(ids)]))[0]
 
 
 @lru_cache(maxsize=2)
@@ -219,7 +264,7 @@ def encode(df: DataFrame, model: str, text_col: str = "text", ids_col: str = "id
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), np.int32)))
                 columns, names = [*batch.columns, ids], [*batch.schema.names, ids_col]
                 if decoded_col:
-                    columns.append(pa.array([pieces.decode(array("i", p)) for p in packed], pa.string()))
+                    columns.append(pa.array(pieces.decode_batch(ids.values.to_numpy(), ends), pa.string()))
                     names.append(decoded_col)
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -235,7 +280,10 @@ def decode(df: DataFrame, model: str, ids_col: str = "ids", text_col: str = "dec
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE):
                 batch = whole.slice(at, SLICE)
-                texts = [None if not x.is_valid else pieces.decode(x.values.to_pylist()) for x in batch.column(ids_col)]
+                rows_of = batch.column(ids_col)
+                ends = np.concatenate(([0], np.cumsum(rows_of.value_lengths().fill_null(0).to_numpy())))
+                found = pieces.decode_batch(rows_of.flatten().to_numpy(), ends)
+                texts = [t if ok else None for t, ok in zip(found, rows_of.is_valid().to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, text_col])
 
     return rows.mapInArrow(run, f"{_fields(rows)}`{text_col}` string")
