@@ -31,6 +31,9 @@ BLOCK_WORDS = 5
 # Scripts without spaces between words: each character counts as a word.
 UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}"
 
+# White space at the ends of a line (what \\s is, without the line break).
+SPACES = " \t\x0b\f\r"
+
 DOC = ["doc_id", "t1", "t2"]  # a document: its id and a 128-bit hash of its text
 
 
@@ -119,22 +122,32 @@ def _blocks(a: Sequence[int], b: Sequence[int], words: Sequence[int], least: int
 
 def common_blocks(a: Sequence[int], b: Sequence[int], words: Sequence[int], least: int = BLOCK_WORDS) -> list[int]:
     """Positions in ``b`` of the aligned blocks, runs of neighbours in both,
-    that have at least ``least`` words (``words``: of each line of ``b``). What
-    is left of ``b`` is aligned again, for lines that it repeats itself or that
-    moved, until nothing more goes; at last without the short lines, so that
-    these do not stand in the way."""
-    left, gone = list(range(len(b))), []
-    for shortest in (0, least):
-        left = [k for k in left if words[k] >= shortest]
-        while found := _blocks(a, [b[k] for k in left], [words[k] for k in left], least):
-            gone += [left[k] for k in found]
-            drop = set(found)
-            left = [x for k, x in enumerate(left) if k not in drop]
-    # Runs that the alignment passed over, as other lines anchored it.
+    that have at least ``least`` words (``words``: of each line of ``b``).
+
+    One alignment keeps the order of the lines. Blocks that moved, or that ``b``
+    repeats, are aligned one by one: each run of ``b`` that is also a run of ``a``
+    and does not lie in a block yet is laid upon its first place in ``a``, and
+    the block grows from there as long as the lines agree. Every line is grown
+    over once, so the time is in proportion to the lines, however often one
+    is repeated.
+    """
+    inside = [False] * len(b)
+    for k in _blocks(a, b, words, least):
+        inside[k] = True
     known = dict(zip(b, words, strict=True))
-    there = {tuple(a[i:j]) for i, j in runs([known.get(x, 0) for x in a], least)}
-    passed = [k for i, j in runs(words, least) if tuple(b[i:j]) in there for k in range(i, j)]
-    return sorted({*gone, *passed})
+    place: dict[tuple[int, ...], int] = {}
+    for i, j in runs([known.get(x, 0) for x in a], least):
+        place.setdefault(tuple(a[i:j]), i)
+    for i, j in runs(words, least):
+        if all(inside[i:j]) or (at := place.get(tuple(b[i:j]))) is None:
+            continue
+        shift = at - i
+        while j < len(b) and j + shift < len(a) and a[j + shift] == b[j]:
+            j += 1
+        while i > 0 and i + shift > 0 and not inside[i - 1] and a[i - 1 + shift] == b[i - 1]:
+            i -= 1
+        inside[i:j] = [True] * (j - i)
+    return [k for k, x in enumerate(inside) if x]
 
 
 def runs(words: Sequence[int], least: int = BLOCK_WORDS) -> list[tuple[int, int]]:
@@ -161,20 +174,20 @@ def _lines(text: Column) -> Column:
 def _profile(df: DataFrame) -> DataFrame:
     """``doc_id, t1, t2, lines, words``: hashes of a document's lines (without
     spaces at the ends) and their numbers of words."""
-    trimmed = F.transform(_lines(F.col("text")), lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))
-    pieces = lambda x: F.size(F.regexp_extract_all(x, F.lit(rf"[{UNSPACED}]|[^\s{UNSPACED}]+"), F.lit(0)))
-    counted = lambda x: F.when(x == "", 0).when(F.char_length(x) == F.octet_length(x), F.size(F.split(x, r"\s+"))).otherwise(pieces(x))
+    trimmed = F.transform(_lines(F.col("text")), lambda x: F.btrim(x, F.lit(SPACES)))
+    spaced, unspaced = F.lit(r"\S+"), F.lit(rf"[{UNSPACED}]|[^\s{UNSPACED}]+")
+    counted = lambda x: F.regexp_count(x, F.when(F.char_length(x) == F.octet_length(x), spaced).otherwise(unspaced))
     return (
         df.withColumn("trimmed", trimmed)
         .select(*DOC, F.transform("trimmed", lambda x: F.xxhash64(x)).alias("lines"), F.transform("trimmed", counted).alias("words"))
     )
 
 
-def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _keyed(df: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """``doc_id, t1, t2``: a document's key; with the text, or ``more`` instead."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return df.select(
-        F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("second"), text).alias("t2")
-    )
+    key = [F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("second"), text).alias("t2")]
+    return df.select(*key, *(more or [text.alias("text")]))
 
 
 def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -248,16 +261,16 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", g
     stay as they are.
     """
     gone = duplicate_lines(df, id_col, text_col).select(
-        F.col("doc_id").alias("_id"), F.col("t1").alias("_t1"), F.col("t2").alias("_t2"), F.col("gone").alias("_gone")
+        F.col("doc_id").alias("id"), F.col("t1").alias("h1"), F.col("t2").alias("h2"), F.col("gone").alias("positions")
     )
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = df.withColumns({"_k1": F.xxhash64(text), "_k2": F.xxhash64(F.lit("second"), text)})
-    on = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_k1") == F.col("_t1")) & (F.col("_k2") == F.col("_t2"))
-    joined = keyed.join(gone, on, "left")
-    clean = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(_without(F.col(text_col), F.col("_gone")))
+    # The caller's columns travel in one, so that no name of theirs is met.
+    keyed = _keyed(df, id_col, text_col, F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    joined = keyed.join(gone, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("t1") == F.col("h1")) & (F.col("t2") == F.col("h2")), "left")
+    given = F.col("row").getField(text_col)
+    clean = F.when(F.col("positions").isNull(), given).otherwise(_without(given, F.col("positions")))
     return joined.select(
-        *[clean.alias(c) if c == text_col else F.col(c) for c in df.columns if c != gone_col],
-        F.coalesce("_gone", F.array().cast("array<int>")).alias(gone_col),
+        *[(clean if c == text_col else F.col("row").getField(c)).alias(c) for c in df.columns if c != gone_col],
+        F.coalesce("positions", F.array().cast("array<int>")).alias(gone_col),
     )
 
 
