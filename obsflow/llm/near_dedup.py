@@ -34,16 +34,22 @@ THRESHOLD = 75  # per cent of the union
 VALUES = 128  # MinHash values of a signature
 ORDERS = 32  # sorted orders of all sets
 STEP = VALUES // ORDERS  # first values of an order that are not the first of another
-MORE_ORDERS = 128  # further orders of the sets in dense regions
+# Further orders of the sets in dense regions: so many at a time, components being
+# merged in between, until a round links nothing, at most so many rounds.
+ROUND, ROUNDS = 8, 16
 # Key of an order: a whole value, then one byte of each of the next ones.
 DEPTH = 25
 NEIGHBOURS = 2  # predecessors compared in each order
 # First round: partners with which a set shares prefixes of so many values, over
 # all orders in which they are neighbours; the best so many per set.
 SURE, BEST = 12, 3
+# Pairs between two components that a further round looks at.
+BETWEEN = 4
 # Second round: candidates whose signatures agree in at least this share are
 # confirmed. Five standard deviations (0.038) below the threshold.
 LEAST_AGREEMENT = 0.56
+# The same before the last, exact comparison: eight standard deviations (6e-16).
+SURELY_UNLIKE = 0.44
 # A component of this many sets is a dense region.
 DENSE = 8
 # In an order, a set is crowded if more sets share its first value than are all
@@ -67,7 +73,10 @@ _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 # Places of the signature that make up each order: those of the first set of
 # orders begin with values of their own, the rest is drawn at random.
 _ORDERS = [np.r_[k * STEP : (k + 1) * STEP, _rng.permutation(np.delete(np.arange(VALUES), np.s_[k * STEP : (k + 1) * STEP]))][:DEPTH] for k in range(ORDERS)]
-_MORE = [_rng.permutation(VALUES)[:DEPTH] for _ in range(MORE_ORDERS)]
+_MORE = [
+    [np.r_[first, _rng.permutation(np.delete(np.arange(VALUES), first))][:DEPTH] for first in _rng.choice(np.arange(0, VALUES, STEP), ROUND, replace=False)]
+    for _ in range(ROUNDS)
+]
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -124,20 +133,23 @@ def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(_mix(total))
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """MinHash values (unsigned 32-bit) of a non-empty set."""
+def signature(shingles: np.ndarray) -> bytes:
+    """MinHash values of a non-empty set: the low byte of each, then the whole
+    (unsigned 32-bit, big-endian) of those that an order can begin with."""
     least = np.full(VALUES, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(shingles), 512):
         part = shingles[at : at + 512]
         np.minimum(least, (part[:, None] * _FACTORS + _TERMS).min(0), out=least)
-    return (least >> np.uint64(32)).astype(np.uint32)
+    whole = (least >> np.uint64(32)).astype(np.uint32)
+    return whole.astype(np.uint8).tobytes() + whole[::STEP].astype(">u4").tobytes()
 
 
-def order_keys(sig: np.ndarray, orders: list[np.ndarray]) -> list[bytes]:
+def order_keys(sig: bytes, orders: list[np.ndarray]) -> list[bytes]:
     """Sort key of the signature in each order: the order's number, a whole
     value, and the low bytes of the next ones."""
-    whole, low = sig.astype(">u4"), sig.astype(np.uint8)
-    return [bytes([k]) + whole[at[:1]].tobytes() + low[at[1:]].tobytes() for k, at in enumerate(orders)]
+    low = np.frombuffer(sig, np.uint8, VALUES)
+    first = [VALUES + 4 * (int(at[0]) // STEP) for at in orders]
+    return [bytes([k]) + sig[f : f + 4] + low[at[1:]].tobytes() for k, (f, at) in enumerate(zip(first, orders, strict=True))]
 
 
 def common_depth(a: bytes, b: bytes) -> int:
@@ -162,7 +174,7 @@ def signatures(df: DataFrame) -> DataFrame:
                     h = xxhash.xxh3_128_digest(s.tobytes())
                     h1.append(int.from_bytes(h[:8], "big", signed=True))
                     h2.append(int.from_bytes(h[8:], "big", signed=True))
-                    sig.append(signature(s).tobytes())
+                    sig.append(signature(s))
                 else:
                     h1.append(None), h2.append(None), sig.append(None)
             yield pa.RecordBatch.from_arrays(
@@ -188,7 +200,7 @@ def neighbours(sets: DataFrame, orders: list[np.ndarray]) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 200):
                 batch = whole.slice(at, 200)
-                made = [k for s in values(batch, "sig") for k in order_keys(np.frombuffer(s, np.uint32), orders)]
+                made = [k for s in values(batch, "sig") for k in order_keys(s, orders)]
                 again = pa.array(np.repeat(np.arange(batch.num_rows), len(orders)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(made, pa.binary()), batch.column("id").take(again), batch.column("part").take(again)], names=["key", "id", "part"]
@@ -245,22 +257,17 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
-def agreeing(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
+def agreeing(pairs: DataFrame, sigs: DataFrame, least: float = LEAST_AGREEMENT) -> DataFrame:
     """The ``pairs`` whose signatures (one byte of each value) agree enough."""
 
-    def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            low = [np.frombuffer(s, np.uint32).astype(np.uint8).tobytes() for s in values(batch, "sig")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(low, pa.binary())], names=["doc_id", "low"])
-
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = (np.frombuffer(b"".join(values(batch, c)), np.uint8).reshape(-1, VALUES) for c in ("low_a", "low_b"))
             share = (x == y).mean(1)
-            kept = pa.array((share - 1 / 256) / (1 - 1 / 256) >= LEAST_AGREEMENT)
+            kept = pa.array((share - 1 / 256) / (1 - 1 / 256) >= least)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(kept), batch.column("b").filter(kept)], names=["a", "b"])
 
-    low = sigs.select("doc_id", "sig").mapInArrow(short, "doc_id long, low binary")
+    low = sigs.select("doc_id", F.substring("sig", 1, VALUES).alias("low"))
     joined = pairs.select("a", "b").join(low.select(F.col("doc_id").alias("a"), F.col("low").alias("low_a")), "a")
     joined = joined.join(low.select(F.col("doc_id").alias("b"), F.col("low").alias("low_b")), "b")
     return joined.select("a", "b", "low_a", "low_b").mapInArrow(compare, "a long, b long")
@@ -287,7 +294,9 @@ def _dense_regions(rest: DataFrame, found: DataFrame, sigs: DataFrame) -> DataFr
     ends = rest.select(F.col("a").alias("node"), "c_a", "c_b").union(rest.select("b", "c_b", "c_a"))
     beside = ends.join(sizes, F.col("c_b") == F.col("component")).select("node", F.coalesce("c_a", "node").alias("component"))
     chosen = written(inside.union(beside).groupBy("node").agg(F.min("component").alias("part")), "near-chosen")
-    return chosen.join(sigs, chosen["node"] == sigs["doc_id"]).select(F.col("node").alias("id"), "part", "sig")
+    dense = written(chosen.join(sigs, chosen["node"] == sigs["doc_id"]).select(F.col("node").alias("id"), "part", "sig"), "near-dense")
+    forget(sizes, chosen)
+    return dense
 
 
 def _shingle_rows(texts: DataFrame) -> DataFrame:
@@ -352,6 +361,48 @@ def exact_candidates(texts: DataFrame, parts: DataFrame) -> DataFrame:
     return found
 
 
+def _best(pairs: DataFrame) -> DataFrame:
+    """Of ``pairs`` (``a, b, depth``) those that are among the deepest BEST of one
+    of their ends."""
+    ends = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), "depth").union(pairs.select("b", "a", "depth"))
+    rank = Window.partitionBy("x").orderBy(F.desc("depth"), "y")
+    best = ends.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= BEST)
+    return best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links; those before stand in for their members."""
+    return written(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links)), "near-found")
+
+
+def _dense_rounds(found: DataFrame, rest: DataFrame, sigs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Components after further orders of the dense regions.
+
+    Each round sorts the sets of these regions in ROUND new orders. Pairs inside a
+    component never meet; between two components the deepest few are looked at,
+    and of these the deepest few of a set. What a round passes over, the next
+    rounds and the exact comparison at the end see again.
+    """
+    for orders in _MORE:
+        dense = _dense_regions(rest, found, sigs)
+        part = lambda side: dense.select(F.col("id").alias(side), F.col("part").alias(f"p_{side}"))  # noqa: E731, B023
+        pairs = neighbours(dense, orders).where("b is not null").join(part("a"), "a").join(part("b"), "b")
+        rank = Window.partitionBy(F.least("p_a", "p_b"), F.greatest("p_a", "p_b")).orderBy(F.desc("depth"), "a", "b")
+        few = written(pairs.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= BETWEEN).select("a", "b", "depth"), "near-pairs")
+        near = written(agreeing(_best(few), sigs), "near-second")
+        links = written(confirmed(near, texts), "near-links")
+        forget(dense, few, near)
+        if links.isEmpty():
+            forget(links)
+            break
+        before, old = found, rest
+        found = _merged(before, links)
+        rest = written(_across(old, found), "near-rest")
+        forget(links, before, old)
+    forget(rest)
+    return found
+
+
 def class_links(sigs: DataFrame, texts: DataFrame) -> DataFrame:
     """Components of the classes: ``node, component``."""
     met = written(neighbours(sigs.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("part"), "sig"), _ORDERS), "near-pairs")
@@ -360,34 +411,29 @@ def class_links(sigs: DataFrame, texts: DataFrame) -> DataFrame:
     ids = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(crowd).distinct(), "near-ids")
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     some = written(texts.join(wanted, "doc_id").dropDuplicates(["doc_id"]), "near-texts")
-    rank = Window.partitionBy("x").orderBy(F.desc("depth"), "y")
-    sure = pairs.where(F.col("depth") >= SURE)
-    ends = sure.select(F.col("a").alias("x"), F.col("b").alias("y"), "depth").union(sure.select("b", "a", "depth"))
-    best = ends.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= BEST)
-    first = best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    first = written(first, "near-first")
+    first = written(_best(pairs.where(F.col("depth") >= SURE)), "near-first")
     links = written(confirmed(first, some), "near-links")
     found = written(components(links), "near-found")
     rest = written(_across(pairs, found), "near-rest")
-    dense = neighbours(_dense_regions(rest, found, sigs), _MORE).where("b is not null")
-    more_pairs = written(rest.select("a", "b").union(dense.select("a", "b")).distinct(), "near-pairs")
-    second = written(agreeing(more_pairs, sigs), "near-second")
+    second = written(agreeing(rest, sigs), "near-second")
     more = written(confirmed(second, some), "near-links")
-    # Components of the first round stand in for their members.
-    merged = found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
-    out = components(merged)
+    before = found
+    found = _merged(before, more)
+    forget(first, links, before, more)
+    old, rest = rest, written(_across(rest, found), "near-rest")
+    forget(old)
+    found = _dense_rounds(found, rest, sigs, some)
     crowded = written(some.join(crowd, "doc_id"), "near-crowd")
     if not crowded.isEmpty():
-        out = written(out, "near-found")
-        parts = crowded.join(out, crowded["doc_id"] == out["node"], "left").select(F.col("doc_id").alias("id"), F.coalesce("component", "doc_id").alias("part"))
+        parts = crowded.join(found, crowded["doc_id"] == found["node"], "left").select(F.col("doc_id").alias("id"), F.coalesce("component", "doc_id").alias("part"))
         exact = exact_candidates(crowded, parts)
-        third = written(agreeing(exact, sigs).join(second, ["a", "b"], "left_anti"), "near-third")
+        third = written(agreeing(exact, sigs, SURELY_UNLIKE).join(second, ["a", "b"], "left_anti"), "near-third")
         last = written(confirmed(third, some), "near-links")
-        before = out
-        out = components(before.select(F.col("node").alias("a"), F.col("component").alias("b")).union(last))
+        before = found
+        found = _merged(before, last)
         forget(before, exact, third, last)
-    forget(met, ids, some, first, links, found, rest, more_pairs, second, more, crowded)
-    return out
+    forget(met, ids, some, second, crowded)
+    return found
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
