@@ -34,16 +34,14 @@ THRESHOLD = 75  # per cent of the union
 VALUES = 128  # MinHash values of a signature
 ORDERS = 32  # sorted orders of all sets
 STEP = VALUES // ORDERS  # first values of an order that are not the first of another
-# Further orders of the sets in dense regions: so many at a time, components being
-# merged in between, until a round links nothing, at most so many rounds.
-ROUND, ROUNDS = 8, 16
+MORE_ORDERS = 16  # further orders of the sets in dense regions
 # Key of an order: a whole value, then one byte of each of the next ones.
 DEPTH = 25
 NEIGHBOURS = 2  # predecessors compared in each order
 # First round: partners with which a set shares prefixes of so many values, over
 # all orders in which they are neighbours; the best so many per set.
 SURE, BEST = 12, 3
-# Pairs between two components that a further round looks at.
+# Pairs between two components that are looked at after the further orders.
 BETWEEN = 4
 # Second round: candidates whose signatures agree in at least this share are
 # confirmed. Five standard deviations (0.038) below the threshold.
@@ -57,6 +55,10 @@ DENSE = 8
 # than CROWDED of the 32 orders with probability 4e-8, so a link can only be
 # missed between two sets that are crowded in so many orders.
 CROWDED = 10
+# Else one of the two shares its first value with all it is compared with in more
+# than 22 orders, and a similar set is among these in MET of them, but for a
+# probability of 7e-10: pairs of less depth are no links.
+MET = 4
 # Sets with one shingle in their prefixes that are compared in one piece.
 BLOCK_SETS = 2_000
 # Ids of sets to be confirmed are broadcast below this number (8 bytes each).
@@ -74,8 +76,8 @@ _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 # orders begin with values of their own, the rest is drawn at random.
 _ORDERS = [np.r_[k * STEP : (k + 1) * STEP, _rng.permutation(np.delete(np.arange(VALUES), np.s_[k * STEP : (k + 1) * STEP]))][:DEPTH] for k in range(ORDERS)]
 _MORE = [
-    [np.r_[first, _rng.permutation(np.delete(np.arange(VALUES), first))][:DEPTH] for first in _rng.choice(np.arange(0, VALUES, STEP), ROUND, replace=False)]
-    for _ in range(ROUNDS)
+    np.r_[first, _rng.permutation(np.delete(np.arange(VALUES), first))][:DEPTH]
+    for first in _rng.choice(np.arange(0, VALUES, STEP), MORE_ORDERS, replace=False)
 ]
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -371,42 +373,48 @@ def _best(pairs: DataFrame) -> DataFrame:
 
 
 def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
-    """Components after more links; those before stand in for their members."""
-    return written(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links)), "near-found")
-
-
-def _dense_rounds(found: DataFrame, rest: DataFrame, sigs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Components after further orders of the dense regions.
-
-    Each round sorts the sets of these regions in ROUND new orders. Pairs inside a
-    component never meet; between two components the deepest few are looked at,
-    and of these the deepest few of a set. What a round passes over, the next
-    rounds and the exact comparison at the end see again.
+    """Components after more ``links``. Only the graph between the components
+    before is worked on, so a late link costs as little as it joins."""
+    mark = lambda side: found.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
+    ends = links.join(mark("a"), "a", "left").join(mark("b"), "b", "left").select("a", "b", F.coalesce("c_a", "a").alias("p"), F.coalesce("c_b", "b").alias("q"))
+    ends = written(ends, "near-ends")
+    joined = written(components(ends.select(F.col("p").alias("a"), F.col("q").alias("b"))), "near-joined")
+    new = ends.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(found, "node", "left_anti")
+    nodes = found.select("node", "component").union(new.select("node", F.col("node").alias("component")))
+    moved = joined.select(F.col("node").alias("component"), F.col("component").alias("into"))
+    out = written(nodes.join(moved, "component", "left").select("node", F.coalesce("into", "component").alias("component")), "near-found")
+    forget(ends, joined)
+    return out
+
+
+def _between_regions(found: DataFrame, rest: DataFrame, sigs: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` that meet in further orders of the dense regions.
+
+    Pairs inside a component do not meet; between two components the deepest few
+    are kept, and of these the deepest few of a set. The exact comparison at the end
+    sees again what is passed over here.
     """
-    for orders in _MORE:
-        dense = _dense_regions(rest, found, sigs)
-        part = lambda side: dense.select(F.col("id").alias(side), F.col("part").alias(f"p_{side}"))  # noqa: E731, B023
-        pairs = neighbours(dense, orders).where("b is not null").join(part("a"), "a").join(part("b"), "b")
-        rank = Window.partitionBy(F.least("p_a", "p_b"), F.greatest("p_a", "p_b")).orderBy(F.desc("depth"), "a", "b")
-        few = written(pairs.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= BETWEEN).select("a", "b", "depth"), "near-pairs")
-        near = written(agreeing(_best(few), sigs), "near-second")
-        links = written(confirmed(near, texts), "near-links")
-        forget(dense, few, near)
-        if links.isEmpty():
-            forget(links)
-            break
-        before, old = found, rest
-        found = _merged(before, links)
-        rest = written(_across(old, found), "near-rest")
-        forget(links, before, old)
-    forget(rest)
-    return found
+    dense = _dense_regions(rest, found, sigs)
+    part = lambda side: dense.select(F.col("id").alias(side), F.col("part").alias(f"p_{side}"))
+    pairs = neighbours(dense, _MORE).where("b is not null").join(part("a"), "a").join(part("b"), "b")
+    rank = Window.partitionBy(F.least("p_a", "p_b"), F.greatest("p_a", "p_b")).orderBy(F.desc("depth"), "a", "b")
+    few = written(pairs.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= BETWEEN).select("a", "b", "depth"), "near-pairs")
+    out = written(_best(few), "near-between")
+    forget(dense, few)
+    return out
 
 
 def class_links(sigs: DataFrame, texts: DataFrame) -> DataFrame:
     """Components of the classes: ``node, component``."""
     met = written(neighbours(sigs.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("part"), "sig"), _ORDERS), "near-pairs")
-    pairs, crowd = met.where("b is not null"), met.where((F.col("b").isNull()) & (F.col("depth") >= CROWDED)).select(F.col("a").alias("doc_id"))
+    crowd = written(met.where((F.col("b").isNull()) & (F.col("depth") >= CROWDED)).select(F.col("a").alias("doc_id")), "near-crowd")
+    # Two sets that are both crowded are compared exactly at the end; here the
+    # deepest of their pairs will do.
+    of = lambda side: crowd.select(F.col("doc_id").alias(side), F.lit(True).alias(f"crowded_{side}"))
+    known = met.where("b is not null").join(of("a"), "a", "left").join(of("b"), "b", "left")
+    known = written(known.select("a", "b", "depth", F.expr("coalesce(crowded_a and crowded_b, false)").alias("both")).where(F.col("both") | (F.col("depth") >= MET)), "near-known")
+    deep = known.join(_best(known.where("both")), ["a", "b"]).where("both")
+    pairs = written(known.where("not both").union(deep).select("a", "b", "depth"), "near-pairs")
     # Only sets with a candidate are looked at again, by their texts.
     ids = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(crowd).distinct(), "near-ids")
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
@@ -415,15 +423,13 @@ def class_links(sigs: DataFrame, texts: DataFrame) -> DataFrame:
     links = written(confirmed(first, some), "near-links")
     found = written(components(links), "near-found")
     rest = written(_across(pairs, found), "near-rest")
-    second = written(agreeing(rest, sigs), "near-second")
+    more_pairs = rest.select("a", "b").union(_between_regions(found, rest, sigs)).distinct()
+    second = written(agreeing(more_pairs, sigs), "near-second")
     more = written(confirmed(second, some), "near-links")
     before = found
     found = _merged(before, more)
-    forget(first, links, before, more)
-    old, rest = rest, written(_across(rest, found), "near-rest")
-    forget(old)
-    found = _dense_rounds(found, rest, sigs, some)
-    crowded = written(some.join(crowd, "doc_id"), "near-crowd")
+    forget(met, known, pairs, first, links, before, rest, more)
+    crowded = written(some.join(crowd, "doc_id"), "near-crowd-texts")
     if not crowded.isEmpty():
         parts = crowded.join(found, crowded["doc_id"] == found["node"], "left").select(F.col("doc_id").alias("id"), F.coalesce("component", "doc_id").alias("part"))
         exact = exact_candidates(crowded, parts)
@@ -432,7 +438,7 @@ def class_links(sigs: DataFrame, texts: DataFrame) -> DataFrame:
         before = found
         found = _merged(before, last)
         forget(before, exact, third, last)
-    forget(met, ids, some, second, crowded)
+    forget(crowd, ids, some, second, crowded)
     return found
 
 
