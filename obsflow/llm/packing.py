@@ -4,8 +4,8 @@
 ``size`` tokens. ``pack`` places the pieces by bounded-space online best fit: a
 fixed number of bins is open at a time, a bitset keyed by free space finds the
 fullest bin that still takes the piece, and when no bin takes it and all are
-open, the fullest one closes. Pieces arrive longest first within a task, which
-leaves the short ones to fill the gaps.
+open, the fullest one closes. Pieces arrive in no order of length: sorted ones,
+longest first, would pack as well only with thousands of open bins.
 """
 
 from __future__ import annotations
@@ -22,10 +22,11 @@ from .common import values, written
 from .wordbpe import word_bpe
 
 SIZE = 2048
-# Open bins of a task; a bin is two small numbers.
-OPEN_BINS = 8192
-# Sequences a task fills on average. Below OPEN_BINS, so that few bins close early.
-TASK_SEQUENCES = 4096
+# Open bins of a task.
+OPEN_BINS = 64
+# Sequences a task fills on average. Some tens of its open bins stay partly empty at
+# the end, so the more sequences, the smaller their share; a piece is a few numbers.
+TASK_SEQUENCES = 1 << 15
 SEPARATOR = b"\0\0\0\0"  # id 0 ends each document
 
 PIECE_SCHEMA = "piece int, start long, length long, ids_crc32 long"
@@ -121,14 +122,16 @@ def pack(pieces: DataFrame, size: int = SIZE, open_bins: int = OPEN_BINS, task_s
     written table, as it is read twice.
 
     The number of tasks follows the number of tokens, about ``task_sequences``
-    sequences each, so a task's rows stay bounded at any input size and at most
-    one badly filled sequence per task remains. Only the pieces' numbers are
-    shuffled, evenly, so neither a hot source nor copies weigh on one task.
+    sequences each, so a task's rows stay bounded at any input size and only the
+    open bins of its end remain partly filled. Only the pieces' numbers are
+    shuffled, evenly, so neither a hot source nor copies weigh on one task; in a
+    task they come in the order of a hash, the same in every run.
     An empty table gives an empty result.
     """
     tokens = pieces.agg(F.sum("length")).first()[0] or 0
     tasks = max(1, -(-tokens // (size * task_sequences)))
-    dealt = pieces.repartition(tasks).sortWithinPartitions(F.desc("length"), "doc_id", "piece")
+    arrival = F.xxhash64("doc_id", "piece", "ids_crc32")
+    dealt = pieces.repartition(tasks).sortWithinPartitions(arrival, "doc_id", "piece", "ids_crc32")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = OpenBins(size, open_bins)
