@@ -5,8 +5,10 @@ within a band of inverse document frequency form the lexicon. A fingerprint is
 a list of hashes, each over the sorted distinct terms that a document has in
 one randomised subset of the lexicon. Subsets are drawn by a hash of the term
 at rates of one half, one quarter, ..., and a document uses those whose rate
-suits its number of distinct terms, so that each subset picks about one or two
-of its terms, whatever its length.
+suits its number of terms inside the band, so that each subset picks about one or
+two of them, whatever the document's length and however few of its terms are in the
+band. Of documents with very many distinct terms, a sample by the same hash is
+looked up in the lexicon, some hundreds of terms.
 """
 
 from __future__ import annotations
@@ -18,9 +20,12 @@ from .common import written
 from .order import with_next
 
 # Subsets drawn at one rate. A document uses two neighbouring rates.
-SUBSETS = 8
-# A document's higher rate leaves about 2^RATE_BITS to 2^(RATE_BITS + 1) terms.
-RATE_BITS = 3
+SUBSETS = 16
+# A document's higher rate leaves about 2^RATE_BITS to 2^(RATE_BITS + 1) terms of the
+# band; 2^LOOKUP_BITS to 2^(LOOKUP_BITS + 1) of its distinct terms (or all, if there
+# are fewer) are looked up.
+RATE_BITS, LOOKUP_BITS = 3, 8
+NO_WORD = r"[^\p{L}\p{N}]+"
 # The band: in at least so many documents, and in at most this share of them.
 MIN_DOCS = 2
 MAX_SHARE = 0.1
@@ -28,17 +33,23 @@ MAX_SHARE = 0.1
 
 def term_hashes(text: Column) -> Column:
     """64-bit hashes of the distinct lower-case words (letters and digits)."""
-    words = F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
+    words = F.array_remove(F.split(F.lower(text), NO_WORD), "")
     return F.transform(F.array_distinct(words), lambda w: F.xxhash64(w))
 
 
+def _level(terms: Column, bits: int) -> Column:
+    """The rate 2^-level that leaves 2^bits to 2^(bits + 1) of the terms; 0: all."""
+    return F.greatest(F.lit(0), F.floor(F.log2(F.greatest(F.size(terms), F.lit(1)).cast("double"))).cast("int") - bits)
+
+
+def _mask(level: Column) -> Column:
+    return F.pow(F.lit(2.0), level).cast("long") - 1
+
+
 def _sampled(hashes: Column) -> Column:
-    """(level, terms drawn at rate 2^-level): the level follows the number of
-    distinct terms."""
-    m = F.size(hashes)
-    level = F.greatest(F.lit(0), F.floor(F.log2(F.greatest(m, F.lit(1)).cast("double"))).cast("int") - RATE_BITS)
-    mask = F.pow(F.lit(2.0), level).cast("long") - 1
-    return F.struct(level.alias("level"), F.filter(hashes, lambda h: h.bitwiseAND(mask) == 0).alias("terms"))
+    """(level, terms drawn at rate 2^-level) to be looked up in the lexicon."""
+    level = _level(hashes, LOOKUP_BITS)
+    return F.struct(level.alias("level"), F.filter(hashes, lambda h: h.bitwiseAND(_mask(level)) == 0).alias("terms"))
 
 
 def lexicon(texts: Column, df: DataFrame, rows: int, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
@@ -60,8 +71,7 @@ def _slots(level: Column, terms: Column) -> Column:
     pick nothing are left out."""
 
     def at(lv: Column, j: int) -> Column:
-        mask = F.pow(F.lit(2.0), lv).cast("long") - 1
-        return F.filter(terms, lambda t: (t.bitwiseAND(mask) == 0) & (F.pmod(F.shiftright(t, 40), F.lit(SUBSETS)) == j))
+        return F.filter(terms, lambda t: (t.bitwiseAND(_mask(lv)) == 0) & (F.pmod(F.shiftright(t, 40), F.lit(SUBSETS)) == j))
 
     picks = [
         F.struct(F.concat_ws(".", lv.cast("string"), F.lit(str(j))).alias("subset"), at(lv, j).alias("picked"))
@@ -83,21 +93,22 @@ def fingerprints(sampled: DataFrame, terms: DataFrame, key: str, parts: dict[str
     """Fingerprint strings. ``sampled`` has ``key`` (one per row) and for each
     of ``parts`` (struct column -> new name) a struct of ``_sampled`` and
     ``hash``, the text's hash, which is the fingerprint of a text without any
-    term of the band. The join takes a few terms of each document."""
+    term of the band. A term that several sides of a row share is joined once."""
     sides = list(parts)
-
-    def tagged(side: str, k: int) -> Column:
-        return F.transform(F.col(side)["terms"], lambda t: F.struct(F.lit(k).alias("side"), t.alias("term")))
-
-    long = sampled.select(key, F.explode(F.concat(*[tagged(s, k) for k, s in enumerate(sides)])).alias("e")).select(key, "e.side", "e.term")
+    of = [F.col(s)["terms"] for s in sides]
+    every = F.array_distinct(F.concat(*of))
+    tagged = F.transform(every, lambda t: F.struct(t.alias("term"), *[F.array_contains(x, t).alias(f"in{k}") for k, x in enumerate(of)]))
+    long = sampled.select(key, F.explode(tagged).alias("e")).select(key, "e.*")
     found = (
         long.join(terms, "term")
         .groupBy(key)
-        .agg(*[F.array_sort(F.collect_list(F.when(F.col("side") == k, F.col("term")))).alias(f"_t{k}") for k in range(len(sides))])
+        .agg(*[F.array_sort(F.collect_list(F.when(F.col(f"in{k}"), F.col("term")))).alias(f"_t{k}") for k in range(len(sides))])
     )
     out = sampled.join(found, key, "left")
     for k, s in enumerate(sides):
-        slots = _slots(F.col(s)["level"], F.coalesce(F.col(f"_t{k}"), F.array().cast("array<bigint>")))
+        # The rate follows the terms that are in the band.
+        inside = F.coalesce(F.col(f"_t{k}"), F.array().cast("array<bigint>"))
+        slots = _slots(F.col(s)["level"] + _level(inside, RATE_BITS), inside)
         out = out.withColumn(parts[s], F.when(F.size(slots) > 0, F.array_join(slots, " ")).otherwise(F.concat(F.lit("text:"), F.lower(F.hex(F.col(s)["hash"])))))
     return out.drop(*[f"_t{k}" for k in range(len(sides))])
 

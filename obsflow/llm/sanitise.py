@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
-from .imatch import term_hashes
+from .common import forget, written
+from .imatch import NO_WORD, term_hashes
 
 KINDS = ("email", "ip", "card", "phone")
 # The contract's patterns with possessive repeats and, where a failed start
@@ -33,11 +33,19 @@ NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 CONTEXT = 5
 # A term must stand by the entity in so many documents.
 MIN_DOCS = 5
+# What can be a disclosing word: with a letter, and of three characters, or two where
+# a character is a syllable or a word.
+NAME = r"(?=.*\p{L})(.{3,}|.*[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}].+|.+[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}])"
 # Probability of the entity given the term from which the term is generalised,
 # and from which it is removed.
 GENERALISE, REMOVE = 0.5, 0.9
-# Bits of pointwise mutual information that a disclosing term carries at least.
-MIN_PMI = 3.0
+# Bits of pointwise mutual information that a disclosing term carries at least; for
+# an entity so frequent that nothing can carry that many, this share of the most
+# that a term can (all of it: the entity stands beside the term every time).
+MIN_PMI, MIN_INFORMATION = 3.0, 0.8
+# ... but never fewer bits than this: an entity in nearly every document tells
+# nothing.
+LEAST_PMI = 0.25
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]", "drop": ""}
 
 
@@ -86,8 +94,12 @@ def _valid(kind: Column, hit: Column) -> Column:
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows with a 128-bit key of id and text; rows that share it are equal."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return df.withColumns(
-        {"_text": text, "_k1": F.xxhash64(F.col(id_col), text), "_k2": F.xxhash64(text, F.lit("second"), F.col(id_col))}
+    # The caller's columns travel in one, so that no name of theirs is met.
+    return df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+        text.alias("_text"),
+        F.xxhash64(F.col(id_col), text).alias("_k1"),
+        F.xxhash64(text, F.lit("second"), F.col(id_col)).alias("_k2"),
     )
 
 
@@ -124,12 +136,13 @@ def disclosing_terms(keyed: DataFrame, spans: DataFrame, rows: int, min_docs: in
     """Terms that reveal an entity: ``term`` (hash), ``word``, ``share`` (the
     highest probability of an entity given the term)."""
     entity = F.xxhash64("kind", F.when(F.col("kind").isin("card", "phone"), _digits(F.col("hit"))).otherwise(F.lower("hit")))
-    near = spans.select(*KEY, entity.alias("entity"), F.explode_outer("around").alias("word")).withColumn(
-        "word", F.regexp_replace(F.lower("word"), r"^[^\p{L}]+|[^\p{L}]+$", "")
-    )
+    # Words as term_hashes takes them: a hyphenated or apostrophed name by its parts.
+    # Addresses in the context are entities themselves.
+    words = F.flatten(F.transform(F.filter("around", lambda w: ~w.contains("@")), lambda w: F.split(F.lower(w), NO_WORD)))
+    near = spans.select(*KEY, entity.alias("entity"), F.explode_outer(words).alias("word"))
     entities = near.groupBy("entity", *KEY).agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count(F.lit(1)).alias("entity_docs"))
     pairs = (
-        near.where(F.col("word").rlike(r"^\p{L}{3,}$"))
+        near.where(F.col("word").rlike(NAME))
         .groupBy("entity", "word", *KEY)
         .agg(F.lit(1).alias("one"))
         .groupBy("entity", "word")
@@ -146,7 +159,8 @@ def disclosing_terms(keyed: DataFrame, spans: DataFrame, rows: int, min_docs: in
         .join(entities, "entity")
         .withColumn("share", F.least(F.lit(1.0), both / F.col("term_docs")))
         .withColumn("pmi", F.log2(F.lit(float(rows)) * both / (F.col("term_docs") * F.col("entity_docs"))))
-        .where((F.col("share") >= GENERALISE) & (F.col("pmi") >= MIN_PMI))
+        .withColumn("most", F.log2(F.lit(float(rows)) / F.col("entity_docs")))
+        .where((F.col("share") >= GENERALISE) & (F.col("pmi") >= F.greatest(F.lit(LEAST_PMI), F.least(F.lit(MIN_PMI), MIN_INFORMATION * F.col("most")))))
         .groupBy("term", "word")
         .agg(F.max("share").alias("share"))
     )
@@ -201,7 +215,8 @@ def personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     each give a row; a null id stays null; an empty table gives an empty
     result; other columns are not read.
     """
-    keyed = _keyed(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text").select("doc_id", "_text", *KEY)
+    keyed = _keyed(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text")
+    keyed = keyed.select(F.col("row")["doc_id"].alias("doc_id"), "_text", *KEY)
     rows = written(keyed.select("doc_id", *KEY), "sanitise-rows")
     spans = all_spans(keyed, rows.count(), min_docs)
     listed = spans.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("start", _number(F.col("kind")).alias("n"), "end", "kind"))).alias("s"))
@@ -238,7 +253,7 @@ def sanitised(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     cuts = written(
         merged.withColumn("label", label).groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("start", "end", "label"))).alias("_cuts")), "sanitise-cuts"
     )
-    text = F.col(text_col)
+    text = F.col("row").getField(text_col)
 
     def kept(cut: Column, k: Column) -> Column:
         start = F.when(k > 0, F.get("_cuts", k - 1)["end"]).otherwise(F.lit(0))
@@ -246,4 +261,5 @@ def sanitised(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
 
     rest = F.substring(text, (F.element_at("_cuts", -1)["end"] + 1).cast("int"), F.char_length(text))
     clean = F.when(F.col("_cuts").isNull() | text.isNull(), text).otherwise(F.concat(F.array_join(F.transform("_cuts", kept), ""), rest))
-    return keyed.join(cuts, KEY, "left").withColumn(text_col, clean).select(*df.columns)
+    joined = keyed.select("row", *KEY).join(cuts, KEY, "left")
+    return joined.select(*[(clean if c == text_col else F.col("row").getField(c)).alias(c) for c in df.columns])

@@ -337,3 +337,190 @@ def test_next_row_over_buckets(spark, monkeypatch):
     got = {r.id: r.then for r in order.with_next(df, "id", "tie", {"id": "then"}, 201).collect()}
     ordered = [*sorted(ids, reverse=True), None]
     assert got == dict(zip(ordered, ordered[1:] + ordered[:1], strict=True))
+
+
+# Against plain recomputations
+
+
+def _signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def _spark_hash(text):
+    import xxhash
+
+    return _signed(xxhash.xxh64(text.encode(), seed=42).intdigest())
+
+
+def test_fingerprints_equal_a_recomputation(spark):
+    import math
+
+    import regex
+
+    rng = random.Random(21)
+    pool = ["".join(rng.choice("aeiklmnorst") for _ in range(rng.randint(2, 6))) for _ in range(900)]
+    rows = [(k, " ".join(rng.choice(pool) for _ in range(rng.choice([0, 3, 40, 900])))) for k in range(150)]
+    rows += [(200, None), (201, "the same the same"), (201, "the same the same"), (203, "é È漢字, x_y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.n_chars): r for r in imatch.edited_fingerprints(df).collect()}
+    terms = {t or "": {_spark_hash(w) for w in regex.split(r"[^\p{L}\p{N}]+", (t or "").lower()) if w} for _, t in rows}
+    docs = {}
+    for _, t in rows:
+        for x in terms[t or ""]:
+            docs[x] = docs.get(x, 0) + 1
+    most = max(imatch.MIN_DOCS, int(imatch.MAX_SHARE * len(rows)))
+    band = {x for x, n in docs.items() if imatch.MIN_DOCS <= n <= most}
+
+    def fingerprint(text):
+        every = {_spark_hash(w) for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w}
+        level = max(0, int(math.log2(max(1, len(every)))) - imatch.LOOKUP_BITS)
+        inside = sorted(x for x in every & band if x & ((1 << level) - 1) == 0)
+        level += max(0, int(math.log2(max(1, len(inside)))) - imatch.RATE_BITS)
+        out = []
+        for lv in (level, level + 1):
+            for j in range(imatch.SUBSETS):
+                picked = [str(x) for x in inside if x & ((1 << lv) - 1) == 0 and (x >> 40) % imatch.SUBSETS == j]
+                if picked:
+                    out.append(f"{lv}.{j}:{_spark_hash(','.join(picked)) & (1 << 64) - 1:x}")
+        return " ".join(out) or f"text:{_spark_hash(text) & (1 << 64) - 1:x}"
+
+    for doc_id, text in rows:
+        assert got[doc_id, len(text or "")].fingerprint == fingerprint(text or "")
+    order = sorted({(i, t or "") for i, t in rows}, key=lambda r: -r[0])
+    for (doc_id, text), (_, following) in zip(order, order[1:] + order[:1], strict=True):
+        if doc_id == 201:
+            continue  # its next row is its copy
+        half = len(text) // 2
+        assert got[doc_id, len(text)].edited_fingerprint == fingerprint(text[: len(text) - half] + following[:half])
+
+
+def test_few_terms_in_the_band_still_make_a_fingerprint(spark):
+    """A long document whose terms are nearly all too frequent."""
+    common = [f"w{k}" for k in range(700)]
+    rows = [(k, " ".join(common + [f"rare{k % 3}x{j}" for j in range(10)])) for k in range(60)]
+    rows += [(100 + k, "other words here") for k in range(200)]
+    got = imatch.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(not r.fingerprint.startswith("text:") for r in got if r.doc_id < 60)
+
+
+def brute_terms(rows, min_docs):
+    """Spans ``(doc, start, end, kind)`` of disclosing terms, for texts whose
+    personal data are e-mail addresses with white space around them."""
+    import math
+
+    import regex
+
+    near, term_docs = {}, {}
+    for i, t in rows:
+        words = (t or "").split()
+        for w in {w for w in regex.split(r"[^\p{L}\p{N}]+", (t or "").lower()) if w}:
+            term_docs.setdefault(w, set()).add(i)
+        at = [k for k, w in enumerate(words) if "@" in w]
+        for n, k in enumerate(at):
+            low = max(k - 5, at[n - 1] + 1 if n else 0)
+            high = min(k + 6, at[n + 1] if n + 1 < len(at) else len(words))
+            near.setdefault(words[k].lower(), {}).setdefault(i, set()).update(words[low:k] + words[k + 1 : high])
+    share = {}
+    for by_doc in near.values():
+        both = {}
+        for i, words in by_doc.items():
+            for w in {p for w in words for p in regex.split(r"[^\p{L}\p{N}]+", w.lower())}:
+                if len(w) >= 3 and regex.search(r"\p{L}", w):
+                    both.setdefault(w, set()).add(i)
+        most = math.log2(len(rows) / len(by_doc))
+        for w, docs in both.items():
+            p, pmi = len(docs) / len(term_docs[w]), math.log2(len(rows) * len(docs) / (len(term_docs[w]) * len(by_doc)))
+            if len(docs) >= min_docs and p >= 0.5 and pmi >= max(0.25, min(3.0, 0.8 * most)):
+                share[w] = max(share.get(w, 0), p)
+    out = set()
+    for i, t in rows:
+        for m in regex.finditer(r"(?<![\p{L}\p{N}])[\p{L}\p{N}]+(?![\p{L}\p{N}])", t or ""):
+            held = any(a.start() < m.end() and m.start() < a.end() for a in re.finditer(r"\S+@\S+", t))
+            if m[0].lower() in share and not held:
+                out.add((i, m.start(), m.end(), "drop" if share[m[0].lower()] >= 0.9 else "term"))
+    return out
+
+
+def test_terms_equal_a_recomputation(spark):
+    rng = random.Random(31)
+    filler = "the of and to a in for on with as by at from or was were this that".split()
+
+    def prose(n):
+        return " ".join(rng.choice(filler) for _ in range(n))
+
+    rows = []
+    for k in range(400):
+        if k % 5 < 2:  # one contact address in 40 % of the documents, its holder beside it
+            rows.append((k, f"{prose(9)} Kowalski desk@firm.example.com {prose(8)}"))
+        elif k % 33 == 2:
+            rows.append((k, f"{prose(4)} O'Brien user42 ob@mail.example.com Jean-Luc {prose(9)}"))
+        elif k % 33 == 4:
+            rows.append((k, f"{prose(7)} sometimes {prose(6)} ob@mail.example.com {prose(3)}"))
+        else:
+            rows.append((k, prose(20) + (" sometimes here" if k % 7 == 0 else "")))
+    rows += [(900, "O'Brien met Kowalski and Luc; sometimes user42 came"), (901, None), (902, "")]
+    got = sanitise.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = {
+        (r.doc_id, int(s.split(":")[1]), int(s.split(":")[2]), s.split(":")[0])
+        for r in got
+        for s in r.spans.split(",")
+        if s.startswith(("term", "drop"))
+    }
+    assert found == brute_terms(rows, sanitise.MIN_DOCS)
+    # names beside a frequent address, and names that are no run of letters, are found
+    assert {(s, e) for i, s, e, _ in found if i == 900} == {(2, 7), (12, 20), (25, 28), (40, 46)}
+
+
+def test_language_equals_a_recomputation(spark):
+    import math
+
+    rng = random.Random(17)
+    texts = {lang: [" ".join(rng.choice(ws) for _ in range(rng.randint(1, 25))) for _ in range(40)] for lang, ws in {"aa": "kala mana taro".split(), "bb": "stritz prung étk".split()}.items()}
+    rows = [(n, t, lang) for n, (t, lang) in enumerate((t, lang) for lang, ts in texts.items() for t in ts)]
+    rows += [(500 + k, "kala prung mana", None) for k in range(5)]
+
+    def grams(text):
+        u = [ord(c) for c in text.lower()]
+        for n in (1, 2, 3):
+            for i in range(len(u) - n + 1):
+                h = n
+                for x in u[i : i + n]:
+                    h = ((h ^ x) * 0x9E3779B1) % 2**32
+                    h ^= h >> 15
+                yield (h * 0x85EBCA6B) % 2**32 >> (32 - language_id.BUCKET_BITS)
+
+    learned = [r for r in rows if r[2] and zlib.crc32(str(r[0]).encode()) % 5]
+    counts = {lang: {} for lang in texts}
+    for _, t, lang in learned:
+        for g in grams(t):
+            counts[lang][g] = counts[lang].get(g, 0) + 1
+    got = {r.doc_id: r for r in language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    for i, t, _ in rows:
+        logs = {}
+        for lang, c in counts.items():
+            size = sum(c.values()) + language_id.SMOOTHING * 2**language_id.BUCKET_BITS
+            logs[lang] = math.log(sum(r[2] == lang for r in learned) / len(learned)) + sum(math.log((c.get(g, 0) + language_id.SMOOTHING) / size) for g in grams(t))
+        best = max(logs, key=logs.get)
+        share = 1 / sum(math.exp(x - logs[best]) for x in logs.values())
+        assert got[i].lang_pred == best and abs(got[i].score - share) < 1e-3
+        assert got[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0)
+
+
+def test_many_repeated_lines_take_linear_time():
+    import time
+
+    line, words = 7, 6
+    for a, b in (([line], [line] * 200_000), ([line, 8] * 50_000, [8, line] * 50_000), (list(range(60_000)), list(range(60_000))[::-1])):
+        began = time.process_time()
+        gone = line_dedup.common_blocks(a, b, [words] * len(b))
+        assert gone == list(range(len(b))) and time.process_time() - began < 20
+
+
+def test_callers_columns_keep_their_names(spark):
+    """Columns named as the operators name their own stay as they are."""
+    names = ["_k1", "_k2", "_cuts", "_text", "_gone", "_id", "row", "t1", "id", "positions"]
+    rows = [(k, f"a line of five words and more {k % 2}\nmail x{k}@mail.example.com now", *[f"{n}{k}" for n in names]) for k in range(6)]
+    df = spark.createDataFrame(rows, ["doc_id", "text", *names])
+    for out in (line_dedup.dedup_lines(df), sanitise.sanitised(df)):
+        assert [c for c in out.columns if c != "gone_lines"] == df.columns
+        assert {r.doc_id: [r[n] for n in names] for r in out.collect()} == {r[0]: list(r[2:]) for r in rows}
