@@ -21,6 +21,10 @@ from obsflow.llm.common import WORD_BPE_FILE, tokenizer_path, written
 
 # A language is accepted from this posterior on.
 LEAST_SCORE = 0.5
+# ... and if its mean log likelihood an n-gram is this far from that of n-grams
+# never seen towards the language's own mean. Texts of labelled rows that consist
+# mostly of numbers and keys reach 0.6, prose 0.8 and more, other scripts 0.3 to 0.4.
+LEAST_USUAL = 0.58
 
 
 def _boxed(docs: DataFrame) -> DataFrame:
@@ -41,13 +45,15 @@ def _n_chars() -> Column:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised stay; texts without a letter
-    (null and empty ones too), and those the model is in doubt about, go. A
-    null ``lang`` becomes the predicted one. Without any labelled document
-    there is no model to reject by: then only texts without a letter go."""
+    (null and empty ones too), those the model is in doubt about, and those whose
+    n-grams are nearer to never seen than to usual in the language found (another
+    language, or no language) go. A null ``lang`` becomes the predicted one.
+    Without any labelled document there is no model to reject by: then only texts
+    without a letter go."""
     model = lid.fit(lid.labelled_rows(docs))
-    marked = lid.predict(_boxed(docs), model)
+    marked = lid.predict(_boxed(docs), model, usual_col="usual")
     if model.langs:
-        good = (F.col("lang_pred") != lid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
+        good = (F.col("lang_pred") != lid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE) & (F.col("usual") >= LEAST_USUAL)
     else:
         good = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     kept = marked.where(good)
@@ -63,14 +69,35 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _unboxed(clean.where(~F.coalesce(empty, F.lit(False))), docs, n_chars=_n_chars())
 
 
+def _own_ids(boxed: DataFrame) -> DataFrame:
+    """``boxed`` with an id of its own for each text: where rows of one id have
+    unlike texts, each text gets a number beyond all ids (the id stays in
+    ``row``). Null ids stay null."""
+    text = F.coalesce("text", F.lit(""))
+    keyed = boxed.withColumns({"h1": F.xxhash64(text), "h2": F.xxhash64(F.lit("second"), text)})
+    pair = F.struct("h1", "h2")
+    spread = keyed.where("doc_id is not null").groupBy("doc_id").agg(F.min(pair).alias("p"), F.max(pair).alias("q")).where("p <> q")
+    repeated = written(spread.select("doc_id"), "pipeline-repeated")
+    if repeated.isEmpty():
+        return boxed
+    texts = keyed.join(repeated, "doc_id").select("doc_id", "h1", "h2").distinct()
+    low, high = boxed.agg(F.min("doc_id"), F.max("doc_id")).first()
+    number = F.monotonically_increasing_id()
+    number = F.lit(high + 1) + number if high < 1 << 62 else F.lit(low - 1) - number
+    own = written(texts.withColumn("own", number), "pipeline-own-ids")  # written once: the numbers stay
+    placed = keyed.join(own, ["doc_id", "h1", "h2"], "left")
+    return placed.select(F.coalesce("own", "doc_id").alias("doc_id"), "text", "row")
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the one with the
-    smallest id, in one row. Rows with a null id stay."""
-    found = near_dedup.near_duplicates(docs.where("doc_id is not null"))
+    smallest id, in one row. Rows that share an id but not the text are documents
+    of their own, after those whose id is their own. Rows with a null id stay."""
+    boxed = _own_ids(_boxed(docs))
+    found = near_dedup.near_duplicates(boxed.where("doc_id is not null"))
     kept = found.where("kept").select("doc_id").distinct()
-    boxed = _boxed(docs)
     once = boxed.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return _unboxed(once.unionByName(boxed.where("doc_id is null")), docs)
+    return _unboxed(once.unionByName(boxed.where("doc_id is null")), docs, doc_id=F.col("row")["doc_id"])
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

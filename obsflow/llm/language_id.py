@@ -23,13 +23,16 @@ ORDERS = (1, 2, 3)
 SMOOTHING = 0.1
 # Expected number of training rows taken per language, chosen by a hash of the id.
 TRAIN_ROWS = 20_000
-# Language labels are codes; more than this are not labels of languages.
-MOST_LANGS = 1_000
+# Language labels are codes; more than this are not labels of languages. The matrix
+# (buckets x languages, 8 bytes while it is fitted) then takes at most 105 MB.
+MOST_LANGS = 200
 # Texts are worked through in windows of so many characters.
 WINDOW = 1 << 20
 # Places of the matrix gathered at once.
 GATHER = 1 << 20
 UNDETERMINED = "und"
+# N-grams of usual likelihood that are added to each text's own.
+TYPICAL = 30
 
 
 def buckets(text: str) -> np.ndarray:
@@ -54,11 +57,15 @@ def windows(text: str) -> Iterator[str]:
 @dataclass
 class LanguageModel:
     """``matrix[bucket, language]`` holds log probabilities, ``prior`` the log
-    shares of the languages in the labelled rows."""
+    shares of the languages in the labelled rows; ``usual`` is the mean log
+    probability of a language's n-grams in its own labelled rows, ``unseen`` that of
+    an n-gram they do not hold."""
 
     langs: list[str]
     matrix: np.ndarray
     prior: np.ndarray
+    usual: np.ndarray
+    unseen: np.ndarray
 
 
 def held_out(id_col: Column) -> Column:
@@ -79,7 +86,7 @@ def fit(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> LanguageModel:
         raise ValueError(f"more than {MOST_LANGS} language labels")
     langs = sorted(counts)
     if not langs:
-        return LanguageModel([], np.empty((1 << BUCKET_BITS, 0), np.float32), np.empty(0))
+        return LanguageModel([], np.empty((1 << BUCKET_BITS, 0), np.float32), *[np.empty(0)] * 3)
     most = F.element_at(F.create_map(*[F.lit(x) for k in langs for x in (k, min(1.0, train_rows / counts[k]))]), F.col("lang"))
     picked = labelled.where(F.pmod(F.xxhash64("id", "text"), F.lit(1_000_003)) < most * 1_000_003)
     number = {k: n for n, k in enumerate(langs)}
@@ -109,15 +116,21 @@ def fit(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> LanguageModel:
     )
     matrix = np.zeros((1 << BUCKET_BITS, len(langs)))
     matrix[total["bucket"], total["lang"]] = total["n"]
+    share = matrix / np.maximum(1, matrix.sum(0))
+    unseen = np.log(SMOOTHING / (matrix.sum(0) + SMOOTHING * len(matrix)))
     matrix = np.log((matrix + SMOOTHING) / (matrix.sum(0) + SMOOTHING * len(matrix)))
     rows = np.array([counts[k] for k in langs], float)
-    return LanguageModel(langs, matrix.astype(np.float32), np.log(rows / rows.sum()))
+    return LanguageModel(langs, matrix.astype(np.float32), np.log(rows / rows.sum()), (share * matrix).sum(0), unseen)
 
 
-def score_batch(texts: list[str | None], model: LanguageModel) -> tuple[list[str], np.ndarray]:
-    """(language, posterior) of each text; texts without a letter are
-    undetermined with score 0. Ties go to the first label in order."""
+def score_batch(texts: list[str | None], model: LanguageModel) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(language, posterior, usual) of each text; texts without a letter are
+    undetermined with 0 and 0. Ties go to the first label in order. ``usual`` is 1
+    if the text's n-grams are on average as likely as the language's own, 0 if as
+    unlikely as unseen ones; TYPICAL usual n-grams are added to it, so that a few
+    odd ones in a short text say little."""
     sums = np.tile(model.prior, (len(texts), 1))
+    n_grams = np.zeros(len(texts))
     known = np.array([bool(model.langs) and t is not None and any(map(str.isalpha, t)) for t in texts], bool)
     parts: list[np.ndarray] = []
     owner: list[int] = []
@@ -133,40 +146,46 @@ def score_batch(texts: list[str | None], model: LanguageModel) -> tuple[list[str
             for part in windows(text):
                 parts.append(buckets(part))
                 owner.append(k)
+                n_grams[k] += len(parts[-1])
                 waiting += len(parts[-1])
                 if waiting > GATHER:
                     add()
                     parts, owner, waiting = [], [], 0
     add()
     if not model.langs:
-        return [UNDETERMINED] * len(texts), np.zeros(len(texts))
+        return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
+    best = sums.argmax(1)
+    at = np.arange(len(texts)), best
+    mean = (sums[at] - model.prior[best] + TYPICAL * model.usual[best]) / (n_grams + TYPICAL)
+    usual = (mean - model.unseen[best]) / (model.usual[best] - model.unseen[best])
     sums -= sums.max(1, keepdims=True)
     share = np.exp(sums)
     share /= share.sum(1, keepdims=True)
-    best = share.argmax(1)
     langs = [model.langs[b] if ok else UNDETERMINED for b, ok in zip(best, known, strict=True)]
-    return langs, np.where(known, share[np.arange(len(texts)), best], 0.0)
+    return langs, np.where(known, share[at], 0.0), np.where(known, usual, 0.0)
 
 
-def predict(df: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """``df`` with ``lang_pred`` and ``score``; both replace columns of these
-    names. Null, empty and letterless texts get ``und`` and score 0. A map
-    over the scan: no shuffle."""
-    kept = df.drop("lang_pred", "score")
+def predict(df: DataFrame, model: LanguageModel, text_col: str = "text", usual_col: str | None = None) -> DataFrame:
+    """``df`` with ``lang_pred`` and ``score``, and with ``usual_col`` how usual the
+    text is in that language (see ``score_batch``); columns of these names are
+    replaced. Null, empty and letterless texts get ``und`` and 0. A map over the
+    scan: no shuffle."""
+    more = [usual_col] if usual_col else []
+    kept = df.drop("lang_pred", "score", *more)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                langs, shares = score_batch(list(values(batch, text_col)), shared.value)
+                langs, *figures = score_batch(list(values(batch, text_col)), shared.value)
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(langs, pa.string()), pa.array(shares, pa.float64())],
-                    names=[*batch.schema.names, "lang_pred", "score"],
+                    [*batch.columns, pa.array(langs, pa.string()), *map(pa.array, figures[: 1 + len(more)])],
+                    names=[*batch.schema.names, "lang_pred", "score", *more],
                 )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.mapInArrow(score, f"{schema + ', ' if schema else ''}lang_pred string, score double")
+    return kept.mapInArrow(score, f"{schema + ', ' if schema else ''}lang_pred string, score double" + "".join(f", `{c}` double" for c in more))
 
 
 def labelled_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

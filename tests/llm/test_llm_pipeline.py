@@ -36,3 +36,30 @@ def test_run(spark, documents, tmp_dir, nothing):
     assert cp.run(spark, tmp_dir).count() > 0
     nothing.write.parquet(f"{tmp_dir}/empty/documents.parquet")
     assert cp.run(spark, f"{tmp_dir}/empty").collect() == []
+
+
+def test_rows_that_share_an_id_but_not_a_text_stay(spark, documents):
+    rows = [
+        (1, "an apple tree stands alone in the garden", "a"),
+        (1, "quite another text that is like no other one", "b"),
+        (1, "quite another text that is like no other one", "c"),
+        (2, "an apple tree stands alone in the garden", "d"),
+        (None, "nameless words in a row of their own", "e"),
+        (None, "nameless words in a row of their own", "f"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = cp.near_copies(spark, docs, "").collect()
+    assert sorted((str(r.doc_id), r.text[:5]) for r in out) == [("1", "quite"), ("2", "an ap"), ("None", "namel"), ("None", "namel")]
+    huge = docs.withColumn("doc_id", docs.doc_id + (2**63 - 5))
+    assert len(cp.near_copies(spark, huge, "").collect()) == 4
+
+
+def test_languages_that_were_not_learned_go(spark, documents):
+    odd = {
+        5001: "Это пример русского текста, который никто не учил, и ещё немного слов о погоде",
+        5002: "これは日本語の文章です。モデルは日本語を学んでいません。天気の話もあります。",
+        5003: " ".join(["xkqz wrtpl bdfgh jklmn pqrst vwxz"] * 20),
+    }
+    more = spark.createDataFrame([(k, t, None, "s", len(t), "x", 1) for k, t in odd.items()], documents.schema)
+    kept = {r.doc_id for r in cp.language(spark, documents.union(more), "").collect()}
+    assert kept.isdisjoint(odd) and kept >= {r.doc_id for r in documents.collect()} - {1, 2, 4, 7, 8}
