@@ -61,7 +61,7 @@ def ensure_shared_dir(spark: SparkSession) -> str:
         shared = sc.getCheckpointDir()
     if not shared:
         master = sc.master if sc is not None else spark.conf.get("spark.master", "local")
-        if not master.startswith("local"):
+        if not _is_local(master):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: name a folder every executor can reach "
                 "(hdfs://, s3a://, abfs://, ...) for staged tables"
@@ -80,6 +80,11 @@ def ensure_shared_dir(spark: SparkSession) -> str:
 _LOCAL_SHARED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
+def _is_local(master: str) -> bool:
+    """Driver and executors in one process."""
+    return master == "local" or master.startswith("local[")
+
+
 def spark_context(spark: SparkSession):
     """The session's SparkContext, or None on a Spark Connect session."""
     try:
@@ -92,9 +97,11 @@ def new_work_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused folder under the shared folder."""
     base = ensure_shared_dir(spark)
     path = f"{base}/obsflow/{label}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        local = path.removeprefix("file:")
-        os.makedirs(os.path.dirname(local), exist_ok=True)
+    sc = spark_context(spark)
+    if sc is not None and _is_local(sc.master) and ("://" not in path or path.startswith("file:")):
+        # Only here is the driver's own disk the shared one; on a cluster a path
+        # without a scheme is one of its default file system.
+        os.makedirs(os.path.dirname(path.removeprefix("file://").removeprefix("file:")), exist_ok=True)
     return path
 
 

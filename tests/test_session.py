@@ -49,3 +49,15 @@ def test_local_mode_falls_back_to_a_temporary_folder_once():
 def test_cluster_without_folder_is_an_error():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir is not set"):
         ensure_shared_dir(_Session("yarn"))
+
+
+def test_no_driver_folder_on_a_cluster(tmp_path):
+    from obsflow.session import new_work_path
+
+    shared = str(tmp_path / "shared")
+    assert new_work_path(_Session("spark://cluster:7077", {"spark.checkpoint.dir": shared}), "x").startswith(f"{shared}/obsflow/x-")
+    assert not (tmp_path / "shared").exists()
+    new_work_path(_Session("local[2]", {"spark.checkpoint.dir": f"file://{shared}"}), "x")
+    assert (tmp_path / "shared" / "obsflow").exists()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir is not set"):
+        ensure_shared_dir(_Session("local-cluster[2,1,1024]"))

@@ -9,14 +9,19 @@ filters, read schema), as planned with AQE on before execution.
 from __future__ import annotations
 
 import dataclasses
+import datetime as dt
 import os
 import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from obsflow.plans import catalog, roles  # noqa: E402
-from obsflow.plans.batch_job import build_rows, row_columns  # noqa: E402
-from obsflow.session import build_session  # noqa: E402
+from obsflow.plans.batch_job import _lookups, build_rows, latest_published, row_columns, run_batch  # noqa: E402
+from obsflow.session import build_session, new_work_path  # noqa: E402
+from obsflow.sinks import bucketed  # noqa: E402
+from obsflow.streaming.jobs import landing_table  # noqa: E402
 
 
 def formatted(df) -> str:
@@ -38,11 +43,24 @@ def main() -> None:
     s = catalog.DRIVER_SETTINGS
     args = (roles.observations(spark, d), roles.sites(spark, d), roles.context(spark, d))
     ovr = roles.zone_overrides(spark, d)
-    staged = build_rows(*args, s, ovr).select(*row_columns(s), "disposition")
-    keyed = build_rows(roles.observation_base(spark, d), *args[1:], dataclasses.replace(s, dedup_input=False), ovr)
+    # As the job does it: both small sides are written first and read back.
+    dims = _lookups(spark, *args[1:], s, ovr, new_work_path(spark, "plans"))
+    staged = build_rows(args[0], *dims, s).select(*row_columns(s), "disposition")
+    keyed = build_rows(roles.observation_base(spark, d), *dims, dataclasses.replace(s, dedup_input=False))
+    landing = roles.observation_base(spark, d).drop("event_id").withColumn("obs_date", F.to_date("obs_ts"))
+    table = landing_table(f"{new_work_path(spark, 'plans')}/landing", landing.schema, buckets=8)
+    bucketed.merge(spark, table, landing, [r[0] for r in landing.select("obs_date").distinct().collect()])
+    some = landing.filter(F.col("obs_date").between("2024-01-10", "2024-01-12"))
+    out = new_work_path(spark, "plans")
+    run_batch(spark, args[0], *args[1:], out, s, ovr)
     items = [
-        ("Batch job, staged rows (dedup + broadcast joins)", staged),
+        ("Batch job, staged rows (one dedup shuffle, joins of the written lookups)", staged),
         ("Batch job, keyed input (no dedup shuffle)", keyed.select(*row_columns(s), "disposition")),
+        ("Merge into the bucketed landing table (no Exchange on the stored side)", bucketed.merged(spark, table, some, [dt.date(2024, 1, n) for n in (10, 11, 12)])),
+        ("Resume point (newest month only)", latest_published(spark, out, s)),
+        ("raw_variant (paths of the VARIANT are read, not the value)", catalog.QUERIES["raw_variant"](spark, d)),
+        ("site_day_scan (clustered files, pushed filters)", catalog.QUERIES["site_day_scan"](spark, d)),
+        ("context_csv_lines (no whole texts)", catalog.QUERIES["context_csv_lines"](spark, d)),
         ("site_hour_rollup", catalog.QUERIES["site_hour_rollup"](spark, d)),
         ("keyed_merge", catalog.QUERIES["keyed_merge"](spark, d)),
         ("date_range_scan (pushdown and pruning)", catalog.QUERIES["date_range_scan"](spark, d)),
