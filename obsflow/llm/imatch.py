@@ -6,9 +6,9 @@ a list of hashes, each over the sorted distinct terms that a document has in
 one randomised subset of the lexicon. Subsets are drawn by a hash of the term
 at rates of one half, one quarter, ..., and a document uses those whose rate
 suits its number of terms inside the band, so that each subset picks about one or
-two of them, whatever the document's length and however few of its terms are in the
-band. Of documents with very many distinct terms, a sample by the same hash is
-looked up in the lexicon, some hundreds of terms.
+two of them, whatever the document's length. The terms above the band, which are
+few, are dropped first; of what is left, a sample by the same hash is looked up in the
+lexicon, so that few rows of a document are joined.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ SUBSETS = 16
 # A document's higher rate leaves about 2^RATE_BITS to 2^(RATE_BITS + 1) terms of the
 # band; 2^LOOKUP_BITS to 2^(LOOKUP_BITS + 1) of its distinct terms (or all, if there
 # are fewer) are looked up.
-RATE_BITS, LOOKUP_BITS = 3, 8
+RATE_BITS, LOOKUP_BITS = 3, 4
 NO_WORD = r"[^\p{L}\p{N}]+"
 # The band: in at least so many documents, and in at most this share of them.
 MIN_DOCS = 2
@@ -52,18 +52,11 @@ def _sampled(hashes: Column) -> Column:
     return F.struct(level.alias("level"), F.filter(hashes, lambda h: h.bitwiseAND(_mask(level)) == 0).alias("terms"))
 
 
-def lexicon(texts: Column, df: DataFrame, rows: int, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
-    """Terms (``term``: hash) of the band, counted over all rows of ``df``.
-    Counts are combined before the shuffle, so a term that is in every
+def term_counts(texts: Column, df: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """``term`` (hash) and ``docs`` of the terms in at least ``min_docs`` rows of
+    ``df``. Counts are combined before the shuffle, so a term that is in every
     document weighs no more than another."""
-    most = max(min_docs, int(max_share * rows))
-    return (
-        df.select(F.explode(term_hashes(texts)).alias("term"))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("docs"))
-        .where(F.col("docs").between(min_docs, most))
-        .select("term")
-    )
+    return df.select(F.explode(term_hashes(texts)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs)
 
 
 def _slots(level: Column, terms: Column) -> Column:
@@ -131,15 +124,20 @@ def edited_fingerprints(df: DataFrame, min_docs: int = MIN_DOCS, max_share: floa
     """
     base = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
     rows = base.count()
-    terms = written(lexicon(F.col("text"), base, rows, min_docs, max_share), "imatch-lexicon")
+    counts = written(term_counts(F.col("text"), base, min_docs), "imatch-lexicon")
+    most = max(min_docs, int(max_share * rows))
+    terms = counts.where(F.col("docs") <= most).select("term")
+    # Terms above the band: fewer than the mean number of distinct terms of a
+    # document over max_share, some thousands of hashes. They go before terms are drawn.
+    frequent = F.lit([r["term"] for r in counts.where(F.col("docs") > most).select("term").collect()]).cast("array<bigint>")
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.expr("substring(text, 1, char_length(text) - cast(floor(char_length(text) / 2) as int))"), F.substring("next_text", F.lit(1), half))
     pairs = with_next(base, "doc_id", "tie", {"text": "next_text", "doc_id": "next_id", "tie": "next_tie"}, rows)
     sampled = written(
         pairs.withColumn("edited", edited)
-        .withColumn("own_terms", term_hashes(F.col("text")))
-        .withColumn("other_terms", term_hashes(F.col("edited")))
+        .withColumn("own_terms", F.array_except(term_hashes(F.col("text")), frequent))
+        .withColumn("other_terms", F.array_except(term_hashes(F.col("edited")), frequent))
         .select(
             "doc_id",
             "tie",

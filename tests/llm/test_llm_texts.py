@@ -370,9 +370,10 @@ def test_fingerprints_equal_a_recomputation(spark):
             docs[x] = docs.get(x, 0) + 1
     most = max(imatch.MIN_DOCS, int(imatch.MAX_SHARE * len(rows)))
     band = {x for x, n in docs.items() if imatch.MIN_DOCS <= n <= most}
+    frequent = {x for x, n in docs.items() if n > most}
 
     def fingerprint(text):
-        every = {_spark_hash(w) for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w}
+        every = {_spark_hash(w) for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w} - frequent
         level = max(0, int(math.log2(max(1, len(every)))) - imatch.LOOKUP_BITS)
         inside = sorted(x for x in every & band if x & ((1 << level) - 1) == 0)
         level += max(0, int(math.log2(max(1, len(inside)))) - imatch.RATE_BITS)
