@@ -59,6 +59,8 @@ CROWDED = 10
 # than 22 orders, and a similar set is among these in MET of them, but for a
 # probability of 7e-10: pairs of less depth are no links.
 MET = 4
+# Bits of a set's parity map in the exact comparison.
+PARITY_BITS = 1024
 # Sets with one shingle in their prefixes that are compared in one piece.
 BLOCK_SETS = 2_000
 # Ids of sets to be confirmed are broadcast below this number (8 bytes each).
@@ -154,6 +156,14 @@ def order_keys(sig: bytes, orders: list[np.ndarray]) -> list[bytes]:
     return [bytes([k]) + sig[f : f + 4] + low[at[1:]].tobytes() for k, (f, at) in enumerate(zip(first, orders, strict=True))]
 
 
+def parity_map(shingles: np.ndarray) -> bytes:
+    """For each place, whether an odd number of the set's shingles fall on it.
+    The maps of two sets differ in no more places than the sets have shingles
+    that are not in both."""
+    at = (shingles >> np.uint64(32)) % np.uint64(PARITY_BITS)
+    return np.packbits((np.bincount(at.astype(np.int64), minlength=PARITY_BITS) & 1).astype(bool)).tobytes()
+
+
 def common_depth(a: bytes, b: bytes) -> int:
     """Number of values at the beginning of two keys that agree; 0 in
     different orders."""
@@ -187,12 +197,12 @@ def signatures(df: DataFrame) -> DataFrame:
     return df.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, sig binary")
 
 
-def neighbours(sets: DataFrame, orders: list[np.ndarray]) -> DataFrame:
+def neighbours(sets: DataFrame, orders: list[np.ndarray], with_parts: bool = False) -> DataFrame:
     """Candidate pairs ``a < b`` of ``sets`` (``id, part, sig``) that differ in
     ``part``, with their ``depth``: the values of the common prefixes, summed
     over the orders in which they are neighbours. Rows without ``b`` have the
     number of orders in which ``a`` is crowded, or may be, beside a partition's
-    edge.
+    edge. ``with_parts``: also ``p_a, p_b``, the parts of a pair.
 
     The orders are sorted by range partitions, whose sizes do not depend on how
     many sets share a prefix.
@@ -208,14 +218,17 @@ def neighbours(sets: DataFrame, orders: list[np.ndarray]) -> DataFrame:
                     [pa.array(made, pa.binary()), batch.column("id").take(again), batch.column("part").take(again)], names=["key", "id", "part"]
                 )
 
-    def met(a: list, b: list, depth: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(depth, pa.int32())], names=["a", "b", "depth"])
+    parts = ["p_a", "p_b"] if with_parts else []
+
+    def met(a: list, b: list, depth: list, p: list, q: list) -> pa.RecordBatch:
+        ends = [pa.array(x, pa.int64()) for x in ((a, b, p, q) if with_parts else (a, b))]
+        return pa.RecordBatch.from_arrays([*ends[:2], pa.array(depth, pa.int32()), *ends[2:]], names=["a", "b", "depth", *parts])
 
     def adjacent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: list[tuple[bytes, int, int]] = []
         first, run, crowded = None, [], False  # sets of the present first value that are not marked
         for batch in batches:
-            a, b, depth = [], [], []
+            a, b, depth, p, q = [], [], [], [], []
             for row in zip(*(batch.column(c).to_pylist() for c in ("key", "id", "part")), strict=True):
                 key, node, part = row
                 for other, before, its_part in last:
@@ -223,6 +236,9 @@ def neighbours(sets: DataFrame, orders: list[np.ndarray]) -> DataFrame:
                         a.append(min(before, node))
                         b.append(max(before, node))
                         depth.append(common_depth(other, key))
+                        if with_parts:
+                            p.append(its_part if before < node else part)
+                            q.append(part if before < node else its_part)
                 last = [*last, row][-NEIGHBOURS:]
                 if key[:5] != first:
                     first, run, crowded = key[:5], [], first is None
@@ -230,15 +246,18 @@ def neighbours(sets: DataFrame, orders: list[np.ndarray]) -> DataFrame:
                 crowded = crowded or len(run) > NEIGHBOURS + 1
                 if crowded:
                     a += run
-                    b += [None] * len(run)
                     depth += [1] * len(run)
+                    for ends in (b, p, q):
+                        ends += [None] * len(run)
                     run = []
-            yield met(a, b, depth)
-        yield met(run, [None] * len(run), [1] * len(run))
+            yield met(a, b, depth, p, q)
+        alone = [None] * len(run)
+        yield met(run, alone, [1] * len(run), alone, alone)
 
     rows = sets.select("id", "part", "sig").mapInArrow(keys, "key binary, id long, part long")
     in_order = rows.repartitionByRange("key", "id").sortWithinPartitions("key", "id")
-    return in_order.mapInArrow(adjacent, "a long, b long, depth int").groupBy("a", "b").agg(F.sum("depth").alias("depth"))
+    pairs = in_order.mapInArrow(adjacent, ", ".join(["a long, b long, depth int", *(f"{c} long" for c in parts)]))
+    return pairs.groupBy("a", "b").agg(F.sum("depth").alias("depth"), *(F.min(c).alias(c) for c in parts))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -315,45 +334,66 @@ def _shingle_rows(texts: DataFrame) -> DataFrame:
     return texts.select("doc_id", "text").mapInArrow(run, "id long, h long")
 
 
+def _parity_maps(texts: DataFrame) -> DataFrame:
+    """``id, bits``: the parity maps of the full sets of ``doc_id, text``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            maps = [parity_map(shingle_set(text)) for text in values(batch, "text")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(maps, pa.binary())], names=["id", "bits"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, "id long, bits binary")
+
+
 def exact_candidates(texts: DataFrame, parts: DataFrame) -> DataFrame:
     """All pairs ``a < b`` of ``texts`` (``doc_id, text``) in different
-    ``parts`` (``id, part``) that a prefix filter cannot tell to be unlike.
+    ``parts`` (``id, part``) that neither a prefix filter nor their parity maps
+    can tell to be unlike.
 
     Each set is ordered by how many sets have a shingle, rare ones first. Two
     similar sets share a shingle in their prefixes, a quarter of each, and the
     first one they share leaves room for the overlap they need behind its
     places. Sets with a common shingle are dealt into blocks, and each pair of
-    blocks is compared as a whole.
+    blocks is compared as a whole. Two similar sets have at most a seventh of
+    their shingles, counted in both, not in common; a pair whose parity maps
+    differ in more places is not made. This loses no similar pair and leaves
+    few others, unless both sets are large.
     """
     counts = written(_shingle_rows(texts).groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "near-counts")
     ordered = _shingle_rows(texts).join(counts, "h", "left").groupBy("id").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "h"))).alias("s"))
     prefix = F.slice("s", F.lit(1), F.floor(F.size("s") * (100 - THRESHOLD) / 100).cast("int") + 1)
     rows = ordered.select("id", F.size("s").cast("long").alias("n"), F.posexplode(prefix).alias("pos", "x")).where("x.df > 1")
-    rows = written(rows.join(parts, "id").select("id", "part", "n", F.col("pos").cast("long").alias("pos"), "x.h"), "near-prefixes")
+    known = parts.join(_parity_maps(texts), "id")
+    rows = written(rows.join(known, "id").select("id", "part", "n", F.col("pos").cast("long").alias("pos"), "x.h", "bits"), "near-prefixes")
     shared = rows.groupBy("h").agg(F.count(F.lit(1)).alias("m"), F.min("part").alias("p"), F.max("part").alias("q")).where("p < q")
     blocks = shared.select("h", F.ceil(F.col("m") / BLOCK_SETS).cast("int").alias("blocks"))
     dealt = rows.join(blocks, "h").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     groups = dealt.groupBy("h", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")).agg(
-        F.collect_list(F.struct((F.col("block") > F.least("block", "other")).cast("long").alias("side"), "id", "part", "n", "pos")).alias("members")
+        F.collect_list(F.struct((F.col("block") > F.least("block", "other")).cast("long").alias("side"), "id", "part", "n", "pos", "bits")).alias("members")
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             members = batch.column("members")
             at = members.offsets.to_numpy() - members.offsets[0].as_py()
-            side, node, part, n, pos = (c.to_numpy() for c in members.flatten().flatten())
+            *numbers, bits = members.flatten().flatten()
+            side, node, part, n, pos = (c.to_numpy() for c in numbers)
+            bits = np.frombuffer(b"".join(bits.to_pylist()), np.uint64).reshape(-1, PARITY_BITS // 64)
             room = (100 + THRESHOLD) * (n - pos) - THRESHOLD * n  # partners of more than this / THRESHOLD need more overlap
             need = THRESHOLD * n
             for k, same in enumerate(x == y for x, y in zip(batch.column("low"), batch.column("high"), strict=True)):
                 own = np.arange(at[k], at[k + 1])
                 left, right = (own, own) if same else (own[side[own] == 0], own[side[own] == 1])
-                for start in range(0, len(left), 256):
-                    x = left[start : start + 256]
+                for start in range(0, len(left), 64):
+                    x = left[start : start + 64]
                     fit = (room[x, None] >= need[right]) & (room[right] >= need[x, None]) & (part[x, None] != part[right])
                     if same:
                         fit &= node[x, None] < node[right]
                     i, j = np.nonzero(fit)
+                    differ = np.bitwise_count(bits[x[i]] ^ bits[right[j]]).sum(1, dtype=np.int64)
+                    near = (100 + THRESHOLD) * differ <= (100 - THRESHOLD) * (n[x[i]] + n[right[j]])
+                    i, j = i[near], j[near]
                     if len(i):
                         a, b = node[x[i]], node[right[j]]
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
@@ -395,8 +435,7 @@ def _between_regions(found: DataFrame, rest: DataFrame, sigs: DataFrame) -> Data
     sees again what is passed over here.
     """
     dense = _dense_regions(rest, found, sigs)
-    part = lambda side: dense.select(F.col("id").alias(side), F.col("part").alias(f"p_{side}"))
-    pairs = neighbours(dense, _MORE).where("b is not null").join(part("a"), "a").join(part("b"), "b")
+    pairs = neighbours(dense, _MORE, with_parts=True).where("b is not null")
     rank = Window.partitionBy(F.least("p_a", "p_b"), F.greatest("p_a", "p_b")).orderBy(F.desc("depth"), "a", "b")
     few = written(pairs.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= BETWEEN).select("a", "b", "depth"), "near-pairs")
     out = written(_best(few), "near-between")

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from conftest_helpers import Sets
 from obsflow.llm import cap_filters, near_dedup
@@ -160,3 +161,35 @@ def test_list_decoding_is_exact():
     parts = np.einsum("bnd,bd->bn", code.words, (unit @ code.rotation).reshape(blocks, -1)) / np.sqrt(blocks)
     scores = (parts[0][:, None] + parts[1]).ravel()
     assert sorted(code.decode(unit)) == list(np.flatnonzero(scores >= code.threshold))
+
+
+def test_exact_candidates_leave_out_unlike_sets(spark):
+    blocks = [[f"w{k}x{i}" for i in range(30)] for k in range(13)]
+    rows = [(k, " ".join(blocks[k] + blocks[k + 1])) for k in range(12)]
+    rows.append((12, " ".join(blocks[0] + blocks[1][:-1] + ["other"])))
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_dedup.exact_candidates(texts, texts.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("part")))
+    # Neighbours share a third of their shingles, rare ones: the prefixes meet.
+    assert [tuple(r) for r in got.collect()] == [(0, 12)]
+
+
+def test_parity_maps_differ_in_no_more_places_than_the_sets():
+    sets = [np.unique(np.random.default_rng(k).integers(0, 1 << 63, n, dtype=np.uint64)) for k, n in enumerate((1, 7, 300, 5000))]
+    sets += [s[: len(s) * 9 // 10] for s in sets]
+    for s in sets:
+        for t in sets:
+            x, y = (int.from_bytes(near_dedup.parity_map(v)) for v in (s, t))
+            assert (x ^ y).bit_count() <= len(np.setxor1d(s, t))
+
+
+def test_neighbours_carry_their_parts(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    rows = []
+    for k in range(40):
+        words[rng.randrange(60)] = f"v{k}"
+        rows.append((k * 7 % 40, " ".join(words)))
+    sigs = near_dedup.signatures(spark.createDataFrame(rows, "doc_id long, text string"))
+    sets = sigs.select(F.col("doc_id").alias("id"), (F.col("doc_id") % 5 + 100).alias("part"), "sig")
+    got = near_dedup.neighbours(sets, near_dedup._MORE, with_parts=True).where("b is not null").collect()
+    assert got and all((r.p_a, r.p_b) == (r.a % 5 + 100, r.b % 5 + 100) and r.p_a != r.p_b for r in got)
