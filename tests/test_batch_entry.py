@@ -536,3 +536,32 @@ def test_staging_is_removed_and_rejects_stay(spark, tmp_dir):
     assert res.published and not table_exists(spark, res.staging_path)
     rejects = spark.read.parquet(f"{tmp_dir}/rejects")
     assert rejects.count() == 4 and all(r.reasons and r.run_id for r in rejects.collect())
+
+
+def test_runs_of_one_query_share_the_context(spark, tmp_dir, monkeypatch):
+    from types import SimpleNamespace
+
+    at = T(2024, 1, 5, 10, 0)
+    tables = {
+        "region": [(0, "EUROPE")],
+        "nation": [(0, "FRANCE", 0)],
+        "customer": [(1, "a", 0, 1.0, "AUTOMOBILE")],
+        "supplier": [(1, "s", 0, 1.0)],
+        "events": [(1, at, 1, "view", 3.0, '{"k": 5}')],
+    }
+    for name, rows in tables.items():
+        spark.createDataFrame(rows, roles.DRIVER_SCHEMAS[name]).write.parquet(f"{tmp_dir}/{name}.parquet")
+    seen = []
+
+    def run(spark, obs, sites, context, out, *more):
+        seen.append((context.inputFiles(), [tuple(r) for r in context.collect()], [r.site_id for r in sites.collect()]))
+        spark.range(1).write.mode("overwrite").parquet(f"{out}/rows")
+        return SimpleNamespace(published=True)
+
+    monkeypatch.setattr(catalog, "run_batch", run)
+    catalog.QUERIES["batch_replace_empty"](spark, tmp_dir)
+    assert len(seen) == 4
+    want = [tuple(r) for r in roles.context(spark, tmp_dir).collect()]
+    for files, context, sites in seen:
+        assert files == seen[0][0] and not any("events.parquet" in f for f in files)
+        assert context == want and len(want) == 1 and sites == [1]
